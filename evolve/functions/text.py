@@ -61,7 +61,7 @@ def translations_to_html(c: Column) -> Column:
 
 def html_to_text(c: Column) -> Column:
     """Markup without its tags, scripts and styles; blank runs become one space."""
-    bare = F.regexp_replace(c, r"(?is)<(script|style)\b.*?</\1>", " ")
+    bare = F.regexp_replace(c, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>", " ")
     bare = F.regexp_replace(bare, r"(?s)<!--.*?-->", " ")
     bare = F.regexp_replace(bare, r"(?s)<[^>]*>", " ")
     # The entities decoded, ampersand last so nothing decodes twice.

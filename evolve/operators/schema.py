@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,16 +120,32 @@ def schema_rows(spark: SparkSession, ds: Mapping[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "table string, column string, type string")
 
 
-def retained_report(spark: SparkSession, before: Mapping[str, DataFrame], after: Mapping[str, DataFrame]) -> DataFrame:
-    """One message per table or column of ``before`` that ``after`` no longer has."""
-    gone = []
+def retained_report(before: Mapping[str, DataFrame], after: Mapping[str, DataFrame]) -> DataFrame | None:
+    """One message per table or column of ``before`` that ``after`` no longer has.
+
+    Each says how much is kept: the rows of a table, the values of a column.
+    One pass per table; None when nothing was dropped.
+    """
+    reports = []
     for table, df in before.items():
         if table not in after:
-            gone.append(("table", table, f"table {table} is kept"))
+            gone = [("table", table, f"table {table} is kept", F.count(F.lit(1)))]
         else:
-            gone += [
-                ("column", f"{table}.{c}", f"column {c} of table {table} is kept")
+            gone = [
+                ("column", f"{table}.{c}", f"column {c} of table {table} is kept", F.count(c))
                 for c in df.columns
                 if c not in after[table].columns
             ]
-    return spark.createDataFrame(gone, "kind string, name string, message string")
+        if gone:
+            counts = df.agg(*[n.alias(f"n{i}") for i, (*_, n) in enumerate(gone)])
+            rows = F.array(
+                *[
+                    F.struct(
+                        F.lit(kind).alias("kind"), F.lit(name).alias("name"),
+                        F.col(f"n{i}").alias("kept_values"), F.lit(message).alias("message"),
+                    )
+                    for i, (kind, name, message, _) in enumerate(gone)
+                ]
+            )
+            reports.append(counts.select(F.inline(rows)))
+    return reduce(DataFrame.unionByName, reports) if reports else None
