@@ -17,12 +17,12 @@ class Tables:
     """The test tables of one folder, read on first use: ``t.orders``."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self._folder = spark, folder
+        self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        df = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         setattr(self, name, df)
         return df
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder under the shared checkpoint folder, for streams and stored versions."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
 def small(rows: int, df: DataFrame) -> DataFrame:
     """Hint a broadcast when the known row bound of ``df`` allows it."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
