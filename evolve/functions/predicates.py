@@ -40,5 +40,5 @@ def active_rows(df: DataFrame, active: Column, group: Sequence[str] = (), fallba
     flags = df.groupBy(*group).agg(F.bool_or(F.coalesce(active, F.lit(False))).alias("__any"))
     if not group:
         return df.where(F.coalesce(active, F.lit(False)) | ~F.coalesce(flags.scalar(), F.lit(False)))
-    tagged = attach(df, flags, list(group), ["__any"])
+    tagged = attach(df, flags, list(group), ["__any"], null_safe=True)
     return tagged.where(active | ~F.col("__any")).drop("__any")

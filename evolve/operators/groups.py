@@ -26,7 +26,7 @@ def aggregate_onto(
     pk, ck = on
     totals = child.groupBy(ck).agg(*[a.alias(f"__a_{n}") for n, a in aggregates.items()])
     sets = {n: F.col(f"s.__a_{n}") for n in aggregates}
-    return update_from(parent, totals, [(pk, ck)], sets, unique=True)
+    return update_from(parent, totals, [(pk, ck)], sets, reduced=True)
 
 
 def aggregate_by(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:

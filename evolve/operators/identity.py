@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from evolve.dataset import Dataset
 from evolve.functions.documents import keep_languages
 from evolve.functions.values import set_where
-from evolve.operators.joins import attach, drop_related, flag_related, update_from
+from evolve.operators.joins import attach, drop_related, flag_related, keep_related, update_from
 from evolve.operators.ordered import first_per_key
 
 
@@ -38,7 +38,7 @@ def merge_ids(identity: DataFrame, renames: DataFrame) -> tuple[DataFrame, DataF
     renamed = renamed.withColumn("__moved", F.struct("module", "name") != F.col("__had")).drop("__had")
     winner = first_per_key(renamed, ["module", "name"], [F.col("__moved").asc(), F.col("res_id").asc()])
     survivors = winner.select("module", "name", F.col("res_id").alias("__new"))
-    mapped = attach(renamed, survivors, ["module", "name"], ["__new"])
+    mapped = attach(renamed, survivors, ["module", "name"], ["__new"], reduced=True)
     id_map = mapped.where("res_id <> __new").select(
         "model", F.col("res_id").alias("old_id"), F.col("__new").alias("new_id")
     )
@@ -101,9 +101,7 @@ def delete_records_safely(
     """
     blocked = None
     for table, column in references:
-        hit = doomed.select(id_col).join(
-            table.select(F.col(column).alias("__ref")), F.col(id_col) == F.col("__ref"), "left_semi"
-        )
+        hit = keep_related(doomed.select(id_col), table, [(id_col, column)])
         blocked = hit if blocked is None else blocked.unionByName(hit)
     blocked = doomed.select(id_col).where(F.lit(False)) if blocked is None else blocked.distinct()
     gone = drop_related(doomed.select(id_col), blocked, [id_col])
@@ -163,7 +161,7 @@ def propagate_auto_install(
     met = attach(deps, states, [("depends_on", "__dep")], ["__state"]).groupBy("module").agg(
         F.bool_and(F.coalesce(F.col("__state").isin(list(present)), F.lit(False))).alias("__met")
     )
-    judged = attach(modules, met, [(name, "module")], ["__met"])
+    judged = attach(modules, met, [(name, "module")], ["__met"], reduced=True)
     ready = (
         F.col(auto) & (F.col(state) == "uninstalled")
         & F.coalesce("__met", F.lit(True)) & ~F.col(name).startswith(skip_prefix)

@@ -1,7 +1,14 @@
 """Setting columns from other tables, and filtering by them.
 
 No broadcast is forced here: the sides grow with the data, so the planner
-decides from statistics and adaptive execution splits skewed partitions.
+decides from statistics.
+
+A hot key on the left is split by adaptive execution, which does so only where
+both join inputs come straight from a shuffle made for the join. A source that
+was reduced to one row per key already sits on a shuffle by that key and would
+be joined as it is, with the hot key in one task. Such a source is therefore
+joined by null-safe equality, after its NULL keys are dropped: same result, but
+its keys are shuffled for the join. Only the reduced rows pay for that.
 """
 
 from __future__ import annotations
@@ -30,18 +37,25 @@ def _condition(on: Keys, left: str, right: str, null_safe: bool = False) -> Colu
     return reduce(and_, terms)
 
 
+def _filled_keys(df: DataFrame, on: Keys) -> DataFrame:
+    return df.where(reduce(and_, [F.col(f"`{s}`").isNotNull() for _, s in _pairs(on)]))
+
+
 def attach(
     df: DataFrame, other: DataFrame, on: Keys, columns: Sequence[str] | Mapping[str, str],
-    null_safe: bool = False,
+    null_safe: bool = False, reduced: bool = False,
 ) -> DataFrame:
     """Left join of columns from a frame that is unique on its key.
 
-    ``columns`` may be a mapping of new name to source column.
+    ``columns`` may be a mapping of new name to source column. ``reduced`` says
+    that ``other`` was made unique by an aggregate or a pick on that key.
     """
     named = columns if isinstance(columns, Mapping) else {c: c for c in columns}
+    if reduced and not null_safe:
+        other = _filled_keys(other, on)
     return (
         df.alias("t")
-        .join(other.alias("s"), _condition(on, "t", "s", null_safe), "left")
+        .join(other.alias("s"), _condition(on, "t", "s", null_safe or reduced), "left")
         .select(
             *[F.col(f"t.`{c}`") for c in df.columns if c not in named],
             *[F.col(f"s.`{src}`").alias(dst) for dst, src in named.items()],
@@ -59,26 +73,30 @@ def update_from(
     unique: bool = False,
     only_null: bool = False,
     null_safe: bool = False,
+    reduced: bool = False,
 ) -> DataFrame:
     """UPDATE .. FROM: set columns from the matching row of another frame.
 
     Expressions may name target columns as ``t.x`` and source columns as
     ``s.x``. Several source rows for one key need a rule: ``pick`` orders them
     and the first wins, before the join; ``unique=True`` states that there is
-    one at most. ``where`` limits the joined rows that are changed; a condition
+    one at most, ``reduced=True`` that an aggregate by the key made it so.
+    ``where`` limits the joined rows that are changed; a condition
     on the source alone belongs on ``source`` itself. Rows without a match stay
     as they are, and ``only_null`` changes NULLs only.
     """
     keys = [s for _, s in _pairs(on)]
     if pick is not None:
-        source = first_per_key(source, keys, pick)
-    elif not unique:
+        source, reduced = first_per_key(source, keys, pick), True
+    elif not (unique or reduced):
         raise ValueError("the source may match more than once: give pick= or unique=True")
+    if reduced and not null_safe:
+        source = _filled_keys(source, on)
     hit = F.col("s.__hit").isNotNull()
     if where is not None:
         hit = hit & where
     joined = target.alias("t").join(
-        source.withColumn("__hit", F.lit(True)).alias("s"), _condition(on, "t", "s", null_safe), "left"
+        source.withColumn("__hit", F.lit(True)).alias("s"), _condition(on, "t", "s", null_safe or reduced), "left"
     )
     out = []
     for c in [*target.columns, *[c for c in sets if c not in target.columns]]:
@@ -129,21 +147,28 @@ def update_wildcard(
     return update_from(target, both, [(tk, sk)], sets, unique=True, null_safe=True)
 
 
+def _key_set(related: DataFrame, on: Keys) -> DataFrame:
+    """The distinct keys of a frame: a key that repeats is sent once per map task."""
+    return _filled_keys(related, on).select(*[s for _, s in _pairs(on)]).distinct()
+
+
 def keep_related(df: DataFrame, related: DataFrame, on: Keys) -> DataFrame:
     """IN (subquery) and EXISTS: rows whose key occurs in ``related``."""
-    return df.alias("t").join(related.alias("s"), _condition(on, "t", "s"), "left_semi")
+    keys = _key_set(related, on)
+    return df.alias("t").join(keys.alias("s"), _condition(on, "t", "s", null_safe=True), "left_semi")
 
 
 def flag_related(df: DataFrame, related: DataFrame, on: Keys, dst: str) -> DataFrame:
     """Like ``keep_related``, but all rows stay and carry a flag."""
-    keys = [s for _, s in _pairs(on)]
-    marks = related.select(*keys).distinct().withColumn("__hit", F.lit(True))
-    return attach(df, marks, on, {dst: "__hit"}).withColumn(dst, F.coalesce(F.col(dst), F.lit(False)))
+    marks = _key_set(related, on).withColumn("__hit", F.lit(True))
+    marked = attach(df, marks, on, {dst: "__hit"}, reduced=True)
+    return marked.withColumn(dst, F.coalesce(F.col(dst), F.lit(False)))
 
 
 def drop_related(df: DataFrame, related: DataFrame, on: Keys) -> DataFrame:
     """NOT EXISTS: rows whose key does not occur; a NULL key stays."""
-    return df.alias("t").join(related.alias("s"), _condition(on, "t", "s"), "left_anti")
+    keys = _key_set(related, on)
+    return df.alias("t").join(keys.alias("s"), _condition(on, "t", "s", null_safe=True), "left_anti")
 
 
 def not_in(df: DataFrame, related: DataFrame, key: str, related_key: str) -> DataFrame:
@@ -160,7 +185,8 @@ def best_match(
     left: DataFrame, right: DataFrame, on: Keys, order: Sequence[Column], columns: Mapping[str, str]
 ) -> DataFrame:
     """The first matching right row of every left row, by an order."""
-    return attach(left, first_per_key(right, [s for _, s in _pairs(on)], order), on, columns)
+    best = first_per_key(right, [s for _, s in _pairs(on)], order)
+    return attach(left, best, on, columns, reduced=True)
 
 
 def join_with_rule(left: DataFrame, right: DataFrame, on: Keys, rule: Column) -> DataFrame:
@@ -180,8 +206,7 @@ def relate(start: DataFrame, hops: Sequence[tuple[DataFrame, str, str]]) -> Data
     """
     rows = start
     for table, here, there in hops:
-        keys = rows.select(F.col(here).alias("__k"))
-        rows = table.join(keys, F.col(there) == F.col("__k"), "left_semi")
+        rows = keep_related(table, rows, [(there, here)])
     return rows
 
 

@@ -50,9 +50,9 @@ def pairs_to_parent(
     """
     origin = legacy_name(id_col)
     first = pairs.groupBy(pair_child).agg(F.min(pair_parent).alias("__first"))
-    kept = attach(child, first, [(id_col, pair_child)], {parent_col: "__first"})
+    kept = attach(child, first, [(id_col, pair_child)], {parent_col: "__first"}, reduced=True)
     further = (
-        attach(pairs, first, [pair_child], ["__first"])
+        attach(pairs, first, [pair_child], ["__first"], reduced=True)
         .where(F.col(pair_parent) != F.col("__first"))
         .select(F.col(pair_child).alias("__child"), F.col(pair_parent).alias("__parent"))
     )
@@ -97,7 +97,7 @@ def insert_headers_and_lines(
     (``line_link`` names its line) only moves that line.
     """
     top = lines.groupBy(parent).agg(F.max(sequence).alias("__top"))
-    placed = attach(options, top, [parent], ["__top"])
+    placed = attach(options, top, [parent], ["__top"], reduced=True)
     base = F.coalesce(F.col("__top"), F.lit(0))
     own = F.coalesce(F.col(own_sequence), F.lit(0)) if own_sequence else F.lit(0)
     placed = placed.withColumn("__seq", (base + 2 + own).cast(lines.schema[sequence].dataType))
@@ -143,7 +143,7 @@ def cross_children(
     """
     typed = attach(members, catalog, [on], [kind])
     default = first_per_key(levels, [kind], rank).select(kind, level_id)
-    return attach(typed, default, [kind], {dst: level_id})
+    return attach(typed, default, [kind], {dst: level_id}, reduced=True)
 
 
 def insert_missing_child(

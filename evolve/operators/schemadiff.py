@@ -112,8 +112,8 @@ def classify_noise(diff: DataFrame, rules: DataFrame) -> DataFrame:
     """Flag differences that need no work; ``rules`` is (change, attribute), NULL attribute for any."""
     exact = rules.where("attribute IS NOT NULL").select("change", "attribute", F.lit(True).alias("__hit")).distinct()
     broad = rules.where("attribute IS NULL").select("change", F.lit(True).alias("__hit")).distinct()
-    out = attach(diff, exact, ["change", "attribute"], {"__exact": "__hit"})
-    out = attach(out, broad, ["change"], {"__broad": "__hit"})
+    out = attach(diff, exact, ["change", "attribute"], {"__exact": "__hit"}, reduced=True)
+    out = attach(out, broad, ["change"], {"__broad": "__hit"}, reduced=True)
     noise = F.coalesce("__exact", "__broad", F.lit(False))
     return out.withColumn("noise", noise).drop("__exact", "__broad")
 
@@ -121,7 +121,7 @@ def classify_noise(diff: DataFrame, rules: DataFrame) -> DataFrame:
 def work_coverage(diff: DataFrame, answered: DataFrame, module: str, key: Sequence[str]) -> DataFrame:
     """Lines, answered lines and their share per module."""
     marks = answered.select(*key).distinct().withColumn("__hit", F.lit(1))
-    joined = attach(diff, marks, list(key), ["__hit"])
+    joined = attach(diff, marks, list(key), ["__hit"], reduced=True)
     counted = joined.groupBy(module).agg(F.count(F.lit(1)).alias("lines"), F.count("__hit").alias("answered"))
     return counted.withColumn("share", F.round(F.col("answered") / F.col("lines"), 4))
 

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evolve.operators.joins import attach, drop_related
+from evolve.operators.joins import attach, drop_related, keep_related
 from evolve.operators.ordered import first_per_key
 from evolve.operators.reshape import next_ids
 from evolve.storage import checkpointed
@@ -24,7 +24,7 @@ def flatten_units(units: DataFrame) -> DataFrame:
         units.where((F.col("uom_type") == "reference") & F.col("category_id").isNotNull())
         .groupBy("category_id").agg(F.min("id").alias("__ref"))
     )
-    out = attach(units, reference, ["category_id"], ["__ref"])
+    out = attach(units, reference, ["category_id"], ["__ref"], reduced=True)
     custom = (F.col("uom_type") != "reference") & ~F.coalesce(F.col("owned"), F.lit(False)) & F.col("__ref").isNotNull()
     ratio = F.when(F.col("uom_type") == "bigger", F.col("factor")).otherwise(F.try_divide(F.lit(1.0), F.col("factor")))
     return out.withColumns(
@@ -41,9 +41,8 @@ def unit_roots(units: DataFrame, id_col: str, parent_col: str, factor_col: str |
     """
     factor = F.col(factor_col).cast("double") if factor_col else F.lit(1.0)
     edges = units.select(F.col(id_col).alias("id"), F.col(parent_col).alias("up"), factor.alias("f"))
-    known = edges.select(F.col("id").alias("__id"))
     # A pointer to a unit that is not there ends the chain like no pointer.
-    linked = edges.join(known, F.col("up") == F.col("__id"), "left_semi").where("up <> id")
+    linked = keep_related(edges.where("up <> id"), edges.select(F.col("id").alias("__id")), [("up", "__id")])
     roots = drop_related(edges, linked, ["id"]).select("id", F.col("id").alias("root"), F.lit(1.0).alias("factor"))
     moving = checkpointed(linked.withColumn("done", F.lit(False)))
     rounds = max(1, math.ceil(math.log2(max(2, moving.count()))) + 1)
@@ -112,5 +111,5 @@ def match_or_create_unit(packs: DataFrame, products: DataFrame, units: DataFrame
         "id", ["__pack"], units, "id",
     )
     all_sizes = existing.unionByName(created.select("root", "__size", F.col("id").alias("unit_id")))
-    matched = attach(sized, all_sizes, on, ["unit_id"]).select(*packs.columns, "unit_id")
+    matched = attach(sized, all_sizes, on, ["unit_id"], reduced=True).select(*packs.columns, "unit_id")
     return matched, units.unionByName(created.select(*units.columns))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # The test tables.
 TABLES = (
@@ -13,6 +14,10 @@ TABLES = (
 )
 
 
+# Reading a schema costs a job; the test tables do not change.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """The test tables of one folder, read on first use: ``t.orders``."""
 
@@ -22,7 +27,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         setattr(self, name, df)
         return df
 
