@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evolve.operators.joins import attach, update_from
-from evolve.operators.ordered import first_per_key
+from evolve.operators.ordered import collect_aligned, first_per_key
 
 
 def exact_sum(c: Column, scale: int = 4) -> Column:
@@ -79,13 +79,13 @@ def with_group_max(df: DataFrame, keys: Sequence[str], col: str, dst: str) -> Da
     return attach(df, top, list(keys), {dst: "__max"}, null_safe=True)
 
 
-def sorted_distinct_list(df: DataFrame, keys: Sequence[str], value: str, dst: str, sep: str = ",") -> DataFrame:
-    """Sorted text list of the distinct values of each group.
-
-    Meant for members of a closed set; duplicates go before the shuffle.
-    """
-    members = F.array_sort(F.collect_set(F.col(value).cast("string")))
-    return df.groupBy(*keys).agg(F.array_join(members, sep).alias(dst))
+def sorted_distinct_list(
+    df: DataFrame, keys: Sequence[str], value: str, dst: str, sep: str = ",", chunk: int = 1000
+) -> DataFrame:
+    """Sorted text list of the distinct values of each group, in chunks of bounded length."""
+    members = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("string").alias(value)).distinct()
+    packed = collect_aligned(members, keys, [value], [value], dst, chunk)
+    return packed.withColumn(dst, F.array_join(F.transform(dst, lambda x: x[value]), sep))
 
 
 def resort_model(df: DataFrame, order: Sequence[tuple[str, bool]]) -> DataFrame:

@@ -47,7 +47,7 @@ def merge_ids(identity: DataFrame, renames: DataFrame) -> tuple[DataFrame, DataF
 
 def repoint(df: DataFrame, col: str, id_map: DataFrame) -> DataFrame:
     """Rewrite references through an (old_id, new_id) map that is unique on old_id."""
-    return update_from(df, id_map, [(col, "old_id")], {col: F.col("s.new_id")}, unique=True)
+    return update_from(df, id_map, [(col, "old_id")], {col: F.col("s.new_id")}, reduced=True)
 
 
 def lookup_id(df: DataFrame, col: str, identity: DataFrame, dst: str, missing: str = "null") -> DataFrame:
@@ -88,7 +88,7 @@ def merge_models(
     return update_from(
         references, id_map, [(id_col, "old_id")],
         {model_col: F.lit(new), id_col: F.col("s.new_id")},
-        where=F.col(f"t.`{model_col}`") == old, unique=True,
+        where=F.col(f"t.`{model_col}`") == old, reduced=True,
     )
 
 
@@ -237,7 +237,7 @@ def fill_from_template(
     """
     sets = {c: F.col(f"s.`{c}`") for c in columns}
     filled = update_from(
-        entities, templates, [(template_col, "template")], sets, unique=True, only_null=True
+        entities, templates, [(template_col, "template")], sets, reduced=True, only_null=True
     )
     unknown = (
         drop_related(entities.where(F.col(template_col).isNotNull()), templates, [(template_col, "template")])

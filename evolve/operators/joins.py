@@ -231,8 +231,8 @@ def resolve_default(
     """
     own = defaults.where("owner IS NOT NULL")
     common = defaults.where("owner IS NULL")
-    out = attach(df, own, [(key, "key"), (owner, "owner")], {"__own": "value"})
-    out = attach(out, common, [(key, "key")], {"__all": "value"})
+    out = attach(df, own, [(key, "key"), (owner, "owner")], {"__own": "value"}, reduced=True)
+    out = attach(out, common, [(key, "key")], {"__all": "value"}, reduced=True)
     return out.withColumn(dst, F.coalesce("__own", "__all")).drop("__own", "__all")
 
 

@@ -26,14 +26,21 @@ _POS, _SEG = "__pos", "__seg"
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: count, sum, max, last (last non-NULL) or lag."""
+    """One running value: count, sum, max, lag, last (last non-NULL) or before (last non-NULL above)."""
 
     kind: str
     column: str | None = None
 
 
-def _lay_out(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+def _content_hash(df: DataFrame) -> Column:
+    """Breaks ties by what a row holds, so that equal keys still spread and stay repeatable."""
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
+
+
+def _lay_out(df: DataFrame, order: Sequence[Column | str], unique: bool) -> DataFrame:
     """Sort globally and fix each row's position by a checkpoint."""
+    order = [*order] if unique else [*order, _content_hash(df)]
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -52,6 +59,8 @@ def _local(spec: Running, window) -> Column:
         return F.max(spec.column).over(rows)
     if spec.kind == "last":
         return F.last(spec.column, ignorenulls=True).over(rows)
+    if spec.kind == "before":
+        return F.last(spec.column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
     if spec.kind == "lag":
         return F.lag(F.struct(F.col(spec.column).alias("v"))).over(window)
     raise ValueError(f"unknown running value {spec.kind}")
@@ -65,7 +74,7 @@ def _total(spec: Running) -> Column:
         return F.sum(spec.column)
     if spec.kind == "max":
         return F.max(spec.column)
-    if spec.kind == "last":
+    if spec.kind in ("last", "before"):
         return F.max_by(spec.column, F.when(F.col(spec.column).isNotNull(), F.col(_POS)))
     return F.max_by(F.struct(F.col(spec.column).alias("v")), F.col(_POS))
 
@@ -89,14 +98,15 @@ def _combine(spec: Running, local: Column, carry: Column) -> Column:
 
 
 def running(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], values: Mapping[str, Running]
+    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], values: Mapping[str, Running],
+    unique: bool = False,
 ) -> DataFrame:
     """Add running values per group ``by`` in ``order`` (rows up to and including this one).
 
-    Ties in ``order`` are broken arbitrarily but once and for all.
+    Ties are broken by the content of the rows unless the order is ``unique`` in its group.
     """
     by = list(by)
-    laid = _lay_out(df, [*by, *order])
+    laid = _lay_out(df, [*by, *order], unique)
     here = Window.partitionBy(*by, _SEG).orderBy(_POS)
     local = laid.select("*", *[_local(s, here).alias(f"__l_{d}") for d, s in values.items()])
 
@@ -122,12 +132,14 @@ def running(
     )
 
 
-def sequence_over(df: DataFrame, order: Sequence[Column | str], dst: str, start: Column | int = 1) -> DataFrame:
+def sequence_over(
+    df: DataFrame, order: Sequence[Column | str], dst: str, start: Column | int = 1, unique: bool = False
+) -> DataFrame:
     """Number all rows 1, 2, 3 .. in a global order.
 
     Only the count of each partition meets in one task.
     """
-    laid = _lay_out(df, order)
+    laid = _lay_out(df, order, unique)
     counts = laid.groupBy(F.col(_SEG).alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__s", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
@@ -183,7 +195,8 @@ def running_ratio(
 
     per_time = df.groupBy(*partition, time).agg(exact(num).alias("__num"), exact(den).alias("__den"))
     sums = running(
-        per_time, partition, [time], {"__num": Running("sum", "__num"), "__den": Running("sum", "__den")}
+        per_time, partition, [time], {"__num": Running("sum", "__num"), "__den": Running("sum", "__den")},
+        unique=True,
     )
     ratio = F.try_divide(F.col("__num").cast("double"), F.col("__den").cast("double"))
     return sums.where("__den <> 0").select(*partition, time, ratio.alias(dst))

@@ -73,7 +73,7 @@ JOIN m ON m.l_partkey = l.l_partkey AND m.l_suppkey = l.l_suppkey AND m.l_return
 def _(t):
     keys = ["l_partkey", "l_suppkey", "l_returnflag"]
     best = G.aggregate_by(t.lineitem, keys, {"best": F.max("l_extendedprice")})
-    out = J.update_from(t.lineitem.select(*LINE, "l_returnflag"), best, keys, {"top": F.col("s.best")}, unique=True)
+    out = J.update_from(t.lineitem.select(*LINE, "l_returnflag"), best, keys, {"top": F.col("s.best")}, reduced=True)
     return out.drop("l_returnflag")
 
 
@@ -96,7 +96,7 @@ JOIN (SELECT nullif(event_type, 'click') AS kind, max(value) AS top FROM events
 def _(t):
     events = t.events.select("event_id", F.nullif("event_type", F.lit("click")).alias("kind"), "value")
     best = G.aggregate_by(events, ["kind"], {"best": F.max("value")})
-    out = J.update_from(events, best, ["kind"], {"top": F.col("s.best")}, unique=True, null_safe=True)
+    out = J.update_from(events, best, ["kind"], {"top": F.col("s.best")}, reduced=True, null_safe=True)
     return out.select("event_id", "top")
 
 
@@ -186,7 +186,7 @@ LEFT JOIN (SELECT user_id, max(value) AS top FROM events WHERE event_type <> 'er
 def _(t):
     holes = t.events.withColumn("value", F.when(F.col("event_type") != "error", F.col("value"))).select("event_id", "user_id", "value")
     best = G.aggregate_by(holes, ["user_id"], {"best": F.max("value")})
-    return J.update_from(holes, best, ["user_id"], {"value": F.col("s.best")}, unique=True, only_null=True).drop("user_id")
+    return J.update_from(holes, best, ["user_id"], {"value": F.col("s.best")}, reduced=True, only_null=True).drop("user_id")
 
 
 @section.query("e14_conditional_join", """
@@ -425,10 +425,11 @@ def _(t):
 
 
 @section.query("h3_sorted_distinct_list", """
-SELECT p_size, string_agg(p_brand, ',' ORDER BY p_brand) AS brands FROM (SELECT DISTINCT p_size, p_brand FROM part) GROUP BY 1
+SELECT p_size, CAST((rn - 1) // 10 AS BIGINT) AS chunk, string_agg(p_brand, ',' ORDER BY rn) AS brands FROM (
+  SELECT p_size, p_brand, row_number() OVER (PARTITION BY p_size ORDER BY p_brand) AS rn FROM (SELECT DISTINCT p_size, p_brand FROM part)) GROUP BY 1, 2
 """)
 def _(t):
-    return G.sorted_distinct_list(t.part, ["p_size"], "p_brand", "brands")
+    return G.sorted_distinct_list(t.part, ["p_size"], "p_brand", "brands", chunk=10)
 
 
 @section.query("h4_resort_model", "SELECT p_partkey, p_size, p_brand FROM part ORDER BY p_size DESC, p_brand, p_partkey")

@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evolve.operators.ordered import Running, running
+
 # The attributes a record and a field may carry.
 _FIELDS = "_name string, _eval string, _ref string, _type string, _VALUE string"
 _RECORD = f"_id string, _model string, _forcecreate string, field array<struct<{_FIELDS}>>"
 _MARKUP = "field array<string>"
 
 
-def _without_comments(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)<!--.*?-->", "")
-
-
 def parse_records(df: DataFrame, text: str, module: Column) -> DataFrame:
     """One row per field of the record held in ``text``.
 
@@ -51,28 +49,42 @@ def parse_records(df: DataFrame, text: str, module: Column) -> DataFrame:
     )
 
 
-def read_records(spark: SparkSession, path: str, module: str) -> DataFrame:
-    """Read the records of patch files.
+def _pieces(spark: SparkSession, path: str, end: str) -> DataFrame:
+    """File text cut at a closing tag, without comments: (text).
 
-    The files are split at the closing tag, so a large file is read in parallel.
+    The files are read in parallel however large they are. A comment may hold
+    closing tags and so span pieces; whether a piece starts inside one is
+    carried down from the pieces above it.
     """
-    pieces = spark.read.option("lineSep", "</record>").text(path)
-    bare = _without_comments(F.col("value"))
+    cut = spark.read.option("lineSep", end).text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
+        ).alias("at"),
+        F.col("value").alias("text"),
+    )
+    mark = F.nullif(F.regexp_extract("text", r"(?s)^.*(<!--|-->)", 1), F.lit(""))
+    marked = running(cut.withColumn("__mark", mark), ["file"], ["at"], {"__above": Running("before", "__mark")}, unique=True)
+    closed = F.regexp_replace("text", r"(?s)^.*?-->", "")
+    rest = F.when(F.coalesce(F.col("__above") == "<!--", F.lit(False)), F.when(F.col("text").contains("-->"), closed).otherwise("")).otherwise(F.col("text"))
+    return marked.select(F.regexp_replace(F.regexp_replace(rest, r"(?s)<!--.*?-->", ""), r"(?s)<!--.*$", "").alias("text"))
+
+
+def read_records(spark: SparkSession, path: str, module: str) -> DataFrame:
+    """Read the records of patch files."""
     # An empty element has no fields and would swallow the next record.
-    bare = F.regexp_replace(bare, r"<record\b[^>]*/>", "")
+    bare = F.regexp_replace("text", r"<record\b[^>]*/>", "")
     record = F.regexp_extract(bare, r"(?s)(<record\b.*)$", 1)
-    texts = pieces.select(record.alias("__body")).where("__body <> ''")
+    texts = _pieces(spark, path, "</record>").select(record.alias("__body")).where("__body <> ''")
     closed = texts.select(F.concat("__body", F.lit("</record>")).alias("__xml"))
     return parse_records(closed, "__xml", F.lit(module))
 
 
 def read_templates(spark: SparkSession, path: str, module: str) -> DataFrame:
     """Read <template> elements in the same shape: one markup field named arch."""
-    pieces = spark.read.option("lineSep", "</template>").text(path)
-    bare = _without_comments(F.col("value"))
-    head = F.regexp_extract(bare, r"(?s)(<template\b[^>]*[^/]>).*$", 1)
-    body = F.regexp_extract(bare, r"(?s)<template\b[^>]*[^/]>(.*)$", 1)
-    return pieces.select(head.alias("h"), body.alias("b")).where("h <> ''").select(
+    head = F.regexp_extract("text", r"(?s)(<template\b[^>]*[^/]>).*$", 1)
+    body = F.regexp_extract("text", r"(?s)<template\b[^>]*[^/]>(.*)$", 1)
+    return _pieces(spark, path, "</template>").select(head.alias("h"), body.alias("b")).where("h <> ''").select(
         F.lit(module).alias("module"), F.regexp_extract("h", r'\bid="([^"]*)"', 1).alias("record_id"),
         F.lit("template").alias("model"), F.lit(None).cast("boolean").alias("forcecreate"),
         F.lit("arch").alias("field"), F.trim("b").alias("value"), F.lit("markup").alias("kind"),
