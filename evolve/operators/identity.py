@@ -5,7 +5,8 @@ An identity row is (module, name, model, res_id, noupdate).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,15 +98,15 @@ def delete_records_safely(
 ) -> tuple[DataFrame, DataFrame]:
     """Delete by id; a record still in use stays and is reported.
 
-    Returns (kept, blocked). Each referring column is checked by one semi join.
+    Returns (kept, blocked). All referring columns are reduced to one set of
+    used ids; both flags are joined on the same partitioning of the records.
     """
-    blocked = None
-    for table, column in references:
-        hit = keep_related(doomed.select(id_col), table, [(id_col, column)])
-        blocked = hit if blocked is None else blocked.unionByName(hit)
-    blocked = doomed.select(id_col).where(F.lit(False)) if blocked is None else blocked.distinct()
-    gone = drop_related(doomed.select(id_col), blocked, [id_col])
-    return drop_related(records, gone, [id_col]), blocked
+    id_type = records.schema[id_col].dataType
+    used = [table.select(F.col(column).cast(id_type).alias(id_col)) for table, column in references]
+    used = reduce(DataFrame.unionByName, used) if used else records.select(id_col).where(F.lit(False))
+    marked = flag_related(flag_related(records, doomed, [id_col], "__doomed"), used, [id_col], "__used")
+    kept = marked.where(~F.col("__doomed") | F.col("__used")).drop("__doomed", "__used")
+    return kept, keep_related(doomed.select(id_col), used, [id_col])
 
 
 def drop_translations(

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from evolve.storage import checkpointed
+from evolve.storage import stored
 
 _POS, _SEG = "__pos", "__seg"
 
@@ -39,14 +39,14 @@ def _content_hash(df: DataFrame) -> Column:
 
 
 def _lay_out(df: DataFrame, order: Sequence[Column | str], unique: bool) -> DataFrame:
-    """Sort globally and fix each row's position by a checkpoint."""
+    """Sort globally and fix each row's position by storing it."""
     order = [*order] if unique else [*order, _content_hash(df)]
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(_POS, F.monotonically_increasing_id())
     )
-    return checkpointed(placed).withColumn(_SEG, F.shiftright(F.col(_POS), 33))
+    return stored(placed).withColumn(_SEG, F.shiftright(F.col(_POS), 33))
 
 
 def _local(spec: Running, window) -> Column:

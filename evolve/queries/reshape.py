@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from evolve.operators import ordered as O
 from evolve.operators import reshape as R
 from evolve.operators import units as U
-from evolve.operators.joins import attach, update_from
-from evolve.queries.joins import LINE, TIE, TIE_SQL
+from evolve.operators.joins import attach
+from evolve.queries.joins import LINE, TIE
 from evolve.queries.registry import Section
 
 section = Section()

@@ -265,6 +265,14 @@ def _(t):
     return t.documents.select("doc_id", X.translations_to_html(texts)[F.col("lang")].alias("html"))
 
 
+@section.query("o2_scalar_text_functions", r"""
+SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text, trim(regexp_replace(text, '\s+', ' ', 'g')) = '' AS empty FROM documents
+""")
+def _(t):
+    html = X.text_to_html(F.col("text"))
+    return t.documents.select("doc_id", X.html_to_text(html).alias("text"), X.is_html_empty(html).alias("empty"))
+
+
 @section.query("c23_merge_csv_set", """
 SELECT p_partkey, CASE WHEN p_size > 5 THEN array_to_string(list_sort(list_distinct(list_concat(
   string_split(p_name, ' '), ['lang_id', 'red']))), ' ') END AS words

@@ -36,6 +36,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table to the shared checkpoint folder and read it from there.
+
+    Like ``checkpointed``, and whoever reads it afterwards reads only the
+    columns it needs.
+    """
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder under the shared checkpoint folder, for streams and stored versions."""
     _ensure_checkpoint_dir(spark)
