@@ -23,6 +23,15 @@ class Dataset(Mapping):
     def read(cls, spark: SparkSession, folder: str, names: Iterable[str]) -> "Dataset":
         return cls({n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names})
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, names: Iterable[str]) -> "Dataset":
+        return cls({n: spark.table(n) for n in names})
+
+    def write(self, folder: str, names: Iterable[str] | None = None, mode: str = "errorifexists") -> None:
+        """Store tables as parquet, to be read back by ``read``."""
+        for name in self._tables if names is None else names:
+            self._tables[name].write.mode(mode).parquet(f"{folder}/{name}.parquet")
+
     def __getitem__(self, name: str) -> DataFrame:
         return self._tables[name]
 

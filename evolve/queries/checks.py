@@ -309,10 +309,9 @@ def _(t):
     return N.column_changes(before["orders"], run(before, migration())["orders"], ["o_orderkey"])
 
 
-def _stream(t, table, folder_of):
-    return (
-        t.spark.readStream.format("parquet").schema(folder_of.schema).option("pathGlobFilter", f"{table}.parquet").load(t.folder)
-    )
+def _stream(t, table, like):
+    """A test table as a stream; the pattern fits a file as well as a folder of that name."""
+    return t.spark.readStream.schema(like.schema).parquet(f"{t.folder}/{table}.parque[t]")
 
 
 @section.query("p1_stream_steps", """

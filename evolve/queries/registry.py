@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from evolve.session import tune
+
 # The test tables.
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -44,7 +46,7 @@ class Section:
 
     def query(self, name: str, sql: str | None = None):
         def register(fn: Callable[[Tables], DataFrame]):
-            self.queries[name] = lambda spark, folder: fn(Tables(spark, folder))
+            self.queries[name] = lambda spark, folder: fn(Tables(tune(spark), folder))
             if sql is not None:
                 self.sql[name] = sql
             return fn

@@ -26,10 +26,10 @@ def _(t):
 SELECT o_orderkey AS id, o_custkey AS partner_id, o_orderstatus AS state, o_totalprice, o_orderpriority FROM orders
 """)
 def _(t):
-    meta = t.spark.createDataFrame([("sale.order", "o_orderkey")], "model string, name string")
+    meta = t.spark.createDataFrame([("shop.order", "o_orderkey")], "model string, name string")
     ds = Dataset({"orders": t.orders, "fields": meta})
     renames = [("o_orderkey", "id"), ("o_custkey", "partner_id"), ("o_orderstatus", "state")]
-    ds = rename_fields(ds, [("sale.order", "orders", o, n) for o, n in renames])
+    ds = rename_fields(ds, [("shop.order", "orders", o, n) for o, n in renames])
     return ds["orders"].drop("o_orderdate")
 
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from evolve.operators import groups as G
 from evolve.operators import joins as J
+from evolve.session import SETTINGS, tune
 from tests.conftest import rows
 
 
@@ -46,10 +47,10 @@ def test_hot_keys_are_split_when_the_source_was_reduced(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB", "spark.sql.shuffle.partitions": "16",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     }
-    old = {k: spark.conf.get(k, None) for k in settings}
+    old = {k: spark.conf.get(k, None) for k in (*settings, *SETTINGS)}
     try:
         for k, v in settings.items():
-            spark.conf.set(k, v)
+            tune(spark).conf.set(k, v)
         n = 300000
         t = spark.range(0, n, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
         s = spark.range(0, n, 1, 8).select((F.col("id") % 5000).alias("k"), F.col("id").alias("v"))
@@ -59,6 +60,12 @@ def test_hot_keys_are_split_when_the_source_was_reduced(spark):
         ):
             df.collect()
             assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+        # A chain of updates on one key is split at every join.
+        chain = J.update_from(t, s, ["k"], {"v": F.col("s.v")}, pick=[F.col("v").desc()])
+        chain = J.update_from(chain, s, ["k"], {"w": F.col("s.v")}, pick=[F.col("v").asc()])
+        chain.collect()
+        final = chain._jdf.queryExecution().executedPlan().toString().split("== Initial")[0]
+        assert final.count("SortMergeJoin(skew=true)") == 2
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

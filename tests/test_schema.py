@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from evolve.dataset import Dataset
 from evolve.operators import schema as S
+from evolve.operators.joins import update_from
 from evolve.sources import tables as T
 from evolve.storage import BROADCAST_ROWS, mapping_table
 from tests.conftest import rows
@@ -66,11 +68,25 @@ def test_tables(frame, spark, tmp_path):
     with pytest.raises(ValueError):
         T.append_select(ds["t"], frame([(3,)], "nope int"))
     assert T.clear_table(ds["t"]).count() == 0 and T.clear_table(ds["t"]).columns == ["id", "s"]
-    T.write(ds["t"], str(tmp_path / "t.parquet"))
+    ds.write(str(tmp_path))
     assert rows(Dataset.read(spark, str(tmp_path), ["t"])["t"]) == rows(ds["t"])
     assert T.create_relation(spark, "a", "b").dtypes == [("a", "bigint"), ("b", "bigint")]
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        T.save_table(spark.range(100).withColumnRenamed("id", "k"), "left_side", ["k"], 4, mode="overwrite")
+        T.save_table(spark.range(50).selectExpr("id AS k", "id AS v"), "right_side", ["k"], 4, mode="overwrite")
+        ds = Dataset.from_catalog(spark, ["left_side", "right_side"])
+        out = update_from(ds["left_side"], ds["right_side"], ["k"], {"v": F.col("s.v")}, unique=True)
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.where("v IS NULL").count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_mappings_are_broadcast_only_up_to_the_bound(spark):
     def hinted(n):
         df = mapping_table(spark, [(str(i), "x") for i in range(n)], "old string, new string")
