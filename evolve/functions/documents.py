@@ -32,8 +32,10 @@ def merge_maps(left: Column, right: Column) -> Column:
 
 
 def merge_json(df: DataFrame, dst: str, a: Column, b: Column, value_type: str = "string") -> DataFrame:
-    """``merge_maps`` on two JSON object texts."""
-    return df.withColumn(dst, sorted_json(merge_maps(parse_map(a, value_type), parse_map(b, value_type))))
+    """``merge_maps`` on two JSON object texts, each parsed once."""
+    parsed = df.withColumns({"__left": parse_map(a, value_type), "__right": parse_map(b, value_type)})
+    merged = parsed.withColumn("__merged", merge_maps(F.col("__left"), F.col("__right")))
+    return merged.withColumn(dst, sorted_json(F.col("__merged"))).drop("__left", "__right", "__merged")
 
 
 def concat_arrays(a: Column, b: Column) -> Column:

@@ -59,15 +59,20 @@ def translations_to_html(c: Column) -> Column:
     return F.transform_values(c, lambda _, text: text_to_html(text))
 
 
+# The entities decoded, ampersand last so that nothing decodes twice.
+ENTITIES = (
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
+    ("&copy;", "\u00a9"), ("&reg;", "\u00ae"), ("&middot;", "\u00b7"), ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"),
+    ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&hellip;", "\u2026"), ("&euro;", "\u20ac"), ("&amp;", "&"),
+)
+
+
 def html_to_text(c: Column) -> Column:
     """Markup without its tags, scripts and styles; blank runs become one space."""
     bare = F.regexp_replace(c, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>", " ")
     bare = F.regexp_replace(bare, r"(?s)<!--.*?-->", " ")
     bare = F.regexp_replace(bare, r"(?s)<[^>]*>", " ")
-    # The entities decoded, ampersand last so nothing decodes twice.
-    for entity, char in (
-        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
-    ):
+    for entity, char in ENTITIES:
         bare = F.replace(bare, F.lit(entity), F.lit(char))
     return F.trim(F.regexp_replace(bare, r"\s+", " "))
 

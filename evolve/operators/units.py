@@ -36,8 +36,8 @@ def unit_roots(units: DataFrame, id_col: str, parent_col: str, factor_col: str |
     """Root of every unit's tree, and the factor from the unit to that root.
 
     Pointer doubling: each round a unit jumps to where its target points, so a
-    chain of depth d takes log2(d) rounds. Units that reached a root leave the
-    join. A cycle never ends and is an error. Returns (id, root, factor).
+    chain of depth d takes log2(d) rounds. A unit is done once it points to a
+    root, or jumped to where a unit that is done points; it then leaves the join. A cycle never ends and is an error. Returns (id, root, factor).
     """
     factor = F.col(factor_col).cast("double") if factor_col else F.lit(1.0)
     edges = units.select(F.col(id_col).alias("id"), F.col(parent_col).alias("up"), factor.alias("f"))
@@ -47,13 +47,16 @@ def unit_roots(units: DataFrame, id_col: str, parent_col: str, factor_col: str |
     moving = checkpointed(linked.withColumn("done", F.lit(False)))
     rounds = max(1, math.ceil(math.log2(max(2, moving.count()))) + 1)
     for _ in range(rounds):
-        there = moving.select(F.col("id").alias("__id"), F.col("up").alias("__up"), F.col("f").alias("__f"))
+        there = moving.select(
+            F.col("id").alias("__id"), F.col("up").alias("__up"), F.col("f").alias("__f"), F.col("done").alias("__done")
+        )
         active = moving.where("NOT done")
         stepped = (
             active.join(there, F.col("up") == F.col("__id"), "left")
             .select(
                 "id", F.coalesce("__up", "up").alias("up"),
-                (F.col("f") * F.coalesce("__f", F.lit(1.0))).alias("f"), F.col("__id").isNull().alias("done"),
+                (F.col("f") * F.coalesce("__f", F.lit(1.0))).alias("f"),
+                F.coalesce("__done", F.lit(True)).alias("done"),
             )
         )
         moving = checkpointed(moving.where("done").unionByName(stepped))

@@ -31,14 +31,14 @@ class Step:
             raise ValueError(f"phase is one of {', '.join(PHASES)}")
 
 
-@dataclass(frozen=True)
+@dataclass
 class Plan:
-    steps: Sequence[Step] = field(default_factory=tuple)
+    steps: list[Step] = field(default_factory=list)
 
     def step(self, module: str, phase: str, reads=(), writes=(), version: str = ""):
-        """Decorator that registers a step; use as ``plan = plan.add(..)`` otherwise."""
+        """Decorator that registers a function as a step."""
         def register(fn):
-            object.__setattr__(self, "steps", (*self.steps, Step(module, phase, fn, reads, writes, version)))
+            self.steps.append(Step(module, phase, fn, reads, writes, version))
             return fn
 
         return register
@@ -50,7 +50,7 @@ class Plan:
     def excluding(self, versions: Iterable[tuple[str, str]]) -> "Plan":
         """The plan without the listed (module, version) steps."""
         gone = set(versions)
-        return Plan(tuple(s for s in self.steps if (s.module, s.version) not in gone))
+        return Plan([s for s in self.steps if (s.module, s.version) not in gone])
 
     def missing_reads(self, ds: Dataset) -> list[tuple[str, str, str]]:
         """(module, phase, table) of reads that no table or earlier step provides."""

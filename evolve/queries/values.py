@@ -240,15 +240,18 @@ def _(t):
     return t.part.select("p_partkey", pattern.alias("pattern"))
 
 
+def _decoded_sql(text: str) -> str:
+    for entity, char in X.ENTITIES:
+        text = f"replace({text}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return text
+
+
 @section.query("c22_html_to_text", r"""
 WITH p AS (
   SELECT page_id, html, regexp_replace(regexp_replace(regexp_replace(html,
     '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g') AS bare
   FROM pages
-), q AS (
-  SELECT page_id, html, trim(regexp_replace(replace(replace(replace(replace(replace(replace(bare, '&nbsp;', ' '), '&lt;', '<'),
-    '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM p
-)
+), q AS (SELECT page_id, html, trim(regexp_replace(""" + _decoded_sql("bare") + r""", '\s+', ' ', 'g')) AS text FROM p)
 SELECT page_id, text, NOT regexp_matches(html, '(?i)<(img|video|iframe)\b') AND text = '' AS empty FROM q
 """)
 def _(t):

@@ -110,14 +110,14 @@ def _mark(table, value):
 
 def test_plan_runs_phases_in_order_and_checks_reads(frame):
     ds = Dataset({"t": frame([("1",)], "p string")})
-    plan = Plan((
+    plan = Plan([
         Step("a", "end", _mark("t", "late"), ["t"], ["t"]), Step("a", "pre", _mark("t", "pre"), ["t"], ["t"], "1.0"),
-    ))
+    ])
     assert rows(run(ds, plan)["t"]) == [("late",)]
     assert rows(run(ds, plan, cut_between_phases=True)["t"]) == [("late",)]
     assert len(plan.excluding([("a", "1.0")]).steps) == 1
     with pytest.raises(ValueError, match="nobody"):
-        run(ds, Plan((Step("a", "pre", lambda d: d, ["missing"]),)))
+        run(ds, Plan([Step("a", "pre", lambda d: d, ["missing"])]))
     with pytest.raises(ValueError):
         Step("a", "later", lambda d: d)
 

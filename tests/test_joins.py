@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from evolve.operators import groups as G
@@ -146,3 +148,26 @@ def test_multiset_difference_counts_duplicates(frame):
 def test_sorted_list_is_cut_into_chunks(frame):
     t = frame([(1, "c"), (1, "a"), (1, "a"), (1, "b"), (1, None)], "k int, v string")
     assert rows(G.sorted_distinct_list(t, ["k"], "v", "l", chunk=2)) == [(1, 0, "a,b"), (1, 1, "c")]
+
+
+keys = st.one_of(st.none(), st.integers(0, 3))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(keys, max_size=12), st.lists(st.tuples(keys, st.integers(0, 50)), max_size=12, unique_by=lambda p: p[1]))
+def test_updates_and_filters_agree_with_brute_force(spark, left, right):
+    t = spark.createDataFrame([(i, k, -1) for i, k in enumerate(left)], "id int, k int, v int")
+    s = spark.createDataFrame(right, "k int, w int")
+    best = {}
+    for k, w in right:
+        best[k] = max(w, best.get(k, w))
+    sets, pick = {"v": F.col("s.w")}, [F.col("w").desc()]
+    plain = {r.id: r.v for r in J.update_from(t, s, ["k"], sets, pick=pick).collect()}
+    assert plain == {i: -1 if k is None else best.get(k, -1) for i, k in enumerate(left)}
+    safe = {r.id: r.v for r in J.update_from(t, s, ["k"], sets, pick=pick, null_safe=True).collect()}
+    assert safe == {i: best.get(k, -1) for i, k in enumerate(left)}
+    has = {i for i, k in enumerate(left) if k is not None and k in best}
+    assert {r.id for r in J.keep_related(t, s, ["k"]).collect()} == has
+    assert {r.id for r in J.drop_related(t, s, ["k"]).collect()} == set(range(len(left))) - has
+    not_in = set() if None in best else {i for i, k in enumerate(left) if (k is not None or not best) and i not in has}
+    assert {r.id for r in J.not_in(t, s, "k", "k").collect()} == not_in

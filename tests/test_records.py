@@ -37,6 +37,27 @@ def test_read_records(spark, tmp_path):
         ("uom", "t1", "template", None, "arch", "<h1>Hi</h1>", "markup")]
 
 
+def test_large_patch_files_are_read_in_splits(spark, tmp_path):
+    parts = []
+    for i in range(600):
+        record = f'<record id="r{i}" model="m"><field name="n" eval="{i}"/><field name="s">text {i}</field></record>'
+        if i % 100 == 50:
+            record = "<!-- " + record
+        if i % 100 == 60:
+            record = record + " -->"
+        parts.append(record)
+    (tmp_path / "big.xml").write_text("<data>\n" + "\n".join(parts) + "\n</data>\n")
+    kept = [i for i in range(600) if not 50 <= i % 100 <= 60]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        df = X.read_records(spark, str(tmp_path / "big.xml"), "mod")
+        assert sorted(int(r.value) for r in df.where("field = 'n'").collect()) == kept
+        assert df.count() == 2 * len(kept)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_transform_patch(frame):
     patch = frame([("a", True, "x", "1"), ("a", True, "y", "2"), ("b", True, "x", "3"), ("c", True, "z", "4")],
                   "record_id string, forcecreate boolean, field string, value string")
