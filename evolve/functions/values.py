@@ -8,10 +8,14 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from evolve.operators.joins import attach
+from evolve.storage import mapping_table
 
 KEEP = object()
 
-# Longer maps become a literal map looked up by key instead of a WHEN chain.
+# Longer maps are joined as a mapping table instead of a WHEN chain.
 WHEN_CHAIN = 32
 
 
@@ -21,15 +25,17 @@ def _lit(value) -> Column:
     return F.lit(None if value is False else value)
 
 
-def _mapped(src: Column, pairs: Sequence[tuple], otherwise: Column) -> Column:
-    if len(pairs) > WHEN_CHAIN and all(old is not None for old, _ in pairs):
-        entries = [F.lit(v) if i == 0 else _lit(v) for pair in pairs for i, v in enumerate(pair)]
-        lookup = F.create_map(*entries)
-        return F.when(F.map_contains_key(lookup, src), lookup[src]).otherwise(otherwise)
-    chain = F
-    for old, new in pairs:
-        chain = chain.when(src.eqNullSafe(F.lit(old)), _lit(new))
-    return chain.otherwise(otherwise) if pairs else otherwise
+def _mapping(df: DataFrame, src: str, pairs: Sequence[tuple]) -> DataFrame:
+    news = [None if new is False else new for _, new in pairs]
+    sample = next((n for n in news if n is not None), "")
+    schema = T.StructType(
+        [
+            T.StructField("__old", df.schema[src].dataType),
+            T.StructField("__new", df.sparkSession.range(0).select(F.lit(sample)).schema[0].dataType),
+            T.StructField("__hit", T.BooleanType()),
+        ]
+    )
+    return mapping_table(df.sparkSession, [(o, n, True) for (o, _), n in zip(pairs, news)], schema)
 
 
 def map_values(df: DataFrame, src: str, dst: str, pairs: Iterable[tuple], default=KEEP) -> DataFrame:
@@ -38,11 +44,21 @@ def map_values(df: DataFrame, src: str, dst: str, pairs: Iterable[tuple], defaul
     Unmapped values leave ``dst`` as it is, or take ``default``. A map to
     ``None`` or ``False`` stores NULL.
     """
+    # As in a chain of conditions, the first pair of an old value decides.
+    pairs = list({old: (old, new) for old, new in reversed(list(pairs))}.values())[::-1]
     if default is not KEEP:
         rest = _lit(default)
     else:
         rest = F.col(dst) if dst in df.columns else F.lit(None)
-    return df.withColumn(dst, _mapped(F.col(src), list(pairs), rest))
+    if len(pairs) <= WHEN_CHAIN or any(isinstance(new, Column) for _, new in pairs):
+        chain = F
+        for old, new in pairs:
+            chain = chain.when(F.col(src).eqNullSafe(F.lit(old)), _lit(new))
+        return df.withColumn(dst, chain.otherwise(rest) if pairs else rest)
+    looked_up = attach(df, _mapping(df, src, pairs), [(src, "__old")], ["__new", "__hit"], null_safe=True)
+    mapped = F.when(F.col("__hit"), F.col("__new")).otherwise(rest)
+    columns = df.columns if dst in df.columns else [*df.columns, dst]
+    return looked_up.withColumn(dst, mapped).select(*columns)
 
 
 def map_in_place(df: DataFrame, col: str, pairs: Iterable[tuple]) -> DataFrame:

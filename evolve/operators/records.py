@@ -35,23 +35,83 @@ def transform_patch(
     return out.select(*patch.columns)
 
 
+def _named_record(value: Column) -> Column:
+    """The record a ref(..) call names."""
+    return F.nullif(F.regexp_extract(value, r"ref\(\s*['\"]([^'\"]+)['\"]", 1), F.lit(""))
+
+
+def resolve_values(patch: DataFrame, identity: DataFrame, booleans: Sequence[str] = ()) -> DataFrame:
+    """Turn the literals of a patch into plain values: (.., value, kind) to (.., value).
+
+    References become record ids, NULL where nobody has the name; a name without
+    a module belongs to the patch's. None and False become NULL, but False stays
+    for the fields in ``booleans``. Quoted text loses its quotes. Lists of member
+    commands are left out: see ``member_commands``.
+    """
+    value, evaluated = F.col("value"), F.col("kind") == "eval"
+    name = F.when(F.col("kind") == "ref", value).when(evaluated & value.startswith("ref("), _named_record(value))
+    full = F.when(name.contains("."), name).otherwise(F.concat_ws(".", F.col("module"), name))
+    plain = patch.where(~(evaluated & value.startswith("["))).withColumn("__ref", F.when(name.isNotNull(), full))
+    names = identity.select(F.concat_ws(".", "module", "name").alias("__full"), F.col("res_id").cast("string").alias("__id"))
+    found = attach(plain, names, [("__ref", "__full")], ["__id"])
+    quoted = F.regexp_extract(value, r"(?s)^\s*'(.*)'\s*$", 1)
+    literal = (
+        F.when(value == "None", F.lit(None))
+        .when(value == "False", F.when(F.col("field").isin(list(booleans)), F.lit("false")))
+        .when(value == "True", F.lit("true"))
+        .when(value.rlike(r"(?s)^\s*'.*'\s*$"), F.replace(quoted, F.lit("\\n"), F.lit("\n")))
+        .otherwise(value)
+    )
+    resolved = F.when(F.col("__ref").isNotNull(), F.col("__id")).when(evaluated, literal).otherwise(value)
+    return found.withColumn("value", resolved).select(*[c for c in patch.columns if c != "kind"])
+
+
+def member_commands(patch: DataFrame) -> DataFrame:
+    """Relation values of a patch: (.., command, member), one row per named member.
+
+    A list that sets or clears replaces; any other adds. A replacement without
+    members gives one row whose member is NULL.
+    """
+    value = F.col("value")
+    replaces = value.rlike(r"\(\s*[56]\s*[,)]|\.(set|clear)\(")
+    names = F.regexp_extract_all(value, F.lit(r"ref\(\s*['\"]([^'\"]+)['\"]"), F.lit(1))
+    rows = patch.where((F.col("kind") == "eval") & value.startswith("[")).select(
+        *[c for c in patch.columns if c not in ("value", "kind", "forcecreate")],
+        F.when(replaces, "replace").otherwise("add").alias("command"), F.explode_outer(names).alias("__name"),
+    )
+    full = F.when(F.col("__name").contains("."), F.col("__name")).otherwise(
+        F.when(F.col("__name").isNotNull(), F.concat_ws(".", "module", "__name"))
+    )
+    return rows.withColumn("member", full).drop("__name").where("member IS NOT NULL OR command = 'replace'")
+
+
 def upsert_records(
-    target: DataFrame, patch: DataFrame, key: str, create: str = "auto", protected: Column | None = None
+    target: DataFrame, patch: DataFrame, key: str, create: str = "auto", protected: Column | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """Apply patch rows (key, field, value as text, optional forcecreate) by record key.
 
     Only the listed fields change, also when the new value is NULL. A record
     that is missing is inserted: always, never, or (auto) unless its
-    forcecreate is false. Existing rows for which ``protected`` holds stay.
+    forcecreate is false. Existing rows for which ``protected`` holds stay. A
+    field may be listed twice for a record if a ``position`` column tells which
+    comes last.
     """
     if create not in ("auto", "always", "never"):
         raise ValueError("create is auto, always or never")
     fields = [f for f in target.schema.fields if f.name != key]
+
+    def chosen(name: str) -> Column:
+        listed = F.col("field") == name
+        if position is None:
+            return F.max(F.when(listed, F.col("value")))
+        return F.max_by(F.struct("value"), F.when(listed, F.col(position)))["value"]
+
     force = F.bool_and(F.coalesce("forcecreate", F.lit(True))) if "forcecreate" in patch.columns else F.bool_and(F.lit(True))
     wide = patch.groupBy(F.col(key).alias("__key")).agg(
         force.alias("__force"),
         *[F.bool_or(F.col("field") == f.name).alias(f"__has_{f.name}") for f in fields],
-        *[F.max(F.when(F.col("field") == f.name, F.col("value"))).alias(f"__new_{f.name}") for f in fields],
+        *[chosen(f.name).alias(f"__new_{f.name}") for f in fields],
     )
     how = "left" if create == "never" else "full"
     known = target.withColumn("__known", F.lit(True))

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from evolve.dataset import Dataset
 from evolve.functions.values import map_values
 from evolve.operators.joins import attach
-from evolve.operators.records import apply_member_commands, transform_patch, upsert_records
+from evolve.operators.records import (
+    apply_member_commands, member_commands, resolve_values, transform_patch, upsert_records,
+)
 from evolve.queries.registry import Section
 from evolve.sources.records import parse_records
 from evolve.sources.reports import attach_notes, parse_diff_lines, parse_status_lines
@@ -107,6 +109,32 @@ def _(t):
     return upsert_records(t.customer, old.unionByName(new), "c_custkey", create="auto")
 
 
+@section.query("a4_resolve_values", r"""
+SELECT 'sales' AS module, o_orderkey AS record_id, 'note' AS field, CASE o_orderpriority
+  WHEN '1-URGENT' THEN CAST(c_custkey AS VARCHAR) WHEN '3-MEDIUM' THEN CAST(c_custkey AS VARCHAR)
+  WHEN '4-NOT SPECIFIED' THEN o_orderstatus || chr(10) || 'x' WHEN '5-LOW' THEN CASE WHEN o_orderstatus = 'F' THEN NULL ELSE 'None' END END AS value
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+""")
+def _(t):
+    priority, name = F.col("o_orderpriority"), F.format_string("Customer#%09d", "o_custkey")
+    literal = (
+        F.when(priority == "1-URGENT", F.concat(F.lit("base."), name)).when(priority == "2-HIGH", F.lit("nobody"))
+        .when(priority == "3-MEDIUM", F.concat(F.lit("ref('base."), name, F.lit("', raise_if_not_found=False)")))
+        .when(priority == "4-NOT SPECIFIED", F.concat(F.lit("'"), F.col("o_orderstatus"), F.lit("\\nx'")))
+        .otherwise("None")
+    )
+    kind = (
+        F.when(priority.isin("1-URGENT", "2-HIGH"), "ref")
+        .when((priority == "5-LOW") & (F.col("o_orderstatus") != "F"), "text").otherwise("eval")
+    )
+    patch = t.orders.select(
+        F.lit("sales").alias("module"), F.col("o_orderkey").alias("record_id"), F.lit("note").alias("field"),
+        literal.alias("value"), kind.alias("kind"),
+    )
+    identity = t.customer.select(F.lit("base").alias("module"), F.col("c_name").alias("name"), F.col("c_custkey").alias("res_id"))
+    return resolve_values(patch, identity)
+
+
 @section.query("a5_snapshot", """
 SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'open' ELSE o_orderstatus END AS o_orderstatus,
        o_orderstatus AS status_before
@@ -226,6 +254,23 @@ def _(t):
     return attach(t.orders, codes, [("o_orderpriority", "old")], {"code": "new"}).select("o_orderkey", "code")
 
 
+@section.query("a13_member_commands", """
+SELECT 'base' AS module, o_orderkey AS record_id, CASE WHEN o_orderstatus = 'F' THEN 'replace' ELSE 'add' END AS command,
+  'base.c_' || o_custkey AS member FROM orders WHERE o_orderstatus IN ('F', 'O')
+UNION ALL SELECT 'base', o_orderkey, 'add', 'other.x' FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 'base', o_orderkey, 'replace', NULL FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 200000
+""")
+def _(t):
+    status, key = F.col("o_orderstatus"), F.col("o_custkey").cast("string")
+    text = (
+        F.when(status == "F", F.concat(F.lit("[Command.set([ref('c_"), key, F.lit("')])]")))
+        .when(status == "O", F.concat(F.lit("[(4, ref('base.c_"), key, F.lit("')), (4, ref('other.x'))]")))
+        .when(F.col("o_totalprice") > 200000, F.lit("[Command.set([])]")).otherwise("True")
+    )
+    patch = t.orders.select(F.lit("base").alias("module"), F.col("o_orderkey").alias("record_id"), text.alias("value"), F.lit("eval").alias("kind"))
+    return member_commands(patch)
+
+
 @section.query("a13_apply_member_commands", """
 WITH r AS (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)
 SELECT c_nationkey AS owner, c_custkey AS member FROM customer JOIN r ON n_nationkey = c_nationkey

@@ -8,6 +8,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A mapping written out in the plan is broadcast up to this many rows; beyond it
 # the join is left to the planner, which shuffles or broadcasts by statistics.
@@ -58,7 +59,7 @@ def small(rows: int, df: DataFrame) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def mapping_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+def mapping_table(spark: SparkSession, rows: Iterable[tuple], schema: str | StructType) -> DataFrame:
     """A pinned mapping (old name to new name and the like) as a joinable frame."""
     rows = list(rows)
     return small(len(rows), spark.createDataFrame(rows, schema))

@@ -81,6 +81,28 @@ def test_upsert_sets_only_listed_fields_and_null_overwrites(frame):
     assert rows(R.upsert_records(auto, patch, "id", protected=F.col("id") == "p")) == rows(auto)
 
 
+def test_later_listing_of_a_field_wins_by_position(frame):
+    target = frame([("a", 1)], "id string, n int")
+    patch = frame([("a", "n", "9", 1), ("a", "n", "3", 2), ("b", "n", "4", 1), ("b", "n", None, 2)], "id string, field string, value string, at int")
+    assert rows(R.upsert_records(target, patch, "id", position="at")) == [("a", 3), ("b", None)]
+
+
+def test_patch_literals(frame):
+    patch = frame(
+        [("m", "r1", "f", "ref('b.x', raise_if_not_found=False)", "eval"), ("m", "r2", "f", "x", "ref"), ("m", "r3", "f", "None", "eval"),
+         ("m", "r4", "f", "False", "eval"), ("m", "r4", "flag", "False", "eval"), ("m", "r5", "f", "'a\\nb'", "eval"),
+         ("m", "r6", "f", "1.5", "eval"), ("m", "r7", "f", "False", "text"), ("m", "r8", "f", "[(4, ref('x')), (4, ref('b.x'))]", "eval"),
+         ("m", "r9", "f", "[Command.set([])]", "eval"), ("m", "r9", "g", "[(6, 0, [ref('x')])]", "eval")],
+        "module string, record_id string, field string, value string, kind string",
+    )
+    ids = frame([("b", "x", 7), ("m", "x", 8)], "module string, name string, res_id long")
+    got = {(r.record_id, r.field): r.value for r in R.resolve_values(patch, ids, booleans=["flag"]).collect()}
+    assert got == {("r1", "f"): "7", ("r2", "f"): "8", ("r3", "f"): None, ("r4", "f"): None, ("r4", "flag"): "false",
+                   ("r5", "f"): "a\nb", ("r6", "f"): "1.5", ("r7", "f"): "False"}
+    assert rows(R.member_commands(patch).select("record_id", "field", "command", "member")) == [
+        ("r8", "f", "add", "b.x"), ("r8", "f", "add", "m.x"), ("r9", "f", "replace", None), ("r9", "g", "replace", "m.x")]
+
+
 def test_member_commands(frame):
     pairs = frame([(1, 10), (1, 11), (2, 10), (3, 10)], "l int, r int")
     patch = frame([(1, "add", 12), (1, "add", 10), (2, "replace", 20), (3, "replace", None)], "l int, command string, r int")

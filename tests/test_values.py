@@ -22,6 +22,9 @@ def test_long_maps_use_a_lookup_with_the_same_result(frame):
     df = frame([("k5", "x"), ("gone", "x"), ("other", "x"), (None, "x")], "src string, dst string")
     out = V.map_values(df, "src", "dst", pairs)
     assert rows(out) == [("gone", None), ("k5", "v5"), ("other", "x"), (None, "x")]
+    assert out.columns == ["src", "dst"]
+    again = V.map_values(df, "src", "src", [("k5", "first"), *pairs, (None, "was null")], default="other")
+    assert sorted(r.src for r in again.collect() if r.src) == ["first", "other", "was null"]
 
 
 def test_map_in_place_does_not_chain(frame):
