@@ -1,11 +1,15 @@
 """Numbering, running values and look-back over an order, without one big task.
 
 A plain window gathers a whole group in one task, and a global one gathers the
-whole table. Here rows are range-partitioned by (group, order), so that a hot
-group spreads over many partitions, and each partition works on its own
-stretch. What a stretch needs from the ones before it is one row per stretch
-at most: a group continues into a partition only if it is the first group there.
-That carry frame is bounded by the number of partitions and is broadcast.
+whole table. So the largest group is counted first, on the group columns alone.
+Up to ``GROUP_ROWS`` a plain window over the groups is the cheapest plan.
+
+Beyond it, and for a global order, rows are range-partitioned by (group, order),
+so that a hot group spreads over many partitions, and each partition works on
+its own stretch. What a stretch needs from the ones before it is one row per
+stretch at most: a group continues into a partition only if it is the first
+group there. That carry frame is bounded by the number of partitions and is
+broadcast.
 """
 
 from __future__ import annotations
@@ -23,6 +27,9 @@ from evolve.storage import stored
 
 _POS, _SEG = "__pos", "__seg"
 
+# A group of up to this many rows is worked on by one task.
+GROUP_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class Running:
@@ -38,9 +45,13 @@ def _content_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
 
 
-def _lay_out(df: DataFrame, order: Sequence[Column | str], unique: bool) -> DataFrame:
+def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
+def _lay_out(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Sort globally and fix each row's position by storing it."""
-    order = [*order] if unique else [*order, _content_hash(df)]
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -99,14 +110,23 @@ def _combine(spec: Running, local: Column, carry: Column) -> Column:
 
 def running(
     df: DataFrame, by: Sequence[str], order: Sequence[Column | str], values: Mapping[str, Running],
-    unique: bool = False,
+    unique: bool = False, counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add running values per group ``by`` in ``order`` (rows up to and including this one).
 
+    ``counted`` is a cheaper frame with no fewer rows per group, to size them by.
+
     Ties are broken by the content of the rows unless the order is ``unique`` in its group.
     """
-    by = list(by)
-    laid = _lay_out(df, [*by, *order], unique)
+    by, order = list(by), [*order] if unique else [*order, _content_hash(df)]
+    if by and _largest_group(df if counted is None else counted, by) <= GROUP_ROWS:
+        window = Window.partitionBy(*by).orderBy(*order)
+        plain = {d: _local(s, window) for d, s in values.items()}
+        return df.select(
+            *[c for c in df.columns if c not in values],
+            *[(c["v"] if values[d].kind == "lag" else c).alias(d) for d, c in plain.items()],
+        )
+    laid = _lay_out(df, [*by, *order])
     here = Window.partitionBy(*by, _SEG).orderBy(_POS)
     local = laid.select("*", *[_local(s, here).alias(f"__l_{d}") for d, s in values.items()])
 
@@ -139,7 +159,7 @@ def sequence_over(
 
     Only the count of each partition meets in one task.
     """
-    laid = _lay_out(df, order, unique)
+    laid = _lay_out(df, [*order] if unique else [*order, _content_hash(df)])
     counts = laid.groupBy(F.col(_SEG).alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__s", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
@@ -196,7 +216,7 @@ def running_ratio(
     per_time = df.groupBy(*partition, time).agg(exact(num).alias("__num"), exact(den).alias("__den"))
     sums = running(
         per_time, partition, [time], {"__num": Running("sum", "__num"), "__den": Running("sum", "__den")},
-        unique=True,
+        unique=True, counted=df,
     )
     ratio = F.try_divide(F.col("__num").cast("double"), F.col("__den").cast("double"))
     return sums.where("__den <> 0").select(*partition, time, ratio.alias(dst))
@@ -211,6 +231,8 @@ def collect_aligned(
     An array holds at most ``chunk`` items; a longer group goes on in the next
     chunk, so no task ever holds an unbounded group.
     """
+    if all(isinstance(o, str) for o in order):
+        df = df.select(*dict.fromkeys([*keys, *order, *cols]))
     numbered = number_within(df, keys, order, "__rn")
     cut = numbered.withColumn(chunk_col, F.floor((F.col("__rn") - 1) / chunk).cast("long"))
     item = F.struct("__rn", *cols)

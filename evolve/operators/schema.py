@@ -114,10 +114,15 @@ def retain_dropped(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFr
     return attach(new, old, list(key), kept) if kept else new
 
 
-def schema_rows(spark: SparkSession, ds: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per column of the dataset: (table, column, type)."""
-    rows = [(t, f.name, f.dataType.simpleString()) for t, df in ds.items() for f in df.schema.fields]
-    return spark.createDataFrame(rows, "table string, column string, type string")
+def retain_tables(before: Mapping[str, DataFrame], after: Mapping[str, DataFrame]) -> Dataset:
+    """Never drop: tables that only the old dataset has stay beside the new ones."""
+    return Dataset({**before, **after})
+
+
+def catalog_rows(spark: SparkSession, module: str, ds: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per column of a dataset, as schema differences take it: (module, model, field, type)."""
+    rows = [(module, t, f.name, f.dataType.simpleString()) for t, df in ds.items() for f in df.schema.fields]
+    return spark.createDataFrame(rows, "module string, model string, field string, type string")
 
 
 def retained_report(before: Mapping[str, DataFrame], after: Mapping[str, DataFrame]) -> DataFrame | None:

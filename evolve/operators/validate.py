@@ -79,10 +79,17 @@ def orphan_rows(child: DataFrame, parent: DataFrame, on: tuple[str, str]) -> Dat
     return drop_related(child.where(F.col(ck).isNotNull()), parent, [(ck, pk)])
 
 
-def gate_log(lines: DataFrame, text: str, level: str, ignore: Sequence[str]) -> DataFrame:
-    """Log lines at warning or above that match none of the ignore patterns."""
-    severe = F.col(level).isin("WARNING", "ERROR", "CRITICAL")
-    out = lines.where(severe)
+# The levels of a log, the last three of which matter.
+LOG_LEVELS = ("DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL")
+
+
+def gate_log(lines: DataFrame, text: str, ignore: Sequence[str], level: str | None = None) -> DataFrame:
+    """Log lines at warning or above that match none of the ignore patterns.
+
+    Without a ``level`` column the level is the first one named in the text.
+    """
+    named = F.regexp_extract(text, rf"\b({'|'.join(LOG_LEVELS)})\b", 1) if level is None else F.col(level)
+    out = lines.where(named.isin(*LOG_LEVELS[2:]))
     if ignore:
         pattern = "|".join(f"(?:{p})" for p in ignore)
         out = out.where(~F.coalesce(F.col(text).rlike(pattern), F.lit(False)))

@@ -211,15 +211,15 @@ def _(t):
 
 @section.query("n5_gate_log", r"""
 SELECT event_id, text FROM (SELECT event_id, CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'view' THEN 'WARNING' ELSE 'INFO' END AS level,
-  event_type || ' by ' || user_id || ': ' || props AS text FROM events)
-WHERE level <> 'INFO' AND NOT regexp_matches(text, 'view by 1\d\b') AND NOT regexp_matches(text, '"k": [1-4]')
+  CASE event_type WHEN 'error' THEN 'ERROR ' WHEN 'view' THEN 'WARNING ' ELSE 'INFO ' END || event_type || ' by ' || user_id || ': ' || props AS text FROM events)
+WHERE level <> 'INFO' AND NOT regexp_matches(text, 'WARNING.* view by 1\d\b') AND NOT regexp_matches(text, '"k": [1-4]')
 """)
 def _(t):
     kind = F.col("event_type")
     level = F.when(kind == "error", "ERROR").when(kind == "view", "WARNING").otherwise("INFO")
-    text = F.concat(kind, F.lit(" by "), F.col("user_id").cast("string"), F.lit(": "), F.col("props"))
-    lines = t.events.select("event_id", level.alias("level"), text.alias("text"))
-    return N.gate_log(lines, "text", "level", [r"view by 1\d\b", r'"k": [1-4]']).drop("level")
+    text = F.concat(level, F.lit(" "), kind, F.lit(" by "), F.col("user_id").cast("string"), F.lit(": "), F.col("props"))
+    lines = t.events.select("event_id", text.alias("text"))
+    return N.gate_log(lines, "text", [r"WARNING.* view by 1\d\b", r'"k": [1-4]'])
 
 
 @section.query("n6_isolate_failures", """

@@ -34,7 +34,9 @@ def test_rules_orphans_and_log_gate(frame):
     assert rows(N.duplicate_keys(df, ["id"])) == [(2, 2)]
     assert rows(N.orphan_rows(frame([(1,), (7,), (None,)], "ref int"), df, ("ref", "id"))) == [(7,)]
     log = frame([("INFO", "a"), ("WARNING", "b 0 failed"), ("ERROR", "c"), ("WARNING", None)], "level string, text string")
-    assert rows(N.gate_log(log, "text", "level", [r"0 failed", "zzz"])) == [("ERROR", "c"), ("WARNING", None)]
+    assert rows(N.gate_log(log, "text", [r"0 failed", "zzz"], level="level")) == [("ERROR", "c"), ("WARNING", None)]
+    raw = frame([("10:00 INFO ok WARNING",), ("10:01 WARNING db: invalid option x",), ("10:02 ERROR db: broken",)], "text string")
+    assert rows(N.gate_log(raw, "text", [r"WARNING .* invalid option"])) == [("10:02 ERROR db: broken",)]
 
 
 def test_a_refused_update_keeps_its_row_and_the_rest_goes_on(frame):

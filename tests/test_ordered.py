@@ -1,3 +1,5 @@
+from unittest import mock
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -10,29 +12,41 @@ from tests.conftest import rows
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from([None, 1, 1, 1, 2]), st.one_of(st.none(), st.integers(0, 5))), min_size=0, max_size=60))
 def test_running_values_agree_with_a_plain_pass(spark, data):
+    check_running(spark, data, O.GROUP_ROWS)
+    check_running(spark, data, 0)
+
+
+def check_running(spark, data, group_rows):
+    """Compare with one pass in Python; ``group_rows=0`` takes the way of large groups."""
     numbered = [(g, i, v) for i, (g, v) in enumerate(data)]
     df = spark.createDataFrame(numbered, "g int, at int, v int").repartition(5)
-    got = {
-        r.at: (r.n, r.total, r.high, r.seen, r.before)
-        for r in O.running(
-            df, ["g"], ["at"],
-            {"n": O.Running("count"), "total": O.Running("sum", "v"), "high": O.Running("max", "v"),
-             "seen": O.Running("last", "v"), "before": O.Running("lag", "v")},
-            unique=True,
-        ).collect()
+    values = {
+        "n": O.Running("count"), "total": O.Running("sum", "v"), "high": O.Running("max", "v"),
+        "seen": O.Running("last", "v"), "above": O.Running("before", "v"), "lagged": O.Running("lag", "v"),
     }
+    with mock.patch.object(O, "GROUP_ROWS", group_rows):
+        out = O.running(df, ["g"], ["at"], values, unique=True).collect()
+    got = {r.at: (r.n, r.total, r.high, r.seen, r.above, r.lagged) for r in out}
     state, want = {}, {}
     for g, at, v in numbered:
         n, total, high, seen, last = state.get(g, (0, None, None, None, None))
-        before = last
+        above = seen
         if v is not None:
             total, high, seen = (total or 0) + v, v if high is None else max(high, v), v
         state[g] = (n + 1, total, high, seen, v)
-        want[at] = (n + 1, total, high, seen, before)
+        want[at] = (n + 1, total, high, seen, above, last)
     assert got == want
 
 
-def test_a_hot_group_is_spread_and_still_numbered_right(spark):
+@pytest.fixture(params=["window", "stretches"])
+def way(request, monkeypatch):
+    """Both ways of ordered work: by whole groups, and as for groups too large for a task."""
+    if request.param == "stretches":
+        monkeypatch.setattr(O, "GROUP_ROWS", 0)
+
+
+def test_a_hot_group_is_spread_and_still_numbered_right(spark, monkeypatch):
+    monkeypatch.setattr(O, "GROUP_ROWS", 1000)
     df = spark.range(0, 40000, 1, 8).select(F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id")).alias("k"), (F.lit(40000) - F.col("id")).alias("at"))
     out = O.number_within(df, ["k"], ["at"], "n").where("k = 7")
     assert out.agg(F.max("n"), F.countDistinct("n"), F.count("n")).first()[:] == (26667, 26667, 26667)
@@ -50,7 +64,7 @@ def test_sequence_over_is_gapless_and_repeatable_with_ties(spark):
     assert [r[1] for r in by_number] == sorted(r[1] for r in first)
 
 
-def test_empty_input(spark):
+def test_empty_input(spark, way):
     df = spark.createDataFrame([], "g int, at int, v int")
     assert O.number_within(df, ["g"], ["at"], "n").count() == 0
     assert O.sequence_over(df, ["at"], "n").count() == 0
@@ -63,13 +77,13 @@ def test_first_per_key_limits_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_group_changes_and_fill_down(frame):
+def test_group_changes_and_fill_down(frame, way):
     df = frame([(1, 1, "a"), (1, 2, "a"), (1, 3, None), (1, 4, "b"), (2, 1, None)], "g int, at int, k string")
     assert rows(O.group_changes(df, ["g"], ["at"], "k")) == [(1, 1, "a"), (1, 3, None), (1, 4, "b"), (2, 1, None)]
     assert [r[3] for r in rows(O.fill_down(df, ["g"], ["at"], "k", "f"))] == ["a", "a", "a", "b", None]
 
 
-def test_running_ratio_counts_peers_together_and_null_lots_apart(frame):
+def test_running_ratio_counts_peers_together_and_null_lots_apart(frame, way):
     df = frame(
         [(1, None, 1, 40.0, 2.0), (1, None, 2, 44.0, 2.0), (1, None, 2, 0.0, 1.0), (1, 5, 1, 10.0, 1.0), (2, None, 1, 5.0, 0.0)],
         "p int, lot int, t int, v double, q double",
@@ -78,7 +92,7 @@ def test_running_ratio_counts_peers_together_and_null_lots_apart(frame):
     assert got == [(1, 5, 1, 10.0), (1, None, 1, 20.0), (1, None, 2, pytest.approx(84 / 5))]
 
 
-def test_aligned_arrays_are_chunked_and_lossless(spark):
+def test_aligned_arrays_are_chunked_and_lossless(spark, way):
     df = spark.range(25).select((F.col("id") % 2).alias("k"), "id", (-F.col("id")).alias("m"))
     packed = O.collect_aligned(df, ["k"], ["id"], ["id", "m"], "items", chunk=4)
     assert packed.agg(F.max(F.size("items"))).first()[0] == 4

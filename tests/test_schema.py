@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from evolve.dataset import Dataset
 from evolve.operators import schema as S
 from evolve.operators.joins import update_from
+from evolve.operators.schemadiff import diff_attributes, diff_fields
 from evolve.sources import tables as T
 from evolve.storage import BROADCAST_ROWS, mapping_table
 from tests.conftest import rows
@@ -58,6 +59,15 @@ def test_retain_dropped_and_report(frame):
     report = S.retained_report({"t": old, "u": old}, {"t": new})
     assert [r[1:3] for r in rows(report)] == [("t.n", 1), ("u", 2)]
     assert S.retained_report({"t": old}, {"t": old}) is None
+    assert sorted(S.retain_tables({"t": old, "u": old}, {"t": new})) == ["t", "u"]
+
+
+def test_catalogs_of_two_datasets_can_be_compared(spark, frame):
+    old, new = {"t": frame([(1, "a")], "id int, s string")}, {"t": frame([(1, 2)], "id long, n int")}
+    a, b = S.catalog_rows(spark, "m", old), S.catalog_rows(spark, "m", new)
+    assert [(r.field, r.change) for r in diff_fields(a, b).orderBy("field").collect()] == [("n", "NEW"), ("s", "DEL")]
+    changed = diff_attributes(a, b, ["module", "model", "field"], ["type"])
+    assert rows(changed) == [("m", "t", "id", "type", "int", "bigint")]
 
 
 def test_tables(frame, spark, tmp_path):
