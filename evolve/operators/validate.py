@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,25 +101,36 @@ def isolate_failures(
 ) -> DataFrame:
     """Apply a row function; a row that fails stays as it was and carries its error.
 
-    Arrow batches stream through, a batch at a time. Prefer ``try_cast`` and its
-    kin (``isolate_cast``) where an expression can say it.
+    A result that does not fit its column counts as a failure. Arrow batches
+    stream through, one at a time. Prefer ``try_cast`` and its kin
+    (``isolate_cast``) where an expression can say it.
     """
-    names = df.columns
+    def change(row):
+        try:
+            return {**row, **fn(dict(row)), error_col: None}
+        except Exception as failure:  # the point: one bad row must not end the run
+            return {**row, error_col: f"{type(failure).__name__}: {failure}"}
+
+    def fitting(old, new, schema):
+        try:
+            pa.RecordBatch.from_pylist([new], schema=schema)
+            return new
+        except (pa.ArrowException, TypeError, ValueError, OverflowError) as failure:
+            return {**old, error_col: f"{type(failure).__name__}: {failure}"}
 
     def apply(batches):
         for batch in batches:
-            rows, errors = [], []
-            for row in batch.to_dict("records"):
-                try:
-                    rows.append({**row, **fn(dict(row))})
-                    errors.append(None)
-                except Exception as failure:  # the point: one bad row must not end the run
-                    rows.append(row)
-                    errors.append(f"{type(failure).__name__}: {failure}")
-            yield pd.DataFrame(rows, columns=names).assign(**{error_col: errors})
+            schema = batch.schema.append(pa.field(error_col, pa.string()))
+            before = batch.to_pylist()
+            after = [change(row) for row in before]
+            try:
+                yield pa.RecordBatch.from_pylist(after, schema=schema)
+            except (pa.ArrowException, TypeError, ValueError, OverflowError):
+                checked = [fitting(old, new, schema) for old, new in zip(before, after, strict=True)]
+                yield pa.RecordBatch.from_pylist(checked, schema=schema)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInPandas(apply, f"{fields}, `{error_col}` string")
+    return df.mapInArrow(apply, f"{fields}, `{error_col}` string")
 
 
 def isolate_cast(df: DataFrame, col: str, type_: str, dst: str) -> tuple[DataFrame, DataFrame]:

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +50,10 @@ def test_a_refused_update_keeps_its_row_and_the_rest_goes_on(frame):
         return {"uom": "pack"}
 
     assert rows(N.isolate_failures(df, change)) == [(1, "pack", None), (2, "dozen", "ValueError: in use")]
+    typed = frame([(1, None, None), (2, 5, dt.datetime(2024, 1, 1))], "id long, n long, at timestamp_ntz")
+    seen = N.isolate_failures(typed, lambda row: {"n": "word" if row["n"] else 0 if row["n"] is None else 1})
+    assert [(r.id, r.n, r.at, r.error is None) for r in seen.orderBy("id").collect()] == [
+        (1, 0, None, True), (2, 5, dt.datetime(2024, 1, 1), False)]
     ok, failed = N.isolate_cast(frame([("1",), ("x",), (None,)], "s string"), "s", "int", "n")
     assert rows(ok) == [("1", 1), (None, None)] and rows(failed) == [("x",)]
 
