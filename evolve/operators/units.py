@@ -84,8 +84,8 @@ def convert_quantity(
 
 
 def _size(c: Column) -> Column:
-    """Sizes compare equal within rounding noise."""
-    return c.cast("decimal(28,6)")
+    """Sizes compare by ten digits, so rounding noise is ignored at any magnitude."""
+    return F.when(c.isNotNull(), F.format_string("%.9e", c))
 
 
 def match_or_create_unit(packs: DataFrame, products: DataFrame, units: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -94,7 +94,7 @@ def match_or_create_unit(packs: DataFrame, products: DataFrame, units: DataFrame
     ``packs`` is (id, name, product_id, qty), ``products`` (id, unit_id),
     ``units`` (id, name, relative_id, relative_factor). Packs that fit no unit
     create one; packs of the same family and size share it, named after the
-    first of them. Returns (packs with unit_id, units with the new ones).
+    first of them. A pack without a quantity or a known product gets no unit. Returns (packs with unit_id, units with the new ones).
     """
     sized = attach(packs, products, [("product_id", "id")], {"__unit": "unit_id"})
     sized = attach(sized, roots, [("__unit", "id")], {"__root": "root", "__f": "factor"})
@@ -104,7 +104,8 @@ def match_or_create_unit(packs: DataFrame, products: DataFrame, units: DataFrame
         .groupBy("root", "__size").agg(F.min("id").alias("unit_id"))
     )
     on = [("__root", "root"), "__size"]
-    needed = drop_related(sized.where(F.col("__root").isNotNull()), existing, on)
+    known = sized.where(F.col("__root").isNotNull() & F.col("__size").isNotNull())
+    needed = drop_related(known, existing, on)
     first = first_per_key(needed, ["__root", "__size"], [F.col("id").asc()])
     created = next_ids(
         first.select(

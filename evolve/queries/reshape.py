@@ -296,8 +296,8 @@ def _packs(t):
 
 
 _PACKS = _UNITS + """, pack AS (SELECT o_orderkey AS id, 'pack ' || o_orderkey AS name, o_custkey AS unit, floor(o_totalprice / 10000) AS qty,
-  root, CAST(floor(o_totalprice / 10000) * factor AS DECIMAL(28,6)) AS size FROM orders JOIN r ON r.id = o_custkey),
-have AS (SELECT root, CAST(factor AS DECIMAL(28,6)) AS size, min(id) AS unit_id FROM r GROUP BY 1, 2),
+  root, printf('%.9e', floor(o_totalprice / 10000) * factor) AS size FROM orders JOIN r ON r.id = o_custkey),
+have AS (SELECT root, printf('%.9e', factor) AS size, min(id) AS unit_id FROM r GROUP BY 1, 2),
 made AS (SELECT (SELECT max(id) FROM u) + row_number() OVER (ORDER BY id) AS unit_id, * FROM (
   SELECT DISTINCT ON (root, size) * FROM pack WHERE NOT EXISTS (SELECT 1 FROM have WHERE have.root = pack.root AND have.size = pack.size)
   ORDER BY root, size, id))

@@ -124,6 +124,10 @@ def test_packs_reuse_units(frame):
     units = frame([(1, "Unit", None, 1.0), (2, "Pack of 6", 1, 6.0)], "id long, name string, relative_id long, relative_factor double")
     roots = U.unit_roots(units, "id", "relative_id", "relative_factor")
     products = frame([(1, 1), (2, 1)], "id long, unit_id long")
+    tiny = frame([(1, "g", None, 1.0), (2, "ng", 1, 1e-9)], "id long, name string, relative_id long, relative_factor double")
+    small = frame([(1, "p", 1, 1e-9), (2, "q", 1, 2e-9), (3, "none", 1, None)], "id long, name string, product_id long, qty double")
+    got, made = U.match_or_create_unit(small, frame([(1, 1)], "id long, unit_id long"), tiny, U.unit_roots(tiny, "id", "relative_id", "relative_factor"))
+    assert [r.unit_id for r in got.orderBy("id").collect()] == [2, 3, None] and made.count() == 3
     packs = frame([(1, "Sixpack", 1, 6.0), (2, "Thirteenpack", 1, 13.0), (3, "Thirteen too", 2, 13.0), (4, "no product", 9, 3.0)],
                   "id long, name string, product_id long, qty double")
     matched, all_units = U.match_or_create_unit(packs, products, units, roots)
