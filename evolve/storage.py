@@ -8,7 +8,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NullType, StructType
 
 # A mapping written out in the plan is broadcast up to this many rows; beyond it
 # the join is left to the planner, which shuffles or broadcasts by statistics.
@@ -44,8 +44,12 @@ def stored(df: DataFrame) -> DataFrame:
     columns it needs.
     """
     path = scratch_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # A column that is an untyped NULL has no form in a file.
+    untyped = [f.name for f in df.schema.fields if isinstance(f.dataType, NullType)]
+    kept = df.drop(*untyped)
+    kept.write.parquet(path)
+    back = df.sparkSession.read.schema(kept.schema).parquet(path)
+    return back.withColumns({c: F.lit(None) for c in untyped}).select(*df.columns) if untyped else back
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -64,6 +64,12 @@ def test_sequence_over_is_gapless_and_repeatable_with_ties(spark):
     assert [r[1] for r in by_number] == sorted(r[1] for r in first)
 
 
+def test_untyped_nulls_and_maps_can_be_numbered(spark):
+    df = spark.range(3).select("id", F.lit(None).alias("nothing"), F.create_map(F.lit("k"), F.col("id")).alias("m"))
+    out = O.sequence_over(df, [F.col("id").desc()], "n")
+    assert [tuple(r) for r in out.orderBy("n").collect()] == [(2, None, {"k": 2}, 1), (1, None, {"k": 1}, 2), (0, None, {"k": 0}, 3)]
+
+
 def test_empty_input(spark, way):
     df = spark.createDataFrame([], "g int, at int, v int")
     assert O.number_within(df, ["g"], ["at"], "n").count() == 0
