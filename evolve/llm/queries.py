@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evolve.llm import packing, token_counts
+from evolve.llm import bpe, packing, token_counts
 from evolve.llm.common import table
 
 
@@ -13,9 +13,13 @@ def op2_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents")).drop("ids")
 
 
+def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, folder, "documents"))))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.over_limit(token_counts.token_counts(table(spark, folder, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_pack_sequences, op5_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_pack_sequences, op3_bpe_round_trip, op5_token_counts)}
 SQL: dict[str, str] = {}
