@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evolve.llm import bpe, packing, token_counts
+from evolve.llm import bpe, licenses, packing, token_counts
 from evolve.llm.common import table
 
 
@@ -21,5 +21,9 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.over_limit(token_counts.token_counts(table(spark, folder, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_pack_sequences, op3_bpe_round_trip, op5_token_counts)}
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, folder, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op2_pack_sequences, op3_bpe_round_trip, op5_token_counts, op6_license_scan)}
 SQL: dict[str, str] = {}
