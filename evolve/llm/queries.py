@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evolve.llm import bpe, licenses, packing, token_counts
+from evolve.llm import bpe, licenses, packing, token_counts, toxicity
 from evolve.llm.common import table
 
 
@@ -17,6 +17,15 @@ def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(spark, folder, "documents"))))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.fit_on(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").cast("long").alias("n_passages"),
+    )
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.over_limit(token_counts.token_counts(table(spark, folder, "documents")))
 
@@ -25,5 +34,5 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, folder, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_pack_sequences, op3_bpe_round_trip, op5_token_counts, op6_license_scan)}
+QUERIES = {f.__name__: f for f in (op2_pack_sequences, op3_bpe_round_trip, op4_toxicity, op5_token_counts, op6_license_scan)}
 SQL: dict[str, str] = {}
