@@ -33,7 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evolve.llm.common import slices
-from evolve.llm.words import words
+from evolve.llm.words import mix, words
+from evolve.storage import stored
 
 SAMPLE = 100_000
 FEATURES = 400_000
@@ -66,9 +67,9 @@ class Model:
             t, c = (_look_up(self.keys[level], x, hashes[level]) for x in (self.toxic[level], self.clean[level]))
             if own is not None and len(t):
                 text_of, label = own
-                pairs = np.stack([text_of.astype(np.uint64), hashes[level]], axis=1)
-                _, inverse, many = np.unique(pairs, axis=0, return_inverse=True, return_counts=True)
-                mine = many[inverse.reshape(-1)]
+                pairs = mix(hashes[level] + mix(text_of.astype(np.uint64) + np.uint64(1)))
+                _, inverse, many = np.unique(pairs, return_inverse=True, return_counts=True)
+                mine = many[inverse]
                 t, c = np.maximum(t - mine * (label == 1), 0), np.maximum(c - mine * (label == 0), 0)
             share = (t + PRIOR * share) / (t + c + PRIOR)
         odds = lambda s: math.log(s / (1 - s)) if np.isscalar(s) else np.log(s / (1 - s))
@@ -121,29 +122,25 @@ def fit(rows: DataFrame) -> Model:
     levels = 1 + len(PREFIXES)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Level -1 counts documents, the other levels words and prefixes.
         for batch in slices(batches, "text"):
             found, label = words(batch.column("text").to_pylist()), batch.column("toxic").to_numpy()
             marks = label[found.text_of()]
+            yield _counted(-1, np.zeros(1, dtype=np.uint64), np.zeros(len(label), dtype=np.int64), label)
             for level, h in enumerate(found.hashes(*PREFIXES)):
                 keys, inverse = np.unique(h, return_inverse=True)
-                t = np.bincount(inverse, weights=marks, minlength=len(keys)).astype(np.int64)
-                n = np.bincount(inverse, minlength=len(keys)).astype(np.int64)
-                yield pa.record_batch([pa.array(np.full(len(keys), level)), pa.array(keys.view(np.int64)), pa.array(t), pa.array(n - t)], names=["level", "word", "toxic", "clean"])
+                yield _counted(level, keys, inverse, marks)
 
     counts = rows.mapInArrow(count, "level long, word long, toxic long, clean long").groupBy("level", "word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    # A feature informs when it is frequent enough to leave its prior; the most informative are kept.
-    kept = (
-        counts.where(f"toxic + clean >= {FEWEST}")
-        .orderBy(F.desc("toxic"), F.desc("clean"), "level", "word").limit(FEATURES).toPandas()
-    )
-    totals = rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()
-    number = {r["toxic"]: r["n"] for r in totals}
-    all_words = counts.where("level = 0").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
-    t, c = all_words["t"] or 0, all_words["c"] or 0
-    if not t or not c or not number.get(1) or not number.get(0):
-        base = min(max(number.get(1, 0) / max(sum(number.values()), 1), 1e-3), 0.499)
-        none = [np.zeros(0, dtype=np.uint64)] * levels
+    counts = stored(counts.withColumn("all_t", F.when(F.col("level") == 0, F.col("toxic"))).withColumn("all_c", F.when(F.col("level") == 0, F.col("clean"))))
+    sums = counts.agg(F.sum("all_t").alias("t"), F.sum("all_c").alias("c"), F.sum(F.when(F.col("level") < 0, F.col("toxic"))).alias("dt"), F.sum(F.when(F.col("level") < 0, F.col("clean"))).alias("dc")).first()
+    t, c, docs_t, docs_c = (sums[k] or 0 for k in ("t", "c", "dt", "dc"))
+    none = [np.zeros(0, dtype=np.uint64)] * levels
+    if not (t and c and docs_t and docs_c):
+        base = min(max(docs_t / max(docs_t + docs_c, 1), 1e-3), 0.499)
         return Model(none, none, none, 0.5, bias=math.log(base / (1 - base)))
+    # A feature informs when it is frequent enough to leave its prior; those most often toxic come first.
+    kept = counts.where(f"level >= 0 and toxic + clean >= {FEWEST}").select("level", "word", "toxic", "clean").orderBy(F.desc("toxic"), F.desc("clean"), "level", "word").limit(FEATURES).toPandas()
     keys, toxic, clean = [], [], []
     for level in range(levels):
         own = kept[kept["level"] == level]
@@ -154,53 +151,50 @@ def fit(rows: DataFrame) -> Model:
         clean.append(own["clean"].to_numpy()[order].astype(float))
     model = Model(keys, toxic, clean, t / (t + c))
     sent = rows.sparkSession.sparkContext.broadcast(model)
+    edges = np.linspace(-SPAN, SPAN, BINS + 1)
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A row for each document: label, words, segment scores; and one for each slice: the clean words' scores by bin.
         for batch in slices(batches, "text"):
             found, label = words(batch.column("text").to_pylist()), batch.column("toxic").to_numpy()
             text_of = found.text_of()
-            yield found, label, text_of, sent.value.scores(found.hashes(*PREFIXES), (text_of, label[text_of]))
-
-    edges = np.linspace(-SPAN, SPAN, BINS + 1)
-
-    def background(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BINS, dtype=np.int64)
-        for _, label, text_of, score in scored(batches):
-            total += np.histogram(score[label[text_of] == 0], edges)[0]
-        yield pa.record_batch([pa.array(np.arange(BINS)), pa.array(total)], names=["bin", "n"])
-
-    histogram = {r["bin"]: r["n"] for r in rows.mapInArrow(background, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()}
-    middle = (edges[:-1] + edges[1:]) / 2
-    model.lam = _decay(middle, np.array([histogram.get(b, 0) for b in range(BINS)], dtype=float))
-
-    def maxima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = 0.0, 0
-        for found, label, _, score in scored(batches):
-            for d in np.flatnonzero(label == 0).tolist():
-                own = score[found.first[d]:found.first[d + 1]]
-                if len(own):
-                    best = max((s for *_, s in segments(own)), default=0.0)
-                    total, n = total + len(own) * math.exp(-model.lam * best), n + 1
-        yield pa.record_batch([pa.array([total]), pa.array([n])], names=["total", "n"])
-
-    sums = rows.mapInArrow(maxima, "total double, n long").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).first()
+            score = sent.value.scores(found.hashes(*PREFIXES), (text_of, label[text_of]))
+            segs = [[s for *_, s in segments(score[found.first[d]:found.first[d + 1]])] for d in range(len(label))]
+            many = np.histogram(score[label[text_of] == 0], edges)[0].tolist()
+            n = len(label)
+            yield pa.record_batch(
+                [pa.array([*label.tolist(), None], pa.int32()), pa.array([*np.diff(found.first).tolist(), 0], pa.int64()),
+                 pa.array([*segs, []], pa.list_(pa.float64())), pa.array([None] * n + [many], pa.list_(pa.int64()))],
+                names=["toxic", "n", "segments", "bins"],
+            )
+
+    scanned = stored(rows.mapInArrow(scan, "toxic int, n long, segments array<double>, bins array<long>"))
+    by_bin = scanned.where("bins is not null").select(F.posexplode("bins").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n")).collect()
+    many = np.zeros(BINS)
+    for r in by_bin:
+        many[r["bin"]] = r["n"]
+    model.lam = _decay((edges[:-1] + edges[1:]) / 2, many)
+    per_doc = scanned.where("toxic is not null")
+    best = F.coalesce(F.array_max("segments"), F.lit(0.0))
+    sums = per_doc.where("toxic = 0 and n > 0").agg(F.sum(F.col("n") * F.exp(-model.lam * best)).alias("total"), F.count("*").alias("n")).first()
     model.k = max(sums["n"] or 0, 1) / max(sums["total"] or 0.0, 1e-9)
-
-    def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, BINS), dtype=np.int64)
-        for found, label, _, score in scored(batches):
-            for d, y in enumerate(label.tolist()):
-                x = _evidence(model, score[found.first[d]:found.first[d + 1]])[0]
-                total[y, min(int(x / EVIDENCE_STEP), BINS - 1)] += 1
-        yield pa.record_batch([pa.array(np.repeat([0, 1], BINS)), pa.array(np.tile(np.arange(BINS), 2)), pa.array(total.reshape(-1))], names=["toxic", "bin", "n"])
-
+    base = F.log(F.greatest(F.lit(model.k) * F.col("n"), F.lit(1e-9)))
+    gain = F.aggregate("segments", F.lit(0.0), lambda acc, x: acc + F.greatest(F.lit(model.lam) * x - base, F.lit(0.0)))
+    bin_ = F.least((gain / EVIDENCE_STEP).cast("long"), F.lit(BINS - 1))
     table = np.zeros((2, BINS))
-    for r in rows.mapInArrow(evidence, "toxic long, bin long, n long").groupBy("toxic", "bin").agg(F.sum("n").alias("n")).collect():
-        table[r["toxic"], r["bin"]] = r["n"]
+    for r in per_doc.groupBy("toxic", bin_.alias("bin")).count().collect():
+        table[r["toxic"], r["bin"]] = r["count"]
     model.weight, model.bias = _logistic((np.arange(BINS) + 0.5) * EVIDENCE_STEP, table)
     return model
 
 
+def _counted(level: int, keys: np.ndarray, inverse: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
+    """A row for each key: in how many places marked 1 and 0 it stands."""
+    t = np.bincount(inverse, weights=marks, minlength=len(keys)).astype(np.int64)
+    n = np.bincount(inverse, minlength=len(keys)).astype(np.int64)
+    return pa.record_batch([pa.array(np.full(len(keys), level)), pa.array(keys.view(np.int64)), pa.array(t), pa.array(n - t)], names=["level", "word", "toxic", "clean"])
+
+
 EVIDENCE_STEP = 0.1
 
 
