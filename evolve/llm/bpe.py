@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evolve.llm.common import slices, vocabulary
+from evolve.llm.common import byte_of_char, slices, vocabulary
 
 VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: the word pattern of byte-level vocabularies of this kind.
@@ -38,13 +38,6 @@ _BORDER = re.compile(r"(?<=\S) (?=\S)")
 _GEAR = np.random.default_rng(5).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
-def _byte_of_char() -> dict[str, int]:
-    """The printable stand-ins of bytes in byte-level vocabularies: themselves where printable, else from U+0100 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 class ByteBpe:
     """Encodes short strings by the merges of a vocabulary file; ids order its merges."""
 
@@ -54,7 +47,7 @@ class ByteBpe:
         with open(name if os.path.isabs(name) else vocabulary(name)) as f:
             spec = json.load(f)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        byte = _byte_of_char()
+        byte = byte_of_char()
         ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
         self.coder = tiktoken.Encoding("byte", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=self.special)
         self.young: dict[str, bytes] = {}

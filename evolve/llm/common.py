@@ -51,3 +51,10 @@ def tokenizer(name: str):
         made.no_padding()
         _TOKENIZERS[name] = made
     return _TOKENIZERS[name]
+
+
+def byte_of_char() -> dict[str, int]:
+    """The printable stand-ins of bytes in byte-level vocabularies: themselves where printable, else from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}

@@ -18,6 +18,8 @@ id alone; repeated rows are packed as often as they occur; an empty table gives
 
 from __future__ import annotations
 
+import json
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -29,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evolve.llm.common import slices, tokenizer
-from evolve.llm.wordpieces import PieceCache, pieces
+from evolve.llm.common import byte_of_char, slices, tokenizer, vocabulary
+from evolve.llm.wordpieces import PieceCache, latin_words, pieces
 from evolve.storage import stored
 
 VOCABULARY = "word_bpe_49k.json"
@@ -154,39 +156,83 @@ def place(plan: Plan, size: np.ndarray, rank: np.ndarray) -> list[list[tuple[int
     return out
 
 
-_CACHES: dict[str, PieceCache] = {}
+_CACHES: dict[str, tuple[PieceCache, int]] = {}
 
 
-def _piece_ids(name: str) -> PieceCache:
-    """piece -> its ids as little-endian unsigned 32-bit integers."""
-    if name not in _CACHES:
-        lib = tokenizer(name)
+# Ends a word in the strings given to the coder, and stands for the vocabulary's word end.
+_STOP = "\x01"
+
 
-        def compute(words: list[str]) -> list[bytes]:
-            found = []
-            for start in range(0, len(words), 4096):
-                for e in lib.encode_batch_fast(words[start:start + 4096], add_special_tokens=False):
-                    found.append(np.array(e.ids, dtype="<u4").tobytes())
-            return found
+class WordEndCoder:
+    """Ids of pieces for a byte-level vocabulary with word ends.
 
-        _CACHES[name] = PieceCache(compute)
+    Words are handed over closed by a stop byte. A single byte and the stop merge before
+    anything else, which is how the vocabulary starts: with the word's last byte marked.
+    """
+
+    def __init__(self, name: str):
+        import tiktoken
+
+        with open(name if os.path.isabs(name) else vocabulary(name)) as f:
+            spec = json.load(f)
+        end, byte = spec["model"]["end_of_word_suffix"], byte_of_char()
+        special = {t["content"] for t in spec["added_tokens"]}
+        ranks, self.closes = {}, np.zeros(1 + max(spec["model"]["vocab"].values()), dtype=bool)
+        for token, i in spec["model"]["vocab"].items():
+            if token in special:
+                continue
+            body = token.removesuffix(end)
+            ranks[bytes(byte[c] for c in body) + (_STOP.encode() if body != token else b"")] = i
+            self.closes[i] = body != token
+        self.coder = tiktoken.Encoding("words", pat_str=f"[^{_STOP}]+{_STOP}", mergeable_ranks=ranks, special_tokens={})
+        self.library = tokenizer(name)
+        self.width = 2 if len(self.closes) <= 1 << 16 else 4
+        self.kind = f"<u{self.width}"
+
+    def ids(self, batch: list[str]) -> list[bytes]:
+        """For each piece its ids, little-endian and ``width`` bytes each."""
+        kind, width = self.kind, self.width
+        out: list[bytes] = [b""] * len(batch)
+        cut = [latin_words(p) for p in batch]
+        plain = [k for k, w in enumerate(cut) if w]
+        for start in range(0, len(plain), 4096):
+            group = plain[start:start + 4096]
+            joined = "".join([w + _STOP for k in group for w in cut[k]])
+            ids = np.array(self.coder.encode_ordinary(joined), dtype=kind)
+            past = np.flatnonzero(self.closes[ids]) + 1
+            ends = past[np.cumsum([len(cut[k]) for k in group]) - 1].tolist()
+            raw, at = ids.tobytes(), 0
+            for k, end in zip(group, ends, strict=True):
+                out[k], at = raw[width * at:width * end], end
+        rest = [k for k, w in enumerate(cut) if w is None]
+        for start in range(0, len(rest), 4096):
+            group = rest[start:start + 4096]
+            for k, e in zip(group, self.library.encode_batch_fast([batch[k] for k in group], add_special_tokens=False), strict=True):
+                out[k] = np.array(e.ids, dtype=kind).tobytes()
+        return out
+
+
+def _piece_ids(name: str) -> tuple[PieceCache, int]:
+    """The ids of pieces, and how many bytes each id takes."""
+    if name not in _CACHES:
+        coder = WordEndCoder(name)
+        _CACHES[name] = PieceCache(coder.ids), coder.width
     return _CACHES[name]
 
 
 def token_ids(docs: DataFrame, text: str, key: str, vocab: str, closing: int, length: int) -> DataFrame:
-    """Per row: key, ids (little-endian unsigned 32-bit), n; its partition and the ranks of its pieces there."""
+    """Per row: key, ids (little-endian), n, bytes per id; its partition and the ranks of its pieces there."""
     kept = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    end = np.array([closing], dtype="<u4").tobytes()
-
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, part = _piece_ids(vocab), TaskContext.get().partitionId()
+        (cache, width), part = _piece_ids(vocab), TaskContext.get().partitionId()
+        end = closing.to_bytes(width, "little")
         ranks, row = np.zeros(length + 1, dtype=np.int64), 0
         for batch in slices(batches, "text"):
             values = cache.values([pieces(t) for t in batch.column("text").to_pylist()])
             ids = [b"".join(v) + end for v in values]
             whole_rank, rest_rank = [], []
             for i in ids:
-                whole, rest = divmod(len(i) // 4, length)
+                whole, rest = divmod(len(i) // width, length)
                 whole_rank.append(int(ranks[length]))
                 ranks[length] += whole
                 rest_rank.append(int(ranks[rest]))
@@ -194,7 +240,7 @@ def token_ids(docs: DataFrame, text: str, key: str, vocab: str, closing: int, le
             n = batch.num_rows
             yield pa.record_batch(
                 [batch.column("key"), pa.array([part << 33 | (row + k) for k in range(n)], pa.int64()), pa.array([part] * n, pa.int64()),
-                 pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(whole_rank, pa.int64()), pa.array(rest_rank, pa.int64()),
+                 pa.array([len(i) // width for i in ids], pa.int64()), pa.array(whole_rank, pa.int64()), pa.array(rest_rank, pa.int64()),
                  pa.array(ids, pa.binary())],
                 names=["key", "row", "part", "n", "whole_rank", "rest_rank", "ids"],
             )
@@ -205,9 +251,12 @@ def token_ids(docs: DataFrame, text: str, key: str, vocab: str, closing: int, le
 
 
 def pack(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", vocab: str = VOCABULARY, closing: int = CLOSING, length: int = LENGTH
+    docs: DataFrame, text: str = "text", key: str = "doc_id", vocab: str = VOCABULARY, closing: int = CLOSING, length: int = LENGTH,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """One row per piece: key, start, length, ids, doc_tokens, sequence_id, offset.
+    """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids unless told otherwise.
+
+    ``ids`` and their checksum are over little-endian unsigned 32-bit integers.
 
     The token ids are written once to the shared checkpoint folder, so that ranks and
     pieces come from the same rows even when tasks run again.
@@ -248,6 +297,7 @@ def pack(
             size = np.where(is_whole, length, rest_n[owner])
             rank = np.where(is_whole, whole_at[owner] + nth, rest_at[owner])
             ids, keys = batch.column("ids").to_pylist(), batch.column("key")
+            ids = [np.frombuffer(i, dtype=f"<u{len(i) // k}").astype("<u4").tobytes() for i, k in zip(ids, n.tolist(), strict=True)]
             rows = []
             for doc, first, cuts in zip(owner.tolist(), (nth * length).tolist(), place(found, size, rank), strict=True):
                 for start, many, sequence, offset in cuts:
@@ -260,12 +310,12 @@ def pack(
             at = pa.array(rows, pa.int64())
             long = lambda c: pa.array(out[c], pa.int64())
             crc = pa.array([zlib.crc32(i) for i in out["ids"]], pa.int64())
-            yield pa.record_batch(
-                [keys.take(at), long("start"), long("length"), crc, batch.column("n").take(at), long("sequence_id"), long("offset"),
-                 pa.array(out["ids"], pa.binary())],
-                names=[key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"],
-            )
+            columns = [keys.take(at), long("start"), long("length"), crc, batch.column("n").take(at), long("sequence_id"), long("offset")]
+            names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+            if with_ids:
+                columns, names = [*columns, pa.array(out["ids"], pa.binary())], [*names, "ids"]
+            yield pa.record_batch(columns, names=names)
 
     kind = docs_ids.schema["key"].dataType.simpleString()
-    return joined.mapInArrow(
-        cut, f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
+    schema = f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    return joined.mapInArrow(cut, schema + ", ids binary" * with_ids)

@@ -10,7 +10,7 @@ from evolve.llm.common import table
 
 
 def op2_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents")).drop("ids")
+    return packing.pack(table(spark, folder, "documents"), with_ids=False)
 
 
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:

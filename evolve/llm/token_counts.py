@@ -23,16 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evolve.llm.common import slices, tokenizer, vocabulary
-from evolve.llm.wordpieces import PieceCache, pieces
+from evolve.llm.common import byte_of_char, slices, tokenizer, vocabulary
+from evolve.llm.wordpieces import PieceCache, latin_words, pieces
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 
-# The vocabulary's own word pattern, for printable ASCII, where bytes stand for themselves.
-_PRINTABLE = re.compile("[!-~]*")
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-
 
 class PrefixBpe:
     """Prefix counts of single pieces for a byte-level vocabulary with word ends."""
@@ -44,6 +40,7 @@ class PrefixBpe:
         self.end = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
         self.library = tokenizer(name)
+        self.stand_in = {b: c for c, b in byte_of_char().items()}
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         # A merge makes one token; its rank decides, and single symbols have none.
@@ -119,8 +116,9 @@ class PrefixBpe:
 
     def words(self, text: str) -> list[str]:
         """The byte-level words of a text without special tokens, as the library cuts them."""
-        if _PRINTABLE.fullmatch(text):
-            return _ASCII_WORDS.findall(text.lower())
+        plain = latin_words(text)
+        if plain is not None:
+            return plain if text.isascii() else [w.encode().decode("latin-1").translate(self.stand_in) for w in plain]
         lib = self.library
         return [w for w, _ in lib.pre_tokenizer.pre_tokenize_str(lib.normalizer.normalize_str(text))]
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACES = re.compile(r"[ \t\n\r\f\v]+")
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 500_000
 LONGEST_KEPT = 48
 
 
@@ -26,6 +26,18 @@ def pieces(text: str) -> list[str]:
         return [p for p in _SPACES.split(text) if p]
     return text.split()
 
+# Printable ASCII and Latin letters, which the vocabulary's normaliser only makes lower case.
+_LATIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*")
+# Fixed value: the vocabulary's own word pattern, for such text in lower case.
+_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|[0-9]|[!-/:-`{-~]+")
+
+
+def latin_words(piece: str) -> list[str] | None:
+    """The vocabulary's words in a piece of Latin text; None where the library has to cut it."""
+    if "<|" in piece or not _LATIN.fullmatch(piece):
+        return None
+    return _WORDS.findall(piece.lower())
+
 
 class PieceCache:
     """piece -> value, computed in groups for those not yet known.
