@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evolve.llm import bpe, licenses, packing, token_counts, toxicity
+from evolve.llm import bpe, embedding_dedup, licenses, neighbours, packing, token_counts, toxicity
 from evolve.llm.common import table
 
 
+def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op2_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), with_ids=False)
 
@@ -34,5 +38,14 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, folder, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_pack_sequences, op3_bpe_round_trip, op4_toxicity, op5_token_counts, op6_license_scan)}
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES = {
+    f.__name__: f for f in (
+        op1_embedding_dedup, op2_pack_sequences, op3_bpe_round_trip, op4_toxicity, op5_token_counts, op6_license_scan,
+        op7_nearest_neighbours,
+    )
+}
 SQL: dict[str, str] = {}
