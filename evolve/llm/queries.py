@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evolve.llm import bpe, embedding_dedup, licenses, neighbours, packing, token_counts, toxicity
+from evolve.llm import bpe, embedding_dedup, licenses, near_duplicates, neighbours, packing, token_counts, toxicity
 from evolve.llm.common import table
 
 
@@ -42,10 +42,14 @@ def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_embedding_dedup, op2_pack_sequences, op3_bpe_round_trip, op4_toxicity, op5_token_counts, op6_license_scan,
-        op7_nearest_neighbours,
+        op7_nearest_neighbours, op9_near_duplicates,
     )
 }
 SQL: dict[str, str] = {}

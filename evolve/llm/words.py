@@ -72,3 +72,48 @@ def words(texts: list[str]) -> Words:
     sizes = np.array([len(r) + 1 for r in raw], dtype=np.int64)
     first = np.searchsorted(starts, np.concatenate(([1], 1 + np.cumsum(sizes))))
     return Words(low, starts, ends, first)
+
+
+def shingles(found: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct runs of ``size`` words per text: text number, 48-bit hash, how often; ordered by text and hash.
+
+    A text with fewer words, but at least one, has one shingle of all its words.
+    """
+    h = found.hashes()[0]
+    texts = len(found.first) - 1
+    many = np.diff(found.first)
+    n = len(h)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    padded = np.concatenate([h, np.zeros(size, dtype=np.uint64)])
+    whole = np.zeros(n, dtype=np.uint64)
+    text_of = found.text_of()
+    left = found.first[1:][text_of] - np.arange(n)
+    for k in range(size):
+        part = mix(padded[k:k + n] + np.uint64(k + 1))
+        whole = mix(whole) + np.where(left > k, part, np.uint64(0))
+    place = many[text_of] - left
+    starts = (left >= size) | (place == 0)
+    key = (text_of[starts].astype(np.uint64) << np.uint64(48)) | (mix(whole[starts]) >> np.uint64(16))
+    assert texts < 1 << 16
+    key.sort()
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    count = np.diff(np.concatenate((first, [len(key)])))
+    key = key[first]
+    return (key >> np.uint64(48)).astype(np.int64), key & np.uint64((1 << 48) - 1), count
+
+
+def sequence_hashes(found: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each text's words in order; 0 where there are none."""
+    h = found.hashes()[0]
+    text_of = found.text_of()
+    place = (np.arange(len(h)) - found.first[:-1][text_of]).astype(np.uint64)
+    out = []
+    for seed in (1, 2):
+        value = mix(h * np.uint64(2 * seed + 1) + mix(place + np.uint64(seed << 40)))
+        total = np.zeros(len(found.first) - 1, dtype=np.uint64)
+        some = np.diff(found.first) > 0
+        if len(h):
+            total[some] = np.add.reduceat(value, found.first[:-1][some])
+        out.append(np.where(some, mix(total | np.uint64(1)) | np.uint64(1), np.uint64(0)))
+    return out[0], out[1]
