@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evolve.llm import bpe, embedding_dedup, licenses, line_dedup, near_duplicates, neighbours, packing, token_counts, toxicity
+from evolve.llm import bpe, embedding_dedup, licenses, line_dedup, near_duplicates, neighbours, packing, pii, token_counts, toxicity
 from evolve.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.summary(pii.detect(table(spark, folder, "documents")))
+
+
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"))
 
@@ -54,7 +58,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_embedding_dedup, op2_pack_sequences, op3_bpe_round_trip, op4_toxicity, op5_token_counts, op6_license_scan,
-        op7_nearest_neighbours, op9_near_duplicates, op10_line_dedup,
+        op7_nearest_neighbours, op8_personal_data, op9_near_duplicates, op10_line_dedup,
     )
 }
 SQL: dict[str, str] = {}
