@@ -22,8 +22,8 @@ from evolve.storage import stored
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half; the model is learned from their labels."""
     model = toxicity.fit_on(docs, table(spark, sf_dir, "labels"))
-    sound = toxicity.score(docs.select("doc_id", "text"), model).where("score < 0.5").select(F.col("doc_id").alias("sound_id")).distinct()
-    return docs.join(sound, F.col("doc_id").eqNullSafe(F.col("sound_id")), "leftsemi")
+    sound = toxicity.score(docs.select("doc_id", "text"), model).where("score < 0.5").select(F.col("doc_id").alias("__sound")).distinct()
+    return docs.join(sound, F.col("doc_id").eqNullSafe(F.col("__sound")), "leftsemi")
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +34,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    kept = near_duplicates.near_duplicates(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "leftsemi")
+    kept = near_duplicates.near_duplicates(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "leftsemi")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,8 +49,8 @@ NOTICES = (
     Template("lgpl", "gnu lesser general public license", "lesser general public license", 0.8),
     Template("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2", 0.7),
     Template("mit-notice", "released under the mit license", "mit license", 0.8),
-    Template("cc-by-nc", "licensed under cc by nc", "by nc", 0.6),
-    Template("cc-by-sa", "licensed under cc by sa", "by sa", 0.6),
+    Template("cc-by-nc", "cc by nc", "cc by nc"),
+    Template("cc-by-sa", "cc by sa", "cc by sa"),
     Template("cc0", "cc0 1 0 universal public domain dedication", "cc0", 0.6),
     Template("mpl-2.0", "mozilla public license version 2 0", "mozilla public license", 0.8),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms", 0.7),
