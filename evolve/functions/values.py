@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evolve.operators.joins import attach
-from evolve.storage import mapping_table
+from evolve.storage import small
 
 KEEP = object()
 
-# Longer maps are joined as a mapping table instead of a WHEN chain.
+# Longer maps are joined as a mapping table instead of a chain of conditions; only the plan differs.
 WHEN_CHAIN = 32
 
 
@@ -25,24 +25,25 @@ def _lit(value) -> Column:
     return F.lit(None if value is False else value)
 
 
-def _mapping(df: DataFrame, src: str, pairs: Sequence[tuple]) -> DataFrame:
-    news = [None if new is False else new for _, new in pairs]
-    sample = next((n for n in news if n is not None), "")
-    schema = T.StructType(
-        [
-            T.StructField("__old", df.schema[src].dataType),
-            T.StructField("__new", df.sparkSession.range(0).select(F.lit(sample)).schema[0].dataType),
-            T.StructField("__hit", T.BooleanType()),
-        ]
-    )
-    return mapping_table(df.sparkSession, [(o, n, True) for (o, _), n in zip(pairs, news)], schema)
+def _key(old, type_: T.DataType) -> Column:
+    """An old value in the type of the column; NULL, which matches nothing, where it has no equal there."""
+    key = F.lit(old).try_cast(type_)
+    if isinstance(old, (int, float)) and not isinstance(old, bool):
+        return F.when(key.try_cast("double") == F.lit(old).cast("double"), key)
+    return key
+
+
+def _common_type(df: DataFrame, values: Sequence[Column], rest: Column) -> T.DataType:
+    return df.select(F.coalesce(*values, rest).alias("v")).schema["v"].dataType
 
 
 def map_values(df: DataFrame, src: str, dst: str, pairs: Iterable[tuple], default=KEEP) -> DataFrame:
     """Set ``dst`` from ``src`` through a value map.
 
     Unmapped values leave ``dst`` as it is, or take ``default``. A map to
-    ``None`` or ``False`` stores NULL.
+    ``None`` or ``False`` stores NULL. Old values are taken in the type of
+    ``src`` (one that has no equal there matches nothing); the result has the
+    common type of the new values and of what unmapped rows keep.
     """
     # As in a chain of conditions, the first pair of an old value decides.
     pairs = list({old: (old, new) for old, new in reversed(list(pairs))}.values())[::-1]
@@ -50,12 +51,28 @@ def map_values(df: DataFrame, src: str, dst: str, pairs: Iterable[tuple], defaul
         rest = _lit(default)
     else:
         rest = F.col(dst) if dst in df.columns else F.lit(None)
-    if len(pairs) <= WHEN_CHAIN or any(isinstance(new, Column) for _, new in pairs):
+    if not pairs:
+        return df.withColumn(dst, rest)
+    # One value of each kind tells the common type.
+    kinds = {type(new): _lit(new) for _, new in pairs if not isinstance(new, Column)}
+    own = [new for _, new in pairs if isinstance(new, Column)]
+    result, key_type = _common_type(df, [*kinds.values(), *own], rest), df.schema[src].dataType
+    rest = rest.cast(result)
+    if len(pairs) <= WHEN_CHAIN or own:
         chain = F
         for old, new in pairs:
-            chain = chain.when(F.col(src).eqNullSafe(F.lit(old)), _lit(new))
-        return df.withColumn(dst, chain.otherwise(rest) if pairs else rest)
-    looked_up = attach(df, _mapping(df, src, pairs), [(src, "__old")], ["__new", "__hit"], null_safe=True)
+            hit = F.col(src).isNull() if old is None else F.col(src) == _key(old, key_type)
+            chain = chain.when(hit, _lit(new).cast(result))
+        return df.withColumn(dst, chain.otherwise(rest))
+    table = F.array(*[
+        F.struct(_key(old, key_type).alias("__old"), _lit(new).cast(result).alias("__new"), F.lit(old is None).alias("__none"), F.lit(at).alias("__at"))
+        for at, (old, new) in enumerate(pairs)
+    ])
+    # Two old values may be equal in the type of the column; the first decides here too.
+    mapping = df.sparkSession.range(1).select(F.inline(table)).where("__old IS NOT NULL OR __none")
+    mapping = mapping.groupBy("__old").agg(F.min_by(F.struct("__new"), "__at")["__new"].alias("__new")).withColumn("__hit", F.lit(True))
+    mapping = small(len(pairs), mapping, sum(len(str(old)) + len(str(new)) for old, new in pairs))
+    looked_up = attach(df, mapping, [(src, "__old")], ["__new", "__hit"], null_safe=True)
     mapped = F.when(F.col("__hit"), F.col("__new")).otherwise(rest)
     columns = df.columns if dst in df.columns else [*df.columns, dst]
     return looked_up.withColumn(dst, mapped).select(*columns)

@@ -80,11 +80,11 @@ def with_group_max(df: DataFrame, keys: Sequence[str], col: str, dst: str) -> Da
 
 
 def sorted_distinct_list(
-    df: DataFrame, keys: Sequence[str], value: str, dst: str, sep: str = ",", chunk: int = 1000
+    df: DataFrame, keys: Sequence[str], value: str, dst: str, chunk: int, sep: str = ",", spread: bool = True
 ) -> DataFrame:
-    """Sorted text list of the distinct values of each group, in chunks of bounded length."""
+    """Sorted text list of the distinct values of each group: one row per (keys.., chunk) of at most ``chunk`` values."""
     members = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("string").alias(value)).distinct()
-    packed = collect_aligned(members, keys, [value], [value], dst, chunk)
+    packed = collect_aligned(members, keys, [value], [value], dst, chunk, spread=spread)
     return packed.withColumn(dst, F.array_join(F.transform(dst, lambda x: x[value]), sep))
 
 

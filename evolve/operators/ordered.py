@@ -1,15 +1,14 @@
 """Numbering, running values and look-back over an order, without one big task.
 
 A plain window gathers a whole group in one task, and a global one gathers the
-whole table. So the largest group is counted first, on the group columns alone.
-Up to ``GROUP_ROWS`` a plain window over the groups is the cheapest plan.
-
-Beyond it, and for a global order, rows are range-partitioned by (group, order),
-so that a hot group spreads over many partitions, and each partition works on
-its own stretch. What a stretch needs from the ones before it is one row per
-stretch at most: a group continues into a partition only if it is the first
-group there. That carry frame is bounded by the number of partitions and is
-broadcast.
+whole table. So rows are range-partitioned by (group, order), which spreads a hot
+group over many partitions, and each partition works on its own stretch. Callers
+whose groups are small by nature (the lines of an order) may say ``spread=False``
+for a plain window, which stores nothing. Both ways give the same results.
+
+What a stretch needs from the ones before it is one row per stretch at most: a
+group continues into a partition only if it is the first group there. That carry
+frame is bounded by the number of partitions and is broadcast.
 """
 
 from __future__ import annotations
@@ -21,15 +20,13 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 from pyspark.sql.window import Window
 
 from evolve.storage import stored
 
 _POS, _SEG = "__pos", "__seg"
 
-# A group of up to this many rows is worked on by one task.
-GROUP_ROWS = 100_000
-
 
 @dataclass(frozen=True)
 class Running:
@@ -45,11 +42,6 @@ def _content_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
 
 
-def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def _lay_out(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Sort globally and fix each row's position by storing it."""
     placed = (
@@ -110,16 +102,19 @@ def _combine(spec: Running, local: Column, carry: Column) -> Column:
 
 def running(
     df: DataFrame, by: Sequence[str], order: Sequence[Column | str], values: Mapping[str, Running],
-    unique: bool = False, counted: DataFrame | None = None,
+    unique: bool = False, spread: bool = True,
 ) -> DataFrame:
     """Add running values per group ``by`` in ``order`` (rows up to and including this one).
 
-    ``counted`` is a cheaper frame with no fewer rows per group, to size them by.
-
+    With ``spread=False`` every group is worked on by one task. Sums are of whole
+    numbers and decimals only, since a sum of floats depends on how rows are cut.
     Ties are broken by the content of the rows unless the order is ``unique`` in its group.
     """
+    for spec in values.values():
+        if spec.kind == "sum" and isinstance(df.schema[spec.column].dataType, (FloatType, DoubleType)):
+            raise TypeError(f"{spec.column}: sum decimals or whole numbers, cast first")
     by, order = list(by), [*order] if unique else [*order, _content_hash(df)]
-    if by and _largest_group(df if counted is None else counted, by) <= GROUP_ROWS:
+    if by and not spread:
         window = Window.partitionBy(*by).orderBy(*order)
         plain = {d: _local(s, window) for d, s in values.items()}
         return df.select(
@@ -172,9 +167,11 @@ def sequence_over(
     )
 
 
-def number_within(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], dst: str) -> DataFrame:
+def number_within(
+    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], dst: str, spread: bool = True
+) -> DataFrame:
     """Number the rows of each group 1, 2, 3 .. in an order."""
-    return running(df, by, order, {dst: Running("count")})
+    return running(df, by, order, {dst: Running("count")}, spread=spread)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -187,22 +184,25 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("__rn", F.row_number().over(window)).where("__rn = 1").drop("__rn")
 
 
-def fill_down(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], col: str, dst: str) -> DataFrame:
+def fill_down(
+    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], col: str, dst: str, spread: bool = True
+) -> DataFrame:
     """Carry the last non-NULL value down to the rows that follow."""
-    return running(df, by, order, {dst: Running("last", col)})
+    return running(df, by, order, {dst: Running("last", col)}, spread=spread)
 
 
 def group_changes(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], key: str
+    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], key: str, spread: bool = True
 ) -> DataFrame:
     """Rows whose ``key`` differs from the row before them in their group."""
     tagged = df.withColumn("__k", F.struct(F.col(key).alias("k")))
-    previous = running(tagged, by, order, {"__prev": Running("lag", "__k")})
+    previous = running(tagged, by, order, {"__prev": Running("lag", "__k")}, spread=spread)
     return previous.where(~F.col("__prev").eqNullSafe(F.col("__k"))).drop("__prev", "__k")
 
 
 def running_ratio(
-    df: DataFrame, partition: Sequence[str], time: str, num: str, den: str, dst: str, scale: int = 4
+    df: DataFrame, partition: Sequence[str], time: str, num: str, den: str, dst: str, scale: int = 4,
+    spread: bool = True,
 ) -> DataFrame:
     """Sum of ``num`` up to each time over the sum of ``den`` up to it.
 
@@ -216,7 +216,7 @@ def running_ratio(
     per_time = df.groupBy(*partition, time).agg(exact(num).alias("__num"), exact(den).alias("__den"))
     sums = running(
         per_time, partition, [time], {"__num": Running("sum", "__num"), "__den": Running("sum", "__den")},
-        unique=True, counted=df,
+        unique=True, spread=spread,
     )
     ratio = F.try_divide(F.col("__num").cast("double"), F.col("__den").cast("double"))
     return sums.where("__den <> 0").select(*partition, time, ratio.alias(dst))
@@ -224,16 +224,17 @@ def running_ratio(
 
 def collect_aligned(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], cols: Sequence[str], dst: str,
-    chunk: int = 1000, chunk_col: str = "chunk",
+    chunk: int, chunk_col: str = "chunk", spread: bool = True,
 ) -> DataFrame:
-    """Several columns of a group as one ordered array of structs.
+    """Several columns of a group as ordered arrays of structs.
 
-    An array holds at most ``chunk`` items; a longer group goes on in the next
-    chunk, so no task ever holds an unbounded group.
+    One row per (keys.., chunk): an array holds at most ``chunk`` items and a
+    longer group goes on in the next chunk, so no task ever holds an unbounded
+    group. Join on the keys and chunk, or see ``whole_arrays`` for one row per key.
     """
     if all(isinstance(o, str) for o in order):
         df = df.select(*dict.fromkeys([*keys, *order, *cols]))
-    numbered = number_within(df, keys, order, "__rn")
+    numbered = number_within(df, keys, order, "__rn", spread)
     cut = numbered.withColumn(chunk_col, F.floor((F.col("__rn") - 1) / chunk).cast("long"))
     item = F.struct("__rn", *cols)
     packed = cut.groupBy(*keys, chunk_col).agg(F.array_sort(F.collect_list(item)).alias(dst))
@@ -242,6 +243,12 @@ def collect_aligned(
     )
 
 
+def whole_arrays(packed: DataFrame, keys: Sequence[str], col: str, chunk_col: str = "chunk") -> DataFrame:
+    """The chunks of each group put together: one row per key, for groups that one task can hold."""
+    parts = packed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(chunk_col, col))).alias(col))
+    return parts.withColumn(col, F.flatten(F.transform(col, lambda x: x[col])))
+
+
 def explode_aligned(df: DataFrame, col: str) -> DataFrame:
     """Walk an array of structs row by row."""
     rest = [c for c in df.columns if c != col]

@@ -129,10 +129,10 @@ def _(t):
 
 
 @section.query("m7_unclaimed_modules", """
-SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND lang NOT IN (SELECT lang FROM documents WHERE n_chars > 100000)
+SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND lang NOT IN (SELECT lang FROM documents WHERE n_chars > 17000)
 """)
 def _(t):
-    claims = [(t.labels, "doc_id"), (t.documents.where("n_chars > 100000").select("lang"), "lang")]
+    claims = [(t.labels, "doc_id"), (t.documents.where("n_chars > 17000").select("lang"), "lang")]
     out = M.unclaimed_modules(t.documents.select("doc_id", "source", "lang"), claims[:1], "doc_id")
     return M.unclaimed_modules(out, claims[1:], "lang").select("doc_id", "source")
 

@@ -185,7 +185,7 @@ def _(t):
 @section.query("k12_propagate_auto_install", """
 WITH m AS (SELECT p_partkey, p_name, CASE WHEN p_size > 30 THEN 'installed' ELSE 'uninstalled' END AS state, p_type <> 'LARGE' AS auto,
   p_brand || '.' || p_partkey AS name FROM part),
-d AS (SELECT DISTINCT l_partkey AS part, l_suppkey AS dep FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 44)
+d AS (SELECT DISTINCT l_partkey AS part, l_suppkey AS dep FROM lineitem)
 SELECT m.p_partkey, CASE WHEN auto AND state = 'uninstalled' AND name NOT LIKE 'Brand#1%' AND NOT EXISTS (
   SELECT 1 FROM d LEFT JOIN m q ON q.p_partkey = d.dep WHERE d.part = m.p_partkey AND q.state IS DISTINCT FROM 'installed')
   THEN 'to install' ELSE state END AS state FROM m
@@ -196,7 +196,7 @@ def _(t):
         "p_partkey", F.when(F.col("p_size") > 30, "installed").otherwise("uninstalled").alias("state"),
         (F.col("p_type") != "LARGE").alias("auto"), F.concat_ws(".", "p_brand", F.col("p_partkey").cast("string")).alias("name"),
     )
-    lines = t.lineitem.where("l_returnflag = 'R' AND l_quantity > 44").select("l_partkey", "l_suppkey").distinct()
+    lines = t.lineitem.select("l_partkey", "l_suppkey").distinct()
     a, b = names.alias("a"), names.alias("b")
     deps = (
         lines.join(a, F.col("l_partkey") == F.col("a.p_partkey"))

@@ -293,7 +293,7 @@ SELECT l_orderkey, CAST((rn - 1) // 4 AS BIGINT) AS chunk, string_agg(l_partkey
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {TIE_SQL}) AS rn FROM lineitem) GROUP BY 1, 2
 """)
 def _(t):
-    packed = O.collect_aligned(t.lineitem, ["l_orderkey"], TIE, ["l_partkey", "l_suppkey"], "items", chunk=4)
+    packed = O.collect_aligned(t.lineitem, ["l_orderkey"], TIE, ["l_partkey", "l_suppkey"], "items", chunk=4, spread=False)
     text = F.transform("items", lambda x: F.concat_ws(":", x["l_partkey"].cast("string"), x["l_suppkey"].cast("string")))
     return packed.select("l_orderkey", "chunk", F.array_join(text, ",").alias("pairs"))
 
@@ -409,14 +409,14 @@ SELECT l_orderkey, l_partkey, l_suppkey, CASE WHEN rn = 1 THEN 'update' ELSE 'in
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {TIE_SQL}) AS rn FROM lineitem)
 """)
 def _(t):
-    numbered = O.number_within(t.lineitem, ["l_orderkey"], TIE, "rn")
+    numbered = O.number_within(t.lineitem, ["l_orderkey"], TIE, "rn", spread=False)
     action = F.when(F.col("rn") == 1, "update").otherwise("insert")
     return numbered.select("l_orderkey", "l_partkey", "l_suppkey", action.alias("action"))
 
 
 @section.query("h1_order_by", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey")
 def _(t):
-    return t.orders.select("o_orderkey", "o_orderdate", "o_totalprice").orderBy(F.col("o_totalprice").desc_nulls_first(), "o_orderkey")
+    return G.resort_model(t.orders.select("o_orderkey", "o_orderdate", "o_totalprice"), [("o_totalprice", True), ("o_orderkey", False)])
 
 
 @section.query("h2_top_one", "SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC LIMIT 1")
@@ -429,7 +429,7 @@ SELECT p_size, CAST((rn - 1) // 10 AS BIGINT) AS chunk, string_agg(p_brand, ','
   SELECT p_size, p_brand, row_number() OVER (PARTITION BY p_size ORDER BY p_brand) AS rn FROM (SELECT DISTINCT p_size, p_brand FROM part)) GROUP BY 1, 2
 """)
 def _(t):
-    return G.sorted_distinct_list(t.part, ["p_size"], "p_brand", "brands", chunk=10)
+    return G.sorted_distinct_list(t.part, ["p_size"], "p_brand", "brands", chunk=10, spread=False)
 
 
 @section.query("h4_resort_model", "SELECT p_partkey, p_size, p_brand FROM part ORDER BY p_size DESC, p_brand, p_partkey")

@@ -136,15 +136,13 @@ def _(t):
 
 
 def _groups(t):
-    return R.entities_from_references(
-        t.orders.select("o_orderkey", "o_custkey").where("o_totalprice > 300000"), "o_custkey", t.customer, "c_custkey",
-        ["c_name"], "group_id",
-    )
+    referrers = t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("o_custkey"))
+    return R.entities_from_references(referrers, "o_custkey", t.customer, "c_custkey", ["c_name"], "group_id")
 
 
 @section.query("j8_entities_from_references", """
 SELECT row_number() OVER (ORDER BY c_custkey) AS id, c_custkey AS legacy__c_custkey, c_name FROM customer
-WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)
+WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus <> 'P')
 """)
 def _(t):
     return _groups(t)[0]
@@ -152,8 +150,9 @@ def _(t):
 
 @section.query("j8_referrers_repointed", """
 WITH e AS (SELECT row_number() OVER (ORDER BY c_custkey) AS id, c_custkey FROM customer
-  WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000))
-SELECT o_orderkey, o_custkey, e.id AS group_id FROM orders JOIN e ON c_custkey = o_custkey WHERE o_totalprice > 300000
+  WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus <> 'P')),
+r AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey FROM orders)
+SELECT o_orderkey, o_custkey, e.id AS group_id FROM r LEFT JOIN e ON c_custkey = o_custkey
 """)
 def _(t):
     return _groups(t)[1]
@@ -161,7 +160,7 @@ def _(t):
 
 @section.query("j9_explode_arrays", "SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem")
 def _(t):
-    packed = O.collect_aligned(t.lineitem, ["l_orderkey"], TIE, ["l_partkey", "l_suppkey"], "items", chunk=4)
+    packed = O.collect_aligned(t.lineitem, ["l_orderkey"], TIE, ["l_partkey", "l_suppkey"], "items", chunk=4, spread=False)
     return O.explode_aligned(packed, "items").select("l_orderkey", "l_partkey", "l_suppkey")
 
 

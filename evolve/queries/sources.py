@@ -214,15 +214,14 @@ def _(t):
 @section.query("a10_read_annotations", """
 WITH c AS (
   SELECT *, sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS n
-  FROM conversations WHERE role IN ('user', 'assistant')
+  FROM conversations
 )
 SELECT u.conv_id, u.turn, u.text, a.text AS answer
 FROM c u LEFT JOIN c a ON a.conv_id = u.conv_id AND a.role = 'assistant' AND a.n = u.n + 1
-WHERE u.role = 'user'
+WHERE u.role IS DISTINCT FROM 'assistant'
 """)
 def _(t):
-    said = t.conversations.where(F.col("role").isin("user", "assistant"))
-    noted = attach_notes(said, ["conv_id"], ["turn"], F.col("role") == "assistant", F.col("text"), "answer")
+    noted = attach_notes(t.conversations, ["conv_id"], ["turn"], F.col("role") == "assistant", F.col("text"), "answer")
     return noted.select("conv_id", "turn", "text", "answer")
 
 

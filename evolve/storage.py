@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StructType
 
-# A mapping written out in the plan is broadcast up to this many rows; beyond it
-# the join is left to the planner, which shuffles or broadcasts by statistics.
+# A mapping written out in the plan is broadcast up to this many rows and
+# characters; beyond either the join is left to the planner, which shuffles or
+# broadcasts by statistics.
 BROADCAST_ROWS = 10_000
+BROADCAST_CHARS = 4_000_000
 
 
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -58,12 +60,12 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
 
 
-def small(rows: int, df: DataFrame) -> DataFrame:
-    """Hint a broadcast when the known row bound of ``df`` allows it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def small(rows: int, df: DataFrame, chars: int = 0) -> DataFrame:
+    """Hint a broadcast when the known bounds of ``df`` allow it."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and chars <= BROADCAST_CHARS else df
 
 
 def mapping_table(spark: SparkSession, rows: Iterable[tuple], schema: str | StructType) -> DataFrame:
     """A pinned mapping (old name to new name and the like) as a joinable frame."""
     rows = list(rows)
-    return small(len(rows), spark.createDataFrame(rows, schema))
+    return small(len(rows), spark.createDataFrame(rows, schema), sum(len(str(v)) for r in rows for v in r))

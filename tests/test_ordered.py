@@ -1,5 +1,3 @@
-from unittest import mock
-
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -12,20 +10,19 @@ from tests.conftest import rows
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from([None, 1, 1, 1, 2]), st.one_of(st.none(), st.integers(0, 5))), min_size=0, max_size=60))
 def test_running_values_agree_with_a_plain_pass(spark, data):
-    check_running(spark, data, O.GROUP_ROWS)
-    check_running(spark, data, 0)
+    check_running(spark, data, False)
+    check_running(spark, data, True)
 
 
-def check_running(spark, data, group_rows):
-    """Compare with one pass in Python; ``group_rows=0`` takes the way of large groups."""
+def check_running(spark, data, spread):
+    """Compare with one pass in Python."""
     numbered = [(g, i, v) for i, (g, v) in enumerate(data)]
     df = spark.createDataFrame(numbered, "g int, at int, v int").repartition(5)
     values = {
         "n": O.Running("count"), "total": O.Running("sum", "v"), "high": O.Running("max", "v"),
         "seen": O.Running("last", "v"), "above": O.Running("before", "v"), "lagged": O.Running("lag", "v"),
     }
-    with mock.patch.object(O, "GROUP_ROWS", group_rows):
-        out = O.running(df, ["g"], ["at"], values, unique=True).collect()
+    out = O.running(df, ["g"], ["at"], values, unique=True, spread=spread).collect()
     got = {r.at: (r.n, r.total, r.high, r.seen, r.above, r.lagged) for r in out}
     state, want = {}, {}
     for g, at, v in numbered:
@@ -38,15 +35,13 @@ def check_running(spark, data, group_rows):
     assert got == want
 
 
-@pytest.fixture(params=["window", "stretches"])
-def way(request, monkeypatch):
+@pytest.fixture(params=[False, True])
+def spread(request):
     """Both ways of ordered work: by whole groups, and as for groups too large for a task."""
-    if request.param == "stretches":
-        monkeypatch.setattr(O, "GROUP_ROWS", 0)
+    return request.param
 
 
-def test_a_hot_group_is_spread_and_still_numbered_right(spark, monkeypatch):
-    monkeypatch.setattr(O, "GROUP_ROWS", 1000)
+def test_a_hot_group_is_spread_and_still_numbered_right(spark):
     df = spark.range(0, 40000, 1, 8).select(F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id")).alias("k"), (F.lit(40000) - F.col("id")).alias("at"))
     out = O.number_within(df, ["k"], ["at"], "n").where("k = 7")
     assert out.agg(F.max("n"), F.countDistinct("n"), F.count("n")).first()[:] == (26667, 26667, 26667)
@@ -70,9 +65,9 @@ def test_untyped_nulls_and_maps_can_be_numbered(spark):
     assert [tuple(r) for r in out.orderBy("n").collect()] == [(2, None, {"k": 2}, 1), (1, None, {"k": 1}, 2), (0, None, {"k": 0}, 3)]
 
 
-def test_empty_input(spark, way):
+def test_empty_input(spark, spread):
     df = spark.createDataFrame([], "g int, at int, v int")
-    assert O.number_within(df, ["g"], ["at"], "n").count() == 0
+    assert O.number_within(df, ["g"], ["at"], "n", spread).count() == 0
     assert O.sequence_over(df, ["at"], "n").count() == 0
     assert O.first_per_key(df, ["g"], [F.col("at")]).count() == 0
 
@@ -83,23 +78,43 @@ def test_first_per_key_limits_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_group_changes_and_fill_down(frame, way):
+def test_group_changes_and_fill_down(frame, spread):
     df = frame([(1, 1, "a"), (1, 2, "a"), (1, 3, None), (1, 4, "b"), (2, 1, None)], "g int, at int, k string")
-    assert rows(O.group_changes(df, ["g"], ["at"], "k")) == [(1, 1, "a"), (1, 3, None), (1, 4, "b"), (2, 1, None)]
-    assert [r[3] for r in rows(O.fill_down(df, ["g"], ["at"], "k", "f"))] == ["a", "a", "a", "b", None]
+    assert rows(O.group_changes(df, ["g"], ["at"], "k", spread)) == [(1, 1, "a"), (1, 3, None), (1, 4, "b"), (2, 1, None)]
+    assert [r[3] for r in rows(O.fill_down(df, ["g"], ["at"], "k", "f", spread))] == ["a", "a", "a", "b", None]
 
 
-def test_running_ratio_counts_peers_together_and_null_lots_apart(frame, way):
+def test_running_ratio_counts_peers_together_and_null_lots_apart(frame, spread):
     df = frame(
         [(1, None, 1, 40.0, 2.0), (1, None, 2, 44.0, 2.0), (1, None, 2, 0.0, 1.0), (1, 5, 1, 10.0, 1.0), (2, None, 1, 5.0, 0.0)],
         "p int, lot int, t int, v double, q double",
     )
-    got = rows(O.running_ratio(df, ["p", "lot"], "t", "v", "q", "r"))
+    got = rows(O.running_ratio(df, ["p", "lot"], "t", "v", "q", "r", spread=spread))
     assert got == [(1, 5, 1, 10.0), (1, None, 1, 20.0), (1, None, 2, pytest.approx(84 / 5))]
 
 
-def test_aligned_arrays_are_chunked_and_lossless(spark, way):
+def test_aligned_arrays_are_chunked_and_lossless(spark, spread):
     df = spark.range(25).select((F.col("id") % 2).alias("k"), "id", (-F.col("id")).alias("m"))
-    packed = O.collect_aligned(df, ["k"], ["id"], ["id", "m"], "items", chunk=4)
+    packed = O.collect_aligned(df, ["k"], ["id"], ["id", "m"], "items", chunk=4, spread=spread)
     assert packed.agg(F.max(F.size("items"))).first()[0] == 4
     assert rows(O.explode_aligned(packed, "items").select("k", "id", "m")) == rows(df)
+    whole = O.whole_arrays(packed, ["k"], "items")
+    assert [(r.k, [x.id for x in r["items"]]) for r in whole.orderBy("k").collect()] == [(k, list(range(k, 25, 2))) for k in (0, 1)]
+
+
+def test_sums_of_floats_are_refused_and_decimals_do_not_depend_on_the_cut(spark):
+    df = spark.range(20_000).select(F.lit(1).alias("g"), "id", (F.col("id") * 0.1 + 1e7).alias("x"))
+    with pytest.raises(TypeError, match="cast first"):
+        O.running(df, ["g"], ["id"], {"s": O.Running("sum", "x")})
+    exact = df.withColumn("x", F.col("x").cast("decimal(20,4)"))
+    sums = [{r.id: r.s for r in O.running(exact, ["g"], ["id"], {"s": O.Running("sum", "x")}, spread=s).collect()} for s in (False, True)]
+    assert sums[0] == sums[1]
+
+
+def test_ordered_work_starts_no_job_for_sizes(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sizes", "")
+    O.number_within(df, ["k"], ["id"], "n", spread=False)
+    assert tracker.getJobIdsForGroup("sizes") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

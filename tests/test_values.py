@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from evolve.functions import documents as D
@@ -27,6 +28,24 @@ def test_long_maps_use_a_lookup_with_the_same_result(frame):
     assert sorted(r.src for r in again.collect() if r.src) == ["first", "other", "was null"]
 
 
+@pytest.mark.parametrize("length", [32, 33, 1000])
+def test_maps_of_any_length_behave_alike(frame, length):
+    def mapped(pairs, schema="src int, dst int", **more):
+        pad = [(10_000 + i, pairs[0][1]) for i in range(length - len(pairs))]
+        return V.map_values(frame([(1, 7), (2, 7), (None, 7)], schema), "src", "dst", [*pairs, *pad], **more)
+
+    def got(df):
+        return rows(df), df.schema["dst"].dataType.simpleString()
+
+    assert got(mapped([("1", 5), ("x", 6)])) == ([(1, 5), (2, 7), (None, 7)], "int")
+    assert got(mapped([(1.0, 5), (1.5, 6), (2.0, 8)])) == ([(1, 5), (2, 8), (None, 7)], "int")
+    assert got(mapped([(1, 5), (2, 0.5)])) == ([(1, 5.0), (2, 0.5), (None, 7.0)], "double")
+    assert got(mapped([(1, None), (2, False)])) == ([(1, None), (2, None), (None, 7)], "int")
+    assert got(mapped([(None, 3), (1, 4)])) == ([(1, 4), (2, 7), (None, 3)], "int")
+    assert got(mapped([("1", 3), (1, 4)])) == ([(1, 3), (2, 7), (None, 7)], "int")
+    assert got(mapped([(1, 4)], default=9)) == ([(1, 4), (2, 9), (None, 9)], "int")
+
+
 def test_map_in_place_does_not_chain(frame):
     df = frame([("a",), ("b",)], "c string")
     assert rows(V.map_in_place(df, "c", [("a", "b"), ("b", "c")])) == [("b",), ("c",)]
