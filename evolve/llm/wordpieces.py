@@ -14,13 +14,16 @@ from collections.abc import Callable
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACES = re.compile(r"[ \t\n\r\f\v]+")
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 900_000
 LONGEST_KEPT = 48
 
+# Printable ASCII, line ends and Latin letters, which the vocabulary's normaliser only makes lower case.
+_LATIN_TEXT = re.compile("[ -~\n\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*")
+
 
 def pieces(text: str) -> list[str]:
     """The pieces of a text between white space; lower case when that cannot change its tokens."""
-    if text.isascii() and "<|" not in text:
+    if "<|" not in text and (text.isascii() or _LATIN_TEXT.fullmatch(text)):
         text = text.lower()
     if _SEPARATORS.search(text):
         return [p for p in _SPACES.split(text) if p]
