@@ -2,35 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def recompute(
-    df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], columns: Mapping[str, str], chunk: int = 10_000
+    df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], columns: Mapping[str, str], needs: Sequence[str],
+    chunk: int = 10_000,
 ) -> DataFrame:
     """Run a vectorised compute function over records in chunks of at most ``chunk`` rows.
 
-    ``fn`` gets a chunk and returns the new ``columns`` (name to type) in its
-    order. Rows need no neighbours, so nothing is shuffled.
+    ``fn`` gets the columns it ``needs`` and returns the new ``columns`` (name to
+    type) in their order. All other columns pass through unconverted. Rows need no
+    neighbours, so nothing is shuffled.
     """
     names = [c for c in df.columns if c not in columns]
+    kinds = ", ".join(f"`{c}` {t}" for c, t in columns.items())
+    types = to_arrow_schema(StructType.fromDDL(kinds))
 
     def apply(batches):
         for batch in batches:
-            for start in range(0, len(batch), chunk):
-                part = batch.iloc[start : start + chunk]
-                new = fn(part)
-                yield pd.concat(
-                    [part[names].reset_index(drop=True), new[list(columns)].reset_index(drop=True)], axis=1
-                )
+            for start in range(0, batch.num_rows, chunk):
+                part = batch.slice(start, chunk)
+                new = fn(part.select(list(needs)).to_pandas())
+                made = [pa.Array.from_pandas(new[f.name], type=f.type) for f in types]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *made], names=[*names, *columns])
 
     old = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in names]
-    added = [f"`{c}` {t}" for c, t in columns.items()]
-    return df.mapInPandas(apply, ", ".join(old + added))
+    return df.mapInArrow(apply, ", ".join([*old, kinds]))
 
 
 def recompute_where(df: DataFrame, columns: Mapping[str, Column], predicate: Column) -> DataFrame:

@@ -97,15 +97,33 @@ def cast_columns(df: DataFrame, types: Mapping[str, str], on_error: str = "null"
     )
 
 
+# A whole name that is not part of a longer one nor an attribute of another.
+_NAME = r"(?<![\w.])\w+"
+
+
 def rename_field_references(
     df: DataFrame, col: str, renames: Sequence[tuple[str, str, str]], model_col: str
 ) -> DataFrame:
-    """Rewrite field names (model, old, new) inside stored expressions of that model."""
-    out = F.col(col)
+    """Rewrite field names (model, old, new) inside stored expressions of that model.
+
+    Every name is looked up once, so renames do not chain and may swap names.
+    Of several renames of one name the first counts.
+    """
+    by_model: dict[str, dict[str, str]] = {}
     for model, old, new in renames:
-        changed = F.regexp_replace(out, rf"(?<![\w.]){old}(?!\w)", new)
-        out = F.when(F.col(model_col) == model, changed).otherwise(out)
-    return df.withColumn(col, out)
+        by_model.setdefault(model, {}).setdefault(old, new)
+    if not by_model:
+        return df
+    maps = F.create_map(*[
+        part for model, names in by_model.items()
+        for part in (F.lit(model), F.create_map(*[F.lit(word) for pair in names.items() for word in pair]))
+    ])
+    names = F.regexp_extract_all(F.col(col), F.lit(_NAME), F.lit(0))
+    known = F.try_element_at(maps, F.col(model_col))
+    renamed = F.transform(names, lambda n: F.coalesce(F.try_element_at(known, n), n))
+    between = F.split(F.col(col), _NAME, -1)
+    joined = F.concat_ws("", F.flatten(F.zip_with(between, renamed, lambda gap, name: F.array(gap, F.coalesce(name, F.lit(""))))))
+    return df.withColumn(col, F.when(known.isNotNull() & F.col(col).isNotNull(), joined).otherwise(F.col(col)))
 
 
 def retain_dropped(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:

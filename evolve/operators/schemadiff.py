@@ -43,7 +43,7 @@ def diff_fields(old: DataFrame, new: DataFrame) -> DataFrame:
     key = ["module", "model", "field"]
     facts = [c for c in new.columns if c not in key]
     o, n = old.withColumn("__o", F.lit(True)).alias("o"), new.withColumn("__n", F.lit(True)).alias("n")
-    on = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in key]
+    on = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key]
     both = o.join(n, on, "full")
     return both.where("__o IS NULL OR __n IS NULL").select(
         *[F.coalesce(f"n.{k}", f"o.{k}").alias(k) for k in key],
@@ -55,7 +55,7 @@ def diff_fields(old: DataFrame, new: DataFrame) -> DataFrame:
 def diff_attributes(old: DataFrame, new: DataFrame, key: Sequence[str], attributes: Sequence[str]) -> DataFrame:
     """Changed attributes of the keys both sides have: (key.., attribute, old, new)."""
     o, n = old.alias("o"), new.alias("n")
-    both = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in key])
+    both = o.join(n, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key])
     changes = F.array(
         *[
             F.struct(
@@ -72,7 +72,7 @@ def diff_attributes(old: DataFrame, new: DataFrame, key: Sequence[str], attribut
 def diff_selection_keys(old: DataFrame, new: DataFrame, key: Sequence[str], keys_col: str) -> DataFrame:
     """Selection keys added and removed, as sorted lists, where any were."""
     o, n = old.alias("o"), new.alias("n")
-    both = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in key])
+    both = o.join(n, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key])
     def only(a, b):
         return F.array_join(F.array_sort(F.array_except(F.col(f"{a}.{keys_col}"), F.col(f"{b}.{keys_col}"))), ", ")
 
@@ -92,7 +92,7 @@ def diff_records(old: DataFrame, new: DataFrame, modules: DataFrame | None = Non
     if modules is not None:
         before = rename_values(before, ["module"], modules)
     o, n = before.withColumn("__o", F.lit(True)).alias("o"), new.withColumn("__n", F.lit(True)).alias("n")
-    both = o.join(n, (F.col("o.module") == F.col("n.module")) & (F.col("o.name") == F.col("n.name")), "full")
+    both = o.join(n, F.col("o.module").eqNullSafe(F.col("n.module")) & F.col("o.name").eqNullSafe(F.col("n.name")), "full")
     change = (
         F.when(F.col("__o").isNull(), "NEW")
         .when(F.col("__n").isNull(), "DEL")

@@ -12,13 +12,28 @@ from evolve.operators.groups import multiset_difference
 from evolve.operators.joins import attach, drop_related
 
 
+def _same_key(keys: Sequence[str]) -> list[Column]:
+    """Equal keys, where a NULL part equals a NULL part."""
+    return [F.col(f"b.`{k}`").eqNullSafe(F.col(f"a.`{k}`")) for k in keys]
+
+
 def _joined(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     b, a = before.withColumn("__b", F.lit(True)).alias("b"), after.withColumn("__a", F.lit(True)).alias("a")
-    return b.join(a, [F.col(f"b.`{k}`") == F.col(f"a.`{k}`") for k in keys], "full")
+    return b.join(a, _same_key(keys), "full")
+
+
+def with_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, or a failing run if a key occurs twice. One aggregate over the keys."""
+    twice = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("n"))
+    refused = F.raise_error(F.lit(f"keys {', '.join(keys)} are not unique")).cast("boolean")
+    return df.where(F.when(twice.scalar() > 0, refused).otherwise(True))
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per row: same, differs, only before or only after; with the columns that differ."""
+    """Per row: same, differs, only before or only after; with the columns that differ.
+
+    Keys are unique on each side; see ``with_unique_keys`` where that is not sure.
+    """
     shared = [c for c in before.columns if c in after.columns and c not in keys]
     changed = F.concat_ws(
         ",", *[F.when(~F.col(f"b.`{c}`").eqNullSafe(F.col(f"a.`{c}`")), F.lit(c)) for c in shared]
@@ -43,7 +58,7 @@ def column_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) ->
     """How many of the rows on both sides changed, per shared column: one pass, one row each."""
     shared = [c for c in before.columns if c in after.columns and c not in keys]
     b, a = before.alias("b"), after.alias("a")
-    joined = b.join(a, [F.col(f"b.`{k}`") == F.col(f"a.`{k}`") for k in keys])
+    joined = b.join(a, _same_key(keys))
     counts = joined.agg(
         F.count(F.lit(1)).alias("__rows"),
         *[F.count_if(~F.col(f"b.`{c}`").eqNullSafe(F.col(f"a.`{c}`"))).alias(c) for c in shared],
@@ -97,37 +112,41 @@ def gate_log(lines: DataFrame, text: str, ignore: Sequence[str], level: str | No
 
 
 def isolate_failures(
-    df: DataFrame, fn: Callable[[Mapping[str, object]], Mapping[str, object]], error_col: str = "error"
+    df: DataFrame, fn: Callable[[pa.RecordBatch], Mapping[str, Sequence | pa.Array]], error_col: str = "error"
 ) -> DataFrame:
-    """Apply a row function; a row that fails stays as it was and carries its error.
+    """Apply a function to whole Arrow batches; a row that fails stays as it was and carries its error.
 
-    A result that does not fit its column counts as a failure. Arrow batches
-    stream through, one at a time. Prefer ``try_cast`` and its kin
-    (``isolate_cast``) where an expression can say it.
+    ``fn`` returns the columns it changes. A batch that fails is halved until the
+    rows that fail stand alone, so a batch without failures costs one call. A
+    result that does not fit its column counts as a failure. Prefer ``try_cast``
+    and its kin (``isolate_cast``) where an expression can say it.
     """
-    def change(row):
+    def changed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        new = fn(batch)
+        made = []
+        for field in batch.schema:
+            values = new.get(field.name, batch.column(field.name))
+            made.append(values.cast(field.type) if isinstance(values, pa.Array) else pa.array(values, field.type))
+        return pa.RecordBatch.from_arrays([*made, pa.nulls(batch.num_rows, pa.string())], names=[*batch.schema.names, error_col])
+
+    def attempt(batch: pa.RecordBatch):
         try:
-            return {**row, **fn(dict(row)), error_col: None}
+            done = changed(batch)
         except Exception as failure:  # the point: one bad row must not end the run
-            return {**row, error_col: f"{type(failure).__name__}: {failure}"}
-
-    def fitting(old, new, schema):
-        try:
-            pa.RecordBatch.from_pylist([new], schema=schema)
-            return new
-        except (pa.ArrowException, TypeError, ValueError, OverflowError) as failure:
-            return {**old, error_col: f"{type(failure).__name__}: {failure}"}
+            if batch.num_rows == 1:
+                error = pa.array([f"{type(failure).__name__}: {failure}"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, error], names=[*batch.schema.names, error_col])
+            else:
+                half = batch.num_rows // 2
+                yield from attempt(batch.slice(0, half))
+                yield from attempt(batch.slice(half))
+            return
+        yield done
 
     def apply(batches):
         for batch in batches:
-            schema = batch.schema.append(pa.field(error_col, pa.string()))
-            before = batch.to_pylist()
-            after = [change(row) for row in before]
-            try:
-                yield pa.RecordBatch.from_pylist(after, schema=schema)
-            except (pa.ArrowException, TypeError, ValueError, OverflowError):
-                checked = [fitting(old, new, schema) for old, new in zip(before, after, strict=True)]
-                yield pa.RecordBatch.from_pylist(checked, schema=schema)
+            if batch.num_rows:
+                yield from attempt(batch)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return df.mapInArrow(apply, f"{fields}, `{error_col}` string")

@@ -1,5 +1,6 @@
 """Schema difference, validation, user functions, plans and streams."""
 
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from evolve.dataset import Dataset
@@ -227,10 +228,10 @@ SELECT p_partkey, CASE WHEN p_size = 13 THEN p_name ELSE upper(p_name) END AS p_
   CASE WHEN p_size = 13 THEN 'ValueError: size 13 is refused' END AS error FROM part
 """)
 def _(t):
-    def rename(row):
-        if row["p_size"] == 13:
+    def rename(batch):
+        if 13 in batch.column("p_size").to_pylist():
             raise ValueError("size 13 is refused")
-        return {"p_name": row["p_name"].upper()}
+        return {"p_name": pc.utf8_upper(batch.column("p_name"))}
 
     return N.isolate_failures(t.part.select("p_partkey", "p_name", "p_size"), rename)
 
@@ -265,7 +266,7 @@ def _(t):
         return (chunk[["l_discount"]] * 100).gt(chunk["l_linenumber"], axis=0).rename(columns={"l_discount": "is_storno"})
 
     lines = t.lineitem.select(*LINE, "l_discount", "l_returnflag", F.lit("kept").alias("state"))
-    out = recompute(lines, storno, {"is_storno": "boolean"})
+    out = recompute(lines, storno, {"is_storno": "boolean"}, needs=["l_discount", "l_linenumber"])
     return recompute_where(out, {"state": F.lit("back")}, F.col("l_returnflag") == "R").select(*LINE, "is_storno", "state")
 
 
@@ -341,8 +342,9 @@ FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey
 def _(t):
     folder = scratch_folder(t.spark)
     t.customer.write.parquet(f"{folder}/v0")
+    changes = F.array(F.struct(F.lit(1).alias("at"), F.lit("zulu").alias("value")), F.struct(F.lit(2).alias("at"), F.col("s_name").alias("value")))
     patches = _stream(t, "supplier", t.supplier).select(
-        F.col("s_suppkey").alias("c_custkey"), F.lit("c_mktsegment").alias("field"), F.col("s_name").alias("value")
+        F.col("s_suppkey").alias("c_custkey"), F.lit("c_mktsegment").alias("field"), F.inline(changes)
     )
     written = []
 
@@ -351,7 +353,7 @@ def _(t):
         written.append(number + 1)
 
     query = upsert_stream(
-        patches, lambda number: t.spark.read.parquet(f"{folder}/v{number}"), store, "c_custkey", f"{folder}/state", create="never"
+        patches, lambda number: t.spark.read.parquet(f"{folder}/v{number}"), store, "c_custkey", f"{folder}/state", position="at", create="never"
     )
     query.awaitTermination()
     return t.spark.read.parquet(f"{folder}/v{max(written, default=0)}")

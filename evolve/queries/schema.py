@@ -23,14 +23,18 @@ def _(t):
 
 
 @section.query("b2_rename_fields", """
-SELECT o_orderkey AS id, o_custkey AS partner_id, o_orderstatus AS state, o_totalprice, o_orderpriority FROM orders
+SELECT o_orderkey AS id, o_custkey AS partner_id, o_orderstatus AS state, o_totalprice, o_orderpriority,
+  CASE WHEN o_orderstatus = 'F' THEN 'id' WHEN o_orderstatus = 'O' THEN 'state' ELSE 'o_totalprice' END AS field FROM orders
 """)
 def _(t):
-    meta = t.spark.createDataFrame([("shop.order", "o_orderkey")], "model string, name string")
+    status = F.col("o_orderstatus")
+    name = F.when(status == "F", "o_orderkey").when(status == "O", "o_orderstatus").otherwise("o_totalprice")
+    meta = t.orders.select(F.lit("shop.order").alias("model"), name.alias("name"), F.col("o_orderkey").alias("key"))
     ds = Dataset({"orders": t.orders, "fields": meta})
     renames = [("o_orderkey", "id"), ("o_custkey", "partner_id"), ("o_orderstatus", "state")]
     ds = rename_fields(ds, [("shop.order", "orders", o, n) for o, n in renames])
-    return ds["orders"].drop("o_orderdate")
+    renamed = ds["fields"].select(F.col("key").alias("id"), F.col("name").alias("field"))
+    return ds["orders"].drop("o_orderdate").join(renamed, "id")
 
 
 @section.query("b3_rename_tables", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
@@ -119,11 +123,15 @@ def _(t):
 
 
 @section.query("b12_rename_field_references", """
-SELECT event_id, CASE WHEN event_type = 'click' THEN replace(props, '"k"', '"key"') ELSE props END AS props FROM events
+SELECT event_id, CASE WHEN event_type = 'click' THEN replace(props, '"k"', '"key"') ELSE props END AS props,
+  user_id || CASE event_type WHEN 'click' THEN ': [b, x.a, a_b, a]' WHEN 'view' THEN ': [b, x.a, a_b, c]' ELSE ': [a, x.a, a_b, b]' END AS domain
+FROM events
 """)
 def _(t):
-    out = rename_field_references(t.events, "props", [("click", "k", "key"), ("none", "k", "x")], "event_type")
-    return out.select("event_id", "props")
+    events = t.events.withColumn("domain", F.concat(F.col("user_id").cast("string"), F.lit(": [a, x.a, a_b, b]")))
+    out = rename_field_references(events, "props", [("click", "k", "key"), ("none", "k", "x")], "event_type")
+    swaps = [("click", "a", "b"), ("click", "b", "a"), ("view", "a", "b"), ("view", "b", "c")]
+    return rename_field_references(out, "domain", swaps, "event_type").select("event_id", "props", "domain")
 
 
 @section.query("b13_retain_dropped", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")

@@ -37,6 +37,7 @@ FROM (
   UNION ALL SELECT record_id, neg, 'segment', 'base.' || c_mktsegment, 'ref' FROM r
   UNION ALL SELECT record_id, neg, 'balance', bal, 'eval' FROM r
   UNION ALL SELECT record_id, neg, 'note', '<p>' || c_name || '</p>', 'markup' FROM r
+  UNION ALL SELECT record_id, neg, 'image', 'sales/static/' || record_id || '.png', 'file' FROM r
 )
 """)
 def _(t):
@@ -46,7 +47,9 @@ def _(t):
         F.lit('><field name="name">'), F.col("c_name"),
         F.lit('</field><field name="segment" ref="base.'), F.col("c_mktsegment"),
         F.lit('"/><field name="balance" eval="'), F.col("c_acctbal").cast("decimal(18,2)").cast("string"),
-        F.lit('"/><field name="note" type="html"><p>'), F.col("c_name"), F.lit("</p></field></record>"),
+        F.lit('"/><field name="note" type="html"><p>'), F.col("c_name"),
+        F.lit('</p></field><field name="image" type="base64" file="sales/static/customer_'), F.col("c_custkey").cast("string"),
+        F.lit('.png"/></record>'),
     )
     rows = parse_records(t.customer.select(xml.alias("xml")), "xml", F.lit("sales"))
     return rows.withColumn("forcecreate", F.col("forcecreate").cast("string"))
@@ -103,10 +106,11 @@ def _(t):
         (F.lit(-1) - F.col("s_suppkey")).alias("c_custkey"), (F.col("s_acctbal") >= 0).alias("forcecreate"),
         F.inline(F.array(
             field("c_name", F.col("s_name")), field("c_nationkey", F.col("s_nationkey")),
-            field("c_mktsegment", F.lit("SUPPLIER")),
+            field("c_mktsegment", F.lit("ZULU")), field("c_mktsegment", F.lit("SUPPLIER")),
         )),
     )
-    return upsert_records(t.customer, old.unionByName(new), "c_custkey", create="auto")
+    patch = old.unionByName(new).withColumn("at", F.when(F.col("value") == "ZULU", 0).otherwise(1))
+    return upsert_records(t.customer, patch, "c_custkey", create="auto", position="at")
 
 
 @section.query("a4_resolve_values", r"""
@@ -114,6 +118,9 @@ SELECT 'sales' AS module, o_orderkey AS record_id, 'note' AS field, CASE o_order
   WHEN '1-URGENT' THEN CAST(c_custkey AS VARCHAR) WHEN '3-MEDIUM' THEN CAST(c_custkey AS VARCHAR)
   WHEN '4-NOT SPECIFIED' THEN o_orderstatus || chr(10) || 'x' WHEN '5-LOW' THEN CASE WHEN o_orderstatus = 'F' THEN NULL ELSE 'None' END END AS value
 FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+UNION ALL SELECT 'sales', o_orderkey, 'domain', '[(' || chr(39) || 'owner' || chr(39) || ', ' || chr(39) || 'in' || chr(39) || ', [' || c_custkey || ', ' || c_custkey || '])]'
+FROM orders JOIN customer ON c_custkey = o_custkey
+UNION ALL SELECT 'sales', o_orderkey, 'image', 'bytes of ' || o_orderkey FROM orders WHERE o_orderstatus = 'O'
 """)
 def _(t):
     priority, name = F.col("o_orderpriority"), F.format_string("Customer#%09d", "o_custkey")
@@ -132,7 +139,15 @@ def _(t):
         literal.alias("value"), kind.alias("kind"),
     )
     identity = t.customer.select(F.lit("base").alias("module"), F.col("c_name").alias("name"), F.col("c_custkey").alias("res_id"))
-    return resolve_values(patch, identity)
+    ref = F.concat(F.lit("ref('base."), name, F.lit("')"))
+    known = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey"), "leftsemi")
+    domain = F.concat(F.lit("str([('owner', 'in', ["), ref, F.lit(", "), ref, F.lit("])])"))
+    path = F.concat(F.lit("static/"), F.col("o_orderkey").cast("string"))
+    base = [F.lit("sales").alias("module"), F.col("o_orderkey").alias("record_id")]
+    domains = known.select(*base, F.lit("domain").alias("field"), domain.alias("value"), F.lit("eval").alias("kind"))
+    images = t.orders.select(*base, F.lit("image").alias("field"), path.alias("value"), F.lit("file").alias("kind"))
+    files = t.orders.where("o_orderstatus = 'O'").select(path.alias("path"), F.concat(F.lit("bytes of "), F.col("o_orderkey").cast("string")).alias("content"))
+    return resolve_values(patch.unionByName(domains).unionByName(images), identity, files=files)
 
 
 @section.query("a5_snapshot", """

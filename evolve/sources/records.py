@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from evolve.operators.ordered import Running, running
 
 # The attributes a record and a field may carry.
-_FIELDS = "_name string, _eval string, _ref string, _type string, _VALUE string"
+_FIELDS = "_name string, _eval string, _ref string, _type string, _file string, _VALUE string"
 _RECORD = f"_id string, _model string, _forcecreate string, field array<struct<{_FIELDS}>>"
 _MARKUP = "field array<string>"
 
@@ -17,7 +17,7 @@ def parse_records(df: DataFrame, text: str, module: Column) -> DataFrame:
     """One row per field of the record held in ``text``.
 
     Returns (module, record_id, model, forcecreate, field, value, kind); kind is
-    text, eval, ref or markup. A dotted id names its own module. An eval of
+    text, eval, ref, markup or file, whose value is the file's path. A dotted id names its own module. An eval of
     None or False stays literal; who applies the patch decides what it means.
     """
     # The record is parsed twice: as structs for attributes and text, as strings
@@ -34,7 +34,7 @@ def parse_records(df: DataFrame, text: str, module: Column) -> DataFrame:
     f = F.col("z.f")
     dotted = F.col("__id").contains(".")
     kind = (
-        F.when(f["_eval"].isNotNull(), "eval").when(f["_ref"].isNotNull(), "ref")
+        F.when(f["_file"].isNotNull(), "file").when(f["_eval"].isNotNull(), "eval").when(f["_ref"].isNotNull(), "ref")
         .when(f["_type"].isin("html", "xml"), "markup").otherwise("text")
     )
     return zipped.select(
@@ -43,7 +43,7 @@ def parse_records(df: DataFrame, text: str, module: Column) -> DataFrame:
         "model",
         F.lower("__force").cast("boolean").alias("forcecreate"),
         f["_name"].alias("field"),
-        F.when(kind == "eval", f["_eval"]).when(kind == "ref", f["_ref"])
+        F.when(kind == "file", f["_file"]).when(kind == "eval", f["_eval"]).when(kind == "ref", f["_ref"])
         .when(kind == "markup", F.trim(F.col("z.markup"))).otherwise(f["_VALUE"]).alias("value"),
         kind.alias("kind"),
     )

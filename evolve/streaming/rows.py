@@ -23,15 +23,18 @@ def apply_steps(stream: DataFrame, steps: Sequence[Callable[[DataFrame], DataFra
 
 def upsert_stream(
     patches: DataFrame, read_target: Callable[[int], DataFrame], write_target: Callable[[DataFrame, int], None],
-    key: str, checkpoint: str, create: str = "auto",
+    key: str, checkpoint: str, position: str, create: str = "auto",
 ) -> StreamingQuery:
     """Apply a stream of patch rows to a stored table, one rewrite per micro-batch.
 
+    Two changes to one field in one batch are normal; ``position`` is the column
+    that tells which is the later one.
+
     Reading and writing get the batch number: a batch that is run again after a
     failure must read the version before it and write the same version again.
     """
     def apply(batch: DataFrame, number: int) -> None:
-        write_target(upsert_records(read_target(number), batch, key, create), number)
+        write_target(upsert_records(read_target(number), batch, key, create, position=position), number)
 
     return (
         patches.writeStream.foreachBatch(apply)

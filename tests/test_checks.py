@@ -44,16 +44,16 @@ def test_rules_orphans_and_log_gate(frame):
 def test_a_refused_update_keeps_its_row_and_the_rest_goes_on(frame):
     df = frame([(1, "unit"), (2, "dozen")], "id long, uom string")
 
-    def change(row):
-        if row["id"] == 2:
+    def change(batch):
+        if 2 in batch.column("id").to_pylist():
             raise ValueError("in use")
-        return {"uom": "pack"}
+        return {"uom": ["pack"] * batch.num_rows}
 
     assert rows(N.isolate_failures(df, change)) == [(1, "pack", None), (2, "dozen", "ValueError: in use")]
-    typed = frame([(1, None, None), (2, 5, dt.datetime(2024, 1, 1))], "id long, n long, at timestamp_ntz")
-    seen = N.isolate_failures(typed, lambda row: {"n": "word" if row["n"] else 0 if row["n"] is None else 1})
+    typed = frame([(1, None, dt.datetime(9999, 12, 31)), (2, 5, dt.datetime(2024, 1, 1))], "id long, n long, at timestamp_ntz")
+    seen = N.isolate_failures(typed, lambda batch: {"n": ["word" if n else 0 for n in batch.column("n").to_pylist()]})
     assert [(r.id, r.n, r.at, r.error is None) for r in seen.orderBy("id").collect()] == [
-        (1, 0, None, True), (2, 5, dt.datetime(2024, 1, 1), False)]
+        (1, 0, dt.datetime(9999, 12, 31), True), (2, 5, dt.datetime(2024, 1, 1), False)]
     ok, failed = N.isolate_cast(frame([("1",), ("x",), (None,)], "s string"), "s", "int", "n")
     assert rows(ok) == [("1", 1), (None, None)] and rows(failed) == [("x",)]
 
@@ -75,10 +75,43 @@ def test_recompute_in_bounded_chunks(spark):
         return pd.DataFrame({"y": chunk["id"] * 2})
 
     df = spark.range(0, 95, 1, 2)
-    assert [r.y for r in O.recompute(df, double, {"y": "long"}, chunk=10).orderBy("id").collect()] == [i * 2 for i in range(95)]
+    assert [r.y for r in O.recompute(df, double, {"y": "long"}, ["id"], chunk=10).orderBy("id").collect()] == [i * 2 for i in range(95)]
     assert sizes == []
 
 
+def test_only_a_failing_batch_is_halved(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def change(batch):
+        calls.add(1)
+        if 700 in batch.column("id").to_pylist():
+            raise ValueError("no")
+        return {}
+
+    df = spark.range(0, 1024, 1, 2)
+    assert N.isolate_failures(df, change).where("error IS NOT NULL").count() == 1
+    assert calls.value <= 2 + 2 * 9
+
+
+def test_untouched_columns_pass_recompute_as_they_are(frame):
+    end, huge = dt.datetime(9999, 12, 31), 2**62 + 1
+    df = frame([(1, end, huge, None), (2, None, None, 2.0)], "id int, until timestamp_ntz, big long, x double")
+    out = O.recompute(df, lambda part: pd.DataFrame({"y": part["x"] * 2}), {"y": "double"}, ["x"])
+    assert rows(out) == [(1, end, huge, None, None), (2, None, None, 2.0, 4.0)]
+
+
+def test_null_key_parts_are_equal_and_duplicates_can_be_refused(frame):
+    df = frame([(1, None, "a"), (None, 2, "b"), (None, None, "c")], "k int, l int, v string")
+    assert {r.status for r in N.snapshot_diff(df, df, ["k", "l"]).collect()} == {"same"}
+    after = df.replace("c", "d")
+    assert rows(N.column_changes(df, after, ["k", "l"])) == [("v", 1, 3)]
+    fields = frame([(None, "m", "f", "int"), ("a", "m", "g", "int")], "module string, model string, field string, type string")
+    assert M.diff_fields(fields, fields).count() == 0
+    assert N.with_unique_keys(df, ["k", "l"]).count() == 3
+    with pytest.raises(Exception, match="not unique"):
+        N.with_unique_keys(df.union(df), ["k", "l"]).collect()
+
+
 def test_schema_diffs(frame):
     cat = "module string, model string, kind string"
     old, new = frame([("m", "a", None), ("m", "b", None), ("m", "d", None), ("m", "e", None)], cat), frame(
@@ -152,13 +185,13 @@ def test_streamed_steps_equal_batch_steps(spark, frame, tmp_path):
 
 def test_streamed_patches_apply_batch_by_batch(spark, frame, tmp_path):
     frame([("a", 1), ("b", 2)], "id string, n int").write.parquet(str(tmp_path / "v0"))
-    patch = "id string, field string, value string"
-    for row in (("a", "n", "5"), ("c", "n", "7")):
-        frame([row], patch).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    patch = "id string, field string, value string, at int"
+    for row in ([("a", "n", "9", 1), ("a", "n", "5", 2)], [("c", "n", "7", 1)]):
+        frame(row, patch).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(patch).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     upsert_stream(
         stream, lambda n: spark.read.parquet(str(tmp_path / f"v{n}")),
-        lambda df, n: df.write.mode("overwrite").parquet(str(tmp_path / f"v{n + 1}")), "id", str(tmp_path / "cp"),
+        lambda df, n: df.write.mode("overwrite").parquet(str(tmp_path / f"v{n + 1}")), "id", str(tmp_path / "cp"), position="at",
     ).awaitTermination()
     last = max(int(p.name[1:]) for p in tmp_path.glob("v*"))
     assert last >= 2

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from evolve.operators import identity as K
@@ -103,6 +104,60 @@ def test_patch_literals(frame):
         ("r8", "f", "add", "b.x"), ("r8", "f", "add", "m.x"), ("r9", "f", "replace", None), ("r9", "g", "replace", "m.x")]
 
 
+def test_file_fields_are_their_own_kind(frame):
+    xml = '<record id="p" model="m"><field name="image" type="base64" file="static/a.png"/><field name="n">x</field></record>'
+    got = X.parse_records(frame([(xml,)], "xml string"), "xml", F.lit("m"))
+    assert rows(got.select("field", "value", "kind")) == [("image", "static/a.png", "file"), ("n", "x", "text")]
+
+
+def test_texts_around_references_and_files(frame):
+    patch = frame([
+        ("m", "r1", "f", "str([('a', 'in', [ref('x'), ref('b.y')])])", "eval"), ("m", "r2", "f", "str([ref('gone')])", "eval"),
+        ("m", "r3", "f", "str(1)", "eval"), ("m", "r4", "f", "static/a.png", "file"), ("m", "r5", "f", "static/none.png", "file"),
+    ], "module string, record_id string, field string, value string, kind string")
+    ids = frame([("m", "x", 7), ("b", "y", 8)], "module string, name string, res_id long")
+    files = frame([("static/a.png", "AAAA")], "path string, content string")
+    got = {r.record_id: r.value for r in R.resolve_values(patch, ids, files=files).collect()}
+    assert got == {"r1": "[('a', 'in', [7, 8])]", "r2": None, "r3": "1", "r4": "AAAA"}
+    assert "r4" not in {r.record_id for r in R.resolve_values(patch, ids).collect()}
+
+
+def test_member_commands_are_told_apart(frame):
+    def commands(value):
+        patch = frame([("m", "r", "f", value, "eval")], "module string, record_id string, field string, value string, kind string")
+        return rows(R.member_commands(patch).select("command", "member"))
+
+    assert commands("[(3, ref('x')), (4, ref('b.y'))]") == [("add", "b.y"), ("remove", "m.x")]
+    assert commands("[(5,), (4, ref('y'))]") == [("replace", "m.y")]
+    assert commands("[Command.unlink(ref('x'))]") == [("remove", "m.x")]
+    with pytest.raises(Exception, match="unknown member command 0"):
+        commands("[(0, 0, {'a': 1})]")
+    pairs = frame([(1, 10), (1, 11)], "l int, r int")
+    assert rows(R.apply_member_commands(pairs, frame([(1, "remove", 10)], "l int, command string, r int"), "l", "r")) == [(1, 11)]
+
+
+def test_a_small_patch_does_not_shuffle_the_target(spark, frame, tmp_path):
+    target = spark.range(0, 100_000, 1, 4).select(F.col("id"), (F.col("id") % 7).cast("string").alias("v"))
+    frame([(5, "v", "new"), (-1, "v", "added")], "id long, field string, value string").write.parquet(str(tmp_path / "patch"))
+    patch = spark.read.parquet(str(tmp_path / "patch"))
+    for create in ("auto", "always"):
+        out = R.upsert_records(target, patch, "id", create=create)
+        assert out.count() == 100_001
+        df = out.where("v IN ('new', 'added')")
+        assert rows(df) == [(-1, "added"), (5, "new")]
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # Only the few keys of the patch meet in a shuffle.
+        assert "SortMergeJoin [id" not in plan and "FullOuter" not in plan and "BroadcastHashJoin [id" in plan
+
+
+def test_a_field_listed_twice_needs_an_order(frame):
+    target = frame([(1, "a")], "id int, v string")
+    patch = frame([(1, "v", "z", 1), (1, "v", "b", 2)], "id int, field string, value string, at int")
+    with pytest.raises(Exception, match="listed twice"):
+        R.upsert_records(target, patch, "id").collect()
+    assert rows(R.upsert_records(target, patch, "id", position="at")) == [(1, "b")]
+
+
 def test_member_commands(frame):
     pairs = frame([(1, 10), (1, 11), (2, 10), (3, 10)], "l int, r int")
     patch = frame([(1, "add", 12), (1, "add", 10), (2, "replace", 20), (3, "replace", None)], "l int, command string, r int")

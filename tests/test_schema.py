@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +55,16 @@ def test_field_references_respect_word_edges_and_model(frame):
     assert rows(out) == [("m", "[('day','=',1),('date_end','=',2),('x.date','=',3)]"), ("n", "date")]
 
 
+def test_field_references_do_not_chain_and_many_are_planned_quickly(frame):
+    df = frame([("m", "a b x.a a_b"), ("n", "a b"), (None, "a"), ("m", None)], "model string, domain string")
+    out = S.rename_field_references(df, "domain", [("m", "a", "b"), ("m", "b", "c"), ("n", "a", "b"), ("n", "b", "a")], "model")
+    assert rows(out) == sorted([("m", "b c x.a a_b"), ("n", "b a"), (None, "a"), ("m", None)], key=repr)
+    start = time.perf_counter()
+    many = S.rename_field_references(df, "domain", [("m", f"f{i}", f"g{i}") for i in range(200)] + [("m", "a", "z")], "model")
+    assert len(rows(many)) == 4 and time.perf_counter() - start < 5
+    assert ("m", "z b x.a a_b") in rows(many)
+
+
 def test_retain_dropped_and_report(frame):
     old, new = frame([(1, "a", 2), (2, "b", None)], "id int, s string, n int"), frame([(1, "z"), (3, "y")], "id int, s string")
     assert rows(S.retain_dropped(old, new, ["id"])) == [(1, "z", 2), (3, "y", None)]
