@@ -14,12 +14,12 @@ counted everywhere. At most (mean shingles per document) / (RARE / 2) entries re
 that bounds what is sent to the tasks.
 
 Groups. Documents of one word sequence are one class. Each class is first compared with
-the nearest (by its samples) of the centres of its buckets, two per bucket; whoever is
-linked forms components. Then, until nothing joins, classes are compared with centres of
-other components, and at last all pairs that share a bucket but not a component and whose
-samples agree as a pair of that similarity would, in blocks. So a group of thousands of
-copies costs a few comparisons per member, and pairs in different components are all
-looked at.
+the nearest (by its samples) of the centres of its buckets, two per bucket: the class that
+shares most buckets with others, which in a group of edited copies is the one with the
+fewest edits, and one by chance. Whoever is linked forms components. Then all pairs that
+share a bucket but not a component are looked at in blocks inside the tasks: first by their
+samples, which tells the classes whose texts are needed, then exactly. No pair leaves a
+task unless it is a link, so a group of thousands of copies does not become as many rows.
 
 Defined results: a document without words (null text among them) or without id links
 with nothing; with fewer than five words it has one shingle of all its words; documents
@@ -52,8 +52,8 @@ RARE = 1e-3
 COUNT_BLOCK = 2_000_000
 # Pairs whose samples agree less than this are not compared exactly: 4 deviations below the threshold.
 LEAST_AGREEMENT = 0.6
-ROUNDS = 3
 MEMBERS = 1000
+BLOCK = 512
 
 _GRID = 1 << 16
 
@@ -131,7 +131,7 @@ def weights(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> Weig
 
 def samples(text_of: np.ndarray, h: np.ndarray, w: np.ndarray, texts: int, many: int, tables=None) -> np.ndarray:
     """Improved consistent weighted sampling: ``many`` samples of each text as 32-bit codes (0 without shingles)."""
-    r, log_c = tables if tables is not None else _tables()
+    r, inverse, log_c = tables if tables is not None else _tables()
     out = np.zeros((texts, many), dtype=np.uint32)
     if not len(h):
         return out
@@ -141,9 +141,10 @@ def samples(text_of: np.ndarray, h: np.ndarray, w: np.ndarray, texts: int, many:
     log_w = np.log(w)
     for k in range(many):
         bits = mix(h + np.uint64((k + 1) << 48))
-        rate = r[(bits & np.uint64(0xFFFF)).astype(np.int64)]
+        at = (bits & np.uint64(0xFFFF)).astype(np.int64)
+        rate = r[at]
         beta = ((bits >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.float64) / _GRID
-        t = np.floor(log_w / rate + beta)
+        t = np.floor(log_w * inverse[at] + beta)
         score = log_c[((bits >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int64)] - rate * (t - beta + 1)
         least = np.minimum.reduceat(score, starts)
         at = np.flatnonzero(score == np.repeat(least, size))
@@ -153,9 +154,15 @@ def samples(text_of: np.ndarray, h: np.ndarray, w: np.ndarray, texts: int, many:
     return out
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    x = _gamma_quantiles()
-    return x, np.log(x)
+_MADE: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rates, their inverses, and logarithms of the c values, once per worker."""
+    if not _MADE:
+        x = _gamma_quantiles()
+        _MADE.append((x, 1 / x, np.log(x)))
+    return _MADE[0]
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -192,16 +199,17 @@ def sketched(docs: DataFrame, model: Weights, text: str, key: str, shingle: int,
 
 
 def _buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """rep and bucket, for every band."""
+    """rep, band and bucket, for every band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = np.frombuffer(b"".join(batch.column("sample").to_pylist()), dtype="<u4").reshape(-1, bands, rows).astype(np.uint64)
             keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), codes.shape[:2])
             for k in range(rows):
                 keys = mix(keys * np.uint64(31) + codes[:, :, k])
-            yield pa.record_batch([pa.array(np.repeat(batch.column("rep").to_numpy(), bands)), pa.array(keys.reshape(-1).view(np.int64))], names=["rep", "bucket"])
+            band = np.tile(np.arange(bands), batch.num_rows)
+            yield pa.record_batch([pa.array(np.repeat(batch.column("rep").to_numpy(), bands)), pa.array(band), pa.array(keys.reshape(-1).view(np.int64))], names=["rep", "band", "bucket"])
 
-    return classes.select("rep", "sample").mapInArrow(run, "rep long, bucket long")
+    return classes.select("rep", "sample").mapInArrow(run, "rep long, band long, bucket long")
 
 
 def _agreement(pairs: DataFrame, codes: DataFrame) -> DataFrame:
@@ -256,33 +264,76 @@ def verified(pairs: DataFrame, texts: DataFrame, model: Weights, shingle: int, t
     return together.mapInArrow(compare, "a long, b long")
 
 
-def _across(members: DataFrame, codes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a bucket but no component and whose samples agree, compared in blocks.
+def _near_in_blocks(batch: pa.RecordBatch, starts: list[int], bands: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """For every row of a block group the later rows that it has to be compared with: start of the group, row, rows.
 
-    ``members``: rep, bucket, comp, n (size of the bucket).
+    Those of another component (and, in a pair of blocks, of the other block), whose samples agree enough, and
+    whose first shared band is this group's, so that a pair that shares several is compared once.
+    """
+    comp, side, lo, hi, band = (batch.column(c).to_numpy() for c in ("comp", "side", "lo", "hi", "band"))
+    raw = batch.column("sample").to_pylist()
+    for a, b in zip(starts, starts[1:], strict=False):
+        if b - a < 2:
+            continue
+        code = np.frombuffer(b"".join(raw[a:b]), dtype="<u4").reshape(b - a, -1)
+        for i in range(b - a - 1):
+            later = np.arange(i + 1, b - a)
+            later = later[comp[a + i + 1:b] != comp[a + i]]
+            if lo[a] != hi[a]:
+                later = later[side[a + later] != side[a + i]]
+            if not len(later):
+                continue
+            same = code[later] == code[i]
+            near = same.mean(axis=1) >= LEAST_AGREEMENT
+            near &= same.reshape(len(later), bands, -1).all(axis=2).argmax(axis=1) == band[a]
+            if near.any():
+                yield a, i, later[near]
+
+
+def _across(members: DataFrame, codes: DataFrame, texts: DataFrame, model: Weights, shingle: int, threshold: float, bands: int) -> DataFrame:
+    """Links (a, b) between classes that share a bucket but no component, compared in blocks inside the tasks.
+
+    ``members``: rep, bucket, band, comp, n (size of the bucket).
     """
-    rows = grouped(block_pairs(members.join(codes, "rep"), F.col("n"), "rep").drop("n"), ["bucket", "lo", "hi"])
+    keys = ["bucket", "lo", "hi"]
+    rows = block_pairs(members.join(codes, "rep"), F.col("n"), "rep", BLOCK).drop("n")
+
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, starts in runs(batches, keys):
+            some = np.zeros(batch.num_rows, dtype=bool)
+            for a, i, later in _near_in_blocks(batch, starts, bands):
+                some[a + i] = some[a + later] = True
+            yield batch.filter(pa.array(some))
+
+    kept = grouped(rows, keys)
+    wanted = stored(kept.mapInArrow(needed, kept.schema))
+    sent = members.sparkSession.sparkContext.broadcast(model)
+    with_text = grouped(wanted.join(texts, "rep"), keys)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for batch, starts in runs(batches, keys):
+            rep, body = batch.column("rep").to_numpy(), batch.column("text")
+            sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            group = -1
+
+            def of(row: int) -> tuple[np.ndarray, np.ndarray]:
+                if row not in sets:
+                    _, h, count = shingles(words([body[row].as_py()]), shingle)
+                    sets[row] = h, known.of(h, count)
+                return sets[row]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, starts in runs(batches, ["bucket", "lo", "hi"]):
-            rep, comp, side, lo, hi = (batch.column(c).to_numpy() for c in ("rep", "comp", "side", "lo", "hi"))
-            raw = batch.column("sample").to_pylist()
             out: tuple[list, list] = ([], [])
-            for a, b in zip(starts, starts[1:], strict=False):
-                code = np.frombuffer(b"".join(raw[a:b]), dtype="<u4").reshape(b - a, -1)
-                for i in range(b - a - 1):
-                    later = np.arange(i + 1, b - a)
-                    later = later[comp[a + i + 1:b] != comp[a + i]]
-                    if lo[a] != hi[a]:
-                        later = later[side[a + later] != side[a + i]]
-                    if len(later):
-                        near = later[(code[later] == code[i]).mean(axis=1) >= LEAST_AGREEMENT]
-                        out[0].append(np.maximum(rep[a + near], rep[a + i]))
-                        out[1].append(np.minimum(rep[a + near], rep[a + i]))
-            if out[0]:
-                yield pa.record_batch([pa.array(np.concatenate(o)) for o in out], names=["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long").distinct()
+            for a, i, later in _near_in_blocks(batch, starts, bands):
+                if a != group:
+                    group, sets = a, {}
+                for j in later.tolist():
+                    if weighted_jaccard(of(a + i), of(a + j)) >= threshold:
+                        out[0].append(int(rep[a + i]))
+                        out[1].append(int(rep[a + j]))
+            yield pa.record_batch([pa.array(o, pa.int64()) for o in out], names=["a", "b"])
+
+    return with_text.mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -304,34 +355,20 @@ def near_duplicates(
         .join(partners.select("rep"), "rep", "leftsemi").dropDuplicates(["rep"])
     )
     partner_codes = stored(partners.select("rep", "sample"))
-    links, comp = None, None
-    for turn in range(ROUNDS + 1):
-        now = members if comp is None else members.join(comp, members["rep"] == comp["node"], "left").select("rep", "bucket", "n", F.coalesce("component", "rep").alias("comp"))
-        if turn:
-            # Buckets that lie within one component have nothing left to compare.
-            open_ = now.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-            now = stored(now.join(open_, "bucket"))
-        if turn == ROUNDS:
-            pairs = _across(now, partner_codes)
-        else:
-            rank = F.xxhash64("rep", "bucket", F.lit(turn))
-            centres = now.groupBy("bucket").agg(F.min_by("rep", rank).alias("c1"), F.max_by("rep", rank).alias("c2"))
-            pairs = now.join(centres, "bucket").select("rep", F.explode(F.array_distinct(F.array("c1", "c2"))).alias("centre")).where("rep <> centre").distinct()
-            pairs = pairs.select(F.col("rep").alias("a"), F.col("centre").alias("b"))
-            if comp is not None:
-                of = comp.select("node", "component")
-                pairs = (
-                    pairs.join(of.toDF("a", "ca"), "a", "left").join(of.toDF("b", "cb"), "b", "left")
-                    .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-                )
-            near = _agreement(pairs, partner_codes).where(F.col("agree") >= LEAST_AGREEMENT)
-            # Each class is compared with the centre that its samples are nearest to.
-            pairs = near.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
-        found = stored(verified(pairs, texts, model, shingle, threshold))
-        if turn and turn < ROUNDS and found.isEmpty():
-            continue
-        links = found if links is None else links.union(found)
-        comp = components(links)
+    # The class that shares most buckets with others leads each of its buckets; another leads by chance.
+    shares = members.groupBy("rep").agg(F.sum("n").alias("shares"))
+    rank = F.xxhash64("rep", "bucket")
+    centres = members.join(shares, "rep").groupBy("bucket").agg(F.max_by("rep", F.struct("shares", "rep")).alias("c1"), F.min_by("rep", rank).alias("c2"))
+    tried = members.join(centres, "bucket").select(F.col("rep").alias("a"), F.explode(F.array_distinct(F.array("c1", "c2"))).alias("b")).where("a <> b").distinct()
+    near = _agreement(tried, partner_codes).where(F.col("agree") >= LEAST_AGREEMENT)
+    # Each class is compared with the centre that its samples are nearest to.
+    links = stored(verified(near.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b")), texts, model, shingle, threshold))
+    comp = components(links)
+    now = members.join(comp, members["rep"] == comp["node"], "left").select("rep", "bucket", "band", "n", F.coalesce("component", "rep").alias("comp"))
+    # Buckets that lie within one component have nothing left to compare.
+    open_ = now.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
+    more = stored(_across(now.join(open_, "bucket"), partner_codes, texts, model, shingle, threshold, bands))
+    comp = components(links.union(more))
     by_rep = classes.join(comp, classes["rep"] == comp["node"], "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     out = sketches.select("id", "s1", "s2").join(by_rep, ["s1", "s2"], "left")
     return out.select(
