@@ -61,4 +61,22 @@ QUERIES = {
         op7_nearest_neighbours, op8_personal_data, op9_near_duplicates, op10_line_dedup,
     )
 }
-SQL: dict[str, str] = {}
+# The other operators' results hang on tokenizers, learned models or hashes, which SQL does not have.
+SQL: dict[str, str] = {
+    "op1_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+),
+r AS (SELECT vec_id AS id, vec_id AS root FROM v UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id)
+SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links,
+  coalesce((SELECT min(root) FROM r WHERE r.id = e.vec_id), e.vec_id) AS component_id,
+  e.vec_id = coalesce((SELECT min(root) FROM r WHERE r.id = e.vec_id), e.vec_id) AS kept
+FROM embeddings e
+""",
+}
