@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,22 +60,44 @@ def translations_to_html(c: Column) -> Column:
     return F.transform_values(c, lambda _, text: text_to_html(text))
 
 
-# The entities decoded, ampersand last so that nothing decodes twice.
-ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-    ("&copy;", "\u00a9"), ("&reg;", "\u00ae"), ("&middot;", "\u00b7"), ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"),
-    ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&hellip;", "\u2026"), ("&euro;", "\u20ac"), ("&amp;", "&"),
-)
+# The named entities of the markup standard, without those that need no closing semicolon.
+_NAMED = {name.removesuffix(";"): text for name, text in html5.items() if name.endswith(";")}
+_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# The elements after which a line ends.
+_LINE_ENDS = "p|div|li|ul|ol|tr|table|h[1-6]|blockquote|article|section|header|footer|nav|title|pre"
+
+
+def _character(name: Column) -> Column:
+    """The text of an entity's name; what stands for no character stays as it is written."""
+    digits = F.when(F.lower(name).startswith("#x"), F.conv(F.substring(name, 3, 8), 16, 10)).when(name.startswith("#"), F.substring(name, 2, 8))
+    point = digits.cast("int")
+    valid = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+    numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+    table = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    return F.coalesce(F.when(name.startswith("#"), numeric).otherwise(F.try_element_at(table, name)), F.concat(F.lit("&"), name, F.lit(";")))
+
+
+def decode_entities(c: Column) -> Column:
+    """Named and numeric entities as characters, in one pass, so that nothing decodes twice."""
+    names = F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(1))
+    put = F.zip_with(F.split(c, _ENTITY, -1), names, lambda gap, name: F.concat(gap, F.when(name.isNull(), F.lit("")).otherwise(_character(name))))
+    return F.when(c.contains("&"), F.array_join(put, "")).otherwise(c)
 
 
 def html_to_text(c: Column) -> Column:
-    """Markup without its tags, scripts and styles; blank runs become one space."""
+    """Markup without its tags, scripts and styles, entities decoded.
+
+    Breaks and the ends of paragraphs, items and the like end a line; within a
+    line blank runs become one space. Lines without text are left out.
+    """
     bare = F.regexp_replace(c, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>", " ")
     bare = F.regexp_replace(bare, r"(?s)<!--.*?-->", " ")
-    bare = F.regexp_replace(bare, r"(?s)<[^>]*>", " ")
-    for entity, char in ENTITIES:
-        bare = F.replace(bare, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(bare, r"\s+", " "))
+    bare = F.regexp_replace(bare, r"\s+", " ")
+    bare = F.regexp_replace(bare, rf"(?i)<br\s*/?>|</(?:{_LINE_ENDS})\s*>", "\n")
+    bare = F.regexp_replace(bare, r"<[^>]*(?:>|$)", " ")
+    text = F.replace(decode_entities(bare), F.lit("\u00a0"), F.lit(" "))
+    text = F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r"\s*\n\s*", "\n")
+    return F.trim(text, F.lit(" \n"))
 
 
 def is_html_empty(c: Column) -> Column:

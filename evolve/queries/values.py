@@ -240,25 +240,53 @@ def _(t):
     return t.part.select("p_partkey", pattern.alias("pattern"))
 
 
-def _decoded_sql(text: str) -> str:
-    for entity, char in X.ENTITIES:
-        text = f"replace({text}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
-    return text
-
-
-@section.query("c22_html_to_text", r"""
-WITH p AS (
-  SELECT page_id, html, regexp_replace(regexp_replace(regexp_replace(html,
-    '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g') AS bare
-  FROM pages
-), q AS (SELECT page_id, html, trim(regexp_replace(""" + _decoded_sql("bare") + r""", '\s+', ' ', 'g')) AS text FROM p)
-SELECT page_id, text, NOT regexp_matches(html, '(?i)<(img|video|iframe)\b') AND text = '' AS empty FROM q
+def _lines_sql(text: str) -> str:
+    """SQL: the lines of a text with its blank runs as one space, without empty lines."""
+    words = "string_split(translate(l, chr(9) || chr(11) || chr(12) || chr(13), '    '), ' ')"
+    line = f"array_to_string(list_filter({words}, lambda w: w <> ''), ' ')"
+    return f"array_to_string(list_filter(list_transform(string_split({text}, chr(10)), lambda l: {line}), lambda m: m <> ''), chr(10))"
+
+
+# Cut at every tag; what stands inside scripts and styles is left out by counting; entities as they occur in the pages.
+@section.query("c22_html_to_text", f"""
+WITH cut AS (SELECT page_id, unnest(string_split(html, '<')) AS piece, generate_subscripts(string_split(html, '<'), 1) AS i FROM pages),
+counted AS (SELECT *, string_split(piece, '>')[1] AS tag, sum(CASE
+    WHEN i > 1 AND (piece LIKE 'script%' OR piece LIKE 'style%') THEN 1 WHEN piece LIKE '/script%' OR piece LIKE '/style%' THEN -1 ELSE 0 END)
+  OVER (PARTITION BY page_id ORDER BY i) AS inside FROM cut),
+shown AS (SELECT page_id, i, CASE
+    WHEN inside = 0 AND i > 1 AND tag IN ('br', '/p', '/div', '/li', '/ul', '/h1', '/article', '/footer', '/nav', '/title') THEN chr(10) ELSE ' ' END AS sep,
+  CASE WHEN i = 1 THEN piece WHEN inside > 0 OR strpos(piece, '>') = 0 THEN '' WHEN piece LIKE '!--%' THEN substr(piece, strpos(piece, '-->') + 3)
+    ELSE substr(piece, strpos(piece, '>') + 1) END AS text FROM counted),
+said AS (SELECT page_id, string_agg(sep || translate(text, chr(10) || chr(13), '  '), '' ORDER BY i) AS text FROM shown GROUP BY 1),
+plain AS (SELECT page_id, replace(replace(replace(replace(text, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS text FROM said)
+SELECT page_id, {_lines_sql("p.text")} AS text, NOT (html LIKE '%<img%' OR html LIKE '%<video%' OR html LIKE '%<iframe%') AND {_lines_sql("p.text")} = '' AS empty
+FROM plain p JOIN pages USING (page_id)
 """)
 def _(t):
     html = F.col("html")
     return t.pages.select("page_id", X.html_to_text(html).alias("text"), X.is_html_empty(html).alias("empty"))
 
 
+@section.query("c22_entities_and_breaks", """
+SELECT p_partkey, CASE p_partkey % 4
+  WHEN 0 THEN p_name || ' café ’x' || chr(39) || chr(10) || p_brand || chr(10) || 'ü €'
+  WHEN 1 THEN 'a &lt; ' || p_name || ' &amp; &nosuch; ∑ 😀'
+  WHEN 2 THEN 'x' || chr(10) || p_name
+  ELSE p_name || ' < ' || p_brand END AS text FROM part
+""")
+def _(t):
+    name, brand = F.col("p_name"), F.col("p_brand")
+    case = F.col("p_partkey") % 4
+    listed = F.lit("</li></ul><script>if (a < b) '</p>y';</script><style>p {}</style><!-- <p>z</p> -->")
+    html = (
+        F.when(case == 0, F.concat(F.lit("<p>"), name, F.lit(" caf&eacute; &#8217;x&#x27;</p>\n<p>"), brand, F.lit("<br/>&uuml;&nbsp;&euro;</p>")))
+        .when(case == 1, F.concat(F.lit("a &amp;lt; <b>"), name, F.lit("</b> &amp;amp; &nosuch; &sum; &#x1F600;")))
+        .when(case == 2, F.concat(F.lit("<ul><li>x</li>\n <li>"), name, listed))
+        .otherwise(F.concat(name, F.lit("  &lt;\n"), brand))
+    )
+    return t.part.select("p_partkey", X.html_to_text(html).alias("text"))
+
+
 @section.query("c22_text_to_html", r"""
 SELECT doc_id, '<p>' || regexp_replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'),
   '\r?\n', '<br/>', 'g') || '</p>' AS html FROM documents
@@ -268,9 +296,7 @@ def _(t):
     return t.documents.select("doc_id", X.translations_to_html(texts)[F.col("lang")].alias("html"))
 
 
-@section.query("o2_scalar_text_functions", r"""
-SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text, trim(regexp_replace(text, '\s+', ' ', 'g')) = '' AS empty FROM documents
-""")
+@section.query("o2_scalar_text_functions", f"SELECT doc_id, {_lines_sql('text')} AS text, {_lines_sql('text')} = '' AS empty FROM documents")
 def _(t):
     html = X.text_to_html(F.col("text"))
     return t.documents.select("doc_id", X.html_to_text(html).alias("text"), X.is_html_empty(html).alias("empty"))
