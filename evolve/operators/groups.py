@@ -44,9 +44,17 @@ def all_equal(df: DataFrame, keys: Sequence[str], col: str, value, dst: str) ->
     return df.groupBy(*keys).agg(F.every(same).alias(dst))
 
 
-def any_and_all(df: DataFrame, keys: Sequence[str], predicate: Column, any_: str, all_: str) -> DataFrame:
-    holds = F.coalesce(predicate, F.lit(False))
-    return df.groupBy(*keys).agg(F.bool_or(holds).alias(any_), F.bool_and(holds).alias(all_))
+def any_and_all(
+    df: DataFrame, keys: Sequence[str], any_: Mapping[str, Column], all_: Mapping[str, Column]
+) -> DataFrame:
+    """Per group, whether any row and whether all rows hold; named predicates, one pass. Unknown does not hold."""
+    def holds(predicate: Column) -> Column:
+        return F.coalesce(predicate, F.lit(False))
+
+    return df.groupBy(*keys).agg(
+        *[F.bool_or(holds(p)).alias(name) for name, p in any_.items()],
+        *[F.bool_and(holds(p)).alias(name) for name, p in all_.items()],
+    )
 
 
 def most_frequent(df: DataFrame, keys: Sequence[str], value: str, dst: str) -> DataFrame:
@@ -62,9 +70,14 @@ def ratio_of_sums(df: DataFrame, keys: Sequence[str], num: Column, den: Column,
     return sums.where("__d <> 0").select(*keys, (F.col("__n") / F.col("__d")).alias(dst))
 
 
+def exists_flags(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
+    """One row, a boolean for each named predicate: does any row match?"""
+    return df.agg(*[F.coalesce(F.bool_or(p), F.lit(False)).alias(name) for name, p in predicates.items()])
+
+
 def exists_flag(df: DataFrame, predicate: Column, dst: str = "found") -> DataFrame:
     """One row, one boolean: does any row match?"""
-    return df.agg(F.coalesce(F.bool_or(predicate), F.lit(False)).alias(dst))
+    return exists_flags(df, {dst: predicate})
 
 
 def latest_per_group(df: DataFrame, keys: Sequence[str], at: str, tie: Sequence[str]) -> DataFrame:

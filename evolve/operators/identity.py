@@ -178,14 +178,13 @@ def exclude_versions(steps: DataFrame, excluded: DataFrame) -> DataFrame:
 def mark_unmodified(
     copies: DataFrame, upstream: DataFrame, on: tuple[str, str], text: str, flag: str
 ) -> DataFrame:
-    """Flag copies whose text equals the upstream text, blank runs aside."""
-    def plain(c: Column) -> Column:
-        return F.trim(F.regexp_replace(c, r"\s+", " "))
+    """Flag copies whose text equals the upstream text, blank runs aside; only digests of the texts are joined."""
+    def digest(c: str) -> Column:
+        return F.coalesce(F.sha2(F.trim(F.regexp_replace(c, r"\s+", " ")).cast("binary"), 256), F.lit("none"))
 
     ck, uk = on
-    out = attach(copies, upstream.select(uk, F.col(text).alias("__up"), F.lit(True).alias("__hit")), [(ck, uk)], ["__up", "__hit"])
-    same = plain(F.col(text)).eqNullSafe(plain(F.col("__up")))
-    return out.withColumn(flag, F.col("__hit").isNotNull() & same).drop("__up", "__hit")
+    out = attach(copies, upstream.select(uk, digest(text).alias("__up")), [(ck, uk)], ["__up"])
+    return out.withColumn(flag, F.coalesce(F.col("__up") == digest(text), F.lit(False))).drop("__up")
 
 
 def follow_upstream(

@@ -173,12 +173,10 @@ def drop_related(df: DataFrame, related: DataFrame, on: Keys) -> DataFrame:
 
 def not_in(df: DataFrame, related: DataFrame, key: str, related_key: str) -> DataFrame:
     """NOT IN as SQL defines it: one NULL in ``related`` leaves no row at all."""
-    facts = related.agg(
-        F.coalesce(F.bool_or(F.col(related_key).isNull()), F.lit(False)).alias("nulls"),
-    )
-    some = related.agg((F.count(F.lit(1)) > 0).alias("some"))
+    holds_null = F.coalesce(F.bool_or(F.col(related_key).isNull()), F.lit(False))
+    facts = related.agg(F.struct(holds_null.alias("nulls"), (F.count(F.lit(1)) > 0).alias("some")).alias("f")).scalar()
     kept = drop_related(df, related, [(key, related_key)])
-    return kept.where(~facts.scalar() & (F.col(key).isNotNull() | ~some.scalar()))
+    return kept.where(~facts["nulls"] & (F.col(key).isNotNull() | ~facts["some"]))
 
 
 def best_match(

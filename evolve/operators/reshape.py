@@ -186,7 +186,7 @@ def override_if_differs(
     Returns (entities, groups): the default plus one copy per differing group,
     and the groups with ``dst`` pointing to theirs.
     """
-    wanted = {c: default.select(c).scalar() for c in settings}
+    wanted = default.select(F.struct(id_col, *settings).alias("d")).scalar()
     differs = F.lit(False)
     for c in settings:
         differs = differs | ~F.col(c).eqNullSafe(wanted[c])
@@ -195,7 +195,7 @@ def override_if_differs(
     base = default.select(id_col, F.lit(None).cast(groups.schema[group_id].dataType).alias("owner"), *settings)
     entities = base.unionByName(copies.select(id_col, "owner", *settings))
     linked = attach(groups, copies, [(group_id, "owner")], {dst: id_col})
-    linked = linked.withColumn(dst, F.coalesce(F.col(dst), default.select(id_col).scalar()))
+    linked = linked.withColumn(dst, F.coalesce(F.col(dst), wanted[id_col]))
     return entities, linked
 
 

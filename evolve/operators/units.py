@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from evolve.operators.joins import attach, drop_related, keep_related
 from evolve.operators.ordered import first_per_key
 from evolve.operators.reshape import next_ids
-from evolve.storage import checkpointed
+from evolve.storage import checkpointed, stored
 
 
 def flatten_units(units: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def unit_roots(units: DataFrame, id_col: str, parent_col: str, factor_col: str |
     root, or jumped to where a unit that is done points; it then leaves the join. A cycle never ends and is an error. Returns (id, root, factor).
     """
     factor = F.col(factor_col).cast("double") if factor_col else F.lit(1.0)
-    edges = units.select(F.col(id_col).alias("id"), F.col(parent_col).alias("up"), factor.alias("f"))
+    edges = stored(units.select(F.col(id_col).alias("id"), F.col(parent_col).alias("up"), factor.alias("f")))
     # A pointer to a unit that is not there ends the chain like no pointer.
     linked = keep_related(edges.where("up <> id"), edges.select(F.col("id").alias("__id")), [("up", "__id")])
     roots = drop_related(edges, linked, ["id"]).select("id", F.col("id").alias("root"), F.lit(1.0).alias("factor"))
@@ -65,7 +65,7 @@ def unit_roots(units: DataFrame, id_col: str, parent_col: str, factor_col: str |
     else:
         raise ValueError("the units form a cycle")
     walked = moving.select("id", F.col("up").alias("root"), F.col("f").alias("factor"))
-    return roots.unionByName(walked)
+    return stored(roots.unionByName(walked))
 
 
 def unit_family(units: DataFrame, id_col: str, parent_col: str, dst: str = "family") -> DataFrame:
@@ -98,7 +98,7 @@ def match_or_create_unit(packs: DataFrame, products: DataFrame, units: DataFrame
     """
     sized = attach(packs, products, [("product_id", "id")], {"__unit": "unit_id"})
     sized = attach(sized, roots, [("__unit", "id")], {"__root": "root", "__f": "factor"})
-    sized = sized.withColumn("__size", _size(F.col("qty") * F.col("__f")))
+    sized = stored(sized.withColumn("__size", _size(F.col("qty") * F.col("__f"))))
     existing = (
         roots.withColumn("__size", _size(F.col("factor")))
         .groupBy("root", "__size").agg(F.min("id").alias("unit_id"))

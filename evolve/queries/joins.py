@@ -310,9 +310,8 @@ def _(t):
 SELECT o_custkey, bool_or(o_totalprice > 400000) AS any_large, bool_and(o_totalprice > 50000) AS all_large FROM orders GROUP BY 1
 """)
 def _(t):
-    first = G.any_and_all(t.orders, ["o_custkey"], F.col("o_totalprice") > 400000, "any_large", "__x").drop("__x")
-    second = G.any_and_all(t.orders, ["o_custkey"], F.col("o_totalprice") > 50000, "__y", "all_large").drop("__y")
-    return J.attach(first, second, ["o_custkey"], ["all_large"])
+    price = F.col("o_totalprice")
+    return G.any_and_all(t.orders, ["o_custkey"], {"any_large": price > 400000}, {"all_large": price > 50000})
 
 
 @section.query("f7_most_frequent", """
@@ -342,8 +341,7 @@ def _(t):
 SELECT bool_or(o_totalprice > 400000) AS large, coalesce(bool_or(o_orderpriority = '9'), false) AS unknown FROM orders
 """)
 def _(t):
-    unknown = G.exists_flag(t.orders, F.col("o_orderpriority") == "9", "unknown")
-    return G.exists_flag(t.orders, F.col("o_totalprice") > 400000, "large").withColumn("unknown", unknown.scalar())
+    return G.exists_flags(t.orders, {"large": F.col("o_totalprice") > 400000, "unknown": F.col("o_orderpriority") == "9"})
 
 
 @section.query("f11_latest_row", """

@@ -54,10 +54,28 @@ def stored(df: DataFrame) -> DataFrame:
     return back.withColumns({c: F.lit(None) for c in untyped}).select(*df.columns) if untyped else back
 
 
+_SCRATCH: list[str] = []
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Delete every table and folder that this session has put under the checkpoint folder; how many there were.
+
+    For the end of a job: frames read from them no longer work afterwards.
+    """
+    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    done = 0
+    while _SCRATCH:
+        path = path_of(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
+        done += 1
+    return done
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder under the shared checkpoint folder, for streams and stored versions."""
     _ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    _SCRATCH.append(f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
 
 
 def small(rows: int, df: DataFrame, chars: int = 0) -> DataFrame:

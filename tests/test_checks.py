@@ -196,3 +196,16 @@ def test_streamed_patches_apply_batch_by_batch(spark, frame, tmp_path):
     last = max(int(p.name[1:]) for p in tmp_path.glob("v*"))
     assert last >= 2
     assert rows(spark.read.parquet(str(tmp_path / f"v{last}"))) == [("a", 5), ("b", 2), ("c", 7)]
+
+
+def test_what_a_session_stored_can_be_cleared(spark):
+    from evolve import storage
+
+    storage.clear_stored(spark)
+    df = storage.stored(spark.range(10))
+    path = storage._SCRATCH[-1]
+    assert df.count() == 10 and storage.clear_stored(spark) == 1
+    again = storage.scratch_folder(spark)
+    assert again != path and storage.clear_stored(spark) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
