@@ -9,9 +9,12 @@ from evolve.operators.records import (
     apply_member_commands, member_commands, resolve_values, transform_patch, upsert_records,
 )
 from evolve.queries.registry import Section
-from evolve.sources.records import parse_records
-from evolve.sources.reports import attach_notes, parse_diff_lines, parse_status_lines
+from evolve.sources.records import parse_records, read_records
+from evolve.sources.reports import (
+    attach_notes, parse_diff_lines, parse_status_lines, read_annotations, read_schema_diff, read_status_grid,
+)
 from evolve.sources.tables import append_select, clear_table, create_relation, mapping_table, scan, snapshot
+from evolve.storage import scratch_folder
 
 section = Section()
 
@@ -24,7 +27,14 @@ def _(t):
     return scan(ds, "orders", ["o_orderkey", "o_custkey", "o_totalprice"], F.col("o_orderstatus") == "F")
 
 
-@section.query("a2_read_records", """
+def _written(t, lines):
+    """Lines in several text files of a scratch folder."""
+    folder = scratch_folder(t.spark)
+    lines.write.text(folder)
+    return folder
+
+
+_RECORDS = """
 WITH r AS (
   SELECT 'customer_' || c_custkey AS record_id, c_name, c_mktsegment,
          CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS bal, c_acctbal < 0 AS neg
@@ -39,9 +49,11 @@ FROM (
   UNION ALL SELECT record_id, neg, 'note', '<p>' || c_name || '</p>', 'markup' FROM r
   UNION ALL SELECT record_id, neg, 'image', 'sales/static/' || record_id || '.png', 'file' FROM r
 )
-""")
-def _(t):
-    xml = F.concat(
+"""
+
+
+def _record_xml():
+    return F.concat(
         F.lit('<record id="customer_'), F.col("c_custkey").cast("string"), F.lit('" model="customer"'),
         F.when(F.col("c_acctbal") < 0, F.lit(' forcecreate="False"')).otherwise(F.lit("")),
         F.lit('><field name="name">'), F.col("c_name"),
@@ -51,10 +63,20 @@ def _(t):
         F.lit('</p></field><field name="image" type="base64" file="sales/static/customer_'), F.col("c_custkey").cast("string"),
         F.lit('.png"/></record>'),
     )
-    rows = parse_records(t.customer.select(xml.alias("xml")), "xml", F.lit("sales"))
+
+
+@section.query("a2_read_records", _RECORDS)
+def _(t):
+    rows = parse_records(t.customer.select(_record_xml().alias("xml")), "xml", F.lit("sales"))
     return rows.withColumn("forcecreate", F.col("forcecreate").cast("string"))
 
 
+@section.query("a2_read_record_files", _RECORDS)
+def _(t):
+    folder = _written(t, t.customer.select(_record_xml().alias("text")).repartition(3))
+    return read_records(t.spark, folder, "sales").withColumn("forcecreate", F.col("forcecreate").cast("string"))
+
+
 def _part_patch(t):
     fields = F.array(
         *[
@@ -188,7 +210,7 @@ def _(t):
     return empty.unionByName(pairs).groupBy("order_id", "part_id").agg(F.count(F.lit(1)).alias("copies"))
 
 
-@section.query("a9_read_schema_diff", """
+_DIFF = """
 SELECT p_brand AS file, p_brand AS module, 'Fields' AS section, lower(p_type) || '.model' AS model,
        'f_' || p_partkey AS field, 'char' AS type,
        CASE WHEN p_size <= 20 THEN 'NEW' WHEN p_size <= 40 THEN 'DEL' ELSE 'changed' END AS change,
@@ -198,8 +220,10 @@ UNION ALL
 SELECT p_brand, p_brand, 'XML records', lower(p_type) || '.model', p_brand || '.rec_' || p_partkey, NULL,
        CASE WHEN p_size <= 20 THEN 'NEW' ELSE 'DEL' END, CASE WHEN p_size <= 20 THEN 'noupdate' END
 FROM part
-""")
-def _(t):
+"""
+
+
+def _diff_lines(t):
     part = t.part.withColumn("__m", F.concat(F.lower("p_type"), F.lit(".model")))
     key = F.col("p_partkey").cast("string")
     note = F.when(F.col("p_size") <= 20, "NEW required").when(F.col("p_size") <= 40, "DEL ").otherwise("is now stored")
@@ -223,7 +247,18 @@ def _(t):
         )
 
     lines = fields.unionByName(records).unionByName(heading("Fields", 0)).unionByName(heading("XML records", 2))
-    return parse_diff_lines(lines, ["file"], ["part", "at"])
+    return lines
+
+
+@section.query("a9_read_schema_diff", _DIFF)
+def _(t):
+    return parse_diff_lines(_diff_lines(t), ["file"], ["part", "at"])
+
+
+@section.query("a9_read_schema_diff_files", f"SELECT * EXCLUDE (file) FROM ({_DIFF})")
+def _(t):
+    ordered = _diff_lines(t).repartition(3, "file").sortWithinPartitions("file", "part", "at").select("text")
+    return read_schema_diff(t.spark, _written(t, ordered)).drop("file")
 
 
 @section.query("a10_read_annotations", """
@@ -240,13 +275,31 @@ def _(t):
     return noted.select("conv_id", "turn", "text", "answer")
 
 
-@section.query("a11_read_status_grid", """
+@section.query("a10_read_annotation_files", """
+WITH c AS (SELECT *, sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations)
+SELECT u.conv_id || ':' || u.turn AS line, coalesce('answer ' || u.conv_id || ':' || a.turn, 'end of ' || u.conv_id) AS note
+FROM c u LEFT JOIN c a ON a.conv_id = u.conv_id AND a.role = 'assistant' AND a.n = u.n + 1
+WHERE u.role IS DISTINCT FROM 'assistant'
+""")
+def _(t):
+    said = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    text = F.when(F.col("role") == "assistant", F.concat(F.lit("# answer "), said)).otherwise(said)
+    ends = t.conversations.select("conv_id").distinct().select(
+        "conv_id", F.lit(None).cast("long").alias("turn"), F.concat(F.lit("# end of "), F.col("conv_id").cast("string")).alias("text"))
+    lines = t.conversations.select("conv_id", "turn", text.alias("text")).unionByName(ends)
+    ordered = lines.repartition(3, "conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_last()).select("text")
+    return read_annotations(t.spark, _written(t, ordered)).select(F.col("text").alias("line"), "note")
+
+
+_GRID = """
 SELECT replace(p_name, ' ', '_') || '_' || p_partkey AS module,
        CASE WHEN p_type = 'PROMO' THEN 'new' WHEN p_type = 'SMALL' THEN 'del' END AS change,
        CASE WHEN p_size > 25 THEN 'Done' END AS status, 'By ' || p_brand || '.' AS note
 FROM part
-""")
-def _(t):
+"""
+
+
+def _grid_lines(t):
     lines = t.part.select(
         F.concat(
             F.lit("| "), F.when(F.col("p_type") == "PROMO", "|new| ").when(F.col("p_type") == "SMALL", "|del| ").otherwise(""),
@@ -255,7 +308,17 @@ def _(t):
         ).alias("text")
     )
     rule = t.part.select(F.lit("+------+------+------+").alias("text"))
-    return parse_status_lines(lines.unionByName(rule))
+    return lines.unionByName(rule)
+
+
+@section.query("a11_read_status_grid", _GRID)
+def _(t):
+    return parse_status_lines(_grid_lines(t))
+
+
+@section.query("a11_read_status_grid_files", _GRID)
+def _(t):
+    return read_status_grid(t.spark, _written(t, _grid_lines(t).repartition(3)))
 
 
 @section.query("a12_mapping_table", """
