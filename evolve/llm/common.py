@@ -11,7 +11,7 @@ from evolve.session import tune
 
 # Rows and bytes of text that one Python step holds at a time.
 SLICE_ROWS = 512
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

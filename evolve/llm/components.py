@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from evolve.storage import stored
 
+ROWS_PER_FILE = 250_000
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component: the smallest node reachable, for every node that has an edge.
@@ -27,13 +29,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large)
+        large = _written(large, seen[0])
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         )
-        now = stored(small)
+        now = _written(small, seen[0])
         state = _state(now)
         if state == seen:
             break
@@ -42,6 +44,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return leaves.union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _written(edges: DataFrame, rows: int) -> DataFrame:
+    """Stored, in few files while there are few edges; a round does not make more of them."""
+    return stored(edges.coalesce(max(4, 2 * rows // ROWS_PER_FILE)))
+
+
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
     return row["n"], row["s"]

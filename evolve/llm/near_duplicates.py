@@ -49,7 +49,7 @@ BANDS = 16
 ROWS = 4
 IDF = 0.25
 RARE = 1e-3
-COUNT_BLOCK = 2_000_000
+COUNT_BLOCK = 1_000_000
 # Pairs whose samples agree less than this are not compared exactly: 4 deviations below the threshold.
 LEAST_AGREEMENT = 0.6
 MEMBERS = 1000
@@ -138,19 +138,26 @@ def samples(text_of: np.ndarray, h: np.ndarray, w: np.ndarray, texts: int, many:
     starts = np.flatnonzero(np.concatenate(([True], text_of[1:] != text_of[:-1])))
     owner = text_of[starts]
     size = np.diff(np.concatenate((starts, [len(h)])))
-    log_w = np.log(w)
+    log_w, base = np.log(w).astype(np.float32), mix(h)
+    rng = np.random.default_rng(9)
+    shift = rng.integers(0, 1 << 63, many, dtype=np.uint64)
+    factor = rng.integers(0, 1 << 63, many, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     for k in range(many):
-        bits = mix(h + np.uint64((k + 1) << 48))
-        at = (bits & np.uint64(0xFFFF)).astype(np.int64)
-        rate = r[at]
-        beta = ((bits >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.float64) / _GRID
+        bits = (base ^ shift[k]) * factor[k]
+        bits ^= bits >> np.uint64(32)
+        bits *= factor[k]
+        # The upper three 16-bit parts choose the rate, c and the offset of this shingle in this sample.
+        part = bits.view(np.uint16).reshape(-1, 4)
+        at = part[:, 3].astype(np.intp)
+        beta = part[:, 1] * np.float32(1 / _GRID)
         t = np.floor(log_w * inverse[at] + beta)
-        score = log_c[((bits >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int64)] - rate * (t - beta + 1)
+        score = log_c[part[:, 2].astype(np.intp)] - r[at] * (t - beta + np.float32(1))
         least = np.minimum.reduceat(score, starts)
-        at = np.flatnonzero(score == np.repeat(least, size))
+        best = np.flatnonzero(score == np.repeat(least, size))
         # The first of equal ones; their order is that of the hashes, the same in every text.
-        first = at[np.searchsorted(at, starts)]
-        out[owner, k] = (mix(h[first] + mix(t[first].astype(np.int64).view(np.uint64) + np.uint64(k))) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+        first = best[np.searchsorted(best, starts)]
+        code = mix(h[first] + mix(t[first].astype(np.int64).view(np.uint64) + np.uint64(k)))
+        out[owner, k] = (code >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     return out
 
 
@@ -161,7 +168,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rates, their inverses, and logarithms of the c values, once per worker."""
     if not _MADE:
         x = _gamma_quantiles()
-        _MADE.append((x, 1 / x, np.log(x)))
+        _MADE.append(tuple(a.astype(np.float32) for a in (x, 1 / x, np.log(x))))
     return _MADE[0]
 
 

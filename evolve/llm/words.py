@@ -35,6 +35,7 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
+    _whole: np.ndarray | None = None
 
     def __len__(self) -> int:
         return len(self.starts)
@@ -43,6 +44,12 @@ class Words:
         """For each word its text's number."""
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
+    def whole(self) -> np.ndarray:
+        """64-bit hashes of the words, computed once."""
+        if self._whole is None:
+            self._whole = self.hashes()[0]
+        return self._whole
+
     def hashes(self, *prefixes: int) -> list[np.ndarray]:
         """64-bit hashes of the whole words, then of their first bytes, as many as each of ``prefixes`` says."""
         if not len(self):
@@ -74,28 +81,33 @@ def words(texts: list[str]) -> Words:
     return Words(low, starts, ends, first)
 
 
+_STEPS = _RANDOM.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def shingles(found: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct runs of ``size`` words per text: text number, 48-bit hash, how often; ordered by text and hash.
 
     A text with fewer words, but at least one, has one shingle of all its words.
     """
-    h = found.hashes()[0]
-    texts = len(found.first) - 1
-    many = np.diff(found.first)
-    n = len(h)
+    h, many = found.whole(), np.diff(found.first)
+    n, texts = len(h), len(many)
+    assert texts < 1 << 16 and size <= len(_STEPS)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    padded = np.concatenate([h, np.zeros(size, dtype=np.uint64)])
-    whole = np.zeros(n, dtype=np.uint64)
-    text_of = found.text_of()
-    left = found.first[1:][text_of] - np.arange(n)
+    run = np.zeros(max(n - size + 1, 0), dtype=np.uint64)
     for k in range(size):
-        part = mix(padded[k:k + n] + np.uint64(k + 1))
-        whole = mix(whole) + np.where(left > k, part, np.uint64(0))
-    place = many[text_of] - left
-    starts = (left >= size) | (place == 0)
-    key = (text_of[starts].astype(np.uint64) << np.uint64(48)) | (mix(whole[starts]) >> np.uint64(16))
-    assert texts < 1 << 16
+        run += h[k:k + len(run)] * _STEPS[k]
+    # Runs that end in the text they start in.
+    text_of = found.text_of()
+    inside = text_of[:len(run)] == text_of[size - 1:size - 1 + len(run)]
+    key = (text_of[:len(run)][inside].astype(np.uint64) << np.uint64(48)) | (mix(run[inside]) >> np.uint64(16))
+    short = np.flatnonzero((many > 0) & (many < size))
+    if len(short):
+        whole = many[short].astype(np.uint64)
+        for k in range(size - 1):
+            some = many[short] > k
+            whole[some] += h[found.first[short[some]] + k] * _STEPS[k]
+        key = np.concatenate([key, (short.astype(np.uint64) << np.uint64(48)) | (mix(whole) >> np.uint64(16))])
     key.sort()
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     count = np.diff(np.concatenate((first, [len(key)])))
@@ -105,15 +117,14 @@ def shingles(found: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def sequence_hashes(found: Words) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of each text's words in order; 0 where there are none."""
-    h = found.hashes()[0]
-    text_of = found.text_of()
-    place = (np.arange(len(h)) - found.first[:-1][text_of]).astype(np.uint64)
+    h = found.whole()
+    some = np.diff(found.first) > 0
+    place = (np.arange(len(h)) - found.first[:-1][found.text_of()]).astype(np.uint64)
+    value = mix(h + place * _STEPS[0])
     out = []
-    for seed in (1, 2):
-        value = mix(h * np.uint64(2 * seed + 1) + mix(place + np.uint64(seed << 40)))
-        total = np.zeros(len(found.first) - 1, dtype=np.uint64)
-        some = np.diff(found.first) > 0
+    for part in (value, (value ^ value >> np.uint64(29)) * _STEPS[1]):
+        total = np.zeros(len(some), dtype=np.uint64)
         if len(h):
-            total[some] = np.add.reduceat(value, found.first[:-1][some])
+            total[some] = np.add.reduceat(part, found.first[:-1][some])
         out.append(np.where(some, mix(total | np.uint64(1)) | np.uint64(1), np.uint64(0)))
     return out[0], out[1]
