@@ -37,7 +37,7 @@ from evolve.llm.words import mix, words
 from evolve.storage import stored
 
 SAMPLE = 100_000
-FEATURES = 400_000
+FEATURES = 200_000
 FEWEST = 3
 PREFIXES = (4, 5, 6)
 PRIOR = 8.0
