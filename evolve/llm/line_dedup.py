@@ -19,27 +19,18 @@ decisions; a text of which all lines go becomes empty; an empty table gives an e
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evolve.llm.components import components
-from evolve.storage import scratch_folder
+from evolve.storage import stored
 
 EDITS = 2
 SHORTEST = 24
 BREAK = "\n"
 HOT = 32
-# Classes of characters whose numbers are compared in frequent buckets.
-LETTERS = ("aA", "eE", "iI", "oO", "uU", "nN", "rR", "sS", "tT", "dDlL", "hHcC", "mMpP", "gGbB", "vVfFwW", "0123456789", " .,")
-
-
-def _kept(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, compressed for size."""
-    path = scratch_folder(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# Ids and buckets are sent to every task up to this number, 8 MB; beyond it they are shuffled.
+SENT_ROWS = 1_000_000
 
 
 def lines(docs: DataFrame, text: str, key: str, shortest: int) -> DataFrame:
@@ -51,94 +42,87 @@ def lines(docs: DataFrame, text: str, key: str, shortest: int) -> DataFrame:
     )
 
 
-def _segment(n: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment ``i`` of a line of ``n`` characters; the last ones are longer by the rest."""
-    size = F.floor(n / (edits + 1)).cast("int")
-    long_ones = n - size * (edits + 1)
-    first_long = F.lit(edits + 1) - long_ones
-    start = size * i + F.greatest(F.lit(i) - first_long, F.lit(0))
-    return start.cast("int"), (size + F.when(F.lit(i) >= first_long, 1).otherwise(0)).cast("int")
-
+def _places(edits: int, shorter: bool) -> Column:
+    """Structs of d, i, s: look at segment i of a line that is d shorter, s to the right of its place there.
 
-def _entry(n: Column, i: int, part: Column) -> Column:
-    """A 32-bit bucket of (length of the indexed line, segment, its characters); collisions are left to the verification."""
-    return F.hash(n, F.lit(i), part)
-
-
-def segments(edits: int) -> Column:
-    """The buckets that a line is indexed under."""
-    n = F.col("n")
-    out = []
-    for i in range(edits + 1):
-        start, size = _segment(n, i, edits)
-        out.append(_entry(n, i, F.col("line").substr(start + 1, size)))
-    return F.array(*out)
+    A shift of s needs |s| edits to the left of the segment and |s - d| to its right. With at most i errors
+    left of the first segment that agrees, and edits - i right of it, only |s| <= i and |s - d| <= edits - i
+    need a look. Without ``shorter`` only the line's own segments.
+    """
+    found = [
+        (d, i, s) for d in range(edits + 1) for i in range(edits + 1) for s in range(-i, i + 1) if abs(s - d) <= edits - i
+    ] if shorter else [(0, i, 0) for i in range(edits + 1)]
+    return F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(s).alias("s")) for d, i, s in found])
 
 
-def probes(edits: int) -> Column:
-    """The buckets in which lines up to ``edits`` shorter than this one could share a segment.
+def buckets(classes: DataFrame, edits: int, shorter: bool, *columns: Column) -> DataFrame:
+    """``columns`` and bucket: what a line is indexed under, or (``shorter``) where it finds lines up to ``edits`` shorter.
 
-    For segment i of an indexed line that is d shorter, a shift s of its place needs |s| edits
-    to the left and |d - s| to the right. With at most i errors left of the first segment that
-    agrees, and edits - i right of it, only |s| <= i and |s - d| <= edits - i need a look.
+    A bucket is a 32-bit hash of the indexed line's length, the segment's number and its characters;
+    collisions are left to the verification. The last segments are longer by the rest of the division.
+    The places are exploded first, so that one short expression serves them all.
     """
-    n = F.col("n")
-    out = []
-    for d in range(edits + 1):
-        for i in range(edits + 1):
-            start, size = _segment(n - d, i, edits)
-            for s in range(-i, i + 1):
-                if abs(s - d) <= edits - i:
-                    at = start + s
-                    out.append(F.when((at >= 0) & (at + size <= n), _entry((n - d).cast("int"), i, F.col("line").substr(at + 1, size))))
-    return F.array_distinct(F.filter(F.array(*out), lambda x: x.isNotNull()))
+    k = edits + 1
+    rows = classes.select(*columns, F.col("line").alias("__line"), F.col("n").alias("__n"), F.explode(_places(edits, shorter)).alias("p"))
+    m = F.expr("__n - p.d")
+    size, long_ones = F.expr(f"(__n - p.d) div {k}").cast("int"), F.expr(f"(__n - p.d) % {k}")
+    first_long = F.lit(k) - long_ones
+    start = size * F.col("p.i") + F.greatest(F.col("p.i") - first_long, F.lit(0)) + F.col("p.s")
+    length = size + F.when(F.col("p.i") >= first_long, 1).otherwise(0)
+    inside = (start >= 0) & (start + length <= F.col("__n"))
+    names = [c for c in rows.columns if not c.startswith("__") and c != "p"]
+    return rows.where(inside).select(*names, F.hash(m, F.col("p.i"), F.col("__line").substr(start + 1, length)).alias("bucket"))
 
 
 def classes_of(found: DataFrame) -> DataFrame:
     """Distinct lines: id, h1, h2 (hashes), line, n (characters), first (doc and pos of the first)."""
     named = found.select("doc", "pos", "line", *_names("line"))
     one = named.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.first("line").alias("line"), F.count("*").alias("many"))
-    return _kept(one.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "first", "many", F.length("line").alias("n"), "line"))
+    return stored(one.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "first", "many", F.length("line").alias("n"), "line"))
 
 
 def _names(line: str) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.hash(F.lit(7), F.col(line)).alias("h2")]
 
 
-def _letters() -> list[Column]:
-    """How many characters of each class a line has; one edit changes two of these counts by one at most."""
-    return [(F.length("line") - F.length(F.translate("line", group, ""))).alias(f"g{k}") for k, group in enumerate(LETTERS)]
+def _sized(df: DataFrame) -> DataFrame:
+    """A stored frame of whole numbers, sent to every task if it is counted to be small, else left to shuffles."""
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
 
 
 def links(classes: DataFrame, edits: int) -> DataFrame:
     """Pairs of classes (a, b) within the edit distance.
 
-    Buckets with more than ``HOT`` indexed lines are compared by their letter counts first, inside the
-    join, so that many different lines with a common part do not become as many pairs.
+    In buckets with more than ``HOT`` indexed lines the distance is taken inside the join, so that
+    many different lines with a common part do not become as many pairs. Only lines of the lengths
+    that such buckets are for take part there.
     """
-    index = classes.select(F.col("id").alias("b"), F.explode(segments(edits)).alias("bucket"))
-    probe = classes.select(F.col("id").alias("a"), F.explode(probes(edits)).alias("bucket"))
-    hot = _kept(index.groupBy("bucket").agg(F.count("*").alias("many")).where(F.col("many") > HOT).select("bucket"))
-    pairs = probe.join(index.join(hot, "bucket", "leftanti"), "bucket").where("a <> b").select("a", "b")
-    if not hot.isEmpty():
-        counts = classes.select("id", *_letters())
-        names = [f"g{k}" for k in range(len(LETTERS))]
-        left = probe.join(hot, "bucket", "leftsemi").join(counts.withColumnRenamed("id", "a"), "a")
-        right = index.join(hot, "bucket", "leftsemi").join(counts.toDF("b", *[f"h{k}" for k in range(len(names))]), "b")
-        apart = reduce(lambda x, y: x + y, [F.abs(F.col(g) - F.col(f"h{k}")) for k, g in enumerate(names)])
-        near = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("a") != F.col("b")) & (apart <= 2 * edits))
-        pairs = pairs.union(near.select("a", "b"))
-    pairs = pairs.distinct()
-    line = classes.select("id", "line")
+    index = buckets(classes, edits, False, F.col("id").alias("b"), F.col("n"))
+    many = index.groupBy("bucket").agg(F.count("*").alias("many"), F.min("n").alias("low"), F.max("n").alias("high"))
+    hot = stored(many.where(F.col("many") > HOT))
+    hot_buckets = _sized(hot.select("bucket"))
+    probe = buckets(classes, edits, True, F.col("id").alias("a"))
+    pairs = stored(probe.join(index.drop("n").join(hot_buckets, "bucket", "leftanti"), "bucket").where("a <> b").select("a", "b").distinct())
+    ids = _sized(stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
+    line = stored(classes.select("id", "line").join(ids, "id", "leftsemi"))
     both = pairs.join(line.toDF("a", "la"), "a").join(line.toDF("b", "lb"), "b")
-    return both.where(F.levenshtein("la", "lb", edits) >= 0).select("a", "b")
+    near = both.where(F.levenshtein("la", "lb", edits) >= 0).select("a", "b")
+    if hot.isEmpty():
+        return near
+    # A bucket is for one length; two where hashes collide. At most a row per length of line.
+    lengths = hot.select(F.explode(F.sequence("low", F.col("high") + edits)).alias("n")).distinct()
+    some = stored(classes.select("id", "n", "line").join(F.broadcast(lengths), "n", "leftsemi"))
+    left = buckets(some, edits, True, F.col("id").alias("a"), F.col("line").alias("la")).join(hot_buckets, "bucket", "leftsemi").withColumnRenamed("bucket", "probed")
+    right = buckets(some, edits, False, F.col("id").alias("b"), F.col("line").alias("lb")).join(hot_buckets, "bucket", "leftsemi")
+    alike = (F.col("probed") == F.col("bucket")) & (F.col("a") != F.col("b")) & (F.levenshtein("la", "lb", edits) >= 0)
+    return near.union(left.join(right, alike).select("a", "b"))
 
 
 def decisions(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
     """doc, dropped (places, ascending): the lines to drop of every document that loses some."""
     found = lines(docs, text, key, shortest)
     classes = classes_of(found)
-    linked = _kept(links(classes, edits))
+    linked = stored(links(classes, edits))
     group = components(linked)
     grouped = classes.select("id", "h1", "h2", "first", "many").join(group.withColumnRenamed("node", "id"), "id", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "id"))
