@@ -11,9 +11,10 @@ A document's evidence is the sum of -ln E over its significant segments, and a l
 curve fitted on the labelled documents makes it a score.
 
 Scores depend on the text alone. Labels are learned from at most ``SAMPLE`` labelled
-documents (chosen by a hash of the id, so every run takes the same), and the model
-holds at most ``FEATURES`` entries; both bound what is sent to the tasks. A labelled
-document never judges itself: its own words are taken out of the counts first.
+documents (chosen by a hash of the id, so every run takes the same). The model holds
+every word and prefix that stands at least ``FEWEST`` times in them, 16 bytes each; the
+sample alone bounds what is sent to the tasks. A labelled document never judges itself:
+its own words are taken out of the counts first.
 
 Defined results: a null or empty text has no segments and the lowest score; several
 label rows of one document count as toxic if any is; without both kinds of label every
@@ -37,7 +38,6 @@ from evolve.llm.words import mix, words
 from evolve.storage import stored
 
 SAMPLE = 100_000
-FEATURES = 200_000
 FEWEST = 3
 PREFIXES = (4, 5, 6)
 PRIOR = 8.0
@@ -64,7 +64,7 @@ class Model:
         share = np.full(len(hashes[0]), self.share)
         # From the shortest prefix to the whole word, each level's prior is the level above.
         for level in (*range(1, len(hashes)), 0):
-            t, c = (_look_up(self.keys[level], x, hashes[level]) for x in (self.toxic[level], self.clean[level]))
+            t, c = _look_up(self.keys[level], hashes[level], self.toxic[level], self.clean[level])
             if own is not None and len(t):
                 text_of, label = own
                 pairs = mix(hashes[level] + mix(text_of.astype(np.uint64) + np.uint64(1)))
@@ -76,11 +76,12 @@ class Model:
         return np.clip(odds(np.clip(share, 1e-6, 1 - 1e-6)) - odds(self.share) - DRIFT, -SPAN, SPAN)
 
 
-def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def _look_up(keys: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     if not len(keys):
-        return np.zeros(len(wanted))
+        return [np.zeros(len(wanted)) for _ in values]
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], 0.0)
+    found = keys[at] == wanted
+    return [np.where(found, v[at], 0.0) for v in values]
 
 
 def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
@@ -133,22 +134,23 @@ def fit(rows: DataFrame) -> Model:
 
     counts = rows.mapInArrow(count, "level long, word long, toxic long, clean long").groupBy("level", "word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     counts = stored(counts.withColumn("all_t", F.when(F.col("level") == 0, F.col("toxic"))).withColumn("all_c", F.when(F.col("level") == 0, F.col("clean"))))
-    sums = counts.agg(F.sum("all_t").alias("t"), F.sum("all_c").alias("c"), F.sum(F.when(F.col("level") < 0, F.col("toxic"))).alias("dt"), F.sum(F.when(F.col("level") < 0, F.col("clean"))).alias("dc")).first()
+    sums = counts.agg(F.sum("all_t").alias("t"), F.sum("all_c").alias("c"), F.sum(F.when(F.col("level") < 0, F.col("toxic"))).alias("dt"), F.sum(F.when(F.col("level") < 0, F.col("clean"))).alias("dc"), F.max(F.greatest("toxic", "clean")).alias("most")).first()
     t, c, docs_t, docs_c = (sums[k] or 0 for k in ("t", "c", "dt", "dc"))
     none = [np.zeros(0, dtype=np.uint64)] * levels
     if not (t and c and docs_t and docs_c):
         base = min(max(docs_t / max(docs_t + docs_c, 1), 1e-3), 0.499)
         return Model(none, none, none, 0.5, bias=math.log(base / (1 - base)))
-    # A feature informs when it is frequent enough to leave its prior; those most often toxic come first.
-    kept = counts.where(f"level >= 0 and toxic + clean >= {FEWEST}").select("level", "word", "toxic", "clean").orderBy(F.desc("toxic"), F.desc("clean"), "level", "word").limit(FEATURES).toPandas()
+    # A feature informs when it is frequent enough to leave its prior; all of those are kept, as plain arrays.
+    whole = "int" if sums["most"] < 1 << 31 else "long"
+    kept = counts.where(f"level >= 0 and toxic + clean >= {FEWEST}").select(F.col("level").cast("byte"), "word", F.col("toxic").cast(whole), F.col("clean").cast(whole)).toArrow()
+    at, word, in_toxic, in_clean = (kept.column(k).to_numpy() for k in ("level", "word", "toxic", "clean"))
     keys, toxic, clean = [], [], []
     for level in range(levels):
-        own = kept[kept["level"] == level]
-        h = own["word"].to_numpy().view(np.uint64)
-        order = np.argsort(h)
-        keys.append(h[order])
-        toxic.append(own["toxic"].to_numpy()[order].astype(float))
-        clean.append(own["clean"].to_numpy()[order].astype(float))
+        own = np.flatnonzero(at == level)
+        own = own[np.argsort(word[own].view(np.uint64))]
+        keys.append(word[own].view(np.uint64))
+        toxic.append(in_toxic[own])
+        clean.append(in_clean[own])
     model = Model(keys, toxic, clean, t / (t + c))
     sent = rows.sparkSession.sparkContext.broadcast(model)
     edges = np.linspace(-SPAN, SPAN, BINS + 1)

@@ -127,6 +127,25 @@ def test_toxicity_without_labels(spark, odd, no_documents):
     assert toxicity.score(no_documents, toxicity.fit_on(no_documents, none)).count() == 0
 
 
+def test_the_model_keeps_every_feature_of_its_sample(spark):
+    # More than 200,000 words and prefixes, most of them in clean documents only.
+    rng = random.Random(8)
+    pool = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=9)) for _ in range(64_000)]
+    rows = [(" ".join(pool[k::320]), int(k % 8 == 0)) for k in range(320) for _ in range(3)]
+    model = toxicity.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    found = words([t for t, _ in rows])
+    bad = np.array([x for _, x in rows])[found.text_of()]
+    sizes = []
+    for level, h in enumerate(found.hashes(*toxicity.PREFIXES)):
+        keys, at = np.unique(h, return_inverse=True)
+        every, toxic = np.bincount(at), np.bincount(at, weights=bad)
+        kept = every >= toxicity.FEWEST
+        assert (model.keys[level] == keys[kept]).all()
+        assert (model.toxic[level] == toxic[kept]).all() and (model.clean[level] == (every - toxic)[kept]).all()
+        sizes.append(kept.sum())
+    assert sum(sizes) > 200_000
+
+
 # Personal data
 
 RULES = [re.compile(p) for p in (
