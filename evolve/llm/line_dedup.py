@@ -10,7 +10,8 @@ probed. Candidates are verified by the edit distance with that bound.
 Equal lines are one class and are joined once. Classes within the distance, and those
 linked through others, are one group, of which the first line (by document id, then by
 place) stays; all others are dropped. Lines are compared without the white space at
-their ends; shorter ones than ``SHORTEST`` characters are never dropped.
+their ends. Lines shorter than ``SHORTEST`` characters have no near ones: with ``exact``
+they are dropped where they equal an earlier line, else never; blank ones always stay.
 
 Defined results: a null text has no lines and stays null; an empty text has one empty
 line; a document without id keeps all its lines; repeated rows of one document share its
@@ -27,18 +28,23 @@ from evolve.storage import stored
 
 EDITS = 2
 SHORTEST = 24
+# Shorter lines are dropped where they equal an earlier one, from this many characters on.
+EXACT = 1
 BREAK = "\n"
 HOT = 32
 # Ids and buckets are sent to every task up to this number, 8 MB; beyond it they are shuffled.
 SENT_ROWS = 1_000_000
 
 
-def lines(docs: DataFrame, text: str, key: str, shortest: int) -> DataFrame:
+def lines(docs: DataFrame, text: str, key: str, shortest: int, exact: int | None = None) -> DataFrame:
     """doc, pos, line (without white space at its ends) of the lines that can be dropped."""
+    long_enough = F.length("line") >= shortest
+    if exact is not None:
+        long_enough |= (F.length("line") >= exact) & F.col("line").rlike(r"(?U)\S")
     return (
         docs.where(F.col(key).isNotNull() & F.col(text).isNotNull())
         .select(F.col(key).cast("long").alias("doc"), F.posexplode(F.split(text, BREAK, -1)).alias("pos", "raw"))
-        .select("doc", "pos", F.trim("raw").alias("line")).where(F.length("line") >= shortest)
+        .select("doc", "pos", F.trim("raw").alias("line")).where(long_enough)
     )
 
 
@@ -118,11 +124,14 @@ def links(classes: DataFrame, edits: int) -> DataFrame:
     return near.union(left.join(right, alike).select("a", "b"))
 
 
-def decisions(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
-    """doc, dropped (places, ascending): the lines to drop of every document that loses some."""
-    found = lines(docs, text, key, shortest)
+def decisions(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, shortest: int = SHORTEST, exact: int | None = None) -> DataFrame:
+    """doc, dropped (places, ascending): the lines to drop of every document that loses some.
+
+    ``exact``: also lines of that many characters and more, short of ``shortest``, that equal an earlier one.
+    """
+    found = lines(docs, text, key, shortest, exact)
     classes = classes_of(found)
-    linked = stored(links(classes, edits))
+    linked = stored(links(classes.where(F.col("n") >= shortest), edits))
     group = components(linked)
     grouped = classes.select("id", "h1", "h2", "first", "many").join(group.withColumnRenamed("node", "id"), "id", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "id"))

@@ -52,7 +52,7 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return line_dedup.report(docs, line_dedup.decisions(docs))
+    return line_dedup.report(docs, line_dedup.decisions(docs, exact=line_dedup.EXACT))
 
 
 QUERIES = {

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evolve.llm import licenses, line_dedup, near_duplicates, pii, toxicity
+from evolve.llm import licenses, line_dedup, near_duplicates, pii, queries, toxicity
 from evolve.llm.words import shingles, words
 from tests.llm.conftest import ODD
 
@@ -336,3 +336,11 @@ def test_line_decisions_agree_with_brute_force(documents, monkeypatch, hot):
 def test_lines_of_odd_texts(odd, no_documents):
     assert line_dedup.apply(odd, line_dedup.decisions(odd)).count() == len(ODD) + 1
     assert line_dedup.decisions(no_documents).count() == 0
+
+
+def test_short_lines_that_repeat_are_dropped_by_the_query(spark, tmp_path):
+    # Equal but for white space at the ends; one character off is another line; blank lines stay.
+    texts = ["Menu\nHome\n\n}\n\t\n" + "a long line that is long enough", " Menu \nhome\n\n}\n\t\nHome", "Menu\n\nMenu\nÉ", "Menus\nÉ", None, "", "\u00a0\n\u00a0\nabout a long line that is long"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["dropped"]) for r in queries.op10_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {0: (6, 0, ""), 1: (6, 3, "0,3,5"), 2: (4, 2, "0,2"), 3: (2, 1, "1"), 4: (0, 0, ""), 5: (1, 0, ""), 6: (3, 0, "")}
