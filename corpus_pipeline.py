@@ -27,8 +27,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every line that is near an earlier one goes, short ones if they equal it."""
-    out = line_dedup.apply(docs, line_dedup.decisions(docs.select("doc_id", "text"), exact=line_dedup.EXACT))
+    """Every line that is near an earlier one goes, short ones if they equal it; so do documents that lose all their words by that."""
+    out = line_dedup.apply(docs, line_dedup.decisions(docs.select("doc_id", "text"), exact=line_dedup.EXACT), emptied=False)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 

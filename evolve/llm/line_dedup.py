@@ -31,6 +31,7 @@ SHORTEST = 24
 # Shorter lines are dropped where they equal an earlier one, from this many characters on.
 EXACT = 1
 BREAK = "\n"
+WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
 HOT = 32
 # Ids and buckets are sent to every task up to this number, 8 MB; beyond it they are shuffled.
 SENT_ROWS = 1_000_000
@@ -150,9 +151,14 @@ def report(docs: DataFrame, dropped: DataFrame, text: str = "text", key: str = "
     return out.select(key, "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped"))
 
 
-def apply(docs: DataFrame, dropped: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` without the dropped lines; all other columns as they were."""
+def apply(docs: DataFrame, dropped: DataFrame, text: str = "text", key: str = "doc_id", emptied: bool = True) -> DataFrame:
+    """``docs`` without the dropped lines; all other columns as they were.
+
+    Without ``emptied``, documents that lose all their words go: what they said stands in others.
+    """
     mark = "__dropped"
     out = docs.join(dropped.select(F.col("doc").alias("__doc"), F.col("dropped").alias(mark)), F.col(key).cast("long") == F.col("__doc"), "left")
     kept = F.array_join(F.filter(F.split(text, BREAK, -1), lambda x, i: ~F.array_contains(mark, i)), BREAK)
+    if not emptied:
+        out = out.where(F.col(mark).isNull() | kept.rlike(WORD) | ~F.col(text).rlike(WORD))
     return out.withColumn(text, F.when(F.col(mark).isNull(), F.col(text)).otherwise(kept)).select(*docs.columns)

@@ -69,6 +69,14 @@ def test_every_stage_does_its_part(spark, folder):
     assert sorted(map(tuple, pipeline.run(spark, at).collect())) == sorted(map(tuple, pieces))
 
 
+def test_exact_copies_do_not_outlive_the_line_stage(spark):
+    whole = "A title\n\nthe first of the longer lines of this text\nshort one\nand the second of the longer lines of it\n--"
+    texts = [whole, whole, f" {whole}\n", "short one\nA title", whole + "\nits own end", None, "", "\n \n", "--\n--", "short one\nown"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)] + [(None, whole, "en", "s", 0)], COLUMNS)
+    got = {r["doc_id"]: r["text"] for r in pipeline.without_repeated_lines(spark, docs, "").collect()}
+    assert got == {None: whole, 0: whole, 4: "\nits own end", 5: None, 6: "", 7: "\n \n", 8: "", 9: "own"}
+
+
 def test_stages_take_further_columns_and_empty_tables(spark, folder):
     at, *_ = folder
     docs = spark.read.parquet(f"{at}/documents.parquet")
