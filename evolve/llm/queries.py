@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evolve.llm import bpe, embedding_dedup, licenses, line_dedup, near_duplicates, neighbours, packing, pii, token_counts, toxicity
+from evolve.llm import bpe, embedding_dedup, licenses, line_dedup, near_duplicates, neighbours, packing, phrases, pii, quality, token_counts, toxicity
 from evolve.llm.common import table
 
 
@@ -55,10 +55,23 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.report(docs, line_dedup.decisions(docs, exact=line_dedup.EXACT))
 
 
+def op11_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = quality.score(docs, quality.fit_on(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "n_bytes", "bad_bytes", "good_bytes",
+    )
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_embedding_dedup, op2_pack_sequences, op3_bpe_round_trip, op4_toxicity, op5_token_counts, op6_license_scan,
-        op7_nearest_neighbours, op8_personal_data, op9_near_duplicates, op10_line_dedup,
+        op7_nearest_neighbours, op8_personal_data, op9_near_duplicates, op10_line_dedup, op11_quality, op13_collocations,
     )
 }
 # The other operators' results hang on tokenizers, learned models or hashes, which SQL does not have.
@@ -78,5 +91,32 @@ SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links,
   coalesce((SELECT min(root) FROM r WHERE r.id = e.vec_id), e.vec_id) AS component_id,
   e.vec_id = coalesce((SELECT min(root) FROM r WHERE r.id = e.vec_id), e.vec_id) AS kept
 FROM embeddings e
+""",
+    "op13_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase FROM w, range(1, 6) AS t(k)),
+n AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, h.f AS l, t.f AS r, n.n, h.k AS head,
+    (1000::HUGEINT * c.f * n.n) // (h.f::HUGEINT * t.f) AS score
+  FROM f c JOIN f h ON c.lang = h.lang AND h.k < c.k AND h.phrase = array_to_string(c.ws[1:h.k], ' ')
+  JOIN f t ON c.lang = t.lang AND t.k = c.k - h.k AND t.phrase = array_to_string(c.ws[h.k + 1:c.k], ' ')
+  JOIN n ON c.lang = n.lang
+),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, head) = 1),
+part AS (
+  SELECT c.lang, array_to_string(c.ws[s.i:s.i + m.m - 1], ' ') AS phrase, max(c.f) AS longer
+  FROM f c, range(2, 5) AS m(m), range(1, 5) AS s(i) WHERE m.m < c.k AND s.i + m.m - 1 <= c.k GROUP BY 1, 2
+),
+kept AS (SELECT b.* FROM best b LEFT JOIN part q ON b.lang = q.lang AND b.phrase = q.phrase WHERE q.longer IS NULL OR 100 * q.longer < 100 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
 """,
 }
