@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evolve.llm import bpe, embedding_dedup, licenses, line_dedup, near_duplicates, neighbours, packing, phrases, pii, quality, token_counts, toxicity
+from evolve.llm import bpe, embedding_dedup, hard_negatives, licenses, line_dedup, near_duplicates, neighbours, packing, phrases, pii, quality, token_counts, toxicity
 from evolve.llm.common import table
 
 
@@ -64,6 +64,11 @@ def op11_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents"))
 
@@ -71,7 +76,8 @@ def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_embedding_dedup, op2_pack_sequences, op3_bpe_round_trip, op4_toxicity, op5_token_counts, op6_license_scan,
-        op7_nearest_neighbours, op8_personal_data, op9_near_duplicates, op10_line_dedup, op11_quality, op13_collocations,
+        op7_nearest_neighbours, op8_personal_data, op9_near_duplicates, op10_line_dedup, op11_quality,
+        op12_hard_negatives, op13_collocations,
     )
 }
 # The other operators' results hang on tokenizers, learned models or hashes, which SQL does not have.
@@ -91,6 +97,23 @@ SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links,
   coalesce((SELECT min(root) FROM r WHERE r.id = e.vec_id), e.vec_id) AS component_id,
   e.vec_id = coalesce((SELECT min(root) FROM r WHERE r.id = e.vec_id), e.vec_id) AS kept
 FROM embeddings e
+""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.anchor, p.id AS positive, s.id, p.score AS ps, s.score AS ns, row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+)
+SELECT anchor AS anchor_id, positive AS positive_id, CAST(rank AS INTEGER) AS rank, id AS negative_id, ps AS positive_score, ns AS negative_score FROM n WHERE rank <= 5
 """,
     "op13_collocations": r"""
 WITH p AS (
