@@ -13,9 +13,18 @@ place) stays; all others are dropped. Lines are compared without the white space
 their ends. Lines shorter than ``SHORTEST`` characters have no near ones: with ``exact``
 they are dropped where they equal an earlier line, else never; blank ones always stay.
 
+Groups without pairs. First every line is compared with one line of each of its buckets,
+the centre, which makes a family of lines one group. Then, in buckets that still hold
+several groups, a line looks for lines of other groups in blocks of about ``BLOCK`` and
+keeps at most one link, until no line finds one. A line that finds none has none, since
+groups only grow, so only those that found one look again. Frequent buckets are narrowed before that: what is left of the lines without the
+shared segment is within the same distance, so it is cut into segments in its turn. No
+round makes more rows than (line, block), and links grow with the lines, not their pairs.
+
 Defined results: a null text has no lines and stays null; an empty text has one empty
 line; a document without id keeps all its lines; repeated rows of one document share its
-decisions; a text of which all lines go becomes empty; an empty table gives an empty one.
+decisions; a text of which all lines go becomes empty; further columns stay as they are;
+an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -31,58 +40,62 @@ SHORTEST = 24
 # Shorter lines are dropped where they equal an earlier one, from this many characters on.
 EXACT = 1
 BREAK = "\n"
+# White space that may stand in a line.
+BLANKS = " \t\r\x0b\x0c\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
-HOT = 32
-# Ids and buckets are sent to every task up to this number, 8 MB; beyond it they are shuffled.
-SENT_ROWS = 1_000_000
+# Indexed lines of a block, lines that look through one copy of it, and lines above which a bucket is narrowed.
+BLOCK = 256
+LOOKING = 4096
+HOT = 256
 
 
 def lines(docs: DataFrame, text: str, key: str, shortest: int, exact: int | None = None) -> DataFrame:
     """doc, pos, line (without white space at its ends) of the lines that can be dropped."""
-    long_enough = F.length("line") >= shortest
-    if exact is not None:
-        long_enough |= (F.length("line") >= exact) & F.col("line").rlike(r"(?U)\S")
+    least = shortest if exact is None else max(1, min(exact, shortest))
     return (
         docs.where(F.col(key).isNotNull() & F.col(text).isNotNull())
         .select(F.col(key).cast("long").alias("doc"), F.posexplode(F.split(text, BREAK, -1)).alias("pos", "raw"))
-        .select("doc", "pos", F.trim("raw").alias("line")).where(long_enough)
+        .select("doc", "pos", F.btrim("raw", F.lit(BLANKS)).alias("line")).where(F.length("line") >= least)
     )
 
 
-def _places(edits: int, shorter: bool) -> Column:
-    """Structs of d, i, s: look at segment i of a line that is d shorter, s to the right of its place there.
+def _places(edits: int, own: bool) -> Column:
+    """Structs of d, i, s: segment i of a line that is d shorter, s to the right of its place there.
 
     A shift of s needs |s| edits to the left of the segment and |s - d| to its right. With at most i errors
     left of the first segment that agrees, and edits - i right of it, only |s| <= i and |s - d| <= edits - i
-    need a look. Without ``shorter`` only the line's own segments.
+    need a look. ``own``: the line's own segments (d and s are 0), else all the others.
     """
-    found = [
-        (d, i, s) for d in range(edits + 1) for i in range(edits + 1) for s in range(-i, i + 1) if abs(s - d) <= edits - i
-    ] if shorter else [(0, i, 0) for i in range(edits + 1)]
-    return F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(s).alias("s")) for d, i, s in found])
+    found = [(d, i, s) for d in range(edits + 1) for i in range(edits + 1) for s in range(-i, i + 1) if abs(s - d) <= edits - i]
+    return F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(s).alias("s")) for d, i, s in found if (d == s == 0) == own])
 
 
-def buckets(classes: DataFrame, edits: int, shorter: bool, *columns: Column) -> DataFrame:
-    """``columns`` and bucket: what a line is indexed under, or (``shorter``) where it finds lines up to ``edits`` shorter.
+def buckets(rows: DataFrame, edits: int, own: bool, rest: bool = False) -> DataFrame:
+    """id and bucket: what a line is indexed under (``own``), or where else it finds lines up to ``edits`` shorter.
 
-    A bucket is a 32-bit hash of the indexed line's length, the segment's number and its characters;
-    collisions are left to the verification. The last segments are longer by the rest of the division.
-    The places are exploded first, so that one short expression serves them all.
+    ``rows``: id, line, n (its characters) and, for lines that are compared within one, parent. A bucket is a
+    64-bit hash of the parent, the indexed line's length, the segment's number and its characters; collisions are
+    left to the verification. The last segments are longer by the rest of the division. The places are exploded
+    first, so that one short expression serves them all. ``rest``: also the line without the segment, and its length.
     """
     k = edits + 1
-    rows = classes.select(*columns, F.col("line").alias("__line"), F.col("n").alias("__n"), F.explode(_places(edits, shorter)).alias("p"))
-    m = F.expr("__n - p.d")
-    size, long_ones = F.expr(f"(__n - p.d) div {k}").cast("int"), F.expr(f"(__n - p.d) % {k}")
+    parent = [F.col("parent")] if "parent" in rows.columns else []
+    placed = rows.select("id", "line", "n", *parent, F.explode(_places(edits, own)).alias("p"))
+    m = F.expr("n - p.d")
+    size, long_ones = F.expr(f"(n - p.d) div {k}").cast("int"), F.expr(f"(n - p.d) % {k}")
     first_long = F.lit(k) - long_ones
     start = size * F.col("p.i") + F.greatest(F.col("p.i") - first_long, F.lit(0)) + F.col("p.s")
     length = size + F.when(F.col("p.i") >= first_long, 1).otherwise(0)
-    inside = (start >= 0) & (start + length <= F.col("__n"))
-    names = [c for c in rows.columns if not c.startswith("__") and c != "p"]
-    return rows.where(inside).select(*names, F.hash(m, F.col("p.i"), F.col("__line").substr(start + 1, length)).alias("bucket"))
+    bucket = F.xxhash64(*parent, m, F.col("p.i"), F.col("line").substr(start + 1, length)).alias("bucket")
+    inside = placed.where((m > 0) & (start >= 0) & (start + length <= F.col("n")))
+    if not rest:
+        return inside.select("id", bucket)
+    left = F.concat(F.col("line").substr(F.lit(1), start), F.col("line").substr(start + length + 1, F.col("n")))
+    return inside.select("id", bucket, left.alias("line"), (F.col("n") - length).alias("n"))
 
 
 def classes_of(found: DataFrame) -> DataFrame:
-    """Distinct lines: id, h1, h2 (hashes), line, n (characters), first (doc and pos of the first)."""
+    """Distinct lines: id, h1, h2 (hashes), line, n (characters), first (doc and pos of the first), many."""
     named = found.select("doc", "pos", "line", *_names("line"))
     one = named.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.first("line").alias("line"), F.count("*").alias("many"))
     return stored(one.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "first", "many", F.length("line").alias("n"), "line"))
@@ -92,48 +105,87 @@ def _names(line: str) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.hash(F.lit(7), F.col(line)).alias("h2")]
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    """A stored frame of whole numbers, sent to every task if it is counted to be small, else left to shuffles."""
-    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+def _shared(index: DataFrame, probes: DataFrame) -> DataFrame:
+    """bucket, id, own (indexed there), centre (the first indexed line), n (indexed lines): of lines that share a bucket."""
+    heads = stored(index.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n")))
+    several = heads.where("n > 1")
+    probing = probes.join(heads, "bucket").where("n > 1 or id <> centre").withColumn("own", F.lit(False))
+    indexed = index.join(several, "bucket").withColumn("own", F.lit(True))
+    return stored(probing.unionByName(indexed))
+
 
+def _to_centres(shared: DataFrame, line: DataFrame, edits: int) -> DataFrame:
+    """Links (a, b) of lines to the centres of their buckets within the distance: at most one for each place that is looked at."""
+    pairs = shared.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
+    both = pairs.join(line.toDF("a", "la"), "a").join(line.toDF("b", "lb"), "b")
+    return stored(both.where(F.levenshtein("la", "lb", edits) >= 0).select("a", "b"))
 
-def links(classes: DataFrame, edits: int) -> DataFrame:
-    """Pairs of classes (a, b) within the edit distance.
 
-    In buckets with more than ``HOT`` indexed lines the distance is taken inside the join, so that
-    many different lines with a common part do not become as many pairs. Only lines of the lengths
-    that such buckets are for take part there.
+def _across(now: DataFrame, line: DataFrame, edits: int) -> DataFrame:
+    """Links (a, b) from lines that look to a line of another group in one of their buckets, at most one for each.
+
+    ``now``: bucket, id, own, looks, component. Indexed lines are put together in blocks; those that look go to
+    every block of their bucket, dealt to as many copies of it as their number needs.
     """
-    index = buckets(classes, edits, False, F.col("id").alias("b"), F.col("n"))
-    many = index.groupBy("bucket").agg(F.count("*").alias("many"), F.min("n").alias("low"), F.max("n").alias("high"))
-    hot = stored(many.where(F.col("many") > HOT))
-    hot_buckets = _sized(hot.select("bucket"))
-    probe = buckets(classes, edits, True, F.col("id").alias("a"))
-    pairs = stored(probe.join(index.drop("n").join(hot_buckets, "bucket", "leftanti"), "bucket").where("a <> b").select("a", "b").distinct())
-    ids = _sized(stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
-    line = stored(classes.select("id", "line").join(ids, "id", "leftsemi"))
-    both = pairs.join(line.toDF("a", "la"), "a").join(line.toDF("b", "lb"), "b")
-    near = both.where(F.levenshtein("la", "lb", edits) >= 0).select("a", "b")
-    if hot.isEmpty():
-        return near
-    # A bucket is for one length; two where hashes collide. At most a row per length of line.
-    lengths = hot.select(F.explode(F.sequence("low", F.col("high") + edits)).alias("n")).distinct()
-    some = stored(classes.select("id", "n", "line").join(F.broadcast(lengths), "n", "leftsemi"))
-    left = buckets(some, edits, True, F.col("id").alias("a"), F.col("line").alias("la")).join(hot_buckets, "bucket", "leftsemi").withColumnRenamed("bucket", "probed")
-    right = buckets(some, edits, False, F.col("id").alias("b"), F.col("line").alias("lb")).join(hot_buckets, "bucket", "leftsemi")
-    alike = (F.col("probed") == F.col("bucket")) & (F.col("a") != F.col("b")) & (F.levenshtein("la", "lb", edits) >= 0)
-    return near.union(left.join(right, alike).select("a", "b"))
+    sizes = now.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count_if("own") / BLOCK).cast("int").alias("blocks"),
+        F.ceil(F.count_if("looks") / LOOKING).cast("int").alias("parts"))
+    work = now.join(sizes.where("low <> high and blocks > 0 and parts > 0").drop("low", "high"), "bucket").join(line, "id")
+    # The least of the block's own groups tells at once that there is no other.
+    blocks = work.where("own").groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(17)), F.col("blocks")).cast("int").alias("block")).agg(
+        F.collect_list(F.struct("id", "component", "line")).alias("there"), F.max("parts").alias("parts"))
+    blocks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    looking = work.where("looks").select(
+        "bucket", F.col("id").alias("a"), "component", "line", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    near = F.filter("there", lambda x: (x["component"] != F.col("component")) & (F.levenshtein("line", x["line"], edits) >= 0))
+    found = looking.join(blocks, ["bucket", "block", "part"]).select("a", F.array_min(F.transform(near, lambda x: x["id"])).alias("b"))
+    return stored(found.where("b is not null").groupBy("a").agg(F.min("b").alias("b")))
+
+
+def groups(classes: DataFrame, edits: int) -> DataFrame:
+    """node, component: the smallest id that each class (id, line, n) reaches by steps within the edit distance, for those that have one."""
+    own, other = buckets(classes, edits, True), buckets(classes, edits, False)
+    shared = _shared(own, other)
+    line = stored(classes.select("id", "line").join(shared.select("id").union(shared.select("centre")).distinct(), "id", "leftsemi"))
+    links = _to_centres(shared, line, edits)
+    component = components(links)
+    held = shared.where("n > 1").select("bucket", "id", "own", "n")
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        return rows.join(component.toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    frequent = grouped(held.where(F.col("n") > HOT)).groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    hot = stored(frequent.select("bucket"))
+    if not hot.isEmpty():
+        some = classes.select("id", "line", "n").join(held.join(hot, "bucket", "leftsemi").select("id").distinct(), "id", "leftsemi")
+        some = stored(some)
+        inner = lambda own: buckets(some, edits, own, rest=True).join(hot, "bucket", "leftsemi").withColumnRenamed("bucket", "parent")
+        indexed, probing = stored(inner(True)), stored(inner(False))
+        narrow = _shared(buckets(indexed, edits, True), buckets(indexed, edits, False).union(buckets(probing, edits, True)).union(buckets(probing, edits, False)))
+        links = links.union(_to_centres(narrow, line, edits))
+        component = components(links)
+        held = held.join(hot, "bucket", "leftanti").unionByName(narrow.where("n > 1").select("bucket", "id", "own", "n"))
+    looks = None
+    while True:
+        now = held.select("bucket", "id", "own")
+        now = now.withColumn("looks", F.lit(True)) if looks is None else now.join(looks, "id", "left").withColumn("looks", F.col("looks").isNotNull())
+        more = _across(grouped(now), line, edits)
+        if more.isEmpty():
+            return component
+        links = links.union(more)
+        component = components(links)
+        looks = more.select(F.col("a").alias("id"), F.lit(True).alias("looks"))
 
 
 def decisions(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, shortest: int = SHORTEST, exact: int | None = None) -> DataFrame:
-    """doc, dropped (places, ascending): the lines to drop of every document that loses some.
+    """doc, dropped (places, ascending), stays (doc and pos of the line that stays for each): of every document that loses lines.
 
     ``exact``: also lines of that many characters and more, short of ``shortest``, that equal an earlier one.
     """
     found = lines(docs, text, key, shortest, exact)
     classes = classes_of(found)
-    linked = stored(links(classes.where(F.col("n") >= shortest), edits))
-    group = components(linked)
+    group = groups(classes.where(F.col("n") >= shortest).select("id", "line", "n"), edits)
     grouped = classes.select("id", "h1", "h2", "first", "many").join(group.withColumnRenamed("node", "id"), "id", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "id"))
     heads = grouped.where("many > 1 or component <> id").select("component").distinct()
@@ -141,14 +193,18 @@ def decisions(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: i
     stays = mine.groupBy("component").agg(F.min("first").alias("stays"))
     per_class = mine.join(stays, "component").select("h1", "h2", "stays")
     at = found.select("doc", "pos", *_names("line")).join(per_class, ["h1", "h2"])
-    return at.where((F.col("doc") != F.col("stays.doc")) | (F.col("pos") != F.col("stays.pos"))).groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("dropped"))
+    lost = at.where((F.col("doc") != F.col("stays.doc")) | (F.col("pos") != F.col("stays.pos")))
+    per_doc = lost.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("pos", "stays"))).alias("at"))
+    return per_doc.select("doc", F.col("at.pos").alias("dropped"), F.col("at.stays").alias("stays"))
 
 
 def report(docs: DataFrame, dropped: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: key, n_lines, n_dropped, dropped (their places, comma-joined)."""
+    """One row per document: key, n_lines, n_dropped, dropped (their places, comma-joined), stays (document:place of the line kept for each)."""
     counted = docs.select(F.col(key), F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(text, BREAK, -1))).cast("long").alias("n_lines"))
     out = counted.join(dropped, F.col(key).cast("long") == F.col("doc"), "left")
-    return out.select(key, "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped"))
+    return out.select(
+        key, "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped"),
+        F.coalesce(F.array_join(F.transform("stays", lambda x: F.concat_ws(":", x["doc"], x["pos"])), ","), F.lit("")).alias("stays"))
 
 
 def apply(docs: DataFrame, dropped: DataFrame, text: str = "text", key: str = "doc_id", emptied: bool = True) -> DataFrame:

@@ -289,48 +289,87 @@ def distance(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("hot", [32, 1])
-def test_line_decisions_agree_with_brute_force(documents, monkeypatch, hot):
-    monkeypatch.setattr(line_dedup, "HOT", hot)
+def groups_of(places, near):
+    """The number of each place's group: that of its first member."""
+    parent = list(range(len(places)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for i in range(len(places)):
+        for j in range(i):
+            if find(i) != find(j) and near(places[i], places[j]):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(places))]
+
+
+def near_lines(a, b):
+    return a == b or (min(len(a), len(b)) >= 24 and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2)
+
+
+@pytest.mark.parametrize(("hot", "block", "exact"), [(256, 256, None), (32, 8, 3), (2, 3, 1), (1, 1, None)])
+def test_line_decisions_agree_with_brute_force(documents, monkeypatch, hot, block, exact):
+    for name, value in (("HOT", hot), ("BLOCK", block), ("LOOKING", 2 * block)):
+        monkeypatch.setattr(line_dedup, name, value)
     rng = random.Random(21)
     pool = ["".join(rng.choice("abé ") for _ in range(rng.randint(24, 34))).strip().ljust(24, "z") for _ in range(25)]
+    ends = " \t\r\x0b\x0c\x85\xa0\u2003\u3000"
 
     def edited(line):
         chars = list(line)
         for _ in range(rng.randint(0, 3)):
             at = rng.randrange(len(chars))
             chars[at:at + rng.randint(0, 1)] = rng.choice(["", "x", "y"])
-        return " " * rng.randint(0, 2) + "".join(chars)
+        return rng.choice(ends) * rng.randint(0, 2) + "".join(chars) + rng.choice(ends) * rng.randint(0, 1)
 
-    rows = [(i, "\n".join([edited(rng.choice(pool)) if rng.random() < 0.8 else "short" for _ in range(rng.randint(1, 6))])) for i in range(60)]
+    rows = [(i, "\n".join([edited(rng.choice(pool)) if rng.random() < 0.8 else rng.choice(["short", "ab", "} ", "\t", ""]) for _ in range(rng.randint(1, 6))])) for i in range(60)]
     rows += [(100, None), (101, ""), (102, "\n\n")]
     docs = documents(rows)
-    dropped = line_dedup.decisions(docs)
+    dropped = line_dedup.decisions(docs, exact=exact)
     got = {r["doc"]: r["dropped"] for r in dropped.collect()}
-    places = [(i, p, l.strip(" ")) for i, t in rows if t is not None for p, l in enumerate(t.split("\n")) if len(l.strip(" ")) >= 24]
-    parent = list(range(len(places)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i in range(len(places)):
-        for j in range(i):
-            if abs(len(places[i][2]) - len(places[j][2])) <= 2 and distance(places[i][2], places[j][2]) <= 2:
-                x, y = find(i), find(j)
-                parent[max(x, y)] = min(x, y)
-    want = collections.defaultdict(list)
+    places = [(i, p, l.strip(ends)) for i, t in rows if t is not None for p, l in enumerate(t.split("\n")) if len(l.strip(ends)) >= (exact or 24)]
+    first = groups_of([l for *_, l in places], near_lines)
+    want, stays = collections.defaultdict(list), collections.defaultdict(list)
     for i, (doc, p, _) in enumerate(places):
-        if find(i) != i:
+        if first[i] != i:
             want[doc].append(p)
+            stays[doc].append("{}:{}".format(*places[first[i]]))
     assert got == dict(want)
     cut = {r["doc_id"]: r["text"] for r in line_dedup.apply(docs, dropped).collect()}
     for i, t in rows:
         assert cut[i] == (None if t is None else "\n".join(l for p, l in enumerate(t.split("\n")) if p not in want.get(i, ())))
     counted = {r["doc_id"]: r for r in line_dedup.report(docs, dropped).collect()}
     assert counted[100]["n_lines"] == 0 and counted[102]["n_lines"] == 3
-    assert all(counted[i]["n_dropped"] == len(want.get(i, ())) for i, _ in rows)
+    assert all(counted[i]["n_dropped"] == len(want.get(i, ())) and counted[i]["stays"] == ",".join(stays.get(i, ())) for i, _ in rows)
+
+
+@pytest.mark.parametrize("settings", [{}, {"HOT": 16, "BLOCK": 32, "LOOKING": 64}])
+def test_families_of_lines_make_few_links(spark, documents, monkeypatch, settings):
+    for name, value in settings.items():
+        monkeypatch.setattr(line_dedup, name, value)
+    stem = "the quick brown fox jumps over the lazy dog and runs"
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    family = [f"{stem[:20]}{letters[i % 26]}{stem[21:40]}{letters[i // 26]}{stem[41:]}" for i in range(600)]
+    # A template: one segment of all of them is equal, nothing else.
+    rng = random.Random(4)
+    template = [f"Posted by the editors    {''.join(rng.choices(letters, k=50))}" for _ in range(300)]
+    template += [t[:60] + "0" + t[61:] for t in template[:50]]
+    seen = []
+    real = line_dedup.stored
+
+    def counted(df):
+        out = real(df)
+        if out.columns == ["a", "b"]:
+            seen.append((out.count(), out.select("a").distinct().count()))
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    got = {r["doc"] for r in line_dedup.decisions(documents(list(enumerate(family + template)))).collect()}
+    assert got == set(range(1, 600)) | set(range(900, 950))
+    assert len(seen) >= 2 and all(n <= 4 * lines and lines <= 950 for n, lines in seen)
 
 
 def test_lines_of_odd_texts(odd, no_documents):
@@ -340,7 +379,7 @@ def test_lines_of_odd_texts(odd, no_documents):
 
 def test_short_lines_that_repeat_are_dropped_by_the_query(spark, tmp_path):
     # Equal but for white space at the ends; one character off is another line; blank lines stay.
-    texts = ["Menu\nHome\n\n}\n\t\n" + "a long line that is long enough", " Menu \nhome\n\n}\n\t\nHome", "Menu\n\nMenu\nÉ", "Menus\nÉ", None, "", "\u00a0\n\u00a0\nabout a long line that is long"]
+    texts = ["Menu\nHome\n\n}\n\t\n" + "a long line that is long enough", " Menu \nhome\n\n}\n\t\nHome", "Menu\t\n\nMenu\r\nÉ", "Menus\nÉ", None, "", "\u00a0\n\u00a0\nabout a long line that is long"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["dropped"]) for r in queries.op10_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {0: (6, 0, ""), 1: (6, 3, "0,3,5"), 2: (4, 2, "0,2"), 3: (2, 1, "1"), 4: (0, 0, ""), 5: (1, 0, ""), 6: (3, 0, "")}
