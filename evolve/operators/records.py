@@ -141,7 +141,8 @@ def upsert_records(
     that is missing is inserted: always, never, or (auto) unless its
     forcecreate is false. Existing rows for which ``protected`` holds stay. A
     field may be listed twice for a record if a ``position`` column tells which
-    comes last; without one that stops the run.
+    comes last; without one that stops the run. A patch row without a key names
+    no record and is left out.
 
     The target is joined from its side only, so it is not shuffled for a patch
     that is small enough to be sent to it; new records are the patch's keys
@@ -159,7 +160,7 @@ def upsert_records(
         return F.max_by(F.struct("value"), F.when(listed, F.col(position)))["value"]
 
     force = F.bool_and(F.coalesce("forcecreate", F.lit(True))) if "forcecreate" in patch.columns else F.bool_and(F.lit(True))
-    wide = patch.groupBy(F.col(key).cast(target.schema[key].dataType).alias("__key")).agg(
+    wide = patch.where(F.col(key).isNotNull()).groupBy(F.col(key).cast(target.schema[key].dataType).alias("__key")).agg(
         force.alias("__force"),
         *[F.bool_or(F.col("field") == f.name).alias(f"__has_{f.name}") for f in fields],
         *[chosen(f.name).alias(f"__new_{f.name}") for f in fields],

@@ -13,8 +13,9 @@ from evolve.operators.schema import copy_columns
 from evolve.plans.plan import Plan, run
 from evolve.queries.joins import LINE
 from evolve.queries.registry import Section
+from evolve.sources.buckets import BucketedTable
 from evolve.storage import mapping_table, scratch_folder
-from evolve.streaming.rows import apply_steps, upsert_stream
+from evolve.streaming.rows import apply_steps, upsert_buckets
 
 section = Section()
 
@@ -341,19 +342,27 @@ FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey
 """)
 def _(t):
     folder = scratch_folder(t.spark)
-    t.customer.write.parquet(f"{folder}/v0")
     changes = F.array(F.struct(F.lit(1).alias("at"), F.lit("zulu").alias("value")), F.struct(F.lit(2).alias("at"), F.col("s_name").alias("value")))
     patches = _stream(t, "supplier", t.supplier).select(
         F.col("s_suppkey").alias("c_custkey"), F.lit("c_mktsegment").alias("field"), F.inline(changes)
     )
-    written = []
+    target = BucketedTable.create(t.customer, f"{folder}/customer", "c_custkey", buckets=16)
+    upsert_buckets(patches, target, f"{folder}/state", position="at", create="never").awaitTermination()
+    return target.read()
 
-    def store(df, number):
-        df.write.mode("overwrite").parquet(f"{folder}/v{number + 1}")
-        written.append(number + 1)
 
-    query = upsert_stream(
-        patches, lambda number: t.spark.read.parquet(f"{folder}/v{number}"), store, "c_custkey", f"{folder}/state", position="at", create="never"
-    )
-    query.awaitTermination()
-    return t.spark.read.parquet(f"{folder}/v{max(written, default=0)}")
+@section.query("p3_bucket_upsert", """
+WITH patch AS (SELECT s_suppkey AS k, s_name FROM supplier WHERE s_suppkey % 3 = 0
+  UNION ALL SELECT s_suppkey + (SELECT max(c_custkey) FROM customer), s_name FROM supplier WHERE s_suppkey % 7 = 0)
+SELECT coalesce(c_custkey, k) AS c_custkey, c_name, c_nationkey, c_acctbal, CASE WHEN k IS NOT NULL THEN s_name ELSE c_mktsegment END AS c_mktsegment
+FROM customer FULL JOIN patch ON k = c_custkey
+""")
+def _(t):
+    """Known and new records in one batch, which is then run again."""
+    target = BucketedTable.create(t.customer, f"{scratch_folder(t.spark)}/customer", "c_custkey", buckets=16)
+    last = t.customer.agg(F.max("c_custkey")).scalar()
+    named = lambda key, every: t.supplier.where(F.col("s_suppkey") % every == 0).select(key.alias("c_custkey"), F.lit("c_mktsegment").alias("field"), F.col("s_name").alias("value"))
+    patch = named(F.col("s_suppkey"), 3).unionByName(named(F.col("s_suppkey") + last, 7))
+    for _ in range(2):
+        target.upsert(patch, stream="suppliers", batch=0)
+    return target.read()

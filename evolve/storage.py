@@ -62,15 +62,29 @@ def clear_stored(spark: SparkSession) -> int:
 
     For the end of a job: frames read from them no longer work afterwards.
     """
-    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
     done = 0
     while _SCRATCH:
-        path = path_of(_SCRATCH.pop())
-        path.getFileSystem(conf).delete(path, True)
+        delete_folder(spark, _SCRATCH.pop())
         done += 1
     return done
 
 
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_folder(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of the store that Spark writes to; none if it is not there."""
+    path, files = _path(spark, folder)
+    return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+
+
+def delete_folder(spark: SparkSession, folder: str) -> bool:
+    path, files = _path(spark, folder)
+    return files.delete(path, True)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder under the shared checkpoint folder, for streams and stored versions."""
     _ensure_checkpoint_dir(spark)

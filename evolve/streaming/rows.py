@@ -1,7 +1,9 @@
 """Row-wise steps on streams, and record patches applied batch by batch.
 
 Operators of the columns and values kind hold no state, so the same function
-serves a streaming frame. Upserts need the whole target and run per micro-batch.
+serves a streaming frame. Upserts need their target and run per micro-batch: into a
+table of hash buckets, of which a batch rewrites only those that it touches, or by
+functions of the caller that read and write a whole target.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from evolve.operators.records import upsert_records
+from evolve.sources.buckets import BucketedTable
 
 
 def apply_steps(stream: DataFrame, steps: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:
@@ -42,3 +45,24 @@ def upsert_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def upsert_buckets(
+    patches: DataFrame, table: BucketedTable, checkpoint: str, position: str, create: str = "auto", name: str | None = None,
+) -> StreamingQuery:
+    """Apply a stream of patch rows to a bucketed table; a micro-batch costs what its buckets hold.
+
+    The table knows the last batch of each stream, by ``name`` (its checkpoint folder if there is none), so
+    a batch that is run again after a failure changes nothing.
+    """
+    stream = name or checkpoint
+
+    def apply(batch: DataFrame, number: int) -> None:
+        table.upsert(batch, create, position=position, stream=stream, batch=number)
+
+    return (
+        patches.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
