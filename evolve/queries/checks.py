@@ -188,6 +188,33 @@ def _(t):
     return N.offending_rows(before, after)
 
 
+@section.query("n1_few_changes", """
+SELECT nullif(o_orderkey % 3, 0) AS k1, o_orderkey AS k2, CASE WHEN o_custkey % 500 = 7 THEN 'differs' ELSE 'only before' END AS status,
+  CASE WHEN o_custkey % 500 = 7 THEN 'o_orderpriority' END AS changed FROM orders WHERE o_custkey % 500 = 7 OR o_custkey % 500 = 8
+UNION ALL SELECT nullif(o_orderkey % 3, 0), -o_orderkey, 'only after', NULL FROM orders WHERE o_custkey % 500 = 9 AND o_orderkey <> 0
+""")
+def _(t):
+    """Few of the buckets differ; a part of the key is NULL in a third of the rows."""
+    before = t.orders.withColumns({"k1": F.nullif(F.col("o_orderkey") % 3, F.lit(0)), "k2": F.col("o_orderkey")}).drop("o_orderkey")
+    last = F.col("o_custkey") % 500
+    after = before.where(last != 8).withColumn("o_orderpriority", F.when(last == 7, F.concat("o_orderpriority", F.lit("!"))).otherwise(F.col("o_orderpriority")))
+    after = after.unionByName(before.where((last == 9) & (F.col("k2") != 0)).withColumn("k2", -F.col("k2")))
+    return N.snapshot_diff(before, after, ["k1", "k2"], unique=True).where("status <> 'same'")
+
+
+@section.query("n2_duplicates_and_nulls", """
+WITH l AS (SELECT l_returnflag, nullif(l_linenumber, 3) AS l_linenumber, l_quantity FROM lineitem),
+a AS (SELECT *, count(*) AS n FROM l GROUP BY ALL),
+b AS (SELECT *, count(*) AS n FROM (SELECT * FROM l WHERE l_quantity <> 7 UNION ALL SELECT * FROM l WHERE l_quantity = 11 AND l_linenumber IS NULL) GROUP BY ALL)
+SELECT l_returnflag, l_linenumber, l_quantity, CASE WHEN sum(d) > 0 THEN 'left' ELSE 'right' END AS side, CAST(abs(sum(d)) AS BIGINT) AS copies
+FROM (SELECT *, n AS d FROM a UNION ALL SELECT *, -n FROM b) GROUP BY 1, 2, 3 HAVING sum(d) <> 0
+""")
+def _(t):
+    before = t.lineitem.select("l_returnflag", F.nullif("l_linenumber", F.lit(3)).alias("l_linenumber"), "l_quantity")
+    again = before.where((F.col("l_quantity") == 11) & F.col("l_linenumber").isNull())
+    return N.offending_rows(before, before.where("l_quantity <> 7").unionByName(again))
+
+
 @section.query("n3_check_rows", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'quantity' AS rule FROM lineitem
 WHERE NOT coalesce(l_quantity > 5 AND nullif(l_returnflag, 'A') <> 'X', false)

@@ -1,4 +1,6 @@
+import collections
 import datetime as dt
+import random
 
 import pandas as pd
 import pytest
@@ -23,6 +25,86 @@ def test_snapshot_diff_of_itself_shows_no_delta(frame):
     assert rows(N.column_changes(df, after, ["id"])) == [("n", 1, 1), ("s", 1, 1)]
 
 
+def shuffled(df):
+    """Bytes that the exchanges of a run moved, without adaptive execution, which forgets those of empty sides."""
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.collect()
+        todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            total += node.metrics().apply("dataSize").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_equal_tables_move_only_digests(spark):
+    df = spark.range(1_000_000).select((F.col("id") % 1000).alias("k"), (F.col("id") / 1000).cast("int").alias("l"), F.repeat(F.col("id").cast("string"), 20).alias("text"))
+    df.write.mode("overwrite").saveAsTable("proof_of_same")
+    stored = spark.table("proof_of_same")
+    whole = shuffled(stored.repartition(3, "k", "l"))
+    assert whole > 120_000_000
+    summary = N.snapshot_summary(stored, stored, ["k", "l"])
+    assert rows(summary) == [("same", 1_000_000, False)]
+    assert shuffled(N.snapshot_summary(stored, stored, ["k", "l"])) < 0.2 * whole
+    few = stored.withColumn("text", F.when(F.col("k") + F.col("l") == 5, "x").otherwise(F.col("text")))
+    assert rows(N.column_changes(stored, few, ["k", "l"])) == [("text", 6, 1_000_000)]
+    assert shuffled(N.snapshot_diff(stored, few, ["k", "l"]).where("status <> 'same'")) < 0.2 * whole
+    assert N.offending_rows(stored, few).count() == 12
+    spark.sql("DROP TABLE proof_of_same")
+
+
+def test_digests_tell_nested_and_null_values_apart(frame):
+    kind = "id int, a array<int>, s struct<x: int, y: int>, m map<string, int>, t string, u string, b binary"
+    base = (1, [None, 1], (None, 2), {"a": 1}, None, "x", b"1")
+    for at, other in ((1, [1, None]), (1, [1]), (2, (2, None)), (3, {"a": None}), (3, {}), (4, ""), (6, None)):
+        changed = base[:at] + (other,) + base[at + 1:]
+        assert rows(N.snapshot_diff(frame([base], kind), frame([changed], kind), ["id"])) == [(1, "differs", "asmtub"[at - 1])]
+    swapped = base[:4] + ("x", None, b"1")
+    assert rows(N.snapshot_diff(frame([base], kind), frame([swapped], kind), ["id"])) == [(1, "differs", "t,u")]
+    assert rows(N.snapshot_diff(frame([base], kind), frame([base], kind), ["id"])) == [(1, "same", None)]
+    # Types that differ are compared by value.
+    a, b = frame([(1, 5, "x"), (2, 6, "y")], "id int, n int, t string"), frame([(1, 5, "x"), (2, 7, "y")], "id long, n long, t string")
+    assert rows(N.snapshot_diff(a, b, ["id"])) == [(1, "same", None), (2, "differs", "n")]
+    assert rows(N.snapshot_summary(a, b, ["id"])) == [("differs", 1, True), ("same", 1, False)]
+
+
+def test_duplicates_in_equal_buckets_are_refused_on_demand(frame):
+    df = frame([(1, "a"), (1, "a"), (None, "b")], "id int, v string")
+    assert rows(N.snapshot_summary(df, df, ["id"])) == [("same", 3, False)]
+    for proof in (N.snapshot_diff, N.snapshot_summary, N.column_changes):
+        with pytest.raises(Exception, match="not unique"):
+            proof(df, df, ["id"], unique=True).collect()
+        assert proof(df.distinct(), df.distinct(), ["id"], unique=True).count()
+
+
+def test_proofs_agree_with_brute_force(spark, frame):
+    rng = random.Random(5)
+    kind = "k int, l string, x double, t string"
+    keys = [(rng.choice([None, *range(30)]), rng.choice([None, "a", "b"])) for _ in range(200)]
+    before = {key: (rng.choice([None, 0.0, 1.5, float("nan")]), rng.choice([None, "", "x"])) for key in keys}
+    after = {key: v if rng.random() < 0.7 else (rng.choice([None, 2.0]), rng.choice([None, "x", "y"])) for key, v in before.items() if rng.random() < 0.9}
+    after[(99, "new")] = (None, None)
+    same = lambda a, b: a == b or (a != a and b != b)
+    want = []
+    for key in before.keys() | after.keys():
+        b, a = before.get(key), after.get(key)
+        changed = [] if None in (a, b) else [c for c, x, y in zip("xt", b, a, strict=True) if not same(x, y)]
+        want.append((*key, "only after" if b is None else "only before" if a is None else "differs" if changed else "same", ",".join(changed) or None))
+    left, right = (frame([(*key, *v) for key, v in side.items()], kind) for side in (before, after))
+    assert rows(N.snapshot_diff(left, right, ["k", "l"], unique=True)) == sorted(want, key=repr)
+    counts = collections.Counter(w[2] for w in want)
+    assert rows(N.snapshot_summary(left, right, ["k", "l"])) == sorted(((s, n, s != "same") for s, n in counts.items()), key=repr)
+    both = counts["same"] + counts["differs"]
+    assert rows(N.column_changes(left, right, ["k", "l"])) == sorted(((c, sum(c in (w[3] or "") for w in want), both) for c in "xt"), key=repr)
+
+
 def test_same_rows(frame):
     a, b = frame([(1,), (2,)], "x int"), frame([(2,), (1,)], "x int")
     N.assert_same_rows(a, b)
