@@ -7,12 +7,13 @@ prefix, and the count of a prefix is the count of that phrase, overlaps included
 explosion per phrase length takes place.
 
 Windows end early where no frequent phrase can go on. A phrase is at least as rare as any
-two neighbouring words in it, so a first pass counts all words and pairs of neighbours in
-a table of ``CELLS`` cells chosen by a hash. A cell's sum is never below the count of what
-falls in it: a pair in a cell below ``LEAST`` is certainly rare, and windows are padded
-from its second word on; rare words open none. That loses no candidate and changes no
-count of one, whatever the hash; full cells only leave more windows to be counted. The
-tasks get one bit per cell, 2 MB.
+part of it, so a first pass counts all words and pairs of neighbours, and a second one all
+longer runs whose pairs are frequent, each in a table of ``CELLS`` cells chosen by a hash.
+A cell's sum is never below the count of what falls in it: what is in a cell below
+``LEAST`` is certainly rare. Windows are padded from the word on with which they become
+rare; rare words open none. That loses no candidate and changes no count of one, whatever
+the hash; full cells only leave more windows to be counted. The tasks get one bit per
+cell, 2 MB a table.
 
 Words are told apart by their bytes, never by hashes. Counts are whole numbers and scores
 are divided in decimals of 38 digits, so the arithmetic is exact.
@@ -27,7 +28,7 @@ gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +50,8 @@ COVER = 100
 SCALE = 1000
 CELLS = 1 << 24
 CHUNK = 1 << 16
-# Texts are worked on in segments of about so many bytes, words are numbered anew after so many.
+# Texts are worked on in segments of about so many bytes.
 SEGMENT = 2 << 20
-NUMBERED = 1 << 20
 
 # What ends a piece, and what ends a word.
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -66,22 +66,17 @@ for _b in WORD_ENDS:
 _PLAIN = bytes(_PLAIN)
 
 
-class _Numbers(dict):
-    """Numbers of words in the order they came; 0 is the border between pieces."""
+@dataclass
+class _Words:
+    """Words of some texts of one language: the distinct ones, their hashes, and which stands where.
 
-    def __init__(self) -> None:
-        super().__init__({BORDER: 0})
-        self.hashes = np.zeros(1, dtype=np.uint64)
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+    Number 0 is the border between pieces; the texts begin and end with one.
+    """
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        found = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-        new = islice(self, len(self.hashes), None)
-        self.hashes = np.concatenate([self.hashes, np.fromiter(map(xxhash.xxh3_64_intdigest, new), dtype=np.uint64, count=len(self) - len(self.hashes))])
-        return found
+    lang: str
+    distinct: np.ndarray
+    hashes: np.ndarray
+    at: np.ndarray
 
 
 def _segments(raw: bytes) -> Iterator[bytes]:
@@ -98,49 +93,67 @@ def _segments(raw: bytes) -> Iterator[bytes]:
     yield raw[start:]
 
 
-def _numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, _Numbers, np.ndarray]]:
-    """Language, the words' numbers, and the words of some texts in order; each run of them begins and ends with a border."""
-    numbers = _Numbers()
+def _worded(batches: Iterable[pa.RecordBatch]) -> Iterator[_Words]:
     for batch in slices(batches, "text"):
         by_lang: dict[str, list[bytes]] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             by_lang.setdefault(lang, []).append(text)
         for lang, texts in by_lang.items():
             for part in _segments(BORDER.join(texts).translate(_PLAIN)):
-                if len(numbers) > NUMBERED:
-                    numbers = _Numbers()
-                yield lang, numbers, numbers.of([BORDER, *part.replace(BORDER, b" . ").split(), BORDER])
+                found = pa.array([BORDER, *part.replace(BORDER, b" . ").split(), BORDER], pa.large_binary()).dictionary_encode()
+                distinct = found.dictionary.to_numpy(zero_copy_only=False)
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct.tolist()), dtype=np.uint64, count=len(distinct))
+                yield _Words(lang, distinct, hashes, found.indices.to_numpy())
 
 
-def _cells(lang: str, numbers: _Numbers, at: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
-    """The cell of each word, and of each word with the next one; those of borders mean nothing."""
-    salt = np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))
-    h = numbers.hashes[at] ^ salt
+def _runs(words: _Words, longest: int, tables: list[np.ndarray], cells: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Size, first words and cells of the runs of words that no table knows to be rare, from single words up.
+
+    ``tables``: bits of frequent cells, for words and pairs, then for longer runs; a table that is not there knows nothing.
+    """
+    salt = np.uint64(xxhash.xxh3_64_intdigest(words.lang.encode()))
     drop = np.uint64(65 - cells.bit_length())
-    pair = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]
-    return (mix(h) >> drop).astype(np.int64), (mix(pair) >> drop).astype(np.int64)
+    at = words.at
+    h = words.hashes[at]
+    starts = np.flatnonzero(at)
+    key = mix(h[starts] ^ salt)
+    for size in range(1, longest + 1):
+        if size > 1:
+            # A run ends before a border.
+            inside = at[starts + size - 1] > 0
+            starts = starts[inside]
+            key = mix(key[inside] * np.uint64(0x9E3779B97F4A7C15) + h[starts + size - 1])
+        cell = (key >> drop).astype(np.int64)
+        yield size, starts, cell
+        which = 0 if size < 3 else 1
+        if which < len(tables):
+            known = tables[which]
+            frequent = (known[cell >> 3] >> (cell & 7)) & 1 > 0
+            starts, key = starts[frequent], key[frequent]
 
 
 def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
 
 
-def frequent_cells(texts: DataFrame, least: int = LEAST, cells: int = CELLS) -> bytes:
-    """A bit for each cell: whether the words and pairs in it are ``least`` or more together.
+def frequent_cells(texts: DataFrame, known: list[bytes], longest: int = LONGEST, least: int = LEAST, cells: int = CELLS) -> bytes:
+    """A bit for each cell: whether the runs of words in it are ``least`` or more together.
 
-    A task counts in one table of its own and hands it on in chunks, each count cut off at ``least``: the
-    sum of counts cut off reaches it exactly when the sum of the whole ones does.
+    Without ``known`` tables words and pairs are counted, else longer runs whose pairs may be frequent. A task
+    counts in one table of its own and hands it on in chunks, each count cut off at ``least``: the sum of counts
+    cut off reaches it exactly when the sum of the whole ones does.
     """
     kind = "<u1" if least < 256 else "<u4"
     chunk = min(CHUNK, cells)
+    low, high = (3, longest) if known else (1, min(2, longest))
+    sent = texts.sparkSession.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(cells, dtype=np.uint32)
-        for lang, numbers, at in _numbered(batches):
-            one, two = _cells(lang, numbers, at, cells)
-            word = at > 0
-            np.add.at(table, one[word], 1)
-            np.add.at(table, two[word[:-1] & word[1:]], 1)
+        table, tables = np.zeros(cells, dtype=np.uint32), [np.frombuffer(t, dtype=np.uint8) for t in sent.value]
+        for words in _worded(batches):
+            for size, _, cell in _runs(words, high, tables, cells):
+                if size >= low:
+                    np.add.at(table, cell, np.uint32(1))
         np.minimum(table, least, out=table)
         coder = zstandard.ZstdCompressor(level=1)
         for k in range(0, cells, chunk):
@@ -172,39 +185,35 @@ def frequent_cells(texts: DataFrame, least: int = LEAST, cells: int = CELLS) ->
     return out.tobytes()
 
 
-def windows(texts: DataFrame, frequent: bytes, longest: int = LONGEST) -> DataFrame:
+def windows(texts: DataFrame, tables: list[bytes], longest: int = LONGEST) -> DataFrame:
     """lang, w1 to w<longest> (padded with empty words), n: padded longest windows and how often they stand, by part of a task.
 
     Rows of padding alone carry the number of all words of the language.
     """
-    sent = texts.sparkSession.sparkContext.broadcast(frequent)
-    cells = 8 * len(frequent)
+    sent = texts.sparkSession.sparkContext.broadcast(tables)
     names = [f"w{k + 1}" for k in range(longest)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.frombuffer(sent.value, dtype=np.uint8)
-        for lang, numbers, at in _numbered(batches):
-            word = at > 0
-            one, two = _cells(lang, numbers, at, cells)
-            opens = word & ((known[one >> 3] >> (one & 7)) & 1 > 0)
-            goes_on = np.append(word[:-1] & word[1:] & ((known[two >> 3] >> (two & 7)) & 1 > 0), False)
-            starts = np.flatnonzero(opens)
-            columns, inside = [at[starts]], np.ones(len(starts), dtype=bool)
-            for k in range(1, longest):
-                inside &= goes_on[np.minimum(starts + k - 1, len(at) - 1)]
-                columns.append(np.where(inside, at[np.minimum(starts + k, len(at) - 1)], 0))
-            distinct, n = _counted(np.stack(columns))
+        known = [np.frombuffer(t, dtype=np.uint8) for t in sent.value]
+        for words in _worded(batches):
+            at = words.at
+            lead = np.zeros((longest, len(at)), dtype=np.int64)
+            for size, starts, cell in _runs(words, longest, known, 8 * len(sent.value[0])):
+                table = known[0 if size < 3 else 1]
+                kept = starts[(table[cell >> 3] >> (cell & 7)) & 1 > 0]
+                lead[size - 1, kept] = at[kept + size - 1]
+            distinct, n = _counted(lead[:, lead[0] > 0])
             total = np.zeros((longest, 1), dtype=np.int64)
-            distinct, n = np.concatenate([distinct, total], axis=1), np.append(n, word.sum())
+            distinct, n = np.concatenate([distinct, total], axis=1), np.append(n, np.count_nonzero(at))
             used, place = np.unique(distinct, return_inverse=True)
-            names_of = list(numbers)
-            pool = pa.array(["" if i == 0 else names_of[i].decode("utf-8", "replace") for i in used.tolist()], pa.string())
+            # Padding is number 0.
+            pool = pa.array(["", *(w.decode("utf-8", "replace") for w in words.distinct[used[1:]].tolist())], pa.string())
             place = place.reshape(distinct.shape)
             out = [pool.take(pa.array(place[k])) for k in range(longest)]
             for low in range(0, len(n), 50_000):
                 part = slice(low, low + 50_000)
                 size = len(n[part])
-                yield pa.record_batch([pa.array([lang] * size, pa.string()), *(c.slice(low, 50_000) for c in out), pa.array(n[part])], names=["lang", *names, "n"])
+                yield pa.record_batch([pa.array([words.lang] * size, pa.string()), *(c.slice(low, 50_000) for c in out), pa.array(n[part])], names=["lang", *names, "n"])
 
     return texts.mapInArrow(run, "lang string, " + ", ".join(f"{c} string" for c in names) + ", n long")
 
@@ -226,7 +235,10 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int
     """Phrases of up to ``longest`` words that stand ``least`` times or more (lang, words, phrase, f), and all words per language (lang, n)."""
     texts = _texts(docs, text, lang)
     names = [f"w{k + 1}" for k in range(longest)]
-    longest_only = windows(texts, frequent_cells(texts, least, cells), longest).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    tables = [frequent_cells(texts, [], longest, least, cells)]
+    if longest > 2:
+        tables.append(frequent_cells(texts, tables, longest, least, cells))
+    longest_only = windows(texts, tables, longest).groupBy("lang", *names).agg(F.sum("n").alias("n"))
     # In a row of the ROLLUP the last word that is not NULL ends the phrase; where it is padding, a shorter row has the phrase.
     rolled = longest_only.rollup("lang", *names).agg(F.sum("n").alias("f")).where("lang is not null and w1 is not null")
     last = F.coalesce(*reversed(names))
