@@ -9,6 +9,11 @@ for a plain window, which stores nothing. Both ways give the same results.
 What a stretch needs from the ones before it is one row per stretch at most: a
 group continues into a partition only if it is the first group there. That carry
 frame is bounded by the number of partitions and is broadcast.
+
+The order is fixed by storing the sorted rows; a row's position is its file and its
+place in it, which the reader knows, so nothing is stored for it. A caller who names a
+unique ``key`` has only the groups, that key and the values stored and sorted, and the
+results joined back to the table by it; without one the whole rows are the result.
 """
 
 from __future__ import annotations
@@ -42,14 +47,34 @@ def _content_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
 
 
-def _lay_out(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    """Sort globally and fix each row's position by storing it."""
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn(_POS, F.monotonically_increasing_id())
-    )
-    return stored(placed).withColumn(_SEG, F.shiftright(F.col(_POS), 33))
+# What one task of a sort gets of its input, if that asks for more tasks than the session's setting.
+TASK_BYTES = 128 << 20
+
+
+def _width(df: DataFrame) -> int | None:
+    """Partitions that the size of the input asks for, if more than the session's setting; known sizes only."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    wanted = sum(n for n in sizes if n < 1 << 60) // TASK_BYTES
+    return wanted if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def _lay_out(df: DataFrame, order: Sequence[Column | str], columns: Sequence[str]) -> DataFrame:
+    """Sort globally and fix the order by storing ``columns``: adds the stretch, and the position over all of them."""
+    width = _width(df)
+    spread = df.repartitionByRange(width, *order) if width else df.repartitionByRange(*order)
+    # Values that a caller adds for the occasion are named like the marks here, never like columns of a table.
+    laid = stored(spread.sortWithinPartitions(*order).select(*[F.col(f"`{c}`") for c in dict.fromkeys(columns)]))
+    part = F.regexp_extract("_metadata.file_path", r"part-(\d+)", 1).cast("long")
+    placed = laid.select("*", part.alias(_SEG), F.col("_metadata.row_index").alias("__row"))
+    return placed.withColumn(_POS, F.shiftleft(F.col(_SEG), 33) + F.col("__row")).drop("__row")
+
+
+def _joined_back(df: DataFrame, found: DataFrame, key: Sequence[str], dst: Sequence[str]) -> DataFrame:
+    """Results by a unique key beside their rows; a NULL part of a key equals a NULL part."""
+    on = reduce(and_, [F.col(f"t.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) for k in key])
+    return df.alias("t").join(found.alias("s"), on, "left").select(
+        *[F.col(f"t.`{c}`") for c in df.columns if c not in dst], *[F.col(f"s.`{d}`") for d in dst])
 
 
 def _local(spec: Running, window) -> Column:
@@ -102,18 +127,20 @@ def _combine(spec: Running, local: Column, carry: Column) -> Column:
 
 def running(
     df: DataFrame, by: Sequence[str], order: Sequence[Column | str], values: Mapping[str, Running],
-    unique: bool = False, spread: bool = True,
+    unique: bool = False, spread: bool = True, key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add running values per group ``by`` in ``order`` (rows up to and including this one).
 
     With ``spread=False`` every group is worked on by one task. Sums are of whole
     numbers and decimals only, since a sum of floats depends on how rows are cut.
-    Ties are broken by the content of the rows unless the order is ``unique`` in its group.
+    Ties are broken by the unique ``key``, else by the content of the rows unless
+    the order is ``unique`` in its group.
     """
     for spec in values.values():
         if spec.kind == "sum" and isinstance(df.schema[spec.column].dataType, (FloatType, DoubleType)):
             raise TypeError(f"{spec.column}: sum decimals or whole numbers, cast first")
-    by, order = list(by), [*order] if unique else [*order, _content_hash(df)]
+    by, ties = list(by), [] if unique else [*key] if key else [_content_hash(df)]
+    order = [*order, *ties]
     if by and not spread:
         window = Window.partitionBy(*by).orderBy(*order)
         plain = {d: _local(s, window) for d, s in values.items()}
@@ -121,7 +148,8 @@ def running(
             *[c for c in df.columns if c not in values],
             *[(c["v"] if values[d].kind == "lag" else c).alias(d) for d, c in plain.items()],
         )
-    laid = _lay_out(df, [*by, *order])
+    carried = [s.column for s in values.values() if s.column is not None]
+    laid = _lay_out(df, [*by, *order], [*by, *key, *carried] if key else df.columns)
     here = Window.partitionBy(*by, _SEG).orderBy(_POS)
     local = laid.select("*", *[_local(s, here).alias(f"__l_{d}") for d, s in values.items()])
 
@@ -141,37 +169,42 @@ def running(
     same = [F.col(b).eqNullSafe(F.col(f"__b_{i}")) for i, b in enumerate(by)]
     on = reduce(and_, [F.col(_SEG) == F.col("__s"), *same])
     joined = local.join(F.broadcast(carry), on, "left")
-    return joined.select(
-        *[c for c in df.columns if c not in values],
-        *[_combine(s, F.col(f"__l_{d}"), F.col(f"__c_{d}")).alias(d) for d, s in values.items()],
-    )
+    results = [_combine(s, F.col(f"__l_{d}"), F.col(f"__c_{d}")).alias(d) for d, s in values.items()]
+    if key:
+        return _joined_back(df, joined.select(*[F.col(f"`{k}`") for k in key], *results), key, list(values))
+    return joined.select(*[c for c in df.columns if c not in values], *results)
 
 
 def sequence_over(
-    df: DataFrame, order: Sequence[Column | str], dst: str, start: Column | int = 1, unique: bool = False
+    df: DataFrame, order: Sequence[Column | str], dst: str, start: Column | int = 1, unique: bool = False,
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number all rows 1, 2, 3 .. in a global order.
 
-    Only the count of each partition meets in one task.
+    Only the count of each partition meets in one task. With a unique ``key``
+    only that is stored, and the numbers are joined to the rows by it.
     """
-    laid = _lay_out(df, [*order] if unique else [*order, _content_hash(df)])
+    ties = [] if unique else [*key] if key else [_content_hash(df)]
+    laid = _lay_out(df, [*order, *ties], key or df.columns)
     counts = laid.groupBy(F.col(_SEG).alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__s", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
     first = F.col("__o") + F.col(_POS) - F.shiftleft(F.col(_SEG), 33)
     start = start if isinstance(start, Column) else F.lit(start)
-    return (
+    numbered = (
         laid.join(F.broadcast(offsets), F.col(_SEG) == F.col("__s"))
         .withColumn(dst, (first + start).cast("long"))
         .drop(_POS, _SEG, "__s", "__o")
     )
+    return _joined_back(df, numbered, key, [dst]) if key else numbered
 
 
 def number_within(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], dst: str, spread: bool = True
+    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], dst: str, spread: bool = True,
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number the rows of each group 1, 2, 3 .. in an order."""
-    return running(df, by, order, {dst: Running("count")}, spread=spread)
+    return running(df, by, order, {dst: Running("count")}, spread=spread, key=key)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -185,18 +218,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 
 def fill_down(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], col: str, dst: str, spread: bool = True
+    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], col: str, dst: str, spread: bool = True,
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Carry the last non-NULL value down to the rows that follow."""
-    return running(df, by, order, {dst: Running("last", col)}, spread=spread)
+    return running(df, by, order, {dst: Running("last", col)}, spread=spread, key=key)
 
 
 def group_changes(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], key: str, spread: bool = True
+    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], key: str, spread: bool = True,
+    row_key: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows whose ``key`` differs from the row before them in their group."""
+    """Rows whose ``key`` differs from the row before them in their group; ``row_key`` is unique."""
     tagged = df.withColumn("__k", F.struct(F.col(key).alias("k")))
-    previous = running(tagged, by, order, {"__prev": Running("lag", "__k")}, spread=spread)
+    previous = running(tagged, by, order, {"__prev": Running("lag", "__k")}, spread=spread, key=row_key)
     return previous.where(~F.col("__prev").eqNullSafe(F.col("__k"))).drop("__prev", "__k")
 
 

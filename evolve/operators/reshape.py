@@ -12,10 +12,12 @@ from evolve.operators.joins import attach, drop_related, keep_related, update_fr
 from evolve.operators.ordered import first_per_key, sequence_over
 
 
-def next_ids(df: DataFrame, id_col: str, order: Sequence[Column | str], taken: DataFrame, taken_col: str) -> DataFrame:
-    """Give new rows the ids after the highest one taken, in a stable order."""
+def next_ids(
+    df: DataFrame, id_col: str, order: Sequence[Column | str], taken: DataFrame, taken_col: str, key: Sequence[str] | None = None,
+) -> DataFrame:
+    """Give new rows the ids after the highest one taken, in a stable order; a unique ``key`` spares storing them whole."""
     top = taken.agg(F.coalesce(F.max(taken_col), F.lit(0)).alias("top"))
-    return sequence_over(df, order, id_col, start=top.scalar() + 1)
+    return sequence_over(df, order, id_col, start=top.scalar() + 1, key=key)
 
 
 def m2o_to_x2m(df: DataFrame, id_col: str, old_column: str, names: tuple[str, str]) -> DataFrame:
@@ -27,15 +29,18 @@ def m2o_to_x2m(df: DataFrame, id_col: str, old_column: str, names: tuple[str, st
 
 def clone_rows(
     df: DataFrame, overrides: Mapping[str, Column], id_col: str, order: Sequence[Column | str],
-    taken: DataFrame, origin_col: str | None = None,
+    taken: DataFrame, origin_col: str | None = None, key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Copies of the given rows with new ids and some fields replaced.
 
-    ``origin_col`` remembers which row a copy was made from.
+    ``origin_col`` remembers which row a copy was made from. ``key`` names
+    columns that no two of the given rows have in common.
     """
     origin = origin_col or legacy_name(id_col)
     marked = df.withColumn(origin, F.col(id_col))
-    numbered = next_ids(marked, id_col, order, taken, id_col)
+    named = [origin if k == id_col else k for k in key] if key else None
+    in_order = [origin if o == id_col else o for o in order] if all(isinstance(o, str) for o in order) else order
+    numbered = next_ids(marked, id_col, in_order, taken, id_col, named)
     copies = numbered.withColumns(dict(overrides)) if overrides else numbered
     return copies.select(*df.columns, origin)
 
@@ -54,13 +59,14 @@ def pairs_to_parent(
     further = (
         attach(pairs, first, [pair_child], ["__first"], reduced=True)
         .where(F.col(pair_parent) != F.col("__first"))
-        .select(F.col(pair_child).alias("__child"), F.col(pair_parent).alias("__parent"))
+        .select(F.col(pair_child).alias("__child"), F.col(pair_parent).alias("__parent")).distinct()
     )
+    pair = [id_col, "__parent"]
     sources = child.join(further, F.col(id_col) == F.col("__child"))
     clones = clone_rows(
-        sources, {parent_col: F.col("__parent")}, id_col, [id_col, "__parent"], child, origin
+        sources, {parent_col: F.col("__parent")}, id_col, pair, child, origin, pair
     ) if parent_col in child.columns else clone_rows(
-        sources.withColumn(parent_col, F.col("__parent")), {}, id_col, [id_col, "__parent"], child, origin
+        sources.withColumn(parent_col, F.col("__parent")), {}, id_col, pair, child, origin, pair
     )
     columns = kept.columns
     no_origin = F.lit(None).cast(child.schema[id_col].dataType).alias(origin)
@@ -82,7 +88,7 @@ def clone_last(
         *[F.col(f"c.`{c}`") for c in child.columns if c not in overrides],
         *[v.alias(n) for n, v in overrides.items()],
     )
-    return clone_rows(values.select(*child.columns), {}, id_col, [id_col], child)
+    return clone_rows(values.select(*child.columns), {}, id_col, [id_col], child, key=[id_col])
 
 
 def insert_headers_and_lines(
@@ -128,7 +134,7 @@ def insert_headers_and_lines(
     )
     added = headers.unionByName(as_line(fresh, {sequence: F.col("__seq")}))
     order = [parent, F.col("__option").asc_nulls_first()]
-    numbered = next_ids(added, id_col, order, lines, id_col)
+    numbered = next_ids(added, id_col, order, lines, id_col, [parent, "__option"])
     return moved.unionByName(numbered.select(*lines.columns))
 
 
@@ -170,9 +176,9 @@ def entities_from_references(
     used = keep_related(source, referrers.where(F.col(ref_col).isNotNull()), [(source_id, ref_col)])
     named = used.select(F.col(source_id).alias(link), *columns)
     if taken is None:
-        entities = sequence_over(named, [link], id_col)
+        entities = sequence_over(named, [link], id_col, key=[link])
     else:
-        entities = next_ids(named, id_col, [link], taken, id_col)
+        entities = next_ids(named, id_col, [link], taken, id_col, [link])
     pointed = update_from(referrers, entities, [(ref_col, link)], {dst: F.col(f"s.{id_col}")}, unique=True)
     return entities, pointed
 
@@ -191,7 +197,7 @@ def override_if_differs(
     for c in settings:
         differs = differs | ~F.col(c).eqNullSafe(wanted[c])
     own = groups.where(differs).select(F.col(group_id).alias("owner"), *settings)
-    copies = next_ids(own, id_col, ["owner"], default, id_col)
+    copies = next_ids(own, id_col, ["owner"], default, id_col, ["owner"])
     base = default.select(id_col, F.lit(None).cast(groups.schema[group_id].dataType).alias("owner"), *settings)
     entities = base.unionByName(copies.select(id_col, "owner", *settings))
     linked = attach(groups, copies, [(group_id, "owner")], {dst: id_col})

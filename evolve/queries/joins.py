@@ -367,7 +367,15 @@ def _(t):
 SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS sequence FROM orders
 """)
 def _(t):
-    return O.sequence_over(t.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], "sequence").drop("o_orderdate")
+    return O.sequence_over(t.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], "sequence", unique=True).drop("o_orderdate")
+
+
+@section.query("g1_wide_sequence", """
+SELECT doc_id, text, lang, source, n_chars, 100 + row_number() OVER (ORDER BY n_chars DESC, doc_id) AS sequence FROM documents
+""")
+def _(t):
+    """Whole texts beside their numbers; only ids and lengths are sorted and stored."""
+    return O.sequence_over(t.documents, [F.col("n_chars").desc(), "doc_id"], "sequence", start=101, key=["doc_id"])
 
 
 @section.query("g2_first_row", f"""
@@ -388,7 +396,7 @@ SELECT event_id, user_id, event_type FROM (SELECT *, lag(event_type) OVER w AS b
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE rn = 1 OR before IS DISTINCT FROM event_type
 """)
 def _(t):
-    out = O.group_changes(t.events, ["user_id"], ["ts", "event_id"], "event_type")
+    out = O.group_changes(t.events, ["user_id"], ["ts", "event_id"], "event_type", row_key=["event_id"])
     return out.select("event_id", "user_id", "event_type")
 
 

@@ -64,7 +64,7 @@ def _pieces(spark: SparkSession, path: str, end: str) -> DataFrame:
         F.col("value").alias("text"),
     )
     mark = F.nullif(F.regexp_extract("text", r"(?s)^.*(<!--|-->)", 1), F.lit(""))
-    marked = running(cut.withColumn("__mark", mark), ["file"], ["at"], {"__above": Running("before", "__mark")}, unique=True)
+    marked = running(cut.withColumn("__mark", mark), ["file"], ["at"], {"__above": Running("before", "__mark")}, unique=True, key=["file", "at"])
     closed = F.regexp_replace("text", r"(?s)^.*?-->", "")
     rest = F.when(F.coalesce(F.col("__above") == "<!--", F.lit(False)), F.when(F.col("text").contains("-->"), closed).otherwise("")).otherwise(F.col("text"))
     return marked.select(F.regexp_replace(F.regexp_replace(rest, r"(?s)<!--.*?-->", ""), r"(?s)<!--.*$", "").alias("text"))

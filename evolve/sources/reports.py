@@ -31,8 +31,10 @@ _MODEL = r"^(new|obsolete|renamed)? ?model (\S+)(?: \(([^)]*)\))?(?: \[([^\]]*)\
 _RECORD = r"^(NEW |DEL )?(\S+): (\S+?)(?: \((changed definition: .*)\))?(?: \[([^\]]*)\])?(?: \((noupdate.*|deleted domain.*)\))?\s*$"
 
 
-def parse_diff_lines(lines: DataFrame, by: Sequence[str], order: Sequence[Column | str], text: str = "text") -> DataFrame:
-    """Rows of a schema diff: section, module, and the parts of each line.
+def parse_diff_lines(
+    lines: DataFrame, by: Sequence[str], order: Sequence[Column | str], text: str = "text", key: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of a schema diff: section, module, and the parts of each line; ``key`` is unique.
 
     Returns ``by``, module, section, model, field, type, change, detail. The
     section heading above a line is carried down to it in line order.
@@ -42,7 +44,7 @@ def parse_diff_lines(lines: DataFrame, by: Sequence[str], order: Sequence[Column
     tagged = lines.withColumn(
         "__head", F.when(section.isNotNull(), F.struct(section.alias("section"), F.regexp_extract(t, _SECTION, 2).alias("module")))
     )
-    carried = running(tagged, by, order, {"__sec": Running("last", "__head")})
+    carried = running(tagged, by, order, {"__sec": Running("last", "__head")}, key=key)
     body = carried.where(F.col("__head").isNull() & (F.trim(t) != "") & ~t.startswith("#"))
 
     def part(pattern: str, group: int) -> Column:
@@ -72,19 +74,20 @@ def parse_diff_lines(lines: DataFrame, by: Sequence[str], order: Sequence[Column
 
 
 def read_schema_diff(spark: SparkSession, path: str) -> DataFrame:
-    return parse_diff_lines(read_lines(spark, path), ["file"], ["at"])
+    return parse_diff_lines(read_lines(spark, path), ["file"], ["at"], key=["file", "at"])
 
 
 def attach_notes(
-    lines: DataFrame, by: Sequence[str], order: Sequence[Column | str], is_note: Column, note: Column, dst: str
+    lines: DataFrame, by: Sequence[str], order: Sequence[Column | str], is_note: Column, note: Column, dst: str,
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Give every line the note that closes its block; the notes themselves leave.
+    """Give every line the note that closes its block; the notes themselves leave. ``key`` is unique.
 
     A block is the run of lines above a note, up to the note before. Lines below
     the last note get NULL.
     """
     tagged = lines.withColumn("__is", F.when(is_note, F.lit(1)).otherwise(F.lit(0)))
-    counted = running(tagged, by, order, {"__upto": Running("sum", "__is")})
+    counted = running(tagged, by, order, {"__upto": Running("sum", "__is")}, key=key)
     blocks = counted.withColumn("__block", F.col("__upto") - F.col("__is"))
     notes = blocks.where("__is = 1").select(*by, "__block", note.alias("__note"))
     kept = blocks.where("__is = 0")
@@ -95,7 +98,7 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
     """Schema diff lines with the '# ..' comment that answers their block."""
     lines = read_lines(spark, path).where(F.trim("text") != "")
     text = F.col("text")
-    noted = attach_notes(lines, ["file"], ["at"], text.startswith("#"), F.trim(F.regexp_replace(text, r"^#\s*", "")), "note")
+    noted = attach_notes(lines, ["file"], ["at"], text.startswith("#"), F.trim(F.regexp_replace(text, r"^#\s*", "")), "note", ["file", "at"])
     return noted.where(~text.startswith("---"))
 
 

@@ -22,8 +22,9 @@ def check_running(spark, data, spread):
         "n": O.Running("count"), "total": O.Running("sum", "v"), "high": O.Running("max", "v"),
         "seen": O.Running("last", "v"), "above": O.Running("before", "v"), "lagged": O.Running("lag", "v"),
     }
-    out = O.running(df, ["g"], ["at"], values, unique=True, spread=spread).collect()
-    got = {r.at: (r.n, r.total, r.high, r.seen, r.above, r.lagged) for r in out}
+    ways = [O.running(df, ["g"], ["at"], values, unique=True, spread=spread).collect(), O.running(df, ["g"], ["at"], values, spread=spread, key=["at"]).collect()]
+    got, keyed = ({r.at: (r.n, r.total, r.high, r.seen, r.above, r.lagged) for r in out} for out in ways)
+    assert got == keyed
     state, want = {}, {}
     for g, at, v in numbered:
         n, total, high, seen, last = state.get(g, (0, None, None, None, None))
@@ -59,6 +60,46 @@ def test_sequence_over_is_gapless_and_repeatable_with_ties(spark):
     assert [r[1] for r in by_number] == sorted(r[1] for r in first)
 
 
+def test_only_keys_and_order_are_stored(spark, monkeypatch, tmp_path):
+    import pathlib
+
+    df = spark.range(0, 200_000, 1, 8).select("id", F.xxhash64("id").alias("at"), (F.col("id") % 5).alias("g"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 3).alias("text"))
+    df.select("g", "id", "at").write.parquet(str(tmp_path / "narrow"))
+    size = lambda folder: sum(p.stat().st_size for p in pathlib.Path(folder).rglob("*.parquet"))
+    made = []
+    real = O.stored
+
+    def kept(frame):
+        out = real(frame)
+        made.append(sum(size(f.removeprefix("file:")) if not f.endswith(".parquet") else pathlib.Path(f.removeprefix("file://")).stat().st_size for f in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(O, "stored", kept)
+    out = O.sequence_over(df, [F.col("at").desc()], "n", key=["id"])
+    assert out.columns == ["id", "at", "g", "text", "n"]
+    wrong = out.alias("a").join(out.alias("b"), F.expr("b.n = a.n + 1")).where("b.at >= a.at")
+    assert out.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()[:] == (1, 200_000, 200_000) and wrong.isEmpty()
+    by_group = O.number_within(df, ["g"], [F.col("at").desc()], "n", key=["id"])
+    assert by_group.groupBy("g").agg(F.max("n").alias("n"), F.countDistinct("n").alias("m")).where("n <> 40000 or m <> 40000").isEmpty()
+    assert len(made) == 2 and all(n <= 1.2 * size(tmp_path / "narrow") for n in made)
+
+
+def test_the_width_of_a_sort_follows_the_input(spark, monkeypatch, tmp_path):
+    spark.range(100_000).write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    assert O._width(df) is None and O._width(spark.createDataFrame([(1,)], "a int")) is None
+    monkeypatch.setattr(O, "TASK_BYTES", 20_000)
+    assert O._width(df) >= 10
+    out = O.sequence_over(df, [F.col("id").desc()], "n", key=["id"])
+    assert out.where("id + n <> 100000").isEmpty() and out.count() == 100_000
+
+
+def test_null_parts_of_a_key_are_numbered(spark):
+    df = spark.createDataFrame([(1, None, "a"), (None, None, "b"), (None, 2, "c")], "k int, l int, t string")
+    out = O.sequence_over(df, [F.col("t").desc()], "n", key=["k", "l"])
+    assert rows(out.select("t", "n")) == [("a", 3), ("b", 2), ("c", 1)]
+
+
 def test_untyped_nulls_and_maps_can_be_numbered(spark):
     df = spark.range(3).select("id", F.lit(None).alias("nothing"), F.create_map(F.lit("k"), F.col("id")).alias("m"))
     out = O.sequence_over(df, [F.col("id").desc()], "n")
