@@ -232,48 +232,3 @@ def resolve_default(
     out = attach(df, own, [(key, "key"), (owner, "owner")], {"__own": "value"}, reduced=True)
     out = attach(out, common, [(key, "key")], {"__all": "value"}, reduced=True)
     return out.withColumn(dst, F.coalesce("__own", "__all")).drop("__own", "__all")
-
-
-# The operators of a filter domain.
-_OPERATORS = {
-    "=": lambda c, v: c.isNull() if v is False or v is None else c == F.lit(v),
-    "!=": lambda c, v: c.isNotNull() if v is False or v is None else c.isNull() | (c != F.lit(v)),
-    "<": lambda c, v: c < F.lit(v),
-    "<=": lambda c, v: c <= F.lit(v),
-    ">": lambda c, v: c > F.lit(v),
-    ">=": lambda c, v: c >= F.lit(v),
-    "in": lambda c, v: c.isin(list(v)),
-    "not in": lambda c, v: c.isNull() | ~c.isin(list(v)),
-    "like": lambda c, v: c.contains(v),
-}
-
-
-def filter_domain(
-    ds: Mapping[str, DataFrame],
-    table: str,
-    domain: Sequence[tuple[str, str, object]],
-    references: Mapping[tuple[str, str], tuple[str, str, str]],
-) -> DataFrame:
-    """Filter by dotted paths across references, all conditions ANDed.
-
-    ``references`` maps (table, step) to (foreign key, parent table, parent
-    key). A path shared by several conditions is joined once.
-    """
-    df = ds[table]
-    columns = df.columns
-    joined: dict[tuple[str, ...], str] = {}
-    conditions = []
-    for path, op, value in domain:
-        *steps, column = path.split(".")
-        at, prefix, walked = table, "", ()
-        for step in steps:
-            walked += (step,)
-            fk, parent, pk = references[(at, step)]
-            if walked not in joined:
-                alias = "__" + "_".join(walked) + "__"
-                side = ds[parent].select(*[F.col(c).alias(alias + c) for c in ds[parent].columns])
-                df = df.join(side, F.col(prefix + fk) == F.col(alias + pk), "left")
-                joined[walked] = alias
-            at, prefix = parent, joined[walked]
-        conditions.append(_OPERATORS[op](F.col(prefix + column), value))
-    return df.where(reduce(and_, conditions)).select(*columns) if conditions else df

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from evolve.dataset import Dataset
 from evolve.functions import documents as D
 from evolve.operators import identity as K
+from evolve.operators.domains import broken_paths, disable_broken_filters
 from evolve.queries.registry import Section
 from evolve.storage import mapping_table
 
@@ -173,6 +174,44 @@ def _(t):
     return out.select("p_partkey", "active")
 
 
+_PATHS = """
+WITH f AS (SELECT p_partkey, p_brand, p_type, list_value('size', 'supplier.' || lower(p_type), 'supplier.nation.name') AS paths FROM part),
+p AS (SELECT p_partkey, p_brand, unnest(paths) AS path FROM f),
+r AS (SELECT DISTINCT p_partkey, path, CASE WHEN path = 'size' AND p_brand LIKE '%1' THEN 'size' WHEN path LIKE 'supplier.%' AND p_brand LIKE '%2' THEN 'supplier'
+    WHEN path = 'supplier.promo' THEN 'promo' WHEN path = 'supplier.nation.name' AND p_brand LIKE '%3' THEN 'name' END AS step,
+  CASE WHEN path = 'size' OR p_brand LIKE '%2' THEN p_brand WHEN path = 'supplier.promo' THEN CASE WHEN p_brand LIKE '%3' THEN 'vendor' ELSE 'supplier' END ELSE 'region' END AS on_model FROM p)
+"""
+
+
+def _filters(t):
+    """Saved filters of every part, and the fields that the models of its brand know."""
+    text = F.concat(F.lit("[('size', '>', 1), '|', ('supplier."), F.lower("p_type"), F.lit("', '=', 'size'), ('supplier.nation.name', 'in', ['supplier.gone'])]"))
+    filters = t.part.select("p_partkey", "p_brand", text.alias("domain"), F.lit(True).alias("active"))
+    brands = t.part.select(F.col("p_brand").alias("model")).distinct()
+    last = F.right("model", F.lit(1))
+    own = brands.where(last != "1").select("model", F.lit("size").alias("name"), F.lit(None).cast("string").alias("relation"))
+    ref = brands.where(last != "2").select("model", F.lit("supplier").alias("name"), F.when(last == "3", "vendor").otherwise("supplier").alias("relation"))
+    types = t.part.select(F.lower("p_type").alias("name")).distinct().where("name <> 'promo'")
+    both = F.explode(F.array(F.lit("supplier"), F.lit("vendor")))
+    kinds = types.select(both.alias("model"), "name", F.lit(None).cast("string").alias("relation"))
+    rest = t.spark.createDataFrame([("supplier", "nation", "nation"), ("vendor", "nation", "region"), ("nation", "name", None)], "model string, name string, relation string")
+    fields = own.unionByName(ref).unionByName(kinds).unionByName(rest)
+    return filters, fields
+
+
+@section.query("k10_broken_paths", _PATHS + "SELECT p_partkey, path, step, on_model FROM r WHERE step IS NOT NULL")
+def _(t):
+    """The first step of each path that is gone, with the model it was looked for in."""
+    filters, fields = _filters(t)
+    return broken_paths(filters, "p_partkey", "domain", "p_brand", fields)
+
+
+@section.query("k10_disable_broken_paths", _PATHS + "SELECT p_partkey, p_partkey NOT IN (SELECT p_partkey FROM r WHERE step IS NOT NULL) AS active FROM part")
+def _(t):
+    filters, fields = _filters(t)
+    return disable_broken_filters(filters, "p_partkey", "domain", "p_brand", fields, "active").select("p_partkey", "active")
+
+
 @section.query("k11_clear_demo_flag", """
 SELECT p_partkey, CASE WHEN EXISTS (SELECT 1 FROM part WHERE p_name = 'red widget' AND p_size > 10) THEN false ELSE p_size > 25 END AS demo FROM part
 """)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from evolve.dataset import Dataset
 from evolve.functions.values import map_in_place
 from evolve.naming import legacy_name
+from evolve.operators.domains import rename_paths
 from evolve.operators.schema import (
     add_column_if_absent, add_columns, cast_columns, copy_columns, rename_columns, rename_field_references,
     rename_fields, rename_models, retain_dropped, retained_report,
@@ -134,6 +135,35 @@ def _(t):
     return rename_field_references(out, "domain", swaps, "event_type").select("event_id", "props", "domain")
 
 
+@section.query("b12_domain_paths", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F'
+  THEN '[''|'', (''day'', ''='', ''date''), ("customer_id.nation.title", "ilike", "date"), (''customer_id.unknown.date'', ''!='', False), (''lines.date'', ''in'', [' || o_custkey || '])]'
+  WHEN o_orderstatus = 'O' THEN '[''|'', (''title'', ''='', ''date''), ("customer_id.nation.name", "ilike", "date"), (''customer_id.unknown.date'', ''!='', False), (''lines.date'', ''in'', [' || o_custkey || '])]'
+  ELSE '[''|'', (''date'', ''='', ''date''), ("customer_id.nation.name", "ilike", "date"), (''customer_id.unknown.date'', ''!='', False), (''lines.date'', ''in'', [' || o_custkey || '])]' END AS domain,
+  CASE WHEN o_orderstatus = 'F' THEN '[''day:month'', ''customer_id.nation.title'']' WHEN o_orderstatus = 'O' THEN '[''title:month'', ''customer_id.nation.name'']' ELSE '[''date:month'', ''customer_id.nation.name'']' END AS grouped,
+  CASE WHEN o_orderstatus = 'F' THEN 'On {{ object.day }}: {{ object.customer_id.nation.title.upper() }}, date' WHEN o_orderstatus = 'O' THEN 'On {{ object.title }}: {{ object.customer_id.nation.name.upper() }}, date'
+  ELSE 'On {{ object.date }}: {{ object.customer_id.nation.name.upper() }}, date' END AS body
+FROM orders
+""")
+def _(t):
+    """Names change at the step whose model they belong to; values, unknown paths and other models keep theirs."""
+    spark = t.spark
+    fields = spark.createDataFrame([
+        ("F", "date", None), ("F", "customer_id", "partner"), ("F", "lines", "line"), ("line", "date", None), ("partner", "nation", "country"), ("partner", "date", None),
+        ("country", "name", None), ("O", "date", None), ("O", "customer_id", "gone"), ("line", "name", None),
+    ], "model string, name string, relation string")
+    renames = spark.createDataFrame([("F", "date", "day"), ("country", "name", "title"), ("O", "date", "title"), ("partner", "date", "since")], "model string, old string, new string")
+    domain = F.concat(
+        F.lit("""['|', ('date', '=', 'date'), ("customer_id.nation.name", "ilike", "date"), ('customer_id.unknown.date', '!=', False), ('lines.date', 'in', ["""),
+        F.col("o_custkey").cast("string"), F.lit("])]"))
+    rows = t.orders.select(
+        "o_orderkey", "o_orderstatus", domain.alias("domain"), F.lit("['date:month', 'customer_id.nation.name']").alias("grouped"),
+        F.lit("On {{ object.date }}: {{ object.customer_id.nation.name.upper() }}, date").alias("body"))
+    for column, form in (("domain", "domain"), ("grouped", "list"), ("body", "template")):
+        rows = rename_paths(rows, "o_orderkey", column, "o_orderstatus", fields, renames, form)
+    return rows.drop("o_orderstatus")
+
+
 @section.query("b13_retain_dropped", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def _(t):
     return retain_dropped(t.customer, t.customer.select("c_custkey", "c_mktsegment"), ["c_custkey"])

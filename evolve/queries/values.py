@@ -8,7 +8,8 @@ from evolve.functions import predicates as P
 from evolve.functions import text as X
 from evolve.functions import values as V
 from evolve.operators.groups import with_group_max
-from evolve.operators.joins import attach, filter_domain
+from evolve.operators.domains import Step, Tree, filter_domain, read_domain
+from evolve.operators.joins import attach
 from evolve.plans.plan import guard_changed, guard_exists
 from evolve.queries.registry import Section
 
@@ -453,6 +454,55 @@ def _(t):
     return filter_domain(ds, "customer", domain, references).select("c_custkey", "c_name")
 
 
+def _sales(t):
+    """Customers with their nation, region and orders, and suppliers as a tree: number 3n + 1 to 3n + 3 lie below n."""
+    suppliers = t.supplier.withColumn("parent", F.when(F.col("s_suppkey") > 1, F.floor((F.col("s_suppkey") - 2) / 3).cast("long") + 1))
+    ds = Dataset({"customer": t.customer, "nation": t.nation, "region": t.region, "orders": t.orders, "lineitem": t.lineitem, "supplier": suppliers})
+    references = {
+        ("customer", "nation"): ("c_nationkey", "nation", "n_nationkey"),
+        ("nation", "region"): ("n_regionkey", "region", "r_regionkey"),
+        ("customer", "orders"): Step("c_custkey", "orders", "o_custkey", many=True),
+        ("orders", "customer"): Step("o_custkey", "customer", "c_custkey"),
+        ("orders", "lines"): Step("o_orderkey", "lineitem", "l_orderkey", many=True),
+        ("lineitem", "supplier"): ("l_suppkey", "supplier", "s_suppkey"),
+    }
+    return ds, references, {("lineitem", "l_suppkey"): Tree("supplier", "s_suppkey", "parent"), ("supplier", "s_suppkey"): Tree("supplier", "s_suppkey", "parent")}
+
+
+@section.query("d6_or_and_not", """
+SELECT c_custkey, c_name FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+WHERE (r_name = 'ASIA' OR (c_mktsegment = 'BUILDING' AND NOT (contains(n_name, '_1') OR c_acctbal < 1000))) AND NOT c_acctbal > 9000
+""")
+def _(t):
+    ds, references, _ = _sales(t)
+    text = """['|', ('nation.region.r_name', '=', 'ASIA'), '&', ('c_mktsegment', 'in', [segment]),
+        '!', '|', ('nation.n_name', 'like', '_1'), ('c_acctbal', '<', 1000), '!', ('c_acctbal', '>', 9000)]"""
+    return filter_domain(ds, "customer", read_domain(text, {"segment": "BUILDING"}), references).select("c_custkey", "c_name")
+
+
+@section.query("d6_to_many", """
+SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')
+  AND (c_acctbal < 0 OR NOT EXISTS (SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey = c_custkey AND l_quantity >= 48))
+""")
+def _(t):
+    ds, references, _ = _sales(t)
+    domain = [("orders.o_orderstatus", "=", "F"), "|", ("c_acctbal", "<", 0), "!", ("orders.lines.l_quantity", ">=", 48)]
+    return filter_domain(ds, "customer", domain, references).select("c_custkey")
+
+
+@section.query("d6_child_of", """
+WITH RECURSIVE s AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey > 1 THEN CAST(floor((s_suppkey - 2) / 3) AS BIGINT) + 1 END AS parent FROM supplier),
+below AS (SELECT id FROM s WHERE id = 3 UNION SELECT s.id FROM s JOIN below ON s.parent = below.id),
+above AS (SELECT id, parent FROM s WHERE id = 9 UNION SELECT s.id, s.parent FROM s JOIN above ON above.parent = s.id)
+SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_suppkey IN (SELECT id FROM below))
+  AND NOT EXISTS (SELECT 1 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_orderkey = o_orderkey AND s_suppkey IN (SELECT id FROM above))
+""")
+def _(t):
+    ds, references, trees = _sales(t)
+    domain = [("lines.l_suppkey", "child_of", [3]), "!", ("lines.supplier.s_suppkey", "parent_of", 9)]
+    return filter_domain(ds, "orders", domain, references, trees).select("o_orderkey")
+
+
 @section.query("d7_guard_exists", """
 SELECT o_orderkey, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_orderpriority = '9-NONE') THEN o_orderpriority
    ELSE left(o_orderpriority, 1) END AS code,
