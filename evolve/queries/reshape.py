@@ -284,28 +284,32 @@ def _(t):
 
 
 def _packs(t):
+    """Orders as packs; a third of them is off by rounding noise."""
     units = _units(t)
     roots = U.unit_roots(units, "id", "relative_id", "relative_factor")
+    noise = F.when(F.col("o_orderkey") % 3 == 0, F.lit(1 + 2.0 ** -50)).otherwise(F.lit(1.0))
     packs = t.orders.select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit("pack "), F.col("o_orderkey").cast("string")).alias("name"),
-        F.col("o_custkey").alias("product_id"), F.floor(F.col("o_totalprice") / 10000).cast("double").alias("qty"),
+        F.col("o_custkey").alias("product_id"), (F.floor(F.col("o_totalprice") / 10000).cast("double") * noise).alias("qty"),
     )
     products = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("unit_id"))
     return U.match_or_create_unit(packs, products, units, roots)
 
 
-_PACKS = _UNITS + """, pack AS (SELECT o_orderkey AS id, 'pack ' || o_orderkey AS name, o_custkey AS unit, floor(o_totalprice / 10000) AS qty,
-  root, printf('%.9e', floor(o_totalprice / 10000) * factor) AS size FROM orders JOIN r ON r.id = o_custkey),
-have AS (SELECT root, printf('%.9e', factor) AS size, min(id) AS unit_id FROM r GROUP BY 1, 2),
-made AS (SELECT (SELECT max(id) FROM u) + row_number() OVER (ORDER BY id) AS unit_id, * FROM (
-  SELECT DISTINCT ON (root, size) * FROM pack WHERE NOT EXISTS (SELECT 1 FROM have WHERE have.root = pack.root AND have.size = pack.size)
-  ORDER BY root, size, id))
+_PACKS = _UNITS + """, pack AS (SELECT o_orderkey AS id, 'pack ' || o_orderkey AS name, o_custkey AS unit,
+  floor(o_totalprice / 10000) * CASE WHEN o_orderkey % 3 = 0 THEN 1 + pow(2.0, -50) ELSE 1.0 END AS qty, qty * factor AS size, root FROM orders JOIN r ON r.id = o_custkey),
+best AS (SELECT DISTINCT ON (pack.id) pack.id, r.id AS unit_id FROM pack JOIN r ON r.root = pack.root
+  AND abs(r.factor - pack.size) <= 1e-9 * greatest(abs(r.factor), abs(pack.size)) ORDER BY pack.id, abs(r.factor - pack.size), r.id),
+need AS (SELECT *, lag(size) OVER (PARTITION BY root ORDER BY size, id) AS before FROM pack WHERE id NOT IN (SELECT id FROM best)),
+runs AS (SELECT *, sum(CASE WHEN size - before <= 1e-9 * greatest(abs(size), abs(before)) THEN 0 ELSE 1 END)
+  OVER (PARTITION BY root ORDER BY size, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM need),
+made AS (SELECT (SELECT max(id) FROM u) + row_number() OVER (ORDER BY id) AS unit_id, * FROM (SELECT DISTINCT ON (root, run) * FROM runs ORDER BY root, run, id))
 """
 
 
 @section.query("l4_match_or_create_unit", _PACKS + """
-SELECT pack.id, pack.name, coalesce(have.unit_id, made.unit_id) AS unit_id FROM pack
-LEFT JOIN have ON have.root = pack.root AND have.size = pack.size LEFT JOIN made ON made.root = pack.root AND made.size = pack.size
+SELECT pack.id, pack.name, coalesce(best.unit_id, made.unit_id) AS unit_id FROM pack
+LEFT JOIN best ON best.id = pack.id LEFT JOIN runs ON runs.id = pack.id LEFT JOIN made ON made.root = runs.root AND made.run = runs.run
 """)
 def _(t):
     return _packs(t)[0].select("id", "name", "unit_id")

@@ -108,7 +108,9 @@ def test_units_convert_through_their_reference(frame):
     assert got[(2, 5)] is None
 
 
-def test_roots_of_long_chains_and_cycles(spark, frame):
+@pytest.mark.parametrize("at_once", [0, 100_000])
+def test_roots_of_long_chains_and_cycles(spark, frame, monkeypatch, at_once):
+    monkeypatch.setattr(U, "SMALL_TREES", at_once)
     chain = spark.range(1, 200).select("id", F.when(F.col("id") > 1, F.col("id") - 1).alias("up"), F.lit(1.01).alias("f"))
     out = U.unit_roots(chain, "id", "up", "f")
     assert out.select("root").distinct().collect()[0][0] == 1
@@ -130,6 +132,20 @@ def test_packs_reuse_units(frame):
     assert [r.unit_id for r in got.orderBy("id").collect()] == [2, 3, None] and made.count() == 3
     packs = frame([(1, "Sixpack", 1, 6.0), (2, "Thirteenpack", 1, 13.0), (3, "Thirteen too", 2, 13.0), (4, "no product", 9, 3.0)],
                   "id long, name string, product_id long, qty double")
-    matched, all_units = U.match_or_create_unit(packs, products, units, roots)
-    assert [r.unit_id for r in matched.orderBy("id").collect()] == [2, 3, 3, None]
+    for spread in (True, False):
+        matched, all_units = U.match_or_create_unit(packs, products, units, roots, spread)
+        assert [r.unit_id for r in matched.orderBy("id").collect()] == [2, 3, 3, None]
     assert [tuple(r) for r in all_units.where("id > 2").collect()] == [(3, "Thirteenpack", 1, 13.0)]
+
+
+def test_sizes_on_both_sides_of_a_rounding_border_match(frame):
+    unit, pack = 1.0000000004999999, 1.0000000005
+    units = frame([(1, "Unit", None, 1.0), (2, "odd", 1, unit), (3, "far", 1, 1.00000001), (4, "none", 1, 0.0), (5, "minus", 1, -2.0)],
+                  "id long, name string, relative_id long, relative_factor double")
+    roots = U.unit_roots(units, "id", "relative_id", "relative_factor")
+    qty = [pack, unit, 1 + 2.0 ** -52, 0.0, -2.0 * (1 + 2.0 ** -52), 2.0, 7e20, 7e20 * (1 + 2.0 ** -51), 7e20 * (1 - 2.0 ** -51), 7.1e20, 3e-300, 3e-300 * (1 + 2.0 ** -52)]
+    packs = frame([(i, f"p{i}", 1, q) for i, q in enumerate(qty)], "id long, name string, product_id long, qty double")
+    for spread in (False, True):
+        got, made = U.match_or_create_unit(packs, frame([(1, 1)], "id long, unit_id long"), units, roots, spread)
+        assert [r.unit_id for r in got.orderBy("id").collect()] == [2, 2, 1, 4, 5, 6, 7, 7, 7, 8, 9, 9]
+        assert [r.name for r in made.where("id > 5").orderBy("id").collect()] == ["p5", "p6", "p9", "p10"]
