@@ -8,10 +8,10 @@ share a bucket are compared by the exact weighted Jaccard similarity, at least 0
 Weights. tf is 1 + ln(count). idf runs from 1 for a shingle in every document to
 ``1 + IDF`` for one in at most ``RARE`` of them, by the logarithm of its share. Which
 shingles are more frequent than that, and how frequent, is counted exactly over all
-documents in two passes: a shingle in a share f of all documents is in a share f of at
-least one block of them, so blocks report their frequent ones, and what they report is
-counted everywhere. At most (mean shingles per document) / (RARE / 2) entries result;
-that bounds what is sent to the tasks.
+documents in two passes: the first counts cells of shingles, by ``TABLES`` hashes, and the
+second counts the shingles all of whose cells reach the threshold. At most (mean shingles
+per document) / RARE entries result, whatever the number of tasks; that bounds what is
+sent to them.
 
 Groups. Documents of one word sequence are one class. Each class is first compared with
 the nearest (by its samples) of the centres of its buckets, two per bucket: the class that
@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evolve.llm.blocks import block_pairs, grouped, runs
+from evolve.llm.cells import heavy_cells, is_heavy
 from evolve.llm.common import slices
 from evolve.llm.components import components
 from evolve.llm.words import mix, sequence_hashes, shingles, words
@@ -49,6 +50,10 @@ BANDS = 16
 ROWS = 4
 IDF = 0.25
 RARE = 1e-3
+# Tables of cells, cells for each entry that could be frequent, and their bounds in a table: 4 to 64 MB of counts.
+TABLES = 3
+CELLS_PER_ENTRY = 8
+LEAST_CELLS, MOST_CELLS = 1 << 20, 1 << 24
 COUNT_BLOCK = 1_000_000
 # Pairs whose samples agree less than this are not compared exactly: 4 deviations below the threshold.
 LEAST_AGREEMENT = 0.6
@@ -83,47 +88,45 @@ class Weights:
         return (1 + np.log(count)) * idf
 
 
+def _cells(h: np.ndarray, table: int, cells: int) -> np.ndarray:
+    """The cells of shingles in one of the tables, all of which lie in one array."""
+    return (mix(h ^ mix(np.full(1, table + 1, dtype=np.uint64))) % np.uint64(cells)).astype(np.int64) + table * cells
+
+
 def weights(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> Weights:
     """Counts, over all rows, in how many documents the frequent shingles are."""
     kept = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    size = kept.agg(F.count("*").alias("n"), F.avg(F.octet_length("text")).alias("bytes")).first()
+    documents, least = size["n"], max(2, math.ceil(size["n"] * RARE))
+    # Some times as many cells as frequent shingles could fill, for words of eight bytes and more or less.
+    cells = int(min(max((size["bytes"] or 0) / 8 / RARE * CELLS_PER_ENTRY, LEAST_CELLS), MOST_CELLS)) // 8 * 8
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
-        held, size, rows = [], 0, 0
+    def fill(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> None:
         for batch in slices(batches, "text"):
             _, h, _ = shingles(words(batch.column("text").to_pylist()), shingle)
+            for t in range(TABLES):
+                np.add.at(table, _cells(h, t, cells), np.uint32(1))
+
+    heavy = docs.sparkSession.sparkContext.broadcast(heavy_cells(kept, fill, TABLES * cells, least))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, held, size = np.frombuffer(heavy.value, dtype=np.uint8), [], 0
+
+        def counted() -> pa.RecordBatch:
+            known, many = np.unique(np.concatenate(held), return_counts=True)
+            return pa.record_batch([pa.array(known.astype(np.int64)), pa.array(many)], names=["h", "n"])
+
+        for batch in slices(batches, "text"):
+            _, h, _ = shingles(words(batch.column("text").to_pylist()), shingle)
+            for t in range(TABLES):
+                h = h[is_heavy(bits, _cells(h, t, cells))]
             held.append(h)
             size += len(h)
-            rows += batch.num_rows
             if size >= COUNT_BLOCK:
-                yield np.concatenate(held), rows
-                held, size, rows = [], 0, 0
-        if rows:
-            yield np.concatenate(held), rows
-
-    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = 0
-        for h, rows in blocks(batches):
-            total += rows
-            h, many = np.unique(h, return_counts=True)
-            some = many >= max(2.0 if rows > 1 / RARE else 1.0, rows * RARE / 2)
-            yield pa.record_batch([pa.array(h[some].astype(np.int64)), pa.array(many[some])], names=["h", "n"])
-        yield pa.record_batch([pa.array([-1]), pa.array([total])], names=["h", "n"])
-
-    reported = stored(kept.mapInArrow(report, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
-    documents = (reported.where("h = -1").agg(F.sum("n")).first()[0]) or 0
-    least = max(2.0, documents * RARE)
-    chosen = np.array(reported.where((F.col("h") >= 0) & (F.col("n") >= least / 2)).select("h").orderBy("h").toPandas()["h"], dtype=np.uint64)
-    if not len(chosen):
-        return Weights(chosen, np.zeros(0), documents)
-    sent = docs.sparkSession.sparkContext.broadcast(chosen)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = sent.value, np.zeros(len(sent.value), dtype=np.int64)
-        for h, _ in blocks(batches):
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            total += np.bincount(at[known[at] == h], minlength=len(known))
-        some = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(known[some].astype(np.int64)), pa.array(total[some])], names=["h", "n"])
+                yield counted()
+                held, size = [], 0
+        if size:
+            yield counted()
 
     exact = kept.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).orderBy("h").toPandas()
     return Weights(exact["h"].to_numpy().astype(np.uint64), exact["n"].to_numpy().astype(float), documents)

@@ -33,11 +33,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evolve.llm.blocks import grouped
+from evolve.llm.cells import heavy_cells, is_heavy
 from evolve.llm.common import slices
 from evolve.llm.words import mix
 from evolve.storage import stored
@@ -49,7 +48,6 @@ TOP = 2000
 COVER = 100
 SCALE = 1000
 CELLS = 1 << 24
-CHUNK = 1 << 16
 # Texts are worked on in segments of about so many bytes.
 SEGMENT = 2 << 20
 
@@ -127,8 +125,7 @@ def _runs(words: _Words, longest: int, tables: list[np.ndarray], cells: int) ->
         yield size, starts, cell
         which = 0 if size < 3 else 1
         if which < len(tables):
-            known = tables[which]
-            frequent = (known[cell >> 3] >> (cell & 7)) & 1 > 0
+            frequent = is_heavy(tables[which], cell)
             starts, key = starts[frequent], key[frequent]
 
 
@@ -139,50 +136,19 @@ def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
 def frequent_cells(texts: DataFrame, known: list[bytes], longest: int = LONGEST, least: int = LEAST, cells: int = CELLS) -> bytes:
     """A bit for each cell: whether the runs of words in it are ``least`` or more together.
 
-    Without ``known`` tables words and pairs are counted, else longer runs whose pairs may be frequent. A task
-    counts in one table of its own and hands it on in chunks, each count cut off at ``least``: the sum of counts
-    cut off reaches it exactly when the sum of the whole ones does.
+    Without ``known`` tables words and pairs are counted, else longer runs whose pairs may be frequent.
     """
-    kind = "<u1" if least < 256 else "<u4"
-    chunk = min(CHUNK, cells)
     low, high = (3, longest) if known else (1, min(2, longest))
     sent = texts.sparkSession.sparkContext.broadcast(known)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, tables = np.zeros(cells, dtype=np.uint32), [np.frombuffer(t, dtype=np.uint8) for t in sent.value]
+    def fill(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> None:
+        tables = [np.frombuffer(t, dtype=np.uint8) for t in sent.value]
         for words in _worded(batches):
             for size, _, cell in _runs(words, high, tables, cells):
                 if size >= low:
                     np.add.at(table, cell, np.uint32(1))
-        np.minimum(table, least, out=table)
-        coder = zstandard.ZstdCompressor(level=1)
-        for k in range(0, cells, chunk):
-            part = table[k:k + chunk]
-            if part.any():
-                yield pa.record_batch([pa.array([k // chunk], pa.int64()), pa.array([coder.compress(part.astype(kind).tobytes())], pa.binary())], names=["chunk", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, here, total = zstandard.ZstdDecompressor(), None, np.zeros(chunk, dtype=np.uint32)
-
-        def bits() -> pa.RecordBatch:
-            return pa.record_batch([pa.array([here], pa.int64()), pa.array([np.packbits(total >= least, bitorder="little").tobytes()], pa.binary())], names=["chunk", "bits"])
-
-        for batch in batches:
-            for k, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                if here is not None and k != here:
-                    yield bits()
-                if k != here:
-                    here, total[:] = k, 0
-                np.minimum(total + np.frombuffer(coder.decompress(counts), dtype=kind), least, out=total)
-        if here is not None:
-            yield bits()
-
-    counted = texts.mapInArrow(count, "chunk long, counts binary")
-    out = np.zeros(max(cells // 8, 1), dtype=np.uint8)
-    for row in grouped(counted, ["chunk"]).mapInArrow(add, "chunk long, bits binary").toLocalIterator():
-        part = np.frombuffer(row["bits"], dtype=np.uint8)
-        out[row["chunk"] * chunk // 8:row["chunk"] * chunk // 8 + len(part)] = part
-    return out.tobytes()
+
+    return heavy_cells(texts, fill, cells, least)
 
 
 def windows(texts: DataFrame, tables: list[bytes], longest: int = LONGEST) -> DataFrame:
@@ -199,8 +165,7 @@ def windows(texts: DataFrame, tables: list[bytes], longest: int = LONGEST) -> Da
             at = words.at
             lead = np.zeros((longest, len(at)), dtype=np.int64)
             for size, starts, cell in _runs(words, longest, known, 8 * len(sent.value[0])):
-                table = known[0 if size < 3 else 1]
-                kept = starts[(table[cell >> 3] >> (cell & 7)) & 1 > 0]
+                kept = starts[is_heavy(known[0 if size < 3 else 1], cell)]
                 lead[size - 1, kept] = at[kept + size - 1]
             distinct, n = _counted(lead[:, lead[0] > 0])
             total = np.zeros((longest, 1), dtype=np.int64)
