@@ -5,7 +5,7 @@ An identity row is (module, name, model, res_id, noupdate).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +16,8 @@ from evolve.functions.documents import keep_languages
 from evolve.functions.values import set_where
 from evolve.operators.joins import attach, drop_related, flag_related, keep_related, update_from
 from evolve.operators.ordered import first_per_key
+from evolve.operators.units import unit_roots
+from evolve.storage import stored
 
 
 def rename_ids(identity: DataFrame, renames: DataFrame) -> DataFrame:
@@ -93,15 +95,109 @@ def merge_models(
     )
 
 
+def closed_merges(maps: Sequence[DataFrame]) -> DataFrame:
+    """One map (model, old_id, new_id) of several lists of merges: every record leads to the one that is left at the end.
+
+    The lists belong together, so a record that one list merges into another may be merged on by any list. One that
+    two lists merge into different records, and a circle, stop the run.
+    """
+    edges = stored(reduce(DataFrame.unionByName, [m.select("model", "old_id", "new_id") for m in maps]).where("old_id <> new_id").distinct())
+    twice = edges.groupBy("model", "old_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("model", "old_id").take(3)
+    if twice:
+        raise ValueError(f"merged into several records: {[tuple(r) for r in twice]}")
+    node = lambda c: F.to_json(F.struct(F.col("model"), F.col(c).alias("id")))
+    pointers = edges.select(node("old_id").alias("id"), node("new_id").alias("up"))
+    ends = drop_related(pointers.select(F.col("up").alias("id")).distinct(), pointers, ["id"]).withColumn("up", F.lit(None).cast("string"))
+    roots = unit_roots(pointers.unionByName(ends), "id", "up")
+    named = edges.select("model", "new_id", node("new_id").alias("__end")).distinct()
+    led = attach(edges.select("model", "old_id", node("old_id").alias("__node")), roots, [("__node", "id")], {"__end": "root"})
+    return attach(led, named, ["model", "__end"], ["new_id"]).select("model", "old_id", "new_id")
+
+
+def repoint_all(ds: Dataset, references: Sequence[tuple[str, str, str]], id_map: DataFrame) -> Dataset:
+    """Rewrite every referring column (table, column, model) once through a closed map (model, old_id, new_id)."""
+    out = ds
+    for table, column, model in references:
+        out = out.put(table, repoint(out[table], column, id_map.where(F.col("model") == model).select("old_id", "new_id")))
+    return out
+
+
+def peel(doomed: DataFrame, uses: DataFrame) -> DataFrame:
+    """Which doomed records have to stay: (model, id, uses), with the number of uses that hold each.
+
+    ``uses`` is (model, id, to_model, to_id): a row and the record it refers to; rows that are no records have a
+    NULL model. Records go in rounds, first those that nothing refers to, then those that only these referred to.
+    What is used by a row that stays, stays, and so does what it refers to; records that refer to each
+    other in a circle hold each other. Uses are counted before they are shuffled, so a record that a third of
+    all rows refer to costs one row per task.
+    """
+    left = stored(doomed.select("model", "id").distinct())
+    pairs = [("to_model", "model"), ("to_id", "id")]
+    aimed = keep_related(uses.where("not (model <=> to_model and id <=> to_id)"), left, pairs)
+    # Of a row that stays it does not matter which it is.
+    inside = flag_related(aimed, left, ["model", "id"], "__inside")
+    source = F.when(F.col("__inside"), F.col("id")).alias("id")
+    held = stored(inside.select(F.when(F.col("__inside"), F.col("model")).alias("model"), source, "to_model", "to_id")
+                  .groupBy("model", "id", "to_model", "to_id").agg(F.count(F.lit(1)).alias("n")))
+    while True:
+        free = stored(left.alias("t").join(held.select("to_model", "to_id").distinct().alias("s"), F.expr("t.model <=> s.to_model and t.id <=> s.to_id"), "left_anti"))
+        if free.isEmpty():
+            break
+        left = stored(drop_related(left, free, ["model", "id"]))
+        held = stored(held.alias("t").join(free.alias("s"), F.expr("t.model = s.model and t.id = s.id"), "left_anti"))
+    counts = held.groupBy("to_model", "to_id").agg(F.sum("n").alias("uses"))
+    return attach(left, counts, [("model", "to_model"), ("id", "to_id")], ["uses"], reduced=True)
+
+
+def delete_in_order(
+    ds: Dataset, ids: Mapping[str, str], doomed: DataFrame, references: Sequence[tuple[str, str, str]],
+) -> tuple[Dataset, DataFrame]:
+    """Delete records of several tables that may refer to each other; what is still in use stays and is reported.
+
+    ``ids`` names the id column of each table, ``doomed`` is (model, id), with tables as models, and ``references``
+    are (table, column, table it refers to). Returns (dataset, blocked), the second as (model, id, uses).
+    """
+    text = lambda c: F.col(f"`{c}`").cast("string")
+    uses = [
+        ds[table].where(F.col(f"`{column}`").isNotNull()).select(
+            F.lit(table if table in ids else None).cast("string").alias("model"), (text(ids[table]) if table in ids else F.lit(None).cast("string")).alias("id"),
+            F.lit(to).alias("to_model"), text(column).alias("to_id"))
+        for table, column, to in references
+    ]
+    known = [ds[table].select(F.lit(table).alias("model"), text(column).alias("id")) for table, column in ids.items()]
+    listed = keep_related(reduce(DataFrame.unionByName, known), doomed.select("model", F.col("id").cast("string").alias("id")), ["model", "id"])
+    listed = stored(listed)
+    blocked = stored(peel(listed, reduce(DataFrame.unionByName, uses))) if uses else listed.limit(0).withColumn("uses", F.lit(0).cast("long"))
+    gone = drop_related(listed, blocked, ["model", "id"])
+    out = ds
+    for table, column in ids.items():
+        mine = gone.where(F.col("model") == table).select(F.col("id").cast(ds[table].schema[column].dataType).alias("__gone"))
+        out = out.put(table, drop_related(out[table], mine, [(column, "__gone")]))
+    return out, blocked
+
+
 def delete_records_safely(
-    records: DataFrame, id_col: str, doomed: DataFrame, references: Sequence[tuple[DataFrame, str]]
+    records: DataFrame, id_col: str, doomed: DataFrame, references: Sequence[tuple[DataFrame, str] | tuple[DataFrame, str, str]],
 ) -> tuple[DataFrame, DataFrame]:
     """Delete by id; a record still in use stays and is reported.
 
-    Returns (kept, blocked). All referring columns are reduced to one set of
-    used ids; both flags are joined on the same partitioning of the records.
+    Returns (kept, blocked). A reference is (table, column), or (table, column, id column) for rows that are
+    such records themselves: those that go do not hold others. Without any of the second kind all referring
+    columns are reduced to one set of used ids; both flags are joined on the same partitioning of the records.
     """
     id_type = records.schema[id_col].dataType
+    if any(len(r) == 3 for r in references):
+        uses = [
+            table.where(F.col(f"`{column}`").isNotNull()).select(
+                F.lit("r" if own else None).cast("string").alias("model"), (F.col(f"`{own[0]}`") if own else F.lit(None)).cast(id_type).alias("id"),
+                F.lit("r").alias("to_model"), F.col(f"`{column}`").cast(id_type).alias("to_id"))
+            for table, column, *own in references
+        ]
+        listed = keep_related(records.select(F.lit("r").alias("model"), F.col(id_col).alias("id")), doomed.select(F.col(id_col).alias("id")), ["id"])
+        listed = stored(listed)
+        held = stored(peel(listed, reduce(DataFrame.unionByName, uses)).select(F.col("id").alias(id_col)))
+        gone = drop_related(listed.select(F.col("id").alias(id_col)), held, [id_col])
+        return drop_related(records, gone, [id_col]), held
     used = [table.select(F.col(column).cast(id_type).alias(id_col)) for table, column in references]
     used = reduce(DataFrame.unionByName, used) if used else records.select(id_col).where(F.lit(False))
     marked = flag_related(flag_related(records, doomed, [id_col], "__doomed"), used, [id_col], "__used")

@@ -133,6 +133,56 @@ def _(t):
     return _deleted(t)[1]
 
 
+_TREE = """
+WITH RECURSIVE tree AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey > 1 THEN s_suppkey // 2 END AS parent, s_suppkey % 5 <> 0 AS doomed FROM supplier),
+line AS (SELECT l_orderkey AS id, min(l_suppkey) AS supplier, min(l_quantity) < 3 AS doomed FROM lineitem GROUP BY 1),
+used AS (SELECT supplier AS id, count(*) AS n FROM line WHERE NOT doomed AND id % 200 = 7 GROUP BY 1),
+blocked AS (SELECT id, parent FROM tree WHERE doomed AND (id IN (SELECT id FROM used) OR id IN (SELECT parent FROM tree WHERE NOT doomed AND parent IS NOT NULL))
+  UNION SELECT t.id, t.parent FROM tree t JOIN blocked b ON b.parent = t.id WHERE t.doomed)
+"""
+
+
+def _peeled(t):
+    """Suppliers as a tree, doomed but for each fifth, and lines of some orders that refer to them, some doomed too."""
+    tree = t.supplier.select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") > 1, F.floor(F.col("s_suppkey") / 2).cast("long")).alias("parent"))
+    line = t.lineitem.groupBy(F.col("l_orderkey").alias("id")).agg(F.min("l_suppkey").alias("supplier"), (F.min("l_quantity") < 3).alias("doomed"))
+    line = line.where("doomed or id % 200 = 7")
+    doomed = tree.where("id % 5 <> 0").select(F.lit("tree").alias("model"), "id").unionByName(line.where("doomed").select(F.lit("line").alias("model"), "id"))
+    ds = Dataset({"tree": tree, "line": line})
+    return K.delete_in_order(ds, {"tree": "id", "line": "id"}, doomed, [("tree", "parent", "tree"), ("line", "supplier", "tree")])
+
+
+@section.query("k7_delete_in_order", _TREE + """
+SELECT 'tree' AS model, id FROM tree WHERE NOT doomed OR id IN (SELECT id FROM blocked) UNION ALL SELECT 'line', id FROM line WHERE NOT doomed AND id % 200 = 7
+""")
+def _(t):
+    ds, _ = _peeled(t)
+    return ds["tree"].select(F.lit("tree").alias("model"), "id").unionByName(ds["line"].select(F.lit("line").alias("model"), "id"))
+
+
+@section.query("k7_blocked_in_order", _TREE + """
+SELECT b.id, coalesce(any_value(u.n), 0) + count(c.id) AS uses FROM blocked b LEFT JOIN used u ON u.id = b.id
+LEFT JOIN tree c ON c.parent = b.id AND (NOT c.doomed OR c.id IN (SELECT id FROM blocked)) GROUP BY 1
+""")
+def _(t):
+    return _peeled(t)[1].select(F.col("id").cast("long").alias("id"), "uses")
+
+
+@section.query("k2_closed_merges", """
+WITH RECURSIVE e AS (SELECT p_partkey AS old_id, p_partkey // 2 AS new_id FROM part WHERE p_partkey % 3 <> 0 AND p_partkey > 0 AND p_partkey <> p_partkey // 2),
+w AS (SELECT old_id, new_id FROM e UNION ALL SELECT w.old_id, e.new_id FROM w JOIN e ON w.new_id = e.old_id),
+ends AS (SELECT old_id, new_id FROM w WHERE new_id NOT IN (SELECT old_id FROM e))
+SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, coalesce(new_id, l_partkey) AS l_partkey FROM lineitem LEFT JOIN ends ON old_id = l_partkey
+""")
+def _(t):
+    """Merges of odd and of even numbers come in two lists, and go on through both."""
+    merges = t.part.where("p_partkey % 3 <> 0 and p_partkey > 0").select(
+        F.lit("part").alias("model"), F.col("p_partkey").alias("old_id"), F.floor(F.col("p_partkey") / 2).cast("long").alias("new_id"))
+    closed = K.closed_merges([merges.where("old_id % 2 = 1"), merges.where("old_id % 2 = 0")])
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_partkey")
+    return K.repoint_all(Dataset({"line": lines}), [("line", "l_partkey", "part")], closed)["line"]
+
+
 @section.query("k8_drop_translations", """
 SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000) THEN '{"en_US":"' || c_name || '"}'
   ELSE '{"en_US":"' || c_name || '","fr_FR":"' || c_mktsegment || '"}' END AS label FROM customer

@@ -1,6 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from evolve.dataset import Dataset
 from evolve.operators import identity as K
 from evolve.operators import records as R
 from evolve.sources import records as X
@@ -301,3 +304,49 @@ def test_status_grid(spark, tmp_path):
         "| |del| account_x | |Merged into account. |\n| |new| account_y | | |\n")
     assert rows(P.read_status_grid(spark, str(tmp_path / "g.rst"))) == [
         ("account", None, "Done", None), ("account_x", "del", None, "Merged into account."), ("account_y", "new", None, None)]
+
+
+def test_records_go_in_the_order_of_their_references(spark, frame):
+    # 1 <- 2 <- 3 (all doomed), 4 <- 5 (5 stays), 6 <-> 7 in a circle, 8 refers to itself.
+    recs = frame([(1, None), (2, 1), (3, 2), (4, None), (5, 4), (6, 7), (7, 6), (8, 8), (9, 6)], "id int, up int")
+    doomed = recs.where("id not in (5, 99)")
+    kept, blocked = K.delete_records_safely(recs, "id", doomed, [(recs, "up", "id")])
+    assert [r.id for r in kept.orderBy("id").collect()] == [4, 5, 6, 7] and [r.id for r in blocked.orderBy("id").collect()] == [4, 6, 7]
+    other = frame([(3,), (None,)], "ref int")
+    kept, blocked = K.delete_records_safely(recs, "id", doomed, [(recs, "up", "id"), (other, "ref")])
+    assert [r.id for r in blocked.orderBy("id").collect()] == [1, 2, 3, 4, 6, 7]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_peeling_agrees_with_deleting_one_by_one(spark, frame, seed):
+    rng = random.Random(seed)
+    a = [(i, rng.choice([None, *range(12)]), rng.choice([None, *range(8)])) for i in range(12)]
+    b = [(i, rng.choice([None, *range(12)])) for i in range(8)]
+    log = [(rng.choice([None, *range(12)]),) for _ in range(2)]
+    doomed = [("a", i) for i in range(12) if rng.random() < 0.8] + [("b", i) for i in range(8) if rng.random() < 0.8] + [("a", 77)]
+    ds = Dataset({"a": frame(a, "id int, up int, b int"), "b": frame(b, "id int, a int"), "log": frame(log, "a int")})
+    refs = [("a", "up", "a"), ("a", "b", "b"), ("b", "a", "a"), ("log", "a", "a")]
+    out, blocked = K.delete_in_order(ds, {"a": "id", "b": "id"}, frame(doomed, "model string, id int"), refs)
+    uses = [(("a", i), ("a", up)) for i, up, _ in a] + [(("a", i), ("b", x)) for i, _, x in a] + [(("b", i), ("a", x)) for i, x in b] + [(None, ("a", x)) for x, in log]
+    uses = [(f, t) for f, t in uses if t[1] is not None and f != t]
+    left = {d for d in doomed if d[1] != 77}
+    while free := {d for d in left if not any(t == d for _, t in uses)}:
+        left -= free
+        uses = [(f, t) for f, t in uses if f not in free]
+    gone = {d for d in doomed if d[1] != 77} - left
+    assert {(r.model, int(r.id), r.uses) for r in blocked.collect()} == {(*d, sum(t == d for _, t in uses)) for d in left}
+    assert {r.id for r in out["a"].collect()} == {i for i, *_ in a if ("a", i) not in gone}
+    assert {r.id for r in out["b"].collect()} == {i for i, _ in b if ("b", i) not in gone}
+
+
+def test_merges_of_several_lists_are_closed(frame):
+    kind = "model string, old_id long, new_id long"
+    lists = [frame([("m", 1, 2), ("m", 5, 5), ("n", 1, 7)], kind), frame([("m", 2, 3), ("m", 9, 3), ("m", 1, 2)], kind), frame([("m", 3, 4)], kind)]
+    closed = K.closed_merges(lists)
+    assert rows(closed) == [("m", 1, 4), ("m", 2, 4), ("m", 3, 4), ("m", 9, 4), ("n", 1, 7)]
+    ds = K.repoint_all(Dataset({"t": frame([(1, 1), (9, 1), (None, 8)], "a long, b long")}), [("t", "a", "m"), ("t", "b", "n")], closed)
+    assert rows(ds["t"]) == [(4, 7), (4, 7), (None, 8)]
+    with pytest.raises(ValueError, match="several"):
+        K.closed_merges([lists[0], frame([("m", 1, 6)], kind)])
+    with pytest.raises(ValueError, match="cycle"):
+        K.closed_merges([lists[0], lists[1], frame([("m", 3, 1)], kind)])
