@@ -11,6 +11,7 @@ from evolve.functions.values import map_in_place
 from evolve.operators import compute as O
 from evolve.operators import schemadiff as M
 from evolve.operators import validate as N
+from evolve.plans.committed import run_committed
 from evolve.plans.plan import Plan, Step, guard_changed, guard_exists, run
 from evolve.streaming.rows import apply_steps, upsert_stream
 from tests.conftest import rows
@@ -245,6 +246,54 @@ def test_plan_runs_phases_in_order_and_checks_reads(frame):
         Step("a", "later", lambda d: d)
 
 
+def test_a_failed_run_goes_on_where_it_stopped(frame, tmp_path):
+    ds = Dataset({"t": frame([("1", 1)], "p string, n int"), "u": frame([(1,)], "x int"), "old": frame([(0,)], "x int")})
+    calls = []
+
+    def step(name, fn):
+        def run_step(d):
+            calls.append(name)
+            return fn(d)
+
+        return run_step
+
+    def plan(last, mark="pre"):
+        return Plan([
+            Step("a", "pre", step("pre", _mark("t", mark)), ["t"], ["t"]),
+            Step("a", "pre", step("drop", lambda d: d.without("old")), ["old"]),
+            Step("a", "post", step("post", lambda d: d.put("v", d["u"].withColumn("y", F.col("x") + 1))), ["u"], ["v"]),
+            Step("a", "end", step("end", last), ["t", "v"], ["t"]),
+        ])
+
+    def fails(d):
+        raise RuntimeError("lost")
+
+    good = lambda d: d.put("t", d["t"].withColumn("n", F.col("n") + 10))
+    folder = str(tmp_path / "run")
+    with pytest.raises(RuntimeError):
+        run_committed(ds, plan(fails), folder, "v1")
+    assert calls == ["pre", "drop", "post", "end"]
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "run").rglob("*.parquet")}
+    calls.clear()
+    out, phases = run_committed(ds, plan(good), folder, "v1")
+    assert calls == ["end"] and [(p.name, p.resumed, p.written) for p in phases] == [("pre", True, ("t",)), ("post", True, ("v",)), ("end", False, ("t",))]
+    assert {p: p.stat().st_mtime_ns for p in files} == files
+    assert sorted(out) == ["t", "u", "v"] and rows(out["t"]) == [("pre", 11)] and rows(out["v"]) == [(1, 2)]
+    calls.clear()
+    again, phases = run_committed(ds, plan(good), folder, "v1")
+    assert not calls and all(p.resumed for p in phases) and rows(again["t"]) == [("pre", 11)]
+    # Another input or another step is another run from there on. What a step holds on to counts, this list too.
+    calls.clear()
+    assert not any(p.resumed for p in run_committed(ds, plan(good), folder, "v2")[1])
+    calls.clear()
+    out, phases = run_committed(ds, plan(good, "zero"), folder, "v1")
+    assert not any(p.resumed for p in phases) and rows(out["t"]) == [("zero", 11)]
+    # A phase whose manifest is not whole is run again.
+    (tmp_path / "run" / phases[-1].folder.rsplit("/", 1)[1] / "manifest" / "_SUCCESS").unlink()
+    calls.clear()
+    assert [p.resumed for p in run_committed(ds, plan(good, "zero"), folder, "v1")[1]] == [True, True, False]
+
+
 def test_rerun_of_a_guarded_step_changes_nothing(frame):
     def step(df):
         return guard_exists(df, F.col("p").isin("2", "3"), {"p": F.when(F.col("p") == "1", "3").otherwise(F.col("p"))}, negate=True)
