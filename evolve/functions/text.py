@@ -94,8 +94,11 @@ def html_to_text(c: Column) -> Column:
     bare = F.regexp_replace(bare, r"(?s)<!--.*?-->", " ")
     bare = F.regexp_replace(bare, r"\s+", " ")
     bare = F.regexp_replace(bare, rf"(?i)<br\s*/?>|</(?:{_LINE_ENDS})\s*>", "\n")
-    bare = F.regexp_replace(bare, r"<[^>]*(?:>|$)", " ")
-    text = F.replace(decode_entities(bare), F.lit("\u00a0"), F.lit(" "))
+    # A quoted value may hold the sign that ends a tag.
+    bare = F.regexp_replace(bare, r"<(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+(?:>|$)", " ")
+    # Bound once: the entities look at the text several times.
+    decoded = F.get(F.transform(F.array(bare), decode_entities), F.lit(0))
+    text = F.replace(decoded, F.lit("\u00a0"), F.lit(" "))
     text = F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r"\s*\n\s*", "\n")
     return F.trim(text, F.lit(" \n"))
 

@@ -13,13 +13,15 @@ place) stays; all others are dropped. Lines are compared without the white space
 their ends. Lines shorter than ``SHORTEST`` characters have no near ones: with ``exact``
 they are dropped where they equal an earlier line, else never; blank ones always stay.
 
-Groups without pairs. First every line is compared with one line of each of its buckets,
-the centre, which makes a family of lines one group. Then, in buckets that still hold
-several groups, a line looks for lines of other groups in blocks of about ``BLOCK`` and
-keeps at most one link, until no line finds one. A line that finds none has none, since
-groups only grow, so only those that found one look again. Frequent buckets are narrowed before that: what is left of the lines without the
-shared segment is within the same distance, so it is cut into segments in its turn. No
-round makes more rows than (line, block), and links grow with the lines, not their pairs.
+Groups without all pairs. First every line is compared with one line of each of its
+buckets, the centre, which makes a family of lines one group. Then, in buckets of up to
+``SMALL`` indexed lines, pairs of different groups are compared. In larger ones that still
+hold several groups, a line looks for lines of other groups in blocks of about ``BLOCK``
+and keeps at most one link, until no line finds one. A line that finds none has none,
+since groups only grow, so only those that found one look again. Buckets of more than
+``HOT`` lines are narrowed before that: what is left of the lines without the shared
+segment is within the same distance, so it is cut into segments in its turn. Links grow
+with the lines, not with their pairs, and what the largest step makes is (line, block).
 
 Defined results: a null text has no lines and stays null; an empty text has one empty
 line; a document without id keeps all its lines; repeated rows of one document share its
@@ -43,7 +45,9 @@ BREAK = "\n"
 # White space that may stand in a line.
 BLANKS = " \t\r\x0b\x0c\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
-# Indexed lines of a block, lines that look through one copy of it, and lines above which a bucket is narrowed.
+# Indexed lines up to which a bucket is compared by pairs, lines of a block, lines that look through one copy of it,
+# and lines above which a bucket is narrowed.
+SMALL = 32
 BLOCK = 256
 LOOKING = 4096
 HOT = 256
@@ -114,10 +118,9 @@ def _shared(index: DataFrame, probes: DataFrame) -> DataFrame:
     return stored(probing.unionByName(indexed))
 
 
-def _to_centres(shared: DataFrame, line: DataFrame, edits: int) -> DataFrame:
-    """Links (a, b) of lines to the centres of their buckets within the distance: at most one for each place that is looked at."""
-    pairs = shared.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-    both = pairs.join(line.toDF("a", "la"), "a").join(line.toDF("b", "lb"), "b")
+def _verified(pairs: DataFrame, line: DataFrame, edits: int) -> DataFrame:
+    """Those of the pairs (a, b) that are within the distance."""
+    both = pairs.distinct().join(line.toDF("a", "la"), "a").join(line.toDF("b", "lb"), "b")
     return stored(both.where(F.levenshtein("la", "lb", edits) >= 0).select("a", "b"))
 
 
@@ -145,25 +148,34 @@ def _across(now: DataFrame, line: DataFrame, edits: int) -> DataFrame:
 
 def groups(classes: DataFrame, edits: int) -> DataFrame:
     """node, component: the smallest id that each class (id, line, n) reaches by steps within the edit distance, for those that have one."""
-    own, other = buckets(classes, edits, True), buckets(classes, edits, False)
-    shared = _shared(own, other)
+    shared = _shared(buckets(classes, edits, True), buckets(classes, edits, False))
     line = stored(classes.select("id", "line").join(shared.select("id").union(shared.select("centre")).distinct(), "id", "leftsemi"))
-    links = _to_centres(shared, line, edits)
+    to_centre = lambda rows: rows.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
+    links = _verified(to_centre(shared), line, edits)
     component = components(links)
-    held = shared.where("n > 1").select("bucket", "id", "own", "n")
 
     def grouped(rows: DataFrame) -> DataFrame:
         return rows.join(component.toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-    frequent = grouped(held.where(F.col("n") > HOT)).groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    hot = stored(frequent.select("bucket"))
+    several = grouped(shared.where("n > 1").select("bucket", "id", "own", "n"))
+    open_ = several.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    held = stored(several.join(open_, "bucket"))
+    few = held.where(F.col("n") <= SMALL)
+    others = few.where("own").select("bucket", F.col("id").alias("b"), F.col("component").alias("other"))
+    pairs = few.select("bucket", F.col("id").alias("a"), "component").join(others, "bucket").where("component <> other").select("a", "b")
+    links = links.union(_verified(pairs, line, edits))
+    component = components(links)
+    held = held.where(F.col("n") > SMALL).select("bucket", "id", "own", "n")
+    hot = held.where(F.col("n") > HOT).select("bucket").distinct()
+    if held.isEmpty():
+        return component
     if not hot.isEmpty():
-        some = classes.select("id", "line", "n").join(held.join(hot, "bucket", "leftsemi").select("id").distinct(), "id", "leftsemi")
-        some = stored(some)
-        inner = lambda own: buckets(some, edits, own, rest=True).join(hot, "bucket", "leftsemi").withColumnRenamed("bucket", "parent")
-        indexed, probing = stored(inner(True)), stored(inner(False))
+        hot = stored(hot)
+        some = stored(classes.select("id", "line", "n").join(held.join(hot, "bucket", "leftsemi").select("id").distinct(), "id", "leftsemi"))
+        inner = lambda own: stored(buckets(some, edits, own, rest=True).join(hot, "bucket", "leftsemi").withColumnRenamed("bucket", "parent"))
+        indexed, probing = inner(True), inner(False)
         narrow = _shared(buckets(indexed, edits, True), buckets(indexed, edits, False).union(buckets(probing, edits, True)).union(buckets(probing, edits, False)))
-        links = links.union(_to_centres(narrow, line, edits))
+        links = links.union(_verified(to_centre(narrow), line, edits))
         component = components(links)
         held = held.join(hot, "bucket", "leftanti").unionByName(narrow.where("n > 1").select("bucket", "id", "own", "n"))
     looks = None

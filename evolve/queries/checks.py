@@ -132,12 +132,11 @@ def _(t):
 
 
 @section.query("m7_unclaimed_modules", """
-SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND lang NOT IN (SELECT lang FROM documents WHERE n_chars > 17000)
+SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND doc_id NOT IN (SELECT page_id * 3 FROM pages)
 """)
 def _(t):
-    claims = [(t.labels, "doc_id"), (t.documents.where("n_chars > 17000").select("lang"), "lang")]
-    out = M.unclaimed_modules(t.documents.select("doc_id", "source", "lang"), claims[:1], "doc_id")
-    return M.unclaimed_modules(out, claims[1:], "lang").select("doc_id", "source")
+    claims = [(t.labels, "doc_id"), (t.pages.select((F.col("page_id") * 3).alias("doc_id")), "doc_id")]
+    return M.unclaimed_modules(t.documents.select("doc_id", "source"), claims, "doc_id")
 
 
 def _after(t):

@@ -288,6 +288,20 @@ def _(t):
     return t.part.select("p_partkey", X.html_to_text(html).alias("text"))
 
 
+@section.query("c22_quoted_attributes", """
+SELECT p_partkey, p_name || CASE p_partkey % 3 WHEN 0 THEN ' x' WHEN 1 THEN ' x 2' ELSE ' x=' END AS text FROM part
+""")
+def _(t):
+    """The end of a tag is not the sign inside a quoted value; a quote elsewhere opens nothing."""
+    name = F.col("p_name")
+    html = (
+        F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit('<p title="a > b" class=\'c>"d\'>'), name, F.lit('</b  ><img alt = "->"> x')))
+        .when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("<a it's href=x>"), name, F.lit("</a> x<img data-a='1>2")))
+        .otherwise(F.concat(F.lit('<i a="">'), name, F.lit("</i> x=<b\n title = '>\n'></b>")))
+    )
+    return t.part.select("p_partkey", X.html_to_text(html).alias("text"))
+
+
 @section.query("c22_text_to_html", r"""
 SELECT doc_id, '<p>' || regexp_replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'),
   '\r?\n', '<br/>', 'g') || '</p>' AS html FROM documents

@@ -263,6 +263,29 @@ def test_frequent_shingles_are_counted_exactly(documents):
     assert np.allclose(model.idf, 1 + near_duplicates.IDF * np.clip(np.log(share) / np.log(1e-3), 0, 1))
 
 
+@pytest.mark.parametrize("cells", [64, 1 << 14])
+def test_weights_do_not_depend_on_partitions(documents, monkeypatch, cells):
+    monkeypatch.setattr(near_duplicates, "RARE", 0.02)
+    monkeypatch.setattr(near_duplicates, "LEAST_CELLS", cells)
+    monkeypatch.setattr(near_duplicates, "MOST_CELLS", cells)
+    rng = random.Random(14)
+    rows = [(i, "a common passage of seven words " * (i % 9 == 0) + prose(rng, rng.choice([0, 3, 40]), 3)) for i in range(800)]
+    found = {}
+    for d, h in zip(*shingles(words([t for _, t in rows]), 5)[:2], strict=True):
+        found.setdefault(int(h), set()).add(int(d))
+    want = {h: len(d) for h, d in sorted(found.items()) if len(d) >= 16}
+    assert 5 < len(want) < len(found) / 3
+    seen = []
+    real = near_duplicates.heavy_cells
+    monkeypatch.setattr(near_duplicates, "heavy_cells", lambda *a: seen.append(real(*a)) or seen[-1])
+    for parts in (1, 4, 10, 40, 211):
+        model = near_duplicates.weights(documents(rows).repartition(parts))
+        assert model.known.tolist() == list(want)
+        assert np.allclose(model.idf, 1 + near_duplicates.IDF * np.clip(np.log(np.array(list(want.values())) / 800) / np.log(0.02), 0, 1))
+    # The same cells come out, and not many more of them than there are frequent shingles.
+    assert len(set(seen)) == 1 and (cells == 64 or np.unpackbits(np.frombuffer(seen[0], dtype=np.uint8)).sum() <= 8 * len(want))
+
+
 def test_samples_agree_as_often_as_the_weighted_similarity():
     rng = np.random.default_rng(0)
     h = np.sort(rng.choice(1 << 47, 300, replace=False)).astype(np.uint64)
@@ -310,9 +333,9 @@ def near_lines(a, b):
     return a == b or (min(len(a), len(b)) >= 24 and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2)
 
 
-@pytest.mark.parametrize(("hot", "block", "exact"), [(256, 256, None), (32, 8, 3), (2, 3, 1), (1, 1, None)])
-def test_line_decisions_agree_with_brute_force(documents, monkeypatch, hot, block, exact):
-    for name, value in (("HOT", hot), ("BLOCK", block), ("LOOKING", 2 * block)):
+@pytest.mark.parametrize(("hot", "block", "small", "exact"), [(256, 256, 32, None), (32, 8, 4, 3), (2, 3, 1, 1), (1, 1, 1, None)])
+def test_line_decisions_agree_with_brute_force(documents, monkeypatch, hot, block, small, exact):
+    for name, value in (("HOT", hot), ("BLOCK", block), ("SMALL", small), ("LOOKING", 2 * block)):
         monkeypatch.setattr(line_dedup, name, value)
     rng = random.Random(21)
     pool = ["".join(rng.choice("abé ") for _ in range(rng.randint(24, 34))).strip().ljust(24, "z") for _ in range(25)]
@@ -346,7 +369,7 @@ def test_line_decisions_agree_with_brute_force(documents, monkeypatch, hot, bloc
     assert all(counted[i]["n_dropped"] == len(want.get(i, ())) and counted[i]["stays"] == ",".join(stays.get(i, ())) for i, _ in rows)
 
 
-@pytest.mark.parametrize("settings", [{}, {"HOT": 16, "BLOCK": 32, "LOOKING": 64}])
+@pytest.mark.parametrize("settings", [{}, {"HOT": 16, "BLOCK": 32, "SMALL": 4, "LOOKING": 64}])
 def test_families_of_lines_make_few_links(spark, documents, monkeypatch, settings):
     for name, value in settings.items():
         monkeypatch.setattr(line_dedup, name, value)
