@@ -32,6 +32,11 @@ VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: the word pattern of byte-level vocabularies of this kind.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# Fixed value: white space as the pattern means it.
+_BLANK = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The pattern's engine keeps a place for every blank of a run; longer runs are cut out before it.
+BLANK_RUN = 10_000
+
 SHORTEST, LONGEST, CUT_BITS = 96, 4096, 9
 KEPT_BYTES = 32 << 20
 _BORDER = re.compile(r"(?<=\S) (?=\S)")
@@ -47,6 +52,7 @@ class ByteBpe:
         with open(name if os.path.isabs(name) else vocabulary(name)) as f:
             spec = json.load(f)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         byte = byte_of_char()
         ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
         self.coder = tiktoken.Encoding("byte", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=self.special)
@@ -61,7 +67,9 @@ class ByteBpe:
             return found
         found = self.old.get(piece)
         if found is None:
-            if any(s in piece for s in self.special):
+            if _long_blanks().search(piece):
+                ids = self._with_long_blanks(piece)
+            elif any(s in piece for s in self.special):
                 ids = self.coder.encode(piece, allowed_special="all")
             else:
                 ids = self.coder.encode_ordinary(piece)
@@ -72,6 +80,23 @@ class ByteBpe:
         self.young[piece] = found
         return found
 
+    def _with_long_blanks(self, piece: str) -> list[int]:
+        """Ids of a piece with long runs of blanks, which the pattern takes as one word but for the last blank before other text."""
+        ids: list[int] = []
+        for i, part in enumerate(self.cut_special.split(piece) if self.cut_special else [piece]):
+            if i % 2:
+                ids.append(self.special[part])
+                continue
+            start = 0
+            for run in _long_blanks().finditer(part):
+                # The last blank goes with what follows; at the end of the text the run is one word.
+                end = run.end() - (run.end() < len(part))
+                ids += self.coder.encode_ordinary(part[start:run.start()])
+                ids += self.coder._encode_single_piece(part[run.start():end].encode())
+                start = end
+            ids += self.coder.encode_ordinary(part[start:])
+        return ids
+
     def encode(self, text: str, cuts: list[int]) -> bytes:
         """Ids of a whole text, given where its chunks end."""
         out, pending, start = [], "", 0
@@ -93,6 +118,16 @@ class ByteBpe:
         return self.coder.decode_bytes(np.frombuffer(ids, dtype="<u4").tolist())
 
 
+_RUNS: dict[int, re.Pattern] = {}
+
+
+def _long_blanks() -> re.Pattern:
+    """Runs of more than ``BLANK_RUN`` blanks, none of them next to another blank."""
+    if BLANK_RUN not in _RUNS:
+        _RUNS[BLANK_RUN] = re.compile(f"(?<![{_BLANK}])[{_BLANK}]{{{BLANK_RUN},}}+")
+    return _RUNS[BLANK_RUN]
+
+
 def _last_border(chunk: str) -> int:
     at = len(chunk)
     while True:

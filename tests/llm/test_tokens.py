@@ -76,6 +76,23 @@ def test_byte_digests(odd):
         assert got[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" + "\t" * 1_000_000 + "b", "x" + " " * 1_000_000 + "<|endoftext|> y", "中文字" * 200_000], ids=range(5))
+def test_endless_runs_are_encoded(text):
+    got = bpe.byte_bpe(bpe.VOCABULARY).encode(text, bpe.chunk_ends([text])[0])
+    assert np.frombuffer(got, dtype="<u4").tolist() == ids_of(bpe.VOCABULARY, text)
+
+
+def test_long_blanks_agree_with_the_library(monkeypatch):
+    monkeypatch.setattr(bpe, "BLANK_RUN", 5)
+    rng, coder = random.Random(1), bpe.byte_bpe(bpe.VOCABULARY)
+    bits = ["a", "Bc", " ", "  ", " " * 6, "\n", "\n" * 7, "\t" * 6, "\u3000" * 7, "\x1c" * 6, "<|endoftext|>", "'s", "1", "\x85" * 6, "é", " " * 9 + "\n"]
+    for _ in range(1500):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 9)))
+        got = coder.encode(text, bpe.chunk_ends([text])[0])
+        assert np.frombuffer(got, dtype="<u4").tolist() == ids_of(bpe.VOCABULARY, text)
+        coder.young.clear(), coder.old.clear()
+
+
 def test_chunks_follow_content():
     rng = random.Random(4)
     shared = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(600))
