@@ -53,6 +53,8 @@ def _cells(unit: np.ndarray, tables: int, projections: int, width: float) -> np.
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows at length one. A power of two is taken out first, so that squares neither overflow nor vanish; other rows are not changed by it."""
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 

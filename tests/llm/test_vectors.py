@@ -105,6 +105,37 @@ def test_blocks_of_a_bucket_give_the_same_neighbours(spark, rows):
     assert sorted(map(tuple, neighbours.search(df, ask, block=9).collect())) == sorted(map(tuple, neighbours.search(df, ask).collect()))
 
 
+def test_queries_of_a_hot_bucket_are_dealt_too(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    common = rng.standard_normal(16)
+    rows = [(i, (common if i % 3 == 0 else rng.standard_normal(16)).tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    seen = spark.sparkContext.accumulator(0)
+    real = neighbours.runs
+
+    def counted(batches, keys):
+        for batch, starts in real(batches, keys):
+            if max(b - a for a, b in zip(starts, starts[1:])) > 60:
+                seen.add(1)
+            yield batch, starts
+
+    whole = neighbours.search(df, F.col("vec_id") % 2 == 0, nearest=5).collect()
+    monkeypatch.setattr(neighbours, "runs", counted)
+    dealt = neighbours.search(df, F.col("vec_id") % 2 == 0, nearest=5, block=9).collect()
+    # 100 queries and 200 points are one vector: groups of about 9 and 9 of them, not of 300.
+    assert sorted(map(tuple, dealt)) == sorted(map(tuple, whole)) and len(whole) > 1400 and seen.value == 0
+
+
+def test_lengths_at_the_ends_of_doubles(spark):
+    rows = [(0, [1e-200, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1e200, 0.0], 1), (3, [0.0, 1e-300], 1), (4, [0.0, 1e300], 1), (5, [-1e200, 1e150], 1), (6, [5e-324, 0.0], 1), (20, [1e200, 1e200], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["component_id"] for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 5, 6: 0, 20: 20}
+    found = neighbours.search(df, F.col("vec_id") % 20 == 0, nearest=3).collect()
+    by_query = {q: [(r["vec_id"], r["score"]) for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (0, 20)}
+    assert by_query[0][0] == (2, 1.0) and by_query[20][:2] == [(2, math.inf), (4, math.inf)]
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(3)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(170)] + [(i, i + 1) for i in range(1000, 1060)] + [(7, 7)]
