@@ -1,11 +1,13 @@
 """Licence scans by a positional index of rare words.
 
 The templates' words are the vocabulary. How many documents hold each of them gives its
-weight (IDF over all documents). A file is looked up by each template's rarest words
-only: an occurrence of one says where the template would start, the template's other
-words are compared at their places relative to that start, and the share of the
-template's weight that agrees is the coverage. A template is found where the coverage
-reaches its threshold and its mandatory key phrase stands at its place, byte for byte.
+weight (IDF over all documents). A file's words of that vocabulary are its postings. A
+template is looked up by the rarest word of its mandatory key phrase: an occurrence says
+where the template would start, and the postings of the phrase's other words are
+intersected with that at their relative positions. The template's further words are
+compared at their places, and the share of its weight that agrees is the coverage. A
+template is found where the coverage reaches its threshold and its key phrase stands at
+its place, byte for byte; since the phrase has to stand there, no such place is missed.
 
 Defined results: a null text is taken as empty: no words, no places, empty label lists,
 score 0; repeated rows give repeated results; an empty table gives an empty one.
@@ -56,12 +58,9 @@ NOTICES = (
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms", 0.7),
     Template("all-rights-reserved", "all rights reserved", "all rights reserved"),
 )
-# Look-ups use this many of a template's rarest words, so one changed rare word does not hide it.
-ANCHORS = 2
-
 
 class Index:
-    """Postings of the templates' words, rarest first by the documents that hold them."""
+    """The templates' words with their weights, and the key phrases with their rarest word first."""
 
     def __init__(self, templates: tuple[Template, ...], holders: dict[str, int], documents: int):
         self.templates = templates
@@ -72,15 +71,23 @@ class Index:
             terms, key = t.text.split(), t.key.split()
             ids = np.array([self.known[w] for w in terms])
             weight = np.array([idf[w] for w in terms])
-            rarest = sorted(range(len(terms)), key=lambda j: (-weight[j], j))[:ANCHORS]
             at = next(j for j in range(len(terms)) if terms[j:j + len(key)] == key)
-            self.posts.append((ids, weight / weight.sum(), rarest, at, [w.encode() for w in key]))
+            looked = sorted(range(at, at + len(key)), key=lambda j: (-weight[j], j))
+            self.posts.append((ids, weight / weight.sum(), looked, at, [w.encode() for w in key]))
+
+    def postings(self, ids: np.ndarray) -> list[np.ndarray]:
+        """For each word of the vocabulary where it stands, ascending."""
+        hits = np.flatnonzero(ids >= 0)
+        hits = hits[np.argsort(ids[hits], kind="stable")]
+        return np.split(hits, np.searchsorted(ids[hits], np.arange(1, len(self.known))))
 
-    def places(self, found: Words, ids: np.ndarray, text_of: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
+    def places(self, found: Words, ids: np.ndarray, postings: list[np.ndarray], text_of: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts (word numbers) of one template and the coverage at each."""
-        terms, weight, rarest, key_at, key = self.posts[which]
+        terms, weight, looked, key_at, key = self.posts[which]
         n = len(ids)
-        starts = np.unique(np.concatenate([np.flatnonzero(ids == terms[j]) - j for j in rarest]))
+        starts = postings[terms[looked[0]]] - looked[0]
+        for j in looked[1:]:
+            starts = starts[np.isin(starts + j, postings[terms[j]], assume_unique=True)]
         # The text is the one that the key phrase stands in.
         home = starts + key_at
         starts = starts[(home >= 0) & (home + len(key) <= n)]
@@ -147,8 +154,9 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", templates: tu
             ids, text_of = _numbered(found, index.hashes), found.text_of()
             out: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             if (ids >= 0).any():
+                postings = index.postings(ids)
                 for which, t in enumerate(index.templates):
-                    starts, covered = index.places(found, ids, text_of, which)
+                    starts, covered = index.places(found, ids, postings, text_of, which)
                     home = text_of[starts + index.posts[which][3]] if len(starts) else starts
                     for s, c, d in zip(starts.tolist(), covered.tolist(), home.tolist(), strict=True):
                         out[d].append({"label": t.label, "start": s - int(found.first[d]), "words": len(index.posts[which][0]), "coverage": c})
