@@ -73,6 +73,37 @@ def test_licence_places_agree_with_brute_force(spark, documents, odd):
     assert any("lgpl" in x for x in by_text) and any("cc-by-nc" in x for x in by_text)
 
 
+def test_places_of_all_templates_agree_with_brute_force(documents, odd):
+    rng = random.Random(7)
+    templates = licenses.BASE + licenses.NOTICES
+    rows = []
+    for i in range(500):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            w = rng.choice(templates).text.split()
+            for _ in range(rng.randint(0, 4)):
+                w[rng.randrange(len(w))] = rng.choice(["other", "license", "public", "and", "É"])
+            parts.append(rng.choice([" ", ", ", "\n"]).join(w[rng.randint(0, 2):]))
+        rows.append((100 + i, f" {rng.choice(['', 'x', 'the gnu'])} ".join(parts)))
+    docs = documents(rows).union(odd)
+    got = collections.Counter((r["doc_id"], p["label"], p["start"], round(p["coverage"], 6)) for r in licenses.scan(docs).collect() for p in r["found"])
+    held, many = licenses.document_frequencies(docs, templates)
+    want = collections.Counter()
+    for i, t in [*rows, *enumerate(ODD), (5, ODD[5])]:
+        w = WORD.findall(lower(t))
+        for template in templates:
+            terms, key = template.text.split(), template.key.split()
+            weight = np.array([np.log((1 + many) / (1 + held[x])) + 1e-3 for x in terms])
+            at = next(j for j in range(len(terms)) if terms[j:j + len(key)] == key)
+            for start in range(-len(terms), len(w)):
+                if start + at >= 0 and w[start + at:start + at + len(key)] == key:
+                    same = [0 <= start + j < len(w) and w[start + j] == x for j, x in enumerate(terms)]
+                    covered = (weight * same).sum() / weight.sum()
+                    if covered >= template.least - 1e-9:
+                        want[i, template.label, start, round(min(covered, 1.0), 6)] += 1
+    assert got == want and len({x[1] for x in want}) == len(templates) and sum(c[3] < 1 for c in want) > 50
+
+
 def test_licence_notices_survive_a_changed_word(documents):
     text = "Licensed beneath the Apache License, Version 2.0."
     assert "apache-2.0" in licenses.summary(licenses.scan(documents([(1, text), (2, "plain words")]))).where("doc_id = 1").first()["labels"]
