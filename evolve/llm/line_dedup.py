@@ -45,6 +45,8 @@ BREAK = "\n"
 # White space that may stand in a line.
 BLANKS = " \t\r\x0b\x0c\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
+# Ids are sent to every task up to a counted number, 8 MB; beyond it they are shuffled.
+SENT_ROWS = 1_000_000
 # Indexed lines up to which a bucket is compared by pairs, lines of a block, lines that look through one copy of it,
 # and lines above which a bucket is narrowed.
 SMALL = 32
@@ -109,19 +111,29 @@ def _names(line: str) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.hash(F.lit(7), F.col(line)).alias("h2")]
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """Stored in a few files per core, where a shuffle has many more partitions than that: what is left is small."""
+    return stored(df.coalesce(3 * df.sparkSession.sparkContext.defaultParallelism))
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """Ids, sent to every task if they are counted to be few, else left to a shuffle."""
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+
+
 def _shared(index: DataFrame, probes: DataFrame) -> DataFrame:
     """bucket, id, own (indexed there), centre (the first indexed line), n (indexed lines): of lines that share a bucket."""
     heads = stored(index.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n")))
     several = heads.where("n > 1")
     probing = probes.join(heads, "bucket").where("n > 1 or id <> centre").withColumn("own", F.lit(False))
     indexed = index.join(several, "bucket").withColumn("own", F.lit(True))
-    return stored(probing.unionByName(indexed))
+    return _few(probing.unionByName(indexed))
 
 
 def _verified(pairs: DataFrame, line: DataFrame, edits: int) -> DataFrame:
     """Those of the pairs (a, b) that are within the distance."""
     both = pairs.distinct().join(line.toDF("a", "la"), "a").join(line.toDF("b", "lb"), "b")
-    return stored(both.where(F.levenshtein("la", "lb", edits) >= 0).select("a", "b"))
+    return _few(both.where(F.levenshtein("la", "lb", edits) >= 0).select("a", "b"))
 
 
 def _across(now: DataFrame, line: DataFrame, edits: int) -> DataFrame:
@@ -143,13 +155,14 @@ def _across(now: DataFrame, line: DataFrame, edits: int) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     near = F.filter("there", lambda x: (x["component"] != F.col("component")) & (F.levenshtein("line", x["line"], edits) >= 0))
     found = looking.join(blocks, ["bucket", "block", "part"]).select("a", F.array_min(F.transform(near, lambda x: x["id"])).alias("b"))
-    return stored(found.where("b is not null").groupBy("a").agg(F.min("b").alias("b")))
+    return _few(found.where("b is not null").groupBy("a").agg(F.min("b").alias("b")))
 
 
 def groups(classes: DataFrame, edits: int) -> DataFrame:
     """node, component: the smallest id that each class (id, line, n) reaches by steps within the edit distance, for those that have one."""
     shared = _shared(buckets(classes, edits, True), buckets(classes, edits, False))
-    line = stored(classes.select("id", "line").join(shared.select("id").union(shared.select("centre")).distinct(), "id", "leftsemi"))
+    ids = _sized(_few(shared.select("id").union(shared.select("centre")).distinct()))
+    line = _few(classes.select("id", "line").join(ids, "id", "leftsemi"))
     to_centre = lambda rows: rows.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
     links = _verified(to_centre(shared), line, edits)
     component = components(links)
@@ -159,12 +172,14 @@ def groups(classes: DataFrame, edits: int) -> DataFrame:
 
     several = grouped(shared.where("n > 1").select("bucket", "id", "own", "n"))
     open_ = several.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    held = stored(several.join(open_, "bucket"))
+    held = _few(several.join(open_, "bucket"))
     few = held.where(F.col("n") <= SMALL)
     others = few.where("own").select("bucket", F.col("id").alias("b"), F.col("component").alias("other"))
     pairs = few.select("bucket", F.col("id").alias("a"), "component").join(others, "bucket").where("component <> other").select("a", "b")
-    links = links.union(_verified(pairs, line, edits))
-    component = components(links)
+    more = _verified(pairs, line, edits)
+    if not more.isEmpty():
+        links = links.union(more)
+        component = components(links)
     held = held.where(F.col("n") > SMALL).select("bucket", "id", "own", "n")
     hot = held.where(F.col("n") > HOT).select("bucket").distinct()
     if held.isEmpty():
