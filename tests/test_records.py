@@ -241,25 +241,25 @@ def test_translations_filters_templates(frame):
     assert rows(unknown) == [("xx", 1)]
 
 
-REPORT = """---Models in module 'uom'---
-obsolete model uom.category
-obsolete model x.old (renamed to x.new)
-model a.log (moved to other) [transient]
----Fields in module 'uom'---
-uom          / uom.category             / name (char)                   : DEL required
+REPORT = """---Models in module 'garden'---
+obsolete model garden.plot
+obsolete model seed.lot (renamed to seed.batch)
+model rain.entry (moved to weather) [transient]
+---Fields in module 'garden'---
+garden       / garden.plot             / label (char)                   : DEL required
 
-# NOTHING TO DO
+# nothing to be done
 
-uom          / uom.uom                  / _order                        : _order is now 'a' ('b')
-uom          / uom.uom                  / rounding (float)              : not stored anymore
-uom          / uom.uom                  / sequence (integer)            : NEW
+garden       / garden.bed                  / _order                        : _order is now 'depth' ('label')
+garden       / garden.bed                  / depth (float)              : not stored anymore
+garden       / garden.bed                  / row_count (integer)            : NEW
 
-# DONE: copied to legacy column
+# DONE: kept in a legacy column
 
----XML records in module 'uom'---
-NEW precision: uom.decimal [renamed from product module] (noupdate)
-constraint: uom.c1 (changed definition: is now 'a' ('b'))
-DEL ir.rule: uom.r1
+---XML records in module 'garden'---
+NEW measure: garden.ph [renamed from soil module] (noupdate)
+constraint: garden.c7 (changed definition: is now 'a' ('b'))
+DEL gate.rule: garden.r9
 """
 
 
@@ -267,22 +267,22 @@ def test_schema_diff_and_annotations(spark, tmp_path):
     (tmp_path / "w.txt").write_text(REPORT)
     got = [tuple(r)[1:] for r in P.read_schema_diff(spark, str(tmp_path / "w.txt")).collect()]
     assert sorted(got, key=repr) == sorted([
-        ("uom", "Models", "uom.category", None, None, "obsolete", None),
-        ("uom", "Models", "x.old", None, None, "obsolete", "renamed to x.new"),
-        ("uom", "Models", "a.log", None, None, "changed", "moved to other; transient"),
-        ("uom", "Fields", "uom.category", "name", "char", "DEL", "required"),
-        ("uom", "Fields", "uom.uom", "_order", None, "changed", "_order is now 'a' ('b')"),
-        ("uom", "Fields", "uom.uom", "rounding", "float", "changed", "not stored anymore"),
-        ("uom", "Fields", "uom.uom", "sequence", "integer", "NEW", None),
-        ("uom", "XML records", "precision", "uom.decimal", None, "NEW", "renamed from product module; noupdate"),
-        ("uom", "XML records", "constraint", "uom.c1", None, "changed", "changed definition: is now 'a' ('b')"),
-        ("uom", "XML records", "ir.rule", "uom.r1", None, "DEL", None),
+        ("garden", "Models", "garden.plot", None, None, "obsolete", None),
+        ("garden", "Models", "seed.lot", None, None, "obsolete", "renamed to seed.batch"),
+        ("garden", "Models", "rain.entry", None, None, "changed", "moved to weather; transient"),
+        ("garden", "Fields", "garden.plot", "label", "char", "DEL", "required"),
+        ("garden", "Fields", "garden.bed", "_order", None, "changed", "_order is now 'depth' ('label')"),
+        ("garden", "Fields", "garden.bed", "depth", "float", "changed", "not stored anymore"),
+        ("garden", "Fields", "garden.bed", "row_count", "integer", "NEW", None),
+        ("garden", "XML records", "measure", "garden.ph", None, "NEW", "renamed from soil module; noupdate"),
+        ("garden", "XML records", "constraint", "garden.c7", None, "changed", "changed definition: is now 'a' ('b')"),
+        ("garden", "XML records", "gate.rule", "garden.r9", None, "DEL", None),
     ], key=repr)
     notes = {r.text.split(":")[0].strip(): r.note for r in P.read_annotations(spark, str(tmp_path / "w.txt")).collect()}
     by_line = {" ".join(k.split()): v for k, v in notes.items()}
-    assert by_line["uom / uom.category / name (char)"] == "NOTHING TO DO"
-    assert by_line["uom / uom.uom / sequence (integer)"] == "DONE: copied to legacy column"
-    assert by_line["DEL ir.rule"] is None
+    assert by_line["garden / garden.plot / label (char)"] == "nothing to be done"
+    assert by_line["garden / garden.bed / row_count (integer)"] == "DONE: kept in a legacy column"
+    assert by_line["DEL gate.rule"] is None
 
 
 def test_lines_of_split_files_keep_their_order(spark, tmp_path):
@@ -300,10 +300,10 @@ def test_lines_of_split_files_keep_their_order(spark, tmp_path):
 
 def test_status_grid(spark, tmp_path):
     (tmp_path / "g.rst").write_text(
-        "+-----+----+----+\n| Module | Status + Extra |\n+=====+====+====+\n| account |Done | |\n+-----+\n"
-        "| |del| account_x | |Merged into account. |\n| |new| account_y | | |\n")
+        "+-----+----+----+\n| Module | Status + Extra |\n+=====+====+====+\n| ledger |Done | |\n+-----+\n"
+        "| |del| ledger_x | |Merged into ledger. |\n| |new| ledger_y | | |\n")
     assert rows(P.read_status_grid(spark, str(tmp_path / "g.rst"))) == [
-        ("account", None, "Done", None), ("account_x", "del", None, "Merged into account."), ("account_y", "new", None, None)]
+        ("ledger", None, "Done", None), ("ledger_x", "del", None, "Merged into ledger."), ("ledger_y", "new", None, None)]
 
 
 def test_records_go_in_the_order_of_their_references(spark, frame):
