@@ -15,8 +15,10 @@ they are dropped where they equal an earlier line, else never; blank ones always
 
 Groups without all pairs. First every line is compared with one line of each of its
 buckets, the centre, which makes a family of lines one group. Then, in buckets of up to
-``SMALL`` indexed lines, pairs of different groups are compared. In larger ones that still
-hold several groups, a line looks for lines of other groups in blocks of about ``BLOCK``
+``SMALL`` indexed lines, pairs of different groups are compared whose marks allow it: of
+lines that merely share a segment, nearly none are. Marks are 64 parities of the counts of
+a line's pairs of neighbouring characters; an edit changes four at most, so lines within
+the distance never differ in more than four for each edit. In larger buckets that still hold several groups, a line looks for lines of other groups in blocks of about ``BLOCK``
 and keeps at most one link, until no line finds one. A line that finds none has none,
 since groups only grow, so only those that found one look again. Buckets of more than
 ``HOT`` lines are narrowed before that: what is left of the lines without the shared
@@ -31,6 +33,9 @@ an empty table gives an empty one.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +47,8 @@ SHORTEST = 24
 # Shorter lines are dropped where they equal an earlier one, from this many characters on.
 EXACT = 1
 BREAK = "\n"
+# Places in a document that a number for document and place has room for.
+PLACES = 1 << 31
 # White space that may stand in a line.
 BLANKS = " \t\r\x0b\x0c\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
@@ -55,13 +62,19 @@ LOOKING = 4096
 HOT = 256
 
 
+def _trimmed(raw: str) -> Column:
+    """Without white space at the ends; most lines have none, and a look at the ends costs less than a walk through the line."""
+    ends = reduce(or_, [F.startswith(F.col(raw), F.lit(b)) | F.endswith(F.col(raw), F.lit(b)) for b in BLANKS])
+    return F.when(ends, F.btrim(raw, F.lit(BLANKS))).otherwise(F.col(raw))
+
+
 def lines(docs: DataFrame, text: str, key: str, shortest: int, exact: int | None = None) -> DataFrame:
     """doc, pos, line (without white space at its ends) of the lines that can be dropped."""
     least = shortest if exact is None else max(1, min(exact, shortest))
     return (
         docs.where(F.col(key).isNotNull() & F.col(text).isNotNull())
         .select(F.col(key).cast("long").alias("doc"), F.posexplode(F.split(text, BREAK, -1)).alias("pos", "raw"))
-        .select("doc", "pos", F.btrim("raw", F.lit(BLANKS)).alias("line")).where(F.length("line") >= least)
+        .select("doc", "pos", _trimmed("raw").alias("line")).where(F.length("line") >= least)
     )
 
 
@@ -82,17 +95,20 @@ def buckets(rows: DataFrame, edits: int, own: bool, rest: bool = False) -> DataF
     ``rows``: id, line, n (its characters) and, for lines that are compared within one, parent. A bucket is a
     64-bit hash of the parent, the indexed line's length, the segment's number and its characters; collisions are
     left to the verification. The last segments are longer by the rest of the division. The places are exploded
-    first, so that one short expression serves them all. ``rest``: also the line without the segment, and its length.
+    first, so that one short expression serves them all. Where every character is one byte, segments are cut by
+    bytes, which have the same hash and need no walk along the line. ``rest``: also the line without the segment, and its length.
     """
     k = edits + 1
     parent = [F.col("parent")] if "parent" in rows.columns else []
-    placed = rows.select("id", "line", "n", *parent, F.explode(_places(edits, own)).alias("p"))
+    plain = F.when(F.octet_length("line") == F.col("n"), F.col("line").cast("binary")).alias("plain")
+    placed = rows.select("id", "line", plain, "n", *parent, F.explode(_places(edits, own)).alias("p"))
     m = F.expr("n - p.d")
     size, long_ones = F.expr(f"(n - p.d) div {k}").cast("int"), F.expr(f"(n - p.d) % {k}")
     first_long = F.lit(k) - long_ones
     start = size * F.col("p.i") + F.greatest(F.col("p.i") - first_long, F.lit(0)) + F.col("p.s")
     length = size + F.when(F.col("p.i") >= first_long, 1).otherwise(0)
-    bucket = F.xxhash64(*parent, m, F.col("p.i"), F.col("line").substr(start + 1, length)).alias("bucket")
+    by_plain, by_line = (F.xxhash64(*parent, m, F.col("p.i"), F.col(c).substr(start + 1, length)) for c in ("plain", "line"))
+    bucket = F.when(F.col("plain").isNotNull(), by_plain).otherwise(by_line).alias("bucket")
     inside = placed.where((m > 0) & (start >= 0) & (start + length <= F.col("n")))
     if not rest:
         return inside.select("id", bucket)
@@ -100,20 +116,47 @@ def buckets(rows: DataFrame, edits: int, own: bool, rest: bool = False) -> DataF
     return inside.select("id", bucket, left.alias("line"), (F.col("n") - length).alias("n"))
 
 
+def _place(doc: str, pos: str) -> Column:
+    """Document and place in one number that sorts as the two do, as an aggregate by hash can hold it."""
+    return F.col(doc).cast("decimal(20,0)") * F.lit(PLACES).cast("decimal(10,0)") + F.col(pos).cast("decimal(10,0)")
+
+
+def _doc_pos(place: str) -> Column:
+    """The document and place of such a number."""
+    pos = F.expr(f"pmod({place}, cast({PLACES} as decimal(10,0)))")
+    return F.struct(F.expr(f"({place} - pmod({place}, cast({PLACES} as decimal(10,0)))) div cast({PLACES} as decimal(10,0))").alias("doc"), pos.cast("int").alias("pos"))
+
+
 def classes_of(found: DataFrame) -> DataFrame:
-    """Distinct lines: id, h1, h2 (hashes), line, n (characters), first (doc and pos of the first), many."""
-    named = found.select("doc", "pos", "line", *_names("line"))
-    one = named.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.first("line").alias("line"), F.count("*").alias("many"))
-    return stored(one.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "first", "many", F.length("line").alias("n"), "line"))
+    """Distinct lines: id, h1, h2 (hashes), line, n (characters), first (the number of the first place), many."""
+    one = found.groupBy("line").agg(F.min(_place("doc", "pos")).alias("first"), F.count("*").alias("many"))
+    return stored(one.select(F.monotonically_increasing_id().alias("id"), *_names("line"), "first", "many", F.length("line").alias("n"), "line"))
 
 
 def _names(line: str) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.hash(F.lit(7), F.col(line)).alias("h2")]
 
 
+def marks(line: str) -> Column:
+    """64 bits, each whether an odd number of the line's pairs of neighbouring characters fall to it: an edit flips four of them at most."""
+    bit = lambda *pair: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(*pair), F.lit(64)))
+    start = F.struct(F.lit(0).cast("long").alias("held"), F.lit("").alias("last"))
+    step = lambda x, c: F.struct(x["held"].bitwiseXOR(bit(x["last"], c)).alias("held"), c.alias("last"))
+    return F.aggregate(F.split(line, ""), start, step, lambda x: x["held"])
+
+
+def _alike(a: Column, b: Column, edits: int) -> Column:
+    """Whether two lines with these marks can be within the distance."""
+    return F.bit_count(a.bitwiseXOR(b)) <= 4 * edits
+
+
 def _few(df: DataFrame) -> DataFrame:
     """Stored in a few files per core, where a shuffle has many more partitions than that: what is left is small."""
-    return stored(df.coalesce(3 * df.sparkSession.sparkContext.defaultParallelism))
+    return stored(df.coalesce(_files(df)))
+
+
+def _files(df: DataFrame) -> int:
+    return 3 * df.sparkSession.sparkContext.defaultParallelism
 
 
 def _sized(df: DataFrame) -> DataFrame:
@@ -124,10 +167,12 @@ def _sized(df: DataFrame) -> DataFrame:
 def _shared(index: DataFrame, probes: DataFrame) -> DataFrame:
     """bucket, id, own (indexed there), centre (the first indexed line), n (indexed lines): of lines that share a bucket."""
     heads = stored(index.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n")))
-    several = heads.where("n > 1")
-    probing = probes.join(heads, "bucket").where("n > 1 or id <> centre").withColumn("own", F.lit(False))
+    several = _sized(heads.where("n > 1"))
+    # One row a bucket, so a partition's heads can be held, and the many probes need no sorting.
+    probing = probes.join(heads.hint("shuffle_hash"), "bucket").where("n > 1 or id <> centre").withColumn("own", F.lit(False))
     indexed = index.join(several, "bucket").withColumn("own", F.lit(True))
-    return _few(probing.unionByName(indexed))
+    # Dealt anew rather than put together, so that each partition is joined in a task of its own.
+    return stored(probing.unionByName(indexed).repartition(_files(index)))
 
 
 def _verified(pairs: DataFrame, line: DataFrame, edits: int) -> DataFrame:
@@ -139,7 +184,7 @@ def _verified(pairs: DataFrame, line: DataFrame, edits: int) -> DataFrame:
 def _across(now: DataFrame, line: DataFrame, edits: int) -> DataFrame:
     """Links (a, b) from lines that look to a line of another group in one of their buckets, at most one for each.
 
-    ``now``: bucket, id, own, looks, component. Indexed lines are put together in blocks; those that look go to
+    ``now``: bucket, id, own, looks, component; ``line``: id, line, marks. Indexed lines are put together in blocks; those that look go to
     every block of their bucket, dealt to as many copies of it as their number needs.
     """
     sizes = now.groupBy("bucket").agg(
@@ -148,12 +193,13 @@ def _across(now: DataFrame, line: DataFrame, edits: int) -> DataFrame:
     work = now.join(sizes.where("low <> high and blocks > 0 and parts > 0").drop("low", "high"), "bucket").join(line, "id")
     # The least of the block's own groups tells at once that there is no other.
     blocks = work.where("own").groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(17)), F.col("blocks")).cast("int").alias("block")).agg(
-        F.collect_list(F.struct("id", "component", "line")).alias("there"), F.max("parts").alias("parts"))
+        F.collect_list(F.struct("id", "component", "marks", "line")).alias("there"), F.max("parts").alias("parts"))
     blocks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     looking = work.where("looks").select(
-        "bucket", F.col("id").alias("a"), "component", "line", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).cast("int").alias("part"),
+        "bucket", F.col("id").alias("a"), "component", "marks", "line", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")).cast("int").alias("part"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    near = F.filter("there", lambda x: (x["component"] != F.col("component")) & (F.levenshtein("line", x["line"], edits) >= 0))
+    other = lambda x: (x["component"] != F.col("component")) & _alike(x["marks"], F.col("marks"), edits)
+    near = F.filter("there", lambda x: other(x) & (F.levenshtein("line", x["line"], edits) >= 0))
     found = looking.join(blocks, ["bucket", "block", "part"]).select("a", F.array_min(F.transform(near, lambda x: x["id"])).alias("b"))
     return _few(found.where("b is not null").groupBy("a").agg(F.min("b").alias("b")))
 
@@ -173,9 +219,11 @@ def groups(classes: DataFrame, edits: int) -> DataFrame:
     several = grouped(shared.where("n > 1").select("bucket", "id", "own", "n"))
     open_ = several.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
     held = _few(several.join(open_, "bucket"))
-    few = held.where(F.col("n") <= SMALL)
-    others = few.where("own").select("bucket", F.col("id").alias("b"), F.col("component").alias("other"))
-    pairs = few.select("bucket", F.col("id").alias("a"), "component").join(others, "bucket").where("component <> other").select("a", "b")
+    marked = _few(line.join(held.select("id").distinct(), "id", "leftsemi").withColumn("marks", marks("line")))
+    few = held.where(F.col("n") <= SMALL).join(marked.select("id", "marks"), "id")
+    others = few.where("own").select("bucket", F.col("id").alias("b"), F.col("component").alias("other"), F.col("marks").alias("there"))
+    pairs = few.select("bucket", F.col("id").alias("a"), "component", "marks").join(others, "bucket")
+    pairs = pairs.where((F.col("component") != F.col("other")) & _alike(F.col("marks"), F.col("there"), edits)).select("a", "b")
     more = _verified(pairs, line, edits)
     if not more.isEmpty():
         links = links.union(more)
@@ -197,7 +245,7 @@ def groups(classes: DataFrame, edits: int) -> DataFrame:
     while True:
         now = held.select("bucket", "id", "own")
         now = now.withColumn("looks", F.lit(True)) if looks is None else now.join(looks, "id", "left").withColumn("looks", F.col("looks").isNotNull())
-        more = _across(grouped(now), line, edits)
+        more = _across(grouped(now), marked, edits)
         if more.isEmpty():
             return component
         links = links.union(more)
@@ -217,9 +265,9 @@ def decisions(docs: DataFrame, text: str = "text", key: str = "doc_id", edits: i
     grouped = grouped.withColumn("component", F.coalesce("component", "id"))
     heads = grouped.where("many > 1 or component <> id").select("component").distinct()
     mine = grouped.join(heads, "component", "leftsemi")
-    stays = mine.groupBy("component").agg(F.min("first").alias("stays"))
+    stays = mine.groupBy("component").agg(F.min("first").alias("stays")).withColumn("stays", _doc_pos("stays"))
     per_class = mine.join(stays, "component").select("h1", "h2", "stays")
-    at = found.select("doc", "pos", *_names("line")).join(per_class, ["h1", "h2"])
+    at = found.select("doc", "pos", *_names("line")).join(per_class.hint("shuffle_hash"), ["h1", "h2"])
     lost = at.where((F.col("doc") != F.col("stays.doc")) | (F.col("pos") != F.col("stays.pos")))
     per_doc = lost.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("pos", "stays"))).alias("at"))
     return per_doc.select("doc", F.col("at.pos").alias("dropped"), F.col("at.stays").alias("stays"))

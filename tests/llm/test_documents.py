@@ -426,6 +426,55 @@ def test_families_of_lines_make_few_links(spark, documents, monkeypatch, setting
     assert len(seen) >= 2 and all(n <= 4 * lines and lines <= 950 for n, lines in seen)
 
 
+def test_lines_that_only_share_a_segment_are_not_paired(documents, monkeypatch):
+    # Buckets below SMALL, each of lines that have nothing in common but its segment.
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    heads = ["".join(rng.choices(letters, k=20)) for _ in range(12)]
+    rows = [head + "".join(rng.choices(letters, k=40)) for head in heads for _ in range(24)]
+    rows += [r[:30] + "É" + r[31:50] + r[51:] for r in rows[5::24]]
+    compared, plans = [], []
+    verified, stored = line_dedup._verified, line_dedup.stored
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *more: compared.append(pairs.distinct().count()) or verified(pairs, *more))
+    monkeypatch.setattr(line_dedup, "stored", lambda df: plans.append(df._jdf.queryExecution().toString()) or stored(df))
+    got = {r["doc"] for r in line_dedup.decisions(documents(list(enumerate(rows)))).collect()}
+    assert got == set(range(288, 300))
+    # One centre for a line, and next to nothing more.
+    assert sum(compared) <= 2 * len(rows)
+    # Texts are put together by hash, without being sorted.
+    assert "HashAggregate" in plans[0] and "SortAggregate" not in plans[0]
+
+
+def test_marks_of_near_lines_are_near(spark):
+    rng = random.Random(9)
+    pairs = []
+    for _ in range(400):
+        line = "".join(rng.choice("abc dé中\U0001F600\U0001F601") for _ in range(rng.randint(0, 40)))
+        other = list(line)
+        for _ in range(2):
+            at = rng.randint(0, len(other))
+            other[at:at + rng.randint(0, 1)] = rng.choice(["", "x", "\U0001F602"])
+        pairs.append((line, "".join(other)))
+    both = spark.createDataFrame(pairs, "a string, b string").select(line_dedup.marks("a").alias("ma"), line_dedup.marks("b").alias("mb"))
+    assert both.where(~line_dedup._alike(F.col("ma"), F.col("mb"), 2)).count() == 0
+    far = spark.range(200).selectExpr("sha2(string(id), 256) as a", "sha2(string(id + 1), 256) as b")
+    assert far.where(line_dedup._alike(line_dedup.marks("a"), line_dedup.marks("b"), 2)).count() == 0
+
+
+def test_places_are_told_from_one_number(spark):
+    want = [(-(2**63), 0), (-3, 2**31 - 1), (-1, 0), (0, 0), (0, 7), (5, 1), (2**63 - 1, 2**31 - 1)]
+    made = spark.createDataFrame(want, "doc long, pos int").withColumn("place", line_dedup._place("doc", "pos"))
+    got = made.orderBy("place").select(line_dedup._doc_pos("place").alias("at")).collect()
+    assert [tuple(r["at"]) for r in got] == want
+
+
+def test_segments_are_found_in_lines_of_any_bytes(spark):
+    # The second line has the first's segments, but characters of several bytes before and after them.
+    rows = [(0, "abcdefghijklmnopqrstuvwxyz12"), (1, "ébcdefghijklmnopqrstuvwxyz1中")]
+    index = line_dedup.buckets(spark.createDataFrame(rows, "id long, line string").withColumn("n", F.length("line")), 2, True)
+    assert {r["id"] for r in index.groupBy("bucket").agg(F.count("*").alias("k"), F.min("id").alias("id")).where("k = 2").collect()} == {0}
+
+
 def test_lines_of_odd_texts(odd, no_documents):
     assert line_dedup.apply(odd, line_dedup.decisions(odd)).count() == len(ODD) + 1
     assert line_dedup.decisions(no_documents).count() == 0
