@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from evolve.llm import queries
+from evolve.llm import line_dedup, queries
 from evolve.llm.common import tokenizer
 from tests.oracle import compare, duck
 
@@ -92,3 +92,16 @@ def test_stages_take_further_columns_and_empty_tables(spark, folder):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_matches_sql(spark, name):
     assert compare(queries.QUERIES[name](spark, FOLDER), duck(FOLDER), queries.SQL[name]) is None
+
+
+def test_the_line_stage_pairs_no_lines_that_only_share_a_segment(spark, documents, monkeypatch):
+    rng = random.Random(31)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    heads = ["".join(rng.choices(letters, k=20)) for _ in range(8)]
+    rows = [head + "".join(rng.choices(letters, k=40)) for head in heads for _ in range(20)]
+    compared = []
+    verified = line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *more: compared.append(pairs.distinct().count()) or verified(pairs, *more))
+    docs = documents(list(enumerate(rows))).withColumn("n_chars", F.length("text").cast("long"))
+    assert pipeline.without_repeated_lines(spark, docs, "").count() == len(rows)
+    assert sum(compared) <= 2 * len(rows)
