@@ -81,7 +81,8 @@ def _segments(raw: bytes) -> Iterator[bytes]:
     """Pieces of text together, cut at borders only."""
     start = 0
     while len(raw) - start > SEGMENT:
-        end = raw.rfind(BORDER, start, start + SEGMENT)
+        # A segment starts with the border that it was cut at, which cannot be its end too.
+        end = raw.rfind(BORDER, start + 1, start + SEGMENT)
         if end < 0:
             end = raw.find(BORDER, start + SEGMENT)
         if end < 0:

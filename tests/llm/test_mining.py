@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+from itertools import islice
 
 import numpy as np
 import pytest
@@ -122,6 +123,14 @@ def test_texts_are_cut_at_borders_only(spark, monkeypatch):
     assert list(phrases._segments(b"x" * 50)) == [b"x" * 50]
 
 
+def test_a_long_stretch_behind_a_border_is_one_segment(monkeypatch):
+    monkeypatch.setattr(phrases, "SEGMENT", 10)
+    stretch = b"." + b"x" * 50
+    assert list(islice(phrases._segments(b"a" + stretch + b".b"), 9)) == [b"a", stretch, b".b"]
+    assert list(islice(phrases._segments(stretch), 9)) == [stretch]
+    assert list(islice(phrases._segments(b"." * 25), 9)) == [b"." * 9, b"." * 9, b"." * 7]
+
+
 def test_colliding_windows_are_kept_apart(monkeypatch):
     rows = np.array([[1, 2, 1, 3], [5, 6, 5, 6]])
     monkeypatch.setattr(phrases, "mix", lambda h: h * np.uint64(0))
