@@ -1,16 +1,19 @@
 import hashlib
 import random
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from evolve.llm import bpe, packing, token_counts
 from evolve.llm.common import tokenizer
-from evolve.llm.wordpieces import pieces
+from evolve.llm.wordpieces import PieceCache, pieces
+from evolve.session import tune
 from tests.llm.conftest import ODD
 
 ALPHABET = st.text(alphabet=st.sampled_from("ab'tsrelvd12 .,!|<>éÀß×Σİ中 \n\t\x01\x1c\x85́\U0001F600"), max_size=60)
@@ -55,6 +58,30 @@ def test_piece_ids_agree_with_the_library(text):
     assert np.frombuffer(b"".join(cache.values([pieces(text)])[0]), f"<u{width}").tolist() == ids_of(packing.VOCABULARY, text)
 
 
+def test_a_full_cache_of_pieces_is_bounded_and_right():
+    cache, often = PieceCache(lambda some: [p.encode() for p in some]), [f"often{i}" for i in range(100)]
+    most = 0
+    for start in range(0, 1_500_000, 5000):
+        cut = [often, [f"piece{i}" for i in range(start, start + 5000)], ["x" * 60, f"piece{start}"], []]
+        assert cache.values(cut) == [[p.encode() for p in one] for one in cut]
+        held = [cache.young, cache.old]
+        if start % 100_000 == 0:
+            most = max(most, sum(sys.getsizeof(d) + sum(sys.getsizeof(p) + sys.getsizeof(v) for p, v in d.items()) for d in held))
+        assert all(p in cache.young for p in often) or not cache.young
+        assert "x" * 60 not in cache.young
+    assert most < 90_000_000
+
+
+def test_python_steps_get_batches_of_bounded_size(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["n", "rows"])
+
+    long = tune(spark).range(0, 5000, 1, 1).selectExpr("repeat('x', 4000) as text")
+    got = long.mapInArrow(sizes, "n long, rows long").collect()
+    assert sum(r["rows"] for r in got) == 5000 and max(r["n"] for r in got) < 5 << 20
+
+
 @settings(max_examples=300, deadline=None)
 @given(ALPHABET)
 def test_byte_ids_agree_whatever_the_chunks(text):
